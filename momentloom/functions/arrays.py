@@ -110,16 +110,29 @@ def decode(a: Column | str, classes: Sequence) -> Column:
     return F.element_at(F.array(*[F.lit(k) for k in classes]), argmax(a))
 
 
+def bind(value: Column, body) -> Column:
+    """Evaluate ``value`` once per row and hand it to ``body``, also where lambdas nest."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _exponentials(a: Column | str) -> Column:
+    """The largest entry and the exponentials of the distances to it."""
+    with_top = F.struct(doubles(a).alias("v"), F.array_max(doubles(a)).alias("top"))
+    return bind(
+        with_top,
+        lambda s: F.struct(F.transform(s["v"], lambda x: F.exp(x - s["top"])).alias("e"), s["top"].alias("top")),
+    )
+
+
 def softmax(a: Column | str) -> Column:
-    a = doubles(a)
-    shifted = F.transform(a, lambda x: F.exp(x - F.array_max(a)))
-    return F.transform(shifted, lambda x: x / total(shifted))
+    return bind(
+        bind(_exponentials(a), lambda s: F.struct(s["e"].alias("e"), total(s["e"]).alias("t"))),
+        lambda s: F.transform(s["e"], lambda x: x / s["t"]),
+    )
 
 
 def log_sum_exp(a: Column | str) -> Column:
-    a = doubles(a)
-    top = F.array_max(a)
-    return top + F.log(total(F.transform(a, lambda x: F.exp(x - top))))
+    return bind(_exponentials(a), lambda s: s["top"] + F.log(total(s["e"])))
 
 
 def _activate(x: Column, activation: str | None) -> Column:
