@@ -29,6 +29,7 @@ class _Target:
     hi: float
     low_end: float
     high_end: float
+    margin: float
     below: int = 0
     inside: int = 0
     values: list[float] = field(default_factory=list)
@@ -44,8 +45,7 @@ class _Target:
         return F.col(self.col).between(F.lit(self.lo), F.lit(self.hi))
 
 
-def _bracket(prob: float, accuracy: int) -> list[float]:
-    margin = 4.0 / accuracy
+def _bracket(prob: float, margin: float) -> list[float]:
     return [max(0.0, prob - margin), min(1.0, prob + margin)]
 
 
@@ -61,7 +61,8 @@ def exact_quantiles(
     Nulls are left out. A column without values gives None.
     """
     data = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    wanted = sorted({b for p in probs for b in _bracket(p, accuracy)})
+    margin = 4.0 / accuracy
+    wanted = sorted({b for p in probs for b in _bracket(p, margin)})
     first = data.agg(
         *[F.count(c).alias(f"n_{i}") for i, c in enumerate(cols)],
         *[F.min(c).alias(f"lo_{i}") for i, c in enumerate(cols)],
@@ -80,10 +81,10 @@ def exact_quantiles(
         ends = first[f"lo_{i}"], first[f"hi_{i}"]
         guess = dict(zip(wanted, first[f"q_{i}"]))
         for p in probs:
-            low, high = _bracket(p, accuracy)
+            low, high = _bracket(p, margin)
             lo = guess[low] if low > 0 else ends[0]
             hi = guess[high] if high < 1 else ends[1]
-            targets.append(_Target(c, p, p * (n - 1), lo, hi, *ends))
+            targets.append(_Target(c, p, p * (n - 1), lo, hi, *ends, margin))
 
     open_targets = list(targets)
     while open_targets:
@@ -97,7 +98,8 @@ def exact_quantiles(
             t.below, t.inside = counted[f"below_{i}"], counted[f"inside_{i}"]
             n = sizes[t.col]
             if t.below > t.first or t.below + t.inside <= t.last(n):
-                # The sketch missed the rank: widen on the side it missed, and count again.
+                # The sketch missed the rank: widen on the side it missed, and trust it less.
+                t.margin *= 4
                 if t.below > t.first:
                     t.lo = t.low_end
                 if t.below + t.inside <= t.last(n):
@@ -110,7 +112,7 @@ def exact_quantiles(
                 *[
                     F.percentile_approx(
                         F.when(t.condition(), F.col(t.col)),
-                        _bracket((t.position - t.below) / (t.inside - 1), accuracy),
+                        _bracket((t.position - t.below) / (t.inside - 1), t.margin),
                         accuracy,
                     ).alias(f"q_{i}")
                     for i, t in enumerate(to_shrink)
@@ -126,7 +128,7 @@ def exact_quantiles(
             for t in stuck:
                 # Two values share nearly all rows of the interval: look at the values themselves.
                 _settle_by_counts(data, t, sizes[t.col])
-            to_shrink = [t for t in to_shrink if t not in stuck]
+            to_shrink = [t for t in to_shrink if not t.values]
         open_targets = missed + to_shrink
 
     remaining = [t for t in targets if not t.values and t.lo < t.hi]
@@ -168,14 +170,5 @@ def _settle_by_counts(data: DataFrame, t: _Target, n: int) -> None:
     if None not in pair:
         t.values = pair
         return
-    # The rank lies strictly between the ends, where fewer rows remain than the sketch can miss.
-    inner = data.where((c > t.lo) & (c < t.hi)).groupBy(t.col).count().orderBy(t.col).toLocalIterator()
-    seen, found = row["to_lo"], {}
-    for value, count in inner:
-        for rank in (t.first, t.last(n)):
-            if seen <= rank < seen + count:
-                found[rank] = value
-        seen += count
-        if seen > t.last(n):
-            break
-    t.values = [v if v is not None else found[r] for v, r in zip(pair, (t.first, t.last(n)))]
+    # Both neighbours lie strictly between the ends: leave the two heavy values out and go on.
+    t.lo, t.hi = row["above_lo"], row["under_hi"]
