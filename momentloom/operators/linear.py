@@ -60,10 +60,14 @@ def _constant(scatter: np.ndarray, m: Moments) -> np.ndarray:
     return np.diag(scatter) <= 1e-14 * np.maximum(size, 1e-300)
 
 
-def solve_linear(m: Moments, y: str, xs: Sequence[str], lam: float = 0.0, scale_by_n: bool = True) -> LinearModel:
+def solve_linear(
+    m: Moments, y: str, xs: Sequence[str], lam: float = 0.0, scale_by_n: bool = True, standardized: bool = False
+) -> LinearModel:
     """Least squares with intercept, and a penalty ``lam`` on the squared coefficients.
 
     The penalty is multiplied by the row count when ``scale_by_n`` is set; the intercept has none.
+    With ``standardized`` it falls on the coefficients of the standardised features; the model is
+    still written for the features as they are.
     """
     at, t = m.index(xs), m.cols.index(y)
     s = m.scatter()
@@ -72,7 +76,8 @@ def solve_linear(m: Moments, y: str, xs: Sequence[str], lam: float = 0.0, scale_
     b = s[at, t].copy()
     a[flat, :] = a[:, flat] = 0.0
     b[flat] = 0.0
-    a += np.eye(len(at)) * lam * (m.n if scale_by_n else 1.0)
+    unit = np.diag(s)[at] / max(m.n - 1, 1) if standardized else np.ones(len(at))
+    a += np.diag(np.where(flat & standardized, 0.0, unit) * lam * (m.n if scale_by_n else 1.0))
     coefs, rank = _solve(a, b)
     means = m.mean()
     intercept = float(means[t] - coefs @ means[at])

@@ -25,6 +25,8 @@ from momentloom.operators.moments import near_means
 
 MAX_STEPS = 40
 TOLERANCE = 1e-10
+# The loss of a fit that separates the classes falls without end; below this share it is done.
+SEPARATED = 1e-8
 # Sums per aggregate; more models than fit are summed in several aggregates over the same rows.
 SUMS_PER_PASS = 400
 
@@ -81,6 +83,7 @@ class _Newton:
         self.beta = np.zeros(len(task.features) + 1)
         self.step = np.zeros_like(self.beta)
         self.loss = np.inf
+        self.first_loss = None
         self.steps = 0
         self.halvings = 0
         self.done = False
@@ -131,6 +134,10 @@ class _Newton:
             for j in range(i, d):
                 hessian[i, j] = hessian[j, i] = row[f"h{m}_{i}_{j}"]
         self.loss, self.halvings = loss, 0
+        self.first_loss = loss if self.first_loss is None else self.first_loss
+        if loss <= SEPARATED * self.first_loss:
+            self.done = True
+            return
         self.step = np.linalg.lstsq(hessian, gradient, rcond=1e-12)[0]
         self.steps += 1
         self.beta = self.beta + self.step

@@ -8,13 +8,14 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 
-def save_model(model: PipelineModel, path: str) -> None:
+def save_model(model, path: str) -> None:
     """Write a fitted model; folders are made as needed and an older model is replaced."""
     model.write().overwrite().save(path)
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str, kind=PipelineModel):
+    """Read a saved model; ``kind`` is its class where it is not a pipeline."""
+    return kind.load(path)
 
 
 def metrics_rows(spark: SparkSession, rows: Sequence[dict], schema: str) -> DataFrame:
