@@ -102,8 +102,7 @@ def one_hot(label: Column | str, classes: Sequence) -> Column:
 
 def argmax(a: Column | str) -> Column:
     """Position of the largest entry from 1; the first one on ties."""
-    a = column(a)
-    return F.array_position(a, F.array_max(a)).cast("int")
+    return bind(column(a), lambda v: F.array_position(v, F.array_max(v)).cast("int"))
 
 
 def decode(a: Column | str, classes: Sequence) -> Column:
@@ -158,9 +157,13 @@ def dense(a: Column | str, weights, bias, activation: str | None = None) -> Colu
             for row, b in zip(weights, bias)
         ]
     )
-    return F.transform(
-        units,
-        lambda u: _activate(total(F.zip_with(a, u["w"], lambda x, w: x * w)) + u["b"], activation),
+    # The input is bound first: inside the lambda it would be computed again for every unit.
+    return bind(
+        a,
+        lambda v: F.transform(
+            units,
+            lambda u: _activate(total(F.zip_with(v, u["w"], lambda x, w: x * w)) + u["b"], activation),
+        ),
     )
 
 

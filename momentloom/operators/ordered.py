@@ -184,12 +184,12 @@ def final_best(df: DataFrame, by: str, step: str, value: str, start: float = 10.
 
     A plain grouped aggregate, combined before the shuffle; no window is needed for the end state.
     """
-    best = F.max(F.struct(F.col(value).alias("v"), (-F.col(step).cast("double")).alias("t"), F.col(step).alias("s")))
+    pair = F.struct(F.col(value).alias("best"), F.col(step).alias("last_improvement"))
     return (
         df.where(F.col(value) > F.lit(float(start)))
         .groupBy(by)
-        .agg(best.alias("_b"))
-        .select(by, F.col("_b.v").alias("best"), F.col("_b.s").alias("last_improvement"))
+        .agg(F.min_by(pair, F.struct(-F.col(value), F.col(step))).alias("_b"))
+        .select(by, "_b.*")
     )
 
 

@@ -18,6 +18,7 @@ def local_session(cpus: int | str = 8, app: str = "momentloom", memory: str = "8
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
 
