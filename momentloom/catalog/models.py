@@ -7,8 +7,7 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from momentloom.catalog.arrays import _pool_sql
-from momentloom.catalog.common import TEXT_SQL, rounded, significant, text_measures
+from momentloom.catalog.common import TEXT_SQL, rounded, text_measures
 from momentloom.catalog.profiles import BETA, LINEAR_SQL, SPIRAL_SQL
 from momentloom.catalog.registry import analysis
 from momentloom.catalog.sqltext import covariances, eliminate, hash32, newton, rd, regression, rs
@@ -65,19 +64,13 @@ def text_length_regression(spark, folder):
 @analysis(
     "L2 M1 M2",
     f"""with t as {TEXT_SQL}, {_cov}, {_lin}, p as (select t.*, b0 + b_0*n_spaces + b_1*n_lines + b_2*n_e as p from t, {_lin_last})
-    select {rd('1e0 - sum(pow(n_chars-p, 2))/(var_pop(n_chars)*count(*))')} as r2, {rs('sqrt(avg(pow(n_chars-p, 2)))', 6)} as rms from p""",
+    select {rd('1e0 - sum(pow(n_chars-p, 2))/(var_pop(n_chars)*count(*))')} as r2, {rd('sqrt(avg(pow(n_chars-p, 2)))', 3)} as rms from p""",
 )
 def text_length_fit_quality(spark, folder):
     rows = text_measures(spark, folder)
     model = linear.linear_regression(rows, "n_chars", TEXT_XS)
     made = model.predict(rows).agg(metrics.r_squared("n_chars", "prediction").alias("r2"), metrics.rms("n_chars", "prediction").alias("rms"))
-    return made.select(F.floor(F.col("r2") * 1e6 + 0.5).cast("double").alias("_"), "*").select((F.col("_") / 1e6).alias("r2"), "rms").select("r2", _sig("rms", 6))
-
-
-def _sig(name, digits):
-    from momentloom.functions.scalars import round_significant
-
-    return round_significant(name, digits).alias(name)
+    return rounded(made, 6, rms=3)
 
 
 _rl, _rl_last = regression("c", [0, 1], 2, [], "r", lam=0.1)
@@ -92,9 +85,9 @@ def ridge_price(spark, folder):
 @analysis(
     "P7 L2 M1",
     f"with t as (select *, l_discount*l_tax as interaction from lineitem), {covariances('t', ['l_quantity', 'l_discount', 'l_tax', 'interaction', 'l_extendedprice'], [], 'c')}, "
-    + ", ".join([regression("c", [0, 1, 2], 4, [], "a")[0], regression("c", [0, 1, 2, 3], 4, [], "b")[0]])
-    + f" select 'with' as model, {rd('(b_0*v_0_4 + b_1*v_1_4 + b_2*v_2_4 + b_3*v_3_4)/v_4_4', 9)} as r2 from bf, c"
-    + f" union all select 'without', {rd('(b_0*v_0_4 + b_1*v_1_4 + b_2*v_2_4)/v_4_4', 9)} from af, c",
+    + ", ".join([regression("c", [0, 1, 2], 4, [], "less")[0], regression("c", [0, 1, 2, 3], 4, [], "more")[0]])
+    + f" select 'with' as model, {rd('(b_0*v_0_4 + b_1*v_1_4 + b_2*v_2_4 + b_3*v_3_4)/v_4_4', 9)} as r2 from moref, c"
+    + f" union all select 'without', {rd('(b_0*v_0_4 + b_1*v_1_4 + b_2*v_2_4)/v_4_4', 9)} from lessf, c",
 )
 def interaction_gain(spark, folder):
     """R2 with and without a product term, both from one scan."""
@@ -291,13 +284,7 @@ def new_rows_scored(spark, folder):
     """A model fitted on all line items predicts two rows written out in the program."""
     model = fit_logistic_models(flag_rows(spark, folder), "y", {"all": LogisticTask(tuple(FLAG_XS))})["all"]
     new = literal_table(spark, {"l_discount": [0.02, 0.08], "l_tax": [0.05, 0.01], "l_quantity": [1.0, 4.0]})
-    return new.select("*", model.probability().alias("p"), model.predicted().alias("pred")).select("l_discount", "l_tax", "l_quantity", *rounded_p(), "pred")
-
-
-def rounded_p():
-    from momentloom.functions.scalars import round_digits
-
-    return [round_digits("p", 5).alias("p")]
+    return rounded(new.select("*", model.probability().alias("p"), model.predicted().alias("pred")), 5)
 
 
 IMAGE_LAYERS = [16, 14, 14, 10]

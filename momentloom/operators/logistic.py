@@ -26,7 +26,7 @@ from momentloom.operators.moments import near_means
 MAX_STEPS = 40
 TOLERANCE = 1e-10
 # The loss of a fit that separates the classes falls without end; below this share it is done.
-SEPARATED = 1e-8
+SEPARATED = 1e-6
 # Sums per aggregate; more models than fit are summed in several aggregates over the same rows.
 SUMS_PER_PASS = 400
 

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from momentloom.session import ensure_checkpoint_dir
 
 ROWS_PER_PARTITION = 2_000_000
+WORTH_A_TASK = 10_000
 POSITION_BITS = 33
 
 # A group is heavy when it holds more rows than this and more than 1/HEAVY_SHARE of the table, so
@@ -43,7 +44,7 @@ def with_row_index(df: DataFrame, keys: Sequence[str], name: str = "row_id", par
     if partitions is None:
         size = df.count()
         parallel = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        partitions = max(parallel, ceil(size / ROWS_PER_PARTITION))
+        partitions = max(1, ceil(size / ROWS_PER_PARTITION), min(parallel, ceil(size / WORTH_A_TASK)))
     placed = df.repartitionByRange(partitions, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
     marked = placed.select("*", F.monotonically_increasing_id().alias("_place"))
     part = F.shiftright(F.col("_place"), POSITION_BITS)
