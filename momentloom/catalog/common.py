@@ -39,17 +39,16 @@ def logits_expression():
 def text_measures(spark: SparkSession, folder: str) -> DataFrame:
     """Counts over the whole text of each document."""
 
-    def without(characters: str):
-        return F.length(F.translate("text", characters, ""))
+    def occurrences(character: str):
+        return F.length("text") - F.length(F.replace("text", F.lit(character), F.lit("")))
 
-    size = F.length("text")
     return load(spark, folder, "documents").select(
         "doc_id",
         F.col("n_chars").cast("double").alias("n_chars"),
-        (size - without(" ")).cast("double").alias("n_spaces"),
-        (size - without("\n")).cast("double").alias("n_lines"),
-        (size - without("e")).cast("double").alias("n_e"),
-        (size - without(".,")).cast("double").alias("n_marks"),
+        occurrences(" ").cast("double").alias("n_spaces"),
+        occurrences("\n").cast("double").alias("n_lines"),
+        occurrences("e").cast("double").alias("n_e"),
+        (occurrences(".") + occurrences(",")).cast("double").alias("n_marks"),
     )
 
 

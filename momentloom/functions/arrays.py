@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -169,8 +170,6 @@ def dense(a: Column | str, weights, bias, activation: str | None = None) -> Colu
 
 def _dense_in_batches(weights: np.ndarray, bias: np.ndarray, activation: str | None):
     """A wide layer as one matrix product per Arrow batch."""
-    import pandas as pd
-
     @F.pandas_udf("array<double>")
     def score(batch: pd.Series) -> pd.Series:
         z = np.stack(batch.to_numpy()) @ weights.T + bias

@@ -4,13 +4,13 @@
 
 ``fit_logistic_models`` fits many models over the same rows at once, such as the folds of a
 cross-validation or several feature sets. Each Newton step needs the sums w x x' and (y - p) x; all
-models' sums come from one aggregate, so ten folds cost as many scans as one fit, and Newton needs
+models' sums come from one pass, so ten folds cost as many scans as one fit, and Newton needs
 about seven scans where a gradient method needs tens per model.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,13 +22,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from momentloom.operators.moments import near_means
+from momentloom.session import spread
 
 MAX_STEPS = 40
 TOLERANCE = 1e-10
 # The loss of a fit that separates the classes falls without end; below this share it is done.
 SEPARATED = 1e-6
-# Sums per aggregate; more models than fit are summed in several aggregates over the same rows.
-SUMS_PER_PASS = 400
 
 
 def fit_logistic(df: DataFrame, label: str, features: Sequence[str], max_iter: int = 200, tol: float = 1e-10) -> PipelineModel:
@@ -89,37 +88,9 @@ class _Newton:
         self.done = False
         self.converged = False
 
-    def inputs(self) -> list[Column]:
-        moved = zip(self.task.features, self.shift, self.scale)
-        return [F.lit(1.0)] + [(F.col(c) - F.lit(float(m))) / F.lit(float(s)) for c, m, s in moved]
-
-    def logit(self) -> Column:
-        x = self.inputs()
-        value = F.lit(float(self.beta[0]))
-        for b, c in zip(self.beta[1:], x[1:]):
-            value = value + F.lit(float(b)) * c
-        return value
-
-    def width(self) -> int:
-        d = len(self.beta)
-        return 1 + d + d * (d + 1) // 2
-
-    def sums(self, m: int, label: str) -> list[Column]:
-        """Loss, gradient and curvature from the row's logit in column ``z{m}``."""
-        z, y = F.col(f"z{m}"), F.col(label)
-        p = F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
-        # log(1 + e^z) - y z, written so that neither sign of z overflows.
-        loss = F.greatest(z, F.lit(0.0)) + F.log1p(F.exp(-F.abs(z))) - y * z
-        x = self.inputs()
-        made = [F.sum(loss).alias(f"l{m}")]
-        made += [F.sum((y - p) * c).alias(f"g{m}_{i}") for i, c in enumerate(x)]
-        w = p * (F.lit(1.0) - p)
-        made += [F.sum(w * x[i] * x[j]).alias(f"h{m}_{i}_{j}") for i in range(len(x)) for j in range(i, len(x))]
-        return made
-
-    def advance(self, row, m: int) -> None:
-        loss = row[f"l{m}"]
-        if loss is None:
+    def advance(self, rows: float, loss: float, gradient: np.ndarray, hessian: np.ndarray) -> None:
+        """Take one step, given the sums at the current coefficients."""
+        if rows == 0:
             raise ValueError("a model has no rows to fit on")
         if loss > self.loss * (1 + 1e-12) and self.halvings < 30:
             # The step went too far: take half of it back.
@@ -127,12 +98,6 @@ class _Newton:
             self.beta = self.beta - self.step
             self.halvings += 1
             return
-        d = len(self.beta)
-        gradient = np.array([row[f"g{m}_{i}"] for i in range(d)])
-        hessian = np.empty((d, d))
-        for i in range(d):
-            for j in range(i, d):
-                hessian[i, j] = hessian[j, i] = row[f"h{m}_{i}_{j}"]
         self.loss, self.halvings = loss, 0
         self.first_loss = loss if self.first_loss is None else self.first_loss
         if loss <= SEPARATED * self.first_loss:
@@ -166,35 +131,66 @@ def fit_logistic_models(df: DataFrame, label: str, tasks: Mapping[str, LogisticT
         *[c.alias(name) for name, c in marks.items()],
     ).dropna(subset=["_y", *features])
     if persist:
-        data = data.persist()
+        data = spread(data).persist()
     try:
         shift = dict(zip(features, near_means(data, features)))
-        spread = data.agg(*[F.stddev_pop(c).alias(f"d{i}") for i, c in enumerate(features)]).first()
-        scale = {c: (spread[f"d{i}"] or 1.0) for i, c in enumerate(features)}
+        deviations = data.agg(*[F.stddev_pop(c).alias(f"d{i}") for i, c in enumerate(features)]).first()
+        scale = {c: (deviations[f"d{i}"] or 1.0) for i, c in enumerate(features)}
         fits = {name: _Newton(t, shift, scale) for name, t in tasks.items()}
-        numbered = list(enumerate(fits.values()))
         while any(not f.done for f in fits.values()):
-            waiting = [(m, f) for m, f in numbered if not f.done]
-            for part in _parts(waiting):
-                logits = [
-                    (F.when(F.col(f"r{m}"), f.logit()) if f"r{m}" in marks else f.logit()).alias(f"z{m}") for m, f in part
-                ]
-                row = data.select("_y", *features, *logits).agg(*[c for m, f in part for c in f.sums(m, "_y")]).first()
-                for m, f in part:
-                    f.advance(row, m)
+            waiting = [(m, f) for m, f in enumerate(fits.values()) if not f.done]
+            for f, sums in zip((f for _, f in waiting), _step_sums(data, features, waiting, marks)):
+                f.advance(*sums)
         return {name: f.model() for name, f in fits.items()}
     finally:
         if persist:
             data.unpersist()
 
 
-def _parts(waiting: list) -> list[list]:
-    parts, room = [], 0
-    for item in waiting:
-        width = item[1].width()
-        if not parts or room < width:
-            parts.append([])
-            room = SUMS_PER_PASS
-        parts[-1].append(item)
-        room -= width
-    return parts
+def _step_sums(data: DataFrame, features: Sequence[str], waiting: list, marks: Mapping[str, Column]) -> list[tuple]:
+    """Row count, loss, gradient and curvature of every waiting model, from one pass.
+
+    Each task folds its Arrow batches with matrix products and returns one number per sum; those are
+    added by an ordinary grouped aggregate. As generated code, the hundreds of sums would be
+    compiled anew at every step, because the coefficients are part of it.
+    """
+    at = {c: i for i, c in enumerate(features)}
+    specs = [
+        (f"r{m}" if f"r{m}" in marks else None, [at[c] for c in f.task.features], f.shift, f.scale, f.beta) for m, f in waiting
+    ]
+    names = list(features)
+
+    def fold(batches: Iterator) -> Iterator:
+        import pandas as pd
+
+        held = None
+        for pdf in batches:
+            x, y = pdf[names].to_numpy(dtype=float), pdf["_y"].to_numpy(dtype=float)
+            parts = []
+            for mark, columns, shift, scale, beta in specs:
+                inside = slice(None) if mark is None else pdf[mark].fillna(False).to_numpy(dtype=bool)
+                rows, truth = (x[inside][:, columns] - shift) / scale, y[inside]
+                rows = np.hstack([np.ones((len(rows), 1)), rows])
+                z = rows @ beta
+                # log(1 + e^z) - y z and 1 / (1 + e^-z), written so that neither sign of z overflows.
+                small = np.exp(-np.abs(z))
+                loss = np.maximum(z, 0.0) + np.log1p(small) - truth * z
+                p = np.where(z >= 0, 1.0, small) / (1.0 + small)
+                hessian = rows.T @ (rows * (p * (1.0 - p))[:, None])
+                parts += [[float(len(rows)), loss.sum()], rows.T @ (truth - p), hessian.ravel()]
+            sums = np.concatenate(parts)
+            held = sums if held is None else held + sums
+        if held is not None:
+            yield pd.DataFrame({"i": np.arange(len(held), dtype=np.int32), "v": held})
+
+    collected = data.mapInPandas(fold, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()
+    sums = np.zeros(sum(2 + len(f.beta) * (len(f.beta) + 1) for _, f in waiting))
+    for row in collected:
+        sums[row["i"]] = row["v"]
+    results, start = [], 0
+    for _, f in waiting:
+        d = len(f.beta)
+        part = sums[start : start + 2 + d * (d + 1)]
+        results.append((part[0], part[1], part[2 : 2 + d], part[2 + d :].reshape(d, d)))
+        start += len(part)
+    return results

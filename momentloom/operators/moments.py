@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 # aggregate with thousands of sums would be too large a method for the JVM to compile.
 MAX_PRODUCT_COLUMNS = 300
 MAX_GROUPS = 10_000
-SHIFT_ROWS = 1_000
+SHIFT_ROWS = 200
 
 
 @dataclass(frozen=True)
@@ -74,12 +74,14 @@ class GroupedMoments:
 
 
 def near_means(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
-    """A value inside the range of each column, from a few rows of one task.
+    """A value inside the range of each column, from the first rows that a task returns.
 
-    It only has to be in the right region: results do not depend on it but for rounding.
+    It only has to be in the right region: results do not depend on it but for rounding. ``take``
+    reads one partition and goes on to others only when that is empty.
     """
-    row = df.select(*cols).limit(SHIFT_ROWS).agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)]).first()
-    return np.array([0.0 if v is None or not np.isfinite(v) else v for v in row])
+    rows = np.array(df.select(*cols).take(SHIFT_ROWS), dtype=float).reshape(-1, len(cols))
+    rows = np.where(np.isfinite(rows), rows, 0.0)
+    return rows.mean(axis=0) if len(rows) else np.zeros(len(cols))
 
 
 def product_sums(cols: Sequence[str], shift: Sequence[float], weight: Column | None = None) -> list[Column]:

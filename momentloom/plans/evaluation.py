@@ -13,7 +13,7 @@ from momentloom.functions import arrays
 from momentloom.operators import linear, metrics, neural, splits
 from momentloom.operators.logistic import LogisticTask, fit_logistic_models
 
-PARALLEL_FITS = 4
+PARALLEL_FITS = 8
 
 
 def cv_accuracy(df: DataFrame, label: str, features: Sequence[str], fold: str, folds: int) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = 8, app: str = "momentloom", memory: str = "8g") -> SparkSession:
@@ -39,3 +39,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         context.setCheckpointDir(os.path.join(tempfile.mkdtemp(prefix="checkpoints-")))
     else:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows for repeated passes over all cores.
+
+    A large table has more partitions than there are cores and is left alone. One that came from a
+    few files would keep only as many tasks busy at every pass, so its rows are dealt out once.
+    """
+    parallel = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(parallel) if df.rdd.getNumPartitions() < parallel else df
