@@ -1,11 +1,6 @@
 """Named analyses over the given tables, each with the SQL that checks it where there is one."""
 
-import importlib
-import os
-from pathlib import Path
-
+from momentloom.catalog import arrays, experiments, features, metrics, models, ordering, profiles, resampling, search
 from momentloom.catalog.registry import REGISTRY
 
-for _m in ("profiles", "features", "arrays", "ordering", "resampling", "metrics", "models", "search", "experiments"):
-    if (Path(__file__).parent / f"{_m}.py").exists():
-        importlib.import_module(f"momentloom.catalog.{_m}")
+__all__ = ["REGISTRY", "arrays", "experiments", "features", "metrics", "models", "ordering", "profiles", "resampling", "search"]

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from momentloom.catalog.common import FLAGS, RULE_SQL, rounded, rule_predictions, score_expression, significant, SCORE_SQL
+from momentloom.catalog.common import FLAGS, RULE_SQL, SCORE_SQL, rounded, rule_predictions, score_expression, significant
 from momentloom.catalog.registry import analysis
 from momentloom.catalog.sqltext import rd, rs
-from momentloom.functions import scalars
+from momentloom.functions import arrays, scalars
 from momentloom.operators import linear, metrics, profile, schema
 from momentloom.sources.tables import load, param_grid
 
@@ -44,7 +44,7 @@ def target_and_features(spark, folder):
 
 @analysis("P6", "select o_orderkey, o_totalprice from orders where o_orderdate < timestamp '1998-01-01 00:00:00'")
 def rows_before_date(spark, folder):
-    early = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp")
+    early = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
     return load(spark, folder, "orders").where(early).select("o_orderkey", "o_totalprice")
 
 
@@ -128,8 +128,6 @@ def column_types(spark, folder):
     f"select l_linenumber, count(*) as n, {rs('sum(l_quantity + l_extendedprice + l_discount + l_tax)')} as entries from lineitem group by l_linenumber",
 )
 def vector_totals(spark, folder):
-    from momentloom.functions import arrays
-
     made = schema.to_vector(load(spark, folder, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
     return significant(made.groupBy("l_linenumber").agg(F.count(F.lit(1)).alias("n"), F.sum(arrays.total("features")).alias("entries")))
 

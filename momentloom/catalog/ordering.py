@@ -131,7 +131,7 @@ def mini_batches(spark, folder):
     from {BY_DATE}, c group by 1""",
 )
 def split_at_last_early_row(spark, folder):
-    parts = splits.split_at_last(indexed_orders(spark, folder), F.col("o_orderdate") < F.lit("2000-01-01").cast("timestamp"))
+    parts = splits.split_at_last(indexed_orders(spark, folder), F.col("o_orderdate") < F.lit("2000-01-01").cast("timestamp_ntz"))
     return significant(
         parts.groupBy("split").agg(
             F.count(F.lit(1)).alias("n"), F.min("row_id").alias("first_row"), F.max("row_id").alias("last_row"), F.avg("o_totalprice").alias("mean")

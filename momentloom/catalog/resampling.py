@@ -39,7 +39,7 @@ def exact_seventy_split(spark, folder):
     f"select case when o_orderdate < timestamp '2000-01-01 00:00:00' then 'train' else 'test' end as split, count(*) as n, {rs('avg(o_totalprice)')} as mean from orders group by 1",
 )
 def split_by_date(spark, folder):
-    parts = splits.split_where(load(spark, folder, "orders"), F.col("o_orderdate") < F.lit("2000-01-01").cast("timestamp"))
+    parts = splits.split_where(load(spark, folder, "orders"), F.col("o_orderdate") < F.lit("2000-01-01").cast("timestamp_ntz"))
     return significant(parts.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.avg("o_totalprice").alias("mean")))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from momentloom.functions.scalars import column
 
 # Above this many weights a layer is scored in Arrow batches instead of literals in the plan.
-MAX_LITERAL_WEIGHTS = 2_000
+MAX_LITERAL_WEIGHTS = 256
 
 
 def doubles(a: Column | str) -> Column:
@@ -82,11 +82,12 @@ def upright(a: Column | str, rows: int, cols: int) -> Column:
 
 def pool(a: Column | str, rows: int, cols: int, window: int = 2, how: str = "mean") -> Column:
     """Shrink the matrix by ``window`` in both directions with the mean or the maximum."""
-    a = doubles(a)
+    a = column(a)
     cells = []
     for c in range(0, cols - window + 1, window):
         for r in range(0, rows - window + 1, window):
-            parts = [F.element_at(a, r + i + (c + j) * rows + 1) for j in range(window) for i in range(window)]
+            places = [r + i + (c + j) * rows + 1 for j in range(window) for i in range(window)]
+            parts = [F.element_at(a, p).cast("double") for p in places]
             if how == "max":
                 cells.append(F.greatest(*parts))
             elif how == "mean":
@@ -170,6 +171,7 @@ def dense(a: Column | str, weights, bias, activation: str | None = None) -> Colu
 
 def _dense_in_batches(weights: np.ndarray, bias: np.ndarray, activation: str | None):
     """A wide layer as one matrix product per Arrow batch."""
+
     @F.pandas_udf("array<double>")
     def score(batch: pd.Series) -> pd.Series:
         z = np.stack(batch.to_numpy()) @ weights.T + bias

@@ -14,6 +14,7 @@ from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
@@ -25,6 +26,8 @@ from momentloom.operators.moments import near_means
 from momentloom.session import spread
 
 MAX_STEPS = 40
+# Newton's curvature has features^2 entries per task. Wider models go to the estimator one by one.
+MAX_NEWTON_FEATURES = 200
 TOLERANCE = 1e-10
 # The loss of a fit that separates the classes falls without end; below this share it is done.
 SEPARATED = 1e-6
@@ -123,6 +126,23 @@ def fit_logistic_models(df: DataFrame, label: str, tasks: Mapping[str, LogisticT
     The rows are narrowed to the columns in use and kept for the steps; a lost part is recomputed.
     Where the classes can be separated there is no finite fit, and ``converged`` is false.
     """
+    wide = {name: t for name, t in tasks.items() if len(t.features) > MAX_NEWTON_FEATURES}
+    narrow = {name: t for name, t in tasks.items() if name not in wide}
+    made = {name: _fit_by_estimator(df, label, t) for name, t in wide.items()}
+    if narrow:
+        made |= _fit_together(df, label, narrow, persist)
+    return {name: made[name] for name in tasks}
+
+
+def _fit_by_estimator(df: DataFrame, label: str, task: LogisticTask) -> LogisticModel:
+    rows = df if task.rows is None else df.where(task.rows)
+    fitted = fit_logistic(rows.dropna(subset=[label, *task.features]), label, task.features).stages[-1]
+    summary = fitted.summary
+    steps = int(summary.totalIterations)
+    return LogisticModel(task.features, tuple(map(float, fitted.coefficients)), float(fitted.intercept), steps < fitted.getMaxIter(), steps)
+
+
+def _fit_together(df: DataFrame, label: str, tasks: Mapping[str, LogisticTask], persist: bool) -> dict[str, LogisticModel]:
     features = sorted({c for t in tasks.values() for c in t.features})
     marks = {f"r{m}": t.rows for m, t in enumerate(tasks.values()) if t.rows is not None}
     data = df.select(
@@ -161,14 +181,13 @@ def _step_sums(data: DataFrame, features: Sequence[str], waiting: list, marks: M
     names = list(features)
 
     def fold(batches: Iterator) -> Iterator:
-        import pandas as pd
-
         held = None
-        for pdf in batches:
-            x, y = pdf[names].to_numpy(dtype=float), pdf["_y"].to_numpy(dtype=float)
+        for batch in batches:
+            x = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in names])
+            y = batch.column("_y").to_numpy(zero_copy_only=False)
             parts = []
             for mark, columns, shift, scale, beta in specs:
-                inside = slice(None) if mark is None else pdf[mark].fillna(False).to_numpy(dtype=bool)
+                inside = slice(None) if mark is None else batch.column(mark).fill_null(False).to_numpy(zero_copy_only=False)
                 rows, truth = (x[inside][:, columns] - shift) / scale, y[inside]
                 rows = np.hstack([np.ones((len(rows), 1)), rows])
                 z = rows @ beta
@@ -181,9 +200,9 @@ def _step_sums(data: DataFrame, features: Sequence[str], waiting: list, marks: M
             sums = np.concatenate(parts)
             held = sums if held is None else held + sums
         if held is not None:
-            yield pd.DataFrame({"i": np.arange(len(held), dtype=np.int32), "v": held})
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(held), dtype=np.int32)), pa.array(held)], names=["i", "v"])
 
-    collected = data.mapInPandas(fold, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()
+    collected = data.mapInArrow(fold, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()
     sums = np.zeros(sum(2 + len(f.beta) * (len(f.beta) + 1) for _, f in waiting))
     for row in collected:
         sums[row["i"]] = row["v"]

@@ -24,6 +24,8 @@ from pyspark.sql import types as T
 MAX_PRODUCT_COLUMNS = 300
 MAX_GROUPS = 10_000
 SHIFT_ROWS = 200
+# A counted table up to this size, cut to a key and a few numbers, is some ten megabytes.
+BROADCAST_ROWS = 200_000
 
 
 @dataclass(frozen=True)
@@ -88,7 +90,7 @@ def product_sums(cols: Sequence[str], shift: Sequence[float], weight: Column | N
     """The aggregates ``n``, ``s_i`` and ``c_i_j`` (i <= j), optionally weighted."""
     w = weight if weight is not None else F.lit(1.0)
     moved = [F.col(c) - F.lit(float(m)) for c, m in zip(cols, shift)]
-    made = [F.sum(w).alias("n")]
+    made = [(F.count(F.lit(1)).cast("double") if weight is None else F.sum(w)).alias("n")]
     made += [F.sum(x if weight is None else w * x).alias(f"s_{i}") for i, x in enumerate(moved)]
     for i, x in enumerate(moved):
         for j in range(i, len(moved)):
@@ -204,23 +206,33 @@ def gram(df: DataFrame, cols: Sequence[str], by: str | None = None) -> DataFrame
 
 
 def star_moments(
-    fact: DataFrame, fact_key: str, fact_cols: Sequence[str], dim: DataFrame, dim_key: str, dim_cols: Sequence[str]
+    fact: DataFrame, fact_key: str, fact_cols: Sequence[str], dim: DataFrame, dim_key: str, dim_cols: Sequence[str], broadcast_rows: int = BROADCAST_ROWS
 ) -> Moments:
-    """Moments over ``fact`` joined with ``dim`` on a key that is unique in ``dim``.
-
-    The fact rows are summed per key before the join, with map-side combining. So a key that
-    holds a third of all rows enters the join as one row, and no joined row is ever wide.
-    """
-    summed, cols, shift = _star_sums(fact, fact_key, fact_cols, dim, dim_key, dim_cols)
+    """Moments over ``fact`` joined with ``dim`` on ``fact_key = dim_key``."""
+    summed, cols, shift = _star_sums(fact, fact_key, fact_cols, dim, dim_key, dim_cols, broadcast_rows)
     return moments_of_row(summed.first(), cols, shift)
 
 
-def _star_sums(fact, fact_key, fact_cols, dim, dim_key, dim_cols) -> tuple[DataFrame, list[str], np.ndarray]:
+def star_sums(
+    fact: DataFrame, fact_key: str, fact_cols: Sequence[str], dim: DataFrame, dim_key: str, dim_cols: Sequence[str], broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """The sums of ``star_moments`` as a one-row table, for use inside a larger plan."""
+    return _star_sums(fact, fact_key, fact_cols, dim, dim_key, dim_cols, broadcast_rows)[0]
+
+
+def _star_sums(fact, fact_key, fact_cols, dim, dim_key, dim_cols, broadcast_rows) -> tuple[DataFrame, list[str], np.ndarray]:
+    """A counted small ``dim`` is broadcast, and the fact rows are not shuffled at all.
+
+    Beyond that size the fact rows are summed per key before the join, with map-side combining. A
+    key that holds a third of all rows then enters the join as one row.
+    """
     cols = [*fact_cols, *dim_cols]
-    f, p = len(fact_cols), len(cols)
     fact = fact.select(F.col(fact_key).alias("_key"), *[F.col(c).cast("double").alias(c) for c in fact_cols]).dropna()
     dim = dim.select(F.col(dim_key).alias("_key"), *[F.col(c).cast("double").alias(c) for c in dim_cols]).dropna()
     shift = np.concatenate([near_means(fact, fact_cols), near_means(dim, dim_cols)])
+    if dim.count() <= broadcast_rows:
+        return fact.join(F.broadcast(dim), "_key").agg(*product_sums(cols, shift)), cols, shift
+    f, p = len(fact_cols), len(cols)
     per_key = fact.groupBy("_key").agg(*product_sums(fact_cols, shift[:f]))
     joined = per_key.join(dim, "_key")
     moved = [F.col(c) - F.lit(float(m)) for c, m in zip(dim_cols, shift[f:])]
@@ -237,10 +249,3 @@ def _star_sums(fact, fact_key, fact_cols, dim, dim_key, dim_cols) -> tuple[DataF
                 value = F.col("n") * moved[i - f] * moved[j - f]
             made.append(F.sum(value).alias(f"c_{i}_{j}"))
     return joined.agg(*made), cols, shift
-
-
-def star_sums(
-    fact: DataFrame, fact_key: str, fact_cols: Sequence[str], dim: DataFrame, dim_key: str, dim_cols: Sequence[str]
-) -> DataFrame:
-    """The sums of ``star_moments`` as a one-row table, for use inside a larger plan."""
-    return _star_sums(fact, fact_key, fact_cols, dim, dim_key, dim_cols)[0]

@@ -25,6 +25,9 @@ ROWS_PER_PARTITION = 2_000_000
 WORTH_A_TASK = 10_000
 POSITION_BITS = 33
 
+# The merge of a top-n is one task, which is right up to about this many rows.
+TOP_ROWS = 100_000
+
 # A group is heavy when it holds more rows than this and more than 1/HEAVY_SHARE of the table, so
 # there are at most HEAVY_SHARE heavy groups and twice as many heavy chunks.
 HEAVY_ROWS = 1_000_000
@@ -229,8 +232,13 @@ def cumulative_ratio(df: DataFrame, value: str, order: str, by: str | None = Non
 
 
 def head(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
-    """The first ``n`` rows in key order: a top-n per task and one merge, no full sort."""
-    return df.orderBy(*keys).limit(n)
+    """The first ``n`` rows in the order of ``keys``.
+
+    A top-n per task and one merge; a longer head is cut from the row index, which stays spread.
+    """
+    if n <= TOP_ROWS:
+        return df.orderBy(*keys).limit(n)
+    return row_range(with_row_index(df, keys, "_place"), 1, n, "_place").drop("_place")
 
 
 def top_k(df: DataFrame, score: str, k: int, tie: str) -> DataFrame:

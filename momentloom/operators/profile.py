@@ -111,22 +111,22 @@ def summary_statistics(df: DataFrame, cols: Sequence[str], approx: bool = False)
 def histogram(df: DataFrame, col: str, bins: int, normalize: bool = False) -> DataFrame:
     """Counts in equal-width bins over the extent, empty bins included.
 
-    With ``normalize`` there is a density whose integral is one. The extent is a scalar subquery,
-    so the plan is one scan for it and one scan with a map-side combined count of ``bins`` groups.
+    With ``normalize`` there is a density whose integral is one. One scan finds the extent, one
+    counts the bins with map-side combining.
     """
     data = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
-    lo = data.select(F.min("v")).scalar()
-    hi = data.select(F.max("v")).scalar()
-    width = (hi - lo) / F.lit(float(bins))
-    place = F.coalesce(F.floor(F.try_divide(F.col("v") - lo, width)), F.lit(0))
+    ends = data.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("n")).first()
+    lo, size = ends["lo"], ends["n"]
+    width = None if lo is None else (ends["hi"] - lo) / bins
+    low, step = F.lit(lo).cast("double"), F.lit(width).cast("double")
+    place = F.coalesce(F.floor(F.try_divide(F.col("v") - low, step)), F.lit(0))
     counts = data.groupBy(F.least(place, F.lit(bins - 1)).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     every_bin = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     filled = every_bin.join(counts, "bin", "left").select("bin", F.coalesce("n", F.lit(0)).alias("n"))
-    edges = filled.select("bin", (lo + F.col("bin") * width).alias("low"), (lo + (F.col("bin") + 1) * width).alias("high"), "n")
+    edges = filled.select("bin", (low + F.col("bin") * step).alias("low"), (low + (F.col("bin") + 1) * step).alias("high"), "n")
     if not normalize:
         return edges
-    size = data.select(F.count(F.lit(1))).scalar()
-    return edges.withColumn("density", F.try_divide(F.col("n").cast("double"), size * width))
+    return edges.withColumn("density", F.try_divide(F.col("n").cast("double"), F.lit(float(size)) * step))
 
 
 def countmap(df: DataFrame, col: str) -> DataFrame:

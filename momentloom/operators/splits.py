@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from momentloom.functions.scalars import HASH_SPACE, seeded_hash
-from momentloom.operators.ordered import with_row_index
+from momentloom.operators.ordered import TOP_ROWS, with_row_index
 
 
 def _check(n: int, k: int) -> None:
@@ -148,6 +148,10 @@ def standard_cv(indexed: DataFrame, n: int, k: int, index: str = "row_id") -> Da
 
 
 def sample_k(df: DataFrame, key: str, k: int, seed: int) -> DataFrame:
-    """``k`` rows without replacement: the k smallest hashes, as a top-k and not a sort."""
-    hashed = seeded_hash(key, seed)
-    return df.orderBy(hashed, key).limit(k)
+    """``k`` rows without replacement: those with the smallest hashes.
+
+    A top-k that one task can merge, or for a larger sample the first ``k`` of the shuffled order.
+    """
+    if k <= TOP_ROWS:
+        return df.orderBy(seeded_hash(key, seed), key).limit(k)
+    return shuffle_order(df, key, seed, "_place").where(F.col("_place") < k).drop("_place")

@@ -64,9 +64,12 @@ def ensemble_eval(df: DataFrame, label: str, members: Mapping[str, Column], clas
 
     One pass: per class the hits of every member are counted side by side.
     """
-    picked = {name: metrics.most_probable(p, classes) for name, p in members.items()}
-    picked["ensemble"] = metrics.most_probable(metrics.member_mean(list(members.values()), len(classes)), classes)
-    hits = df.select(F.col(label).alias("_y"), *[(c == F.col(label)).cast("double").alias(name) for name, c in picked.items()])
+    at = {name: f"_m{i}" for i, name in enumerate(members)}
+    # Projected first: each member's scores are used twice below and computed once.
+    scored = df.select(F.col(label).alias("_y"), *[p.alias(at[name]) for name, p in members.items()])
+    picked = {name: metrics.most_probable(c, classes) for name, c in at.items()}
+    picked["ensemble"] = metrics.most_probable(metrics.member_mean(list(at.values()), len(classes)), classes)
+    hits = scored.select("_y", *[(c == F.col("_y")).cast("double").alias(name) for name, c in picked.items()])
     recalls = hits.where(F.col("_y").isNotNull()).groupBy("_y").agg(*[F.avg(name).alias(name) for name in picked])
     means = recalls.agg(*[F.avg(name).alias(name) for name in picked])
     each = [F.struct(F.lit(name).alias("member"), F.col(name).alias("balanced_accuracy")) for name in picked]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from momentloom.operators import linear
 from momentloom.operators.linear import LinearModel
-from momentloom.operators.moments import GroupedMoments, Moments, collect_moments, star_sums
+from momentloom.operators.moments import BROADCAST_ROWS, GroupedMoments, Moments, collect_moments, star_sums
 
 
 def screen_univariate(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:
@@ -22,14 +22,22 @@ def screen_univariate(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:
 
 
 def screen_univariate_star(
-    fact: DataFrame, fact_key: str, y: str, fact_xs: Sequence[str], dim: DataFrame, dim_key: str, dim_xs: Sequence[str]
+    fact: DataFrame,
+    fact_key: str,
+    y: str,
+    fact_xs: Sequence[str],
+    dim: DataFrame,
+    dim_key: str,
+    dim_xs: Sequence[str],
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """The same screen over a fact table and the features of a table it refers to.
 
-    The fact rows are summed per key before the join, so a hot key is one row in the join.
+    A small counted table is broadcast; beside a large one the fact rows are summed per key first,
+    so that a hot key is one row in the join.
     """
     cols = [y, *fact_xs, *dim_xs]
-    sums = star_sums(fact, fact_key, [y, *fact_xs], dim, dim_key, dim_xs)
+    sums = star_sums(fact, fact_key, [y, *fact_xs], dim, dim_key, dim_xs, broadcast_rows)
     spread = lambda i, j: F.col(f"c_{i}_{j}") - F.col(f"s_{i}") * F.col(f"s_{j}") / F.col("n")
     each = []
     for j, name in enumerate(cols[1:], start=1):

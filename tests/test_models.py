@@ -4,7 +4,7 @@ from pyspark.ml.classification import MultilayerPerceptronClassificationModel
 from pyspark.sql import functions as F
 
 from momentloom.functions.scalars import seeded_normal, seeded_uniform
-from momentloom.operators import linear, moments, neural, profile, splits
+from momentloom.operators import linear, logistic, moments, neural, profile, splits
 from momentloom.operators.logistic import LogisticTask, fit_logistic, fit_logistic_models, score
 from momentloom.plans import evaluation, screening
 from momentloom.sources import generate, store
@@ -110,9 +110,10 @@ def test_dropping_a_feature_never_helps_in_sample(data):
 def test_star_screen_equals_the_join(spark):
     fact = spark.range(900).select((F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 40)).alias("k"), seeded_normal("id", 1).alias("x"), seeded_normal("id", 2).alias("y"))
     dim = spark.range(35).select(F.col("id").alias("dk"), seeded_normal("id", 9).alias("z"))
-    star = {r["feature"]: r["r2"] for r in screening.screen_univariate_star(fact, "k", "y", ["x"], dim, "dk", ["z"]).collect()}
     plain = {r["feature"]: r["r2"] for r in screening.screen_univariate(fact.join(dim, F.col("k") == F.col("dk")), "y", ["x", "z"]).collect()}
-    assert star == pytest.approx(plain, rel=1e-9)
+    for limit in (0, 1_000):
+        star = screening.screen_univariate_star(fact, "k", "y", ["x"], dim, "dk", ["z"], broadcast_rows=limit)
+        assert {r["feature"]: r["r2"] for r in star.collect()} == pytest.approx(plain, rel=1e-9)
 
 
 def test_tenth_degree_stays_accurate(spark):
@@ -173,6 +174,15 @@ def test_newton_equals_the_estimator(classes):
     assert made["part"].coefs[0] == pytest.approx(part.coefficients[0], rel=1e-4)
 
 
+def test_wide_models_go_to_the_estimator(classes, monkeypatch):
+    tasks = {"one": LogisticTask(("a",)), "two": LogisticTask(("a", "b"), F.col("fold") != 1)}
+    narrow = fit_logistic_models(classes, "label", tasks)
+    monkeypatch.setattr(logistic, "MAX_NEWTON_FEATURES", 1)
+    wide = fit_logistic_models(classes, "label", tasks)
+    assert list(wide) == ["one", "two"] and wide["one"].coefs == pytest.approx(narrow["one"].coefs)
+    assert wide["two"].coefs == pytest.approx(narrow["two"].coefs, rel=1e-4) and wide["two"].converged
+
+
 def test_separable_classes_are_reported(spark):
     df = spark.createDataFrame([(float(i), int(i > 5)) for i in range(12)], "x double, y int")
     model = fit_logistic_models(df, "y", {"m": LogisticTask(("x",))})["m"]

@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from momentloom.operators import ordered, sequences
+from momentloom.operators import ordered, sequences, splits
 
 HEAVY = 40
 
@@ -107,3 +107,12 @@ def test_sequence_features_do_not_depend_on_cuts(spark):
     for c in sequences.SEQUENCE_FEATURES:
         assert whole[c] == pytest.approx(cut[c])
     assert whole["signed_area"] == pytest.approx(299 * np.sin(0.1))
+
+
+def test_long_heads_and_samples_use_the_row_index(spark, monkeypatch):
+    df = spark.range(200).select((F.lit(500) - F.col("id")).alias("k"))
+    short = [sorted(r["k"] for r in d.collect()) for d in (ordered.head(df, ["k"], 60), splits.sample_k(df, "k", 60, 1))]
+    monkeypatch.setattr(ordered, "TOP_ROWS", 10)
+    monkeypatch.setattr(splits, "TOP_ROWS", 10)
+    long = [sorted(r["k"] for r in d.collect()) for d in (ordered.head(df, ["k"], 60), splits.sample_k(df, "k", 60, 1))]
+    assert short == long and len(long[0]) == 60
