@@ -25,7 +25,7 @@ def canonical(value):
     if isinstance(value, bool):
         return (1, str(value))
     if isinstance(value, float):
-        return (0, "") if math.isnan(value) else (2, repr(float(f"{value:.12g}") + 0.0))
+        return (0, "") if math.isnan(value) else (2, repr(value))
     if isinstance(value, (list, tuple)):
         return (3, tuple(canonical(v) for v in value))
     return (1, str(value))
