@@ -262,7 +262,7 @@ def quality_rows(spark, folder):
 )
 def quality_classifier(spark, folder):
     """Document quality from counts over the text, scored on the rows it was fitted on."""
-    rows = quality_rows(spark, folder).persist()
+    rows = quality_rows(spark, folder)
     scored = score(fit_logistic(rows, "quality", ["n_spaces", "n_lines"]), rows)
     return rounded(
         scored.agg(

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from momentloom.operators.moments import near_means
-from momentloom.session import spread
+from momentloom.session import SPREAD_ROWS, spread
 
 MAX_STEPS = 40
 # Newton's curvature has features^2 entries per task. Wider models go to the estimator one by one.
@@ -150,12 +150,15 @@ def _fit_together(df: DataFrame, label: str, tasks: Mapping[str, LogisticTask],
         *[F.col(c).cast("double").alias(c) for c in features],
         *[c.alias(name) for name, c in marks.items()],
     ).dropna(subset=["_y", *features])
-    if persist:
-        data = spread(data).persist()
+    kept = []
     try:
+        if persist:
+            kept.append(data := data.persist())
+        ends = data.agg(F.count(F.lit(1)).alias("n"), *[F.stddev_pop(c).alias(f"d{i}") for i, c in enumerate(features)]).first()
+        if persist and ends["n"] <= SPREAD_ROWS:
+            kept.append(data := spread(data, ends["n"]).persist())
         shift = dict(zip(features, near_means(data, features)))
-        deviations = data.agg(*[F.stddev_pop(c).alias(f"d{i}") for i, c in enumerate(features)]).first()
-        scale = {c: (deviations[f"d{i}"] or 1.0) for i, c in enumerate(features)}
+        scale = {c: (ends[f"d{i}"] or 1.0) for i, c in enumerate(features)}
         fits = {name: _Newton(t, shift, scale) for name, t in tasks.items()}
         while any(not f.done for f in fits.values()):
             waiting = [(m, f) for m, f in enumerate(fits.values()) if not f.done]
@@ -163,8 +166,8 @@ def _fit_together(df: DataFrame, label: str, tasks: Mapping[str, LogisticTask],
                 f.advance(*sums)
         return {name: f.model() for name, f in fits.items()}
     finally:
-        if persist:
-            data.unpersist()
+        for rows in kept:
+            rows.unpersist()
 
 
 def _step_sums(data: DataFrame, features: Sequence[str], waiting: list, marks: Mapping[str, Column]) -> list[tuple]:

@@ -19,10 +19,9 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from momentloom.session import ensure_checkpoint_dir
+from momentloom.session import WORTH_A_TASK, ensure_checkpoint_dir
 
 ROWS_PER_PARTITION = 2_000_000
-WORTH_A_TASK = 10_000
 POSITION_BITS = 33
 
 # The merge of a top-n is one task, which is right up to about this many rows.

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Fewer rows than this are not worth a task of their own.
+WORTH_A_TASK = 10_000
+SPREAD_ROWS = 5_000_000
+
 
 def local_session(cpus: int | str = 8, app: str = "momentloom", memory: str = "8g") -> SparkSession:
     """A session for tests and benchmarks on one machine; a cluster brings its own."""
@@ -36,16 +40,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if configured:
         context.setCheckpointDir(configured)
     elif context.master.startswith("local"):
-        context.setCheckpointDir(os.path.join(tempfile.mkdtemp(prefix="checkpoints-")))
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
     else:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows for repeated passes over all cores.
+def spread(df: DataFrame, rows: int) -> DataFrame:
+    """Deal a table of known modest size out to all cores, for repeated passes over it.
 
-    A large table has more partitions than there are cores and is left alone. One that came from a
-    few files would keep only as many tasks busy at every pass, so its rows are dealt out once.
+    A few files give a few tasks, at every pass. A larger table has tasks enough and is left alone.
     """
+    if rows > SPREAD_ROWS:
+        return df
     parallel = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(parallel) if df.rdd.getNumPartitions() < parallel else df
+    return df.repartition(max(1, min(parallel, ceil(rows / WORTH_A_TASK))))

@@ -3,6 +3,7 @@ import pytest
 from pyspark.ml.classification import MultilayerPerceptronClassificationModel
 from pyspark.sql import functions as F
 
+from momentloom.catalog import REGISTRY
 from momentloom.functions.scalars import seeded_normal, seeded_uniform
 from momentloom.operators import linear, logistic, moments, neural, profile, splits
 from momentloom.operators.logistic import LogisticTask, fit_logistic, fit_logistic_models, score
@@ -158,6 +159,14 @@ def test_batched_products_equal_sums(data):
     assert wide.raw() == pytest.approx(plain.total().raw(), rel=1e-9)
 
 
+def test_embedding_components_against_numpy(spark):
+    x = np.stack(spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").toPandas()["embedding"].to_numpy()).astype(float)
+    want = np.sort(np.linalg.eigvalsh(np.corrcoef(x.T)))[::-1]
+    got = REGISTRY["embedding_components"].run(spark, "/root/testdata/sf0.001").orderBy("component").toPandas()
+    assert got["variance"].to_numpy() == pytest.approx(want, abs=1e-6)
+    assert got["cumulative_ratio"].to_numpy() == pytest.approx(np.cumsum(want) / 64, abs=1e-6)
+
+
 @pytest.fixture(scope="module")
 def classes(data):
     p = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("a") * 1.5 + (F.col("b") - 100) * 0.2)))
