@@ -10,7 +10,7 @@ the mean part afterwards does not cancel the digits that matter.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Collection, Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -87,19 +87,19 @@ def near_means(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
     return rows.mean(axis=0) if len(rows) else np.zeros(len(cols))
 
 
-def product_sums(cols: Sequence[str], shift: Sequence[float], weight: Column | None = None) -> list[Column]:
-    """The aggregates ``n``, ``s_i`` and ``c_i_j`` (i <= j), optionally weighted."""
-    w = weight if weight is not None else F.lit(1.0)
+def product_sums(cols: Sequence[str], shift: Sequence[float], pairs: Collection[tuple[int, int]] | None = None) -> list[Column]:
+    """The aggregates ``n``, ``s_i`` and ``c_i_j`` (i <= j), for all pairs or the given ones."""
     moved = [F.col(c) - F.lit(float(m)) for c, m in zip(cols, shift)]
-    made = [(F.count(F.lit(1)).cast("double") if weight is None else F.sum(w)).alias("n")]
-    made += [F.sum(x if weight is None else w * x).alias(f"s_{i}") for i, x in enumerate(moved)]
-    for i, x in enumerate(moved):
-        for j in range(i, len(moved)):
-            product = x * moved[j]
-            made.append(F.sum(product if weight is None else w * product).alias(f"c_{i}_{j}"))
+    made = [F.count(F.lit(1)).cast("double").alias("n")]
+    made += [F.sum(x).alias(f"s_{i}") for i, x in enumerate(moved)]
+    made += [F.sum(moved[i] * moved[j]).alias(f"c_{i}_{j}") for i, j in _chosen(len(cols), pairs)]
     return made
 
 
+def _chosen(d: int, pairs: Collection[tuple[int, int]] | None) -> list[tuple[int, int]]:
+    return [(i, j) for i in range(d) for j in range(i, d) if pairs is None or (i, j) in pairs]
+
+
 def moments_of_row(row, cols: Sequence[str], shift: np.ndarray) -> Moments:
     """Read one row of ``product_sums``."""
     d = len(cols)
@@ -213,18 +213,25 @@ def star_moments(
     fact: DataFrame, fact_key: str, fact_cols: Sequence[str], dim: DataFrame, dim_key: str, dim_cols: Sequence[str], broadcast_rows: int = BROADCAST_ROWS
 ) -> Moments:
     """Moments over ``fact`` joined with ``dim`` on ``fact_key = dim_key``."""
-    summed, cols, shift = _star_sums(fact, fact_key, fact_cols, dim, dim_key, dim_cols, broadcast_rows)
+    summed, cols, shift = _star_sums(fact, fact_key, fact_cols, dim, dim_key, dim_cols, broadcast_rows, None)
     return moments_of_row(summed.first(), cols, shift)
 
 
 def star_sums(
-    fact: DataFrame, fact_key: str, fact_cols: Sequence[str], dim: DataFrame, dim_key: str, dim_cols: Sequence[str], broadcast_rows: int = BROADCAST_ROWS
+    fact: DataFrame,
+    fact_key: str,
+    fact_cols: Sequence[str],
+    dim: DataFrame,
+    dim_key: str,
+    dim_cols: Sequence[str],
+    broadcast_rows: int = BROADCAST_ROWS,
+    pairs: Collection[tuple[int, int]] | None = None,
 ) -> DataFrame:
-    """The sums of ``star_moments`` as a one-row table, for use inside a larger plan."""
-    return _star_sums(fact, fact_key, fact_cols, dim, dim_key, dim_cols, broadcast_rows)[0]
+    """The sums of ``star_moments``, for all pairs or the given ones, as a one-row table."""
+    return _star_sums(fact, fact_key, fact_cols, dim, dim_key, dim_cols, broadcast_rows, pairs)[0]
 
 
-def _star_sums(fact, fact_key, fact_cols, dim, dim_key, dim_cols, broadcast_rows) -> tuple[DataFrame, list[str], np.ndarray]:
+def _star_sums(fact, fact_key, fact_cols, dim, dim_key, dim_cols, broadcast_rows, pairs) -> tuple[DataFrame, list[str], np.ndarray]:
     """A counted small ``dim`` is broadcast, and the fact rows are not shuffled at all.
 
     Beyond that size the fact rows are summed per key before the join, with map-side combining. A
@@ -235,21 +242,20 @@ def _star_sums(fact, fact_key, fact_cols, dim, dim_key, dim_cols, broadcast_rows
     dim = dim.select(F.col(dim_key).alias("_key"), *[F.col(c).cast("double").alias(c) for c in dim_cols]).dropna()
     shift = np.concatenate([near_means(fact, fact_cols), near_means(dim, dim_cols)])
     if dim.count() <= broadcast_rows:
-        return fact.join(F.broadcast(dim), "_key").agg(*product_sums(cols, shift)), cols, shift
-    f, p = len(fact_cols), len(cols)
-    per_key = fact.groupBy("_key").agg(*product_sums(fact_cols, shift[:f]))
+        return fact.join(F.broadcast(dim), "_key").agg(*product_sums(cols, shift, pairs)), cols, shift
+    f = len(fact_cols)
+    per_key = fact.groupBy("_key").agg(*product_sums(fact_cols, shift[:f], pairs))
     joined = per_key.join(dim, "_key")
     moved = [F.col(c) - F.lit(float(m)) for c, m in zip(dim_cols, shift[f:])]
     made = [F.sum("n").alias("n")]
     made += [F.sum(f"s_{i}").alias(f"s_{i}") for i in range(f)]
     made += [F.sum(F.col("n") * x).alias(f"s_{f + i}") for i, x in enumerate(moved)]
-    for i in range(p):
-        for j in range(i, p):
-            if j < f:
-                value = F.col(f"c_{i}_{j}")
-            elif i < f:
-                value = F.col(f"s_{i}") * moved[j - f]
-            else:
-                value = F.col("n") * moved[i - f] * moved[j - f]
-            made.append(F.sum(value).alias(f"c_{i}_{j}"))
+    for i, j in _chosen(len(cols), pairs):
+        if j < f:
+            value = F.col(f"c_{i}_{j}")
+        elif i < f:
+            value = F.col(f"s_{i}") * moved[j - f]
+        else:
+            value = F.col("n") * moved[i - f] * moved[j - f]
+        made.append(F.sum(value).alias(f"c_{i}_{j}"))
     return joined.agg(*made), cols, shift

@@ -37,7 +37,8 @@ def screen_univariate_star(
     so that a hot key is one row in the join.
     """
     cols = [y, *fact_xs, *dim_xs]
-    sums = star_sums(fact, fact_key, [y, *fact_xs], dim, dim_key, dim_xs, broadcast_rows)
+    pairs = {(0, j) for j in range(len(cols))} | {(j, j) for j in range(len(cols))}
+    sums = star_sums(fact, fact_key, [y, *fact_xs], dim, dim_key, dim_xs, broadcast_rows, pairs)
     spread = lambda i, j: F.col(f"c_{i}_{j}") - F.col(f"s_{i}") * F.col(f"s_{j}") / F.col("n")
     each = []
     for j, name in enumerate(cols[1:], start=1):

@@ -112,7 +112,10 @@ def test_star_screen_equals_the_join(spark):
     fact = spark.range(900).select((F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 40)).alias("k"), seeded_normal("id", 1).alias("x"), seeded_normal("id", 2).alias("y"))
     dim = spark.range(35).select(F.col("id").alias("dk"), seeded_normal("id", 9).alias("z"))
     plain = {r["feature"]: r["r2"] for r in screening.screen_univariate(fact.join(dim, F.col("k") == F.col("dk")), "y", ["x", "z"]).collect()}
+    whole = moments.collect_moments(fact.join(dim, F.col("k") == F.col("dk")), ["x", "y", "z"]).total()
     for limit in (0, 1_000):
+        made = moments.star_moments(fact, "k", ["x", "y"], dim, "dk", ["z"], limit)
+        assert made.n == whole.n and made.scatter() == pytest.approx(whole.scatter(), rel=1e-9)
         star = screening.screen_univariate_star(fact, "k", "y", ["x"], dim, "dk", ["z"], broadcast_rows=limit)
         assert {r["feature"]: r["r2"] for r in star.collect()} == pytest.approx(plain, rel=1e-9)
 
