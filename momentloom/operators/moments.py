@@ -89,10 +89,12 @@ def near_means(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
 
 def product_sums(cols: Sequence[str], shift: Sequence[float], pairs: Collection[tuple[int, int]] | None = None) -> list[Column]:
     """The aggregates ``n``, ``s_i`` and ``c_i_j`` (i <= j), for all pairs or the given ones."""
-    moved = [F.col(c) - F.lit(float(m)) for c, m in zip(cols, shift)]
+    # As text: one call into the JVM per aggregate instead of one per operation in it.
+    quoted = ["`" + c.replace("`", "``") + "`" for c in cols]
+    moved = [f"({c} - ({float(m)!r}D))" for c, m in zip(quoted, shift)]
     made = [F.count(F.lit(1)).cast("double").alias("n")]
-    made += [F.sum(x).alias(f"s_{i}") for i, x in enumerate(moved)]
-    made += [F.sum(moved[i] * moved[j]).alias(f"c_{i}_{j}") for i, j in _chosen(len(cols), pairs)]
+    made += [F.expr(f"sum({x})").alias(f"s_{i}") for i, x in enumerate(moved)]
+    made += [F.expr(f"sum({moved[i]} * {moved[j]})").alias(f"c_{i}_{j}") for i, j in _chosen(len(cols), pairs)]
     return made
 
 

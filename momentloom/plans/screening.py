@@ -39,10 +39,11 @@ def screen_univariate_star(
     cols = [y, *fact_xs, *dim_xs]
     pairs = {(0, j) for j in range(len(cols))} | {(j, j) for j in range(len(cols))}
     sums = star_sums(fact, fact_key, [y, *fact_xs], dim, dim_key, dim_xs, broadcast_rows, pairs)
-    spread = lambda i, j: F.col(f"c_{i}_{j}") - F.col(f"s_{i}") * F.col(f"s_{j}") / F.col("n")
+    spread = lambda i, j: f"(c_{i}_{j} - s_{i} * s_{j} / n)"
     each = []
     for j, name in enumerate(cols[1:], start=1):
-        r2 = F.when(spread(0, 0) > 0, F.try_divide(F.pow(spread(0, j), F.lit(2.0)), spread(0, 0) * spread(j, j)))
+        squared = f"try_divide(pow({spread(0, j)}, 2D), {spread(0, 0)} * {spread(j, j)})"
+        r2 = F.expr(f"case when {spread(0, 0)} > 0 then {squared} end")
         each.append(F.struct(F.lit(name).alias("feature"), r2.alias("r2")))
     return sums.select(F.inline(F.array(*each)))
 
