@@ -10,12 +10,58 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from momentloom.llm import bpe
-from momentloom.llm.common import table
+from momentloom.llm import bpe, langid, lattice, minhash, secrets
+from momentloom.llm.common import held_out, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+NEAR_TEXTS_SQL = """with recursive d as (select doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}_]+') as w from documents),
+  s as (select doc_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))) end) as g from d),
+  n as (select doc_id, count(*) as n from s group by 1),
+  c as (select a.doc_id as x, b.doc_id as y, count(*) as k from s a join s b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2),
+  l as (select x, y from c join n p on p.doc_id = x join n q on q.doc_id = y where k / (p.n + q.n - k)::double >= 0.8e0),
+  reach as (select doc_id as node, doc_id as root from documents union select l.x, reach.root from reach join l on l.y = reach.node),
+  r as (select node, min(root) as class_id from reach group by 1), m as (select x, count(*) as n from l group by 1)
+  select node as doc_id, class_id, coalesce(m.n, 0)::bigint as n_links, node = class_id as kept from r left join m on m.x = node"""
+
+NEAR_VECTORS_SQL = """with recursive v as (select vec_id, label, embedding::double[] as e from embeddings),
+  l as (select a.vec_id as x, b.vec_id as y from v a join v b on a.label = b.label and a.vec_id <> b.vec_id
+    where list_cosine_similarity(a.e, b.e) >= 0.98e0),
+  reach as (select vec_id as node, vec_id as root from v union select l.x, reach.root from reach join l on l.y = reach.node),
+  r as (select node, min(root) as root from reach group by 1), m as (select x, count(*) as n from l group by 1)
+  select node as vec_id, coalesce(m.n, 0)::bigint as n_links, root as component_id, node = root as kept from r left join m on m.x = node"""
+
+
+def op1_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Class and number of links of every document at a Jaccard similarity of 0.8 on runs of five words."""
+    return minhash.near_texts(table(spark, folder, "documents"), "doc_id", "text")
+
+
+def op2_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Spans of secrets in every document, those of the patterns counted and digested."""
+    docs = table(spark, folder, "documents")
+    model = secrets.fit(docs, "text", "doc_id")
+    found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("t"))
+    found = found.withColumn("base", secrets.base_spans(F.col("t")))
+    found = found.withColumn("every", secrets.spans(F.col("t"), F.col("base"), model))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(secrets.joined(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        secrets.joined(F.col("every")).alias("spans"),
+    )
+
+
+def op3_lattice(spark: SparkSession, folder: str) -> DataFrame:
+    """Links, component and representative of every vector, within labels, at a cosine of 0.98."""
+    return lattice.near_vectors(table(spark, folder, "embeddings"), "vec_id", "embedding", "label")
+
+
 def token_digests(ids: Column, path: str = TOKENIZER) -> Column:
     """Number and digest of token ids, and the digest of the text that they decode to."""
 
@@ -39,5 +85,19 @@ def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return docs.select("doc_id", found.alias("t")).select("doc_id", "t.*")
 
 
-QUERIES = {"op5_bpe": op5_bpe}
-SQL: dict[str, str] = {}
+def op6_language(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, learned from those that are not held out."""
+    docs = table(spark, folder, "documents")
+    model = langid.fit(docs.where(~held_out("doc_id")), "text", "lang", "doc_id")
+    found = docs.select("doc_id", held_out("doc_id").alias("held_out"), langid.predict(F.col("text"), model).alias("p"))
+    return found.select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score"))
+
+
+QUERIES = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op2_secrets": op2_secrets,
+    "op3_lattice": op3_lattice,
+    "op5_bpe": op5_bpe,
+    "op6_language": op6_language,
+}
+SQL: dict[str, str] = {"op1_ngram_jaccard": NEAR_TEXTS_SQL, "op3_lattice": NEAR_VECTORS_SQL}
