@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from hashlib import sha256
+from uuid import uuid4
 
 import numpy as np
 import pandas as pd
@@ -10,15 +11,15 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from momentloom.llm import bpe, langid, lattice, minhash, secrets
-from momentloom.llm.common import held_out, table
+from momentloom.llm import bpe, langid, lattice, minhash, quality, secrets, spaced, toxicity, warc, wrappers
+from momentloom.llm.common import held_out, shared_folder, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 NEAR_TEXTS_SQL = """with recursive d as (select doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}_]+') as w from documents),
   s as (select doc_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
-    else list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))) end) as g from d),
+    else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) end) as g from d),
   n as (select doc_id, count(*) as n from s group by 1),
   c as (select a.doc_id as x, b.doc_id as y, count(*) as k from s a join s b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2),
   l as (select x, y from c join n p on p.doc_id = x join n q on q.doc_id = y where k / (p.n + q.n - k)::double >= 0.8e0),
@@ -33,6 +34,23 @@ NEAR_VECTORS_SQL = """with recursive v as (select vec_id, label, embedding::doub
   r as (select node, min(root) as root from reach group by 1), m as (select x, count(*) as n from l group by 1)
   select node as vec_id, coalesce(m.n, 0)::bigint as n_links, root as component_id, node = root as kept from r left join m on m.x = node"""
 
+# Base32 from the hexadecimal digest: five digits of the one are four of the other.
+WARC_SQL = """with p as (select page_id, coalesce(html, '') as h from pages),
+  s as (select page_id, octet_length(encode(h))::bigint as n, sha1(h) as x from p),
+  d as (select page_id, n, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    (((('0x' || substr(x, (1 + 5 * (i // 4))::int, 5))::bigint >> (15 - 5 * (i % 4))::int) & 31) + 1)::int, 1)), '') as g from s),
+  m as (select g, max(page_id) as head from d group by 1)
+  select page_id, n as payload_bytes, g as payload_digest, case when page_id = head then 'response' else 'revisit' end as record_type,
+    case when page_id <> head then head end as refers_to from d join m using (g)"""
+
+# The given pages have one layout: headline and paragraphs in an article, which may be cut off, and few references.
+WRAPPERS_SQL = r"""with a as (select page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*?)(</article>|$)', 1, 's') as a from pages),
+  b as (select page_id, url, list_transform(regexp_split_to_array(a, '</?(?:h1|p)>'), lambda x: trim(regexp_replace(
+    replace(replace(replace(replace(replace(regexp_replace(x, '<br>', ' ', 'g').regexp_replace('</?[a-z][^>]*>', '', 'g'),
+      '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&amp;', '&'), '\s+', ' ', 'g'))) as b from a),
+  t as (select page_id, url, array_to_string(list_filter(b, lambda x: x <> ''), chr(10)) as text from b)
+  select page_id, url, text, length(text)::bigint as n_chars from t"""
+
 
 def op1_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     """Class and number of links of every document at a Jaccard similarity of 0.8 on runs of five words."""
@@ -93,11 +111,64 @@ def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score"))
 
 
+def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page written to WARC archives and read back through their capture index.
+
+    The archives go to a folder of their own on shared storage, which is the caller's to remove.
+    """
+    pages = table(spark, folder, "pages")
+    place = f"{shared_folder(spark)}/warc-{uuid4().hex}"
+    warc.write_archives(pages, "page_id", "url", "html", f"{place}/archives")
+    warc.write_index(spark, f"{place}/archives", f"{place}/index")
+    keys = pages.select(warc.capture_key(F.col("url"), F.col("page_id").cast("long")).alias("key"))
+    return warc.look_up(spark, f"{place}/index", keys).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The quality of every document, learned from labels of documents that are not held out."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = quality.fit(docs, "doc_id", "text", labels.where(~held_out("doc_id")), "doc_id", "quality")
+    found = docs.select("doc_id", held_out("doc_id").alias("held_out"), quality.score(F.col("text"), model).alias("score"))
+    return found.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+def op8_wrappers(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page, by the wrapper of its host."""
+    pages = table(spark, folder, "pages").select("page_id", "url", "html", wrappers.host_of(F.col("url")).alias("host"))
+    found = pages.join(wrappers.infer(pages, "url", "html"), "host", "left")
+    found = found.select("page_id", "url", wrappers.main_text(F.col("html"), F.col("wrapper")).alias("text"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """The expected severity of every document, learned from labels of documents that are not held out."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = toxicity.fit(docs, "doc_id", "text", labels.where(~held_out("doc_id")), "doc_id", "toxic")
+    found = docs.select("doc_id", held_out("doc_id").alias("held_out"), toxicity.severity(F.col("text"), model).alias("t"))
+    return found.select("doc_id", "held_out", "t.severity", "t.grade", "t.toxic")
+
+
+def op10_spaced_seeds(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that overlap a benchmark item in 13 words or more with at most a fifth substituted."""
+    docs, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return spaced.overlaps(docs, "doc_id", "text", items, "item_id", "text").drop("doc_key")
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_secrets": op2_secrets,
     "op3_lattice": op3_lattice,
+    "op4_warc": op4_warc,
     "op5_bpe": op5_bpe,
     "op6_language": op6_language,
+    "op7_quality": op7_quality,
+    "op8_wrappers": op8_wrappers,
+    "op9_toxicity": op9_toxicity,
+    "op10_spaced_seeds": op10_spaced_seeds,
+}
+SQL: dict[str, str] = {
+    "op1_ngram_jaccard": NEAR_TEXTS_SQL,
+    "op3_lattice": NEAR_VECTORS_SQL,
+    "op4_warc": WARC_SQL,
+    "op8_wrappers": WRAPPERS_SQL,
 }
-SQL: dict[str, str] = {"op1_ngram_jaccard": NEAR_TEXTS_SQL, "op3_lattice": NEAR_VECTORS_SQL}
