@@ -4,9 +4,10 @@ The chance that a text is of a grade above k is ``sigmoid(s - threshold[k])``, w
 the text's sparse features; the weights are shared by all thresholds, which are in order. The expected
 severity is the sum of these chances over the thresholds, from 0 to the highest grade.
 
-Features are words and their beginnings of four and five letters, in lower case. A feature's value is
-one plus the logarithm of one plus its occurrences per hundred words. Only features that labelled toxic texts hold
-clearly more often than others are kept (``SUPPORT``, ``ODDS``), so that long clean texts gather nothing.
+Features are words and their beginnings of four to seven letters, in lower case. Each has two columns: whether the
+text holds it, and the logarithm of one plus its occurrences per hundred words. Only features that labelled
+toxic texts hold clearly more often than others are kept (``ODDS``, ``EVIDENCE``), so that long clean texts
+gather nothing. Copies of a text count once in the choice and the fit.
 
 The labels say only whether a text is toxic. Grade 0 is a text that is not; the grades 1 to ``GRADES`` - 1
 split the toxic ones evenly by the share of their words that have a kept feature, a weak label for severity.
@@ -29,13 +30,13 @@ from momentloom.llm.common import sampled
 from momentloom.llm.words import WORD
 
 GRADES = 4
-PREFIXES = (4, 5)
+PREFIXES = (4, 5, 6, 7)
 #: Labelled texts of either kind that the model learns from, about.
 PER_LABEL = 6_000
-#: Toxic texts that must hold a feature, least ratio of the shares of toxic and other texts that hold it, and
-#: features kept at most, the most frequent first.
-SUPPORT = 3
+#: Least ratio of the shares of toxic and other texts that hold a feature, least G statistic against independence
+#: (about twice the logarithm of the number of words that are tried), and features kept at most, the most frequent first.
 ODDS = 10.0
+EVIDENCE = 20.0
 FEATURES = 5_000
 RIDGE = 1.0
 STEPS = 1_500
@@ -49,9 +50,9 @@ def word_features(word: str) -> list[str]:
 
 @dataclass(frozen=True)
 class Model:
-    """Weights by feature, and thresholds in order; no thresholds where nothing could be learned."""
+    """Both weights of each feature, and thresholds in order; no thresholds where nothing could be learned."""
 
-    weights: dict[str, float]
+    weights: dict[str, tuple[float, float]]
     thresholds: tuple[float, ...]
 
 
@@ -77,8 +78,10 @@ class _Reader:
         return counts, len(found), len(words)
 
 
-def _values(counts: dict[int, int], words: int) -> list[float]:
-    return [1 + np.log1p(100 * c / words) for c in counts.values()]
+def _entries(counts: dict[int, int], words: int) -> tuple[list[int], list[float]]:
+    """Columns and values of a text: for each feature that it holds, 1, and the logarithm of its density."""
+    columns = [2 * f for f in counts] + [2 * f + 1 for f in counts]
+    return columns, [1.0] * len(counts) + [float(np.log1p(100 * c / words)) for c in counts.values()]
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -88,10 +91,12 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 def ordinal(rows: np.ndarray, features: np.ndarray, values: np.ndarray, grade: np.ndarray, width: int, grades: int) -> tuple[np.ndarray, np.ndarray]:
     """Shared weights and thresholds of the most likely cumulative logit model, by Adam on the mean loss.
 
-    ``rows, features, values`` are the entries of the sparse matrix. Thresholds are the first one and the
-    logarithms of the steps to the next, which keeps them in order.
+    ``rows, features, values`` are the entries of the sparse matrix. Grade 0 and the others together weigh the
+    same, however many texts each has. Thresholds are the first one and the logarithms of the steps to the next,
+    which keeps them in order.
     """
     n = len(grade)
+    share = np.where(grade == 0, 0.5 / max(1, (grade == 0).sum()), 0.5 / max(1, (grade > 0).sum()))
     w, first, steps = np.zeros(width), np.zeros(1), np.zeros(grades - 2)
     moments = [np.zeros(width + grades - 1), np.zeros(width + grades - 1)]
     for t in range(1, STEPS + 1):
@@ -102,9 +107,9 @@ def ordinal(rows: np.ndarray, features: np.ndarray, values: np.ndarray, grade: n
         upper, lower = np.where(grade == grades - 1, 1.0, upper), np.where(grade == 0, 0.0, lower)
         chance = np.maximum(upper - lower, 1e-12)
         up, low = upper * (1 - upper) / chance, lower * (1 - lower) / chance
-        by_score = up - low  # of the loss
-        slope = np.bincount(features, weights=values * by_score[rows], minlength=width) / n + RIDGE * w / n
-        at_cut = np.array([low[grade == k + 1].sum() - up[grade == k].sum() for k in range(grades - 1)]) / n
+        up, low = up * share, low * share
+        slope = np.bincount(features, weights=values * (up - low)[rows], minlength=width) + RIDGE * w / n
+        at_cut = np.array([low[grade == k + 1].sum() - up[grade == k].sum() for k in range(grades - 1)])
         after = np.cumsum(at_cut[::-1])[::-1]
         gradient = np.r_[slope, after[0], after[1:] * np.exp(steps)]
         moments[0] = 0.9 * moments[0] + 0.1 * gradient
@@ -122,7 +127,7 @@ def fit(docs: DataFrame, doc_id: str, text: str, labels: DataFrame, label_id: st
     marks = labels.select(F.col(label_id).alias("k"), F.col(label).cast("int").alias("y")).where("y in (0, 1)")
     marks = sampled(marks, ["y"], bound, "k")
     texts = docs.select(F.col(doc_id).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    rows = texts.join(F.broadcast(marks), "k").select("y", "t")
+    rows = texts.join(F.broadcast(marks), "k").select("y", "t").distinct()
 
     def presence(batches):
         for batch in batches:
@@ -134,8 +139,12 @@ def fit(docs: DataFrame, doc_id: str, text: str, labels: DataFrame, label_id: st
     if set(sizes) != {0, 1}:
         return Model({}, ())
     counts = rows.mapInPandas(presence, "y int, f string").groupBy("f").agg(F.sum("y").alias("bad"), F.count("*").alias("n"))
-    ratio = (F.col("bad") / sizes[1]) / ((F.col("n") - F.col("bad") + 0.5) / sizes[0])
-    chosen = counts.where((F.col("bad") >= SUPPORT) & (ratio >= ODDS)).orderBy(F.desc("bad"), "f").limit(FEATURES)
+    bad, rest = F.col("bad"), F.col("n") - F.col("bad")
+    ratio = (bad / sizes[1]) / ((rest + 0.5) / sizes[0])
+    base = sizes[1] / (sizes[0] + sizes[1])
+    surprise = lambda seen, share: F.when(seen > 0, 2 * seen * F.log(seen / (F.col("n") * share))).otherwise(0.0)
+    evidence = surprise(bad, base) + surprise(rest, 1 - base)
+    chosen = counts.where((bad > 0) & (ratio >= ODDS) & (evidence >= EVIDENCE)).orderBy(F.desc("bad"), "f").limit(FEATURES)
     names = [r["f"] for r in chosen.select("f", "bad").collect()]
     if not names:
         return Model({}, ())
@@ -145,29 +154,30 @@ def fit(docs: DataFrame, doc_id: str, text: str, labels: DataFrame, label_id: st
         reader = _Reader(number)
         for batch in batches:
             read = [reader.read(t) for t in batch["t"]]
+            pairs = [_entries(c, n) for c, _, n in read]
             yield pd.DataFrame({
                 "y": batch["y"],
                 "share": [hit / max(1, n) for _, hit, n in read],
-                "features": [list(c) for c, _, _ in read],
-                "counts": [_values(c, n) for c, _, n in read],
+                "columns": [c for c, _ in pairs],
+                "data": [v for _, v in pairs],
             })
 
-    told = rows.mapInPandas(entries, "y int, share double, features array<int>, counts array<double>").collect()
-    told = sorted(told, key=lambda r: (r["y"], r["share"], r["features"], r["counts"]))
+    told = rows.mapInPandas(entries, "y int, share double, columns array<int>, data array<double>").collect()
+    told = sorted(told, key=lambda r: (r["y"], r["share"], r["columns"], r["data"]))
     y, share = np.array([r["y"] for r in told]), np.array([r["share"] for r in told])
     cuts = np.quantile(share[y == 1], np.arange(1, GRADES - 1) / (GRADES - 1))
     grade = np.where(y == 1, 1 + np.searchsorted(cuts, share, side="left"), 0)
-    index = np.repeat(np.arange(len(told)), [len(r["features"]) for r in told])
-    features = np.array([f for r in told for f in r["features"]], dtype=np.int64)
-    values = np.array([v for r in told for v in r["counts"]])
-    w, thresholds = ordinal(index, features, values, grade, len(names), GRADES)
-    return Model(dict(zip(names, w.tolist())), tuple(thresholds.tolist()))
+    index = np.repeat(np.arange(len(told)), [len(r["columns"]) for r in told])
+    columns = np.array([c for r in told for c in r["columns"]], dtype=np.int64)
+    values = np.array([v for r in told for v in r["data"]])
+    w, thresholds = ordinal(index, columns, values, grade, 2 * len(names), GRADES)
+    return Model({f: (w[2 * i], w[2 * i + 1]) for i, f in enumerate(names)}, tuple(thresholds.tolist()))
 
 
 def severity(text: Column, model: Model) -> Column:
     """``struct<severity, grade, toxic>``: the expected grade, the likeliest one, and whether it is above 0 by a chance over one half."""
     names = list(model.weights)
-    weights = np.array([model.weights[f] for f in names])
+    weights = np.array([w for f in names for w in model.weights[f]])
     reader = _Reader({f: i for i, f in enumerate(names)})
 
     @F.pandas_udf("severity double, grade int, toxic boolean")
@@ -179,7 +189,8 @@ def severity(text: Column, model: Model) -> Column:
         for i, t in enumerate(texts.fillna("")):
             counts, _, words = reader.read(t)
             if counts:
-                score[i] = weights[list(counts)] @ np.array(_values(counts, words))
+                columns, values = _entries(counts, words)
+                score[i] = weights[columns] @ np.array(values)
         above = _sigmoid(score[:, None] - np.array(model.thresholds))
         chance = -np.diff(np.c_[np.ones(n), above, np.zeros(n)], axis=1)
         return pd.DataFrame({"severity": above.sum(axis=1), "grade": chance.argmax(axis=1).astype(np.int32), "toxic": above[:, 0] > 0.5})
