@@ -3,7 +3,8 @@
 A mask picks some of a run of words and ignores the others. Test items and documents are hashed through the
 same masks at every place; equal hashes are hits. Around each hit the words of item and document are aligned without
 gaps, and the longest stretch that begins and ends with equal words and has a share of ``identity`` equal words
-is the overlap. It is reported from ``least`` words on, or from the whole length of an item that is shorter.
+is the overlap. It is reported from ``least`` words on. An item that is shorter must stand in the document whole
+and unchanged, as so few words leave no room for a seed beside a substitution.
 
 The three masks of ``MASKS`` were searched so that every stretch of 13 words with 2 substitutions, and every
 one of 15 with 3, is hit by at least one of them, wherever the substitutions lie.
@@ -141,6 +142,11 @@ def overlap(item: np.ndarray, doc: np.ndarray, shift: int, least: int, identity:
     return begin + int(at[first[best]]), int(length[best]), best - int(first[best]) + 1
 
 
+def demand(words: int, least: int, identity: float) -> tuple[int, float]:
+    """Least length and share of equal words for an item of so many words."""
+    return (least, identity) if words >= least else (words, 1.0)
+
+
 def _verified(least: int, identity: float):
     def verify(batches):
         for batch in batches:
@@ -148,7 +154,7 @@ def _verified(least: int, identity: float):
             columns = [batch[c] for c in ("item", "key", "doc_id", "ikey", "low", "shift", "iwords", "words")]
             for item, key, doc_id, ikey, low, shift, mine, theirs in zip(*columns):
                 mine, theirs = np.asarray(mine), np.asarray(theirs)
-                start, length, equal = overlap(mine, theirs, shift - low, min(least, len(mine)), identity)
+                start, length, equal = overlap(mine, theirs, shift - low, *demand(len(mine), least, identity))
                 if length:
                     rows.append((item, ikey, key, doc_id, len(mine), start, start + shift, length, equal))
             out = pd.DataFrame(rows, columns=["item", "ikey", "key", "doc_id", "n_item", "item_start", "doc_start", "n_words", "n_equal"])
