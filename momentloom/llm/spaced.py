@@ -34,7 +34,7 @@ MASKS = ("1111011", "11001000111", "10101100011")
 LEAST = 13
 IDENTITY = 0.8
 SHORTEST = 8
-#: Bits of the filter, two megabytes, and bits set for each hash.
+#: Power of two that gives the bits of the filter, two megabytes, and bits set for each hash.
 FILTER_BITS = 24
 FILTER_HASHES = 3
 
@@ -49,12 +49,12 @@ def seeds(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(codes), np.concatenate([np.arange(len(c)) for c in codes])
 
 
-def _bits(codes: np.ndarray) -> np.ndarray:
+def _bits(codes: np.ndarray, power: int) -> np.ndarray:
     """The filter's bits of each hash, of shape (hashes, FILTER_HASHES)."""
     again = mixed(codes ^ np.uint64(0xA5A5A5A5A5A5A5A5))
     step = (again >> np.uint64(8)) | np.uint64(1)
     turn = np.arange(FILTER_HASHES, dtype=np.uint64)
-    return ((again[:, None] + turn * step[:, None]) & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
+    return ((again[:, None] + turn * step[:, None]) & np.uint64((1 << power) - 1)).astype(np.int64)
 
 
 def _item_words(batches):
@@ -71,16 +71,16 @@ def _item_seeds(batches):
             yield pd.DataFrame({"ikey": key, "code": codes.astype(np.int64), "iplace": places})
 
 
-def _filter_of(codes: DataFrame) -> np.ndarray:
-    """The Bloom filter of the items' hashes, put together from pages of bits: two megabytes whatever their number."""
+def _filter_of(codes: DataFrame, power: int) -> np.ndarray:
+    """The Bloom filter of the items' hashes, put together from pages of bits: of one size whatever their number."""
 
     def set_bits(batches):
         for batch in batches:
-            yield pd.DataFrame({"bit": np.unique(_bits(batch["code"].to_numpy().astype(np.uint64)))})
+            yield pd.DataFrame({"bit": np.unique(_bits(batch["code"].to_numpy().astype(np.uint64), power))})
 
     bits = codes.select("code").distinct().mapInPandas(set_bits, "bit long")
     pages = bits.groupBy(F.bitmap_bucket_number(F.col("bit") + 1).alias("page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("bit") + 1)).alias("bits"))
-    out = np.zeros(1 << (FILTER_BITS - 3), dtype=np.uint8)
+    out = np.zeros(1 << (power - 3), dtype=np.uint8)
     # Pages hold 32,768 bits, lowest bit first, and are numbered from 1.
     for row in pages.collect():
         start = (row["page"] - 1) * 4096
@@ -89,7 +89,7 @@ def _filter_of(codes: DataFrame) -> np.ndarray:
     return out
 
 
-def _hits(filter_bits: np.ndarray, reach: int):
+def _hits(filter_bits: np.ndarray, power: int, reach: int):
     """Hits of the filter with the words around them; hits whose surroundings overlap share a region."""
 
     def scan(batches):
@@ -99,7 +99,7 @@ def _hits(filter_bits: np.ndarray, reach: int):
                 codes, places = seeds(words)
                 if not len(codes):
                     continue
-                bits = _bits(codes)
+                bits = _bits(codes, power)
                 hit = ((filter_bits[bits >> 3] >> (bits & 7).astype(np.uint8)) & 1).all(axis=1)
                 if not hit.any():
                     continue
@@ -163,7 +163,7 @@ def _verified(least: int, identity: float):
     return verify
 
 
-def overlaps(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str, item_text: str, least: int = LEAST, identity: float = IDENTITY) -> DataFrame:
+def overlaps(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str, item_text: str, least: int = LEAST, identity: float = IDENTITY, filter_bits: int = FILTER_BITS) -> DataFrame:
     """One row for each document and item that overlap.
 
     ``doc_id, item_id, doc_key, n_item, item_start, doc_start, n_words, n_equal``: places and lengths in words.
@@ -176,7 +176,7 @@ def overlaps(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id:
     codes = kept(tests.select("ikey", "iwords").mapInPandas(_item_seeds, "ikey long, code long, iplace long"))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = rows.select("doc_id", document_key("doc_id", "text").alias("key"), "text")
-    scanned = rows.mapInPandas(_hits(_filter_of(codes), reach), "key long, doc_id long, low long, words array<long>, codes array<long>, places array<long>")
+    scanned = rows.mapInPandas(_hits(_filter_of(codes, filter_bits), filter_bits, reach), "key long, doc_id long, low long, words array<long>, codes array<long>, places array<long>")
     regions = kept(scanned)
     hits = regions.select("key", "low", F.explode(F.arrays_zip("codes", "places")).alias("h")).select("key", "low", F.col("h.codes").alias("code"), F.col("h.places").alias("place"))
     met = hits.join(codes, "code")

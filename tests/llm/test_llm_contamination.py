@@ -70,15 +70,14 @@ def tables(seed=3):
     return docs, [(i, " ".join(t)) for i, t in items]
 
 
-@pytest.mark.parametrize("bits", [spaced.FILTER_BITS, 12])
-def test_documents_and_items_as_brute_force(spark, monkeypatch, bits):
-    monkeypatch.setattr(spaced, "FILTER_BITS", bits)  # a full filter only means more work
+@pytest.mark.parametrize("bits", [spaced.FILTER_BITS, 15])  # a full filter only means more work
+def test_documents_and_items_as_brute_force(spark, bits):
     docs, items = tables()
     docs += [(r[0], r[1]) for r in cases.DOCS if r[0] not in (2, 7)] + [(200, None), (201, items[3][1]), (201, items[3][1]), (None, items[4][1]), (202, "x " * 5000 + items[5][1])]
     items += [(100, None), (101, ""), (102, "too short"), (103, items[3][1]), (None, items[6][1]), (103, items[3][1])]
     df = cases.crowded(spark.createDataFrame(docs, "doc_id long, text string"))
     test = cases.crowded(spark.createDataFrame(items, "item_id long, text string"))
-    found = spaced.overlaps(df, "doc_id", "text", test, "item_id", "text").collect()
+    found = spaced.overlaps(df, "doc_id", "text", test, "item_id", "text", filter_bits=bits).collect()
     by_id = [(r["doc_id"], r["item_id"], r["n_words"], r["n_equal"]) for r in found]
     want = brute(docs, items)
     ids = {t: sorted({i for i, x in items if x == t}, key=str) for _, t in items}
