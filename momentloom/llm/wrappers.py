@@ -231,25 +231,23 @@ def _container(name: str) -> int | None:
 class Place:
     """An element of a wrapper as extraction needs it: what it is, what is constant in it, what lies below."""
 
-    def __init__(self, name: str, items: list, constants: bool):
+    def __init__(self, name: str, expressions: list[list], constants: bool):
         tag, *words = name.split(".")
         self.dropped = tag in DROPPED_TAGS or tag == "head" or tag not in ("html", "body") and bool(DROPPED_WORDS & set(words))
         self.container = _container(name)
-        self.same = {x[3] for x in _flat(items) if x[0] == SLOT and x[3] is not None} if constants else set()
-        below: dict[str, list] = {}
-        for x in _flat(items):
+        items = [x for e in expressions for x in _flat(e)]
+        self.same = {x[3] for x in items if x[0] == SLOT and x[3] is not None} if constants else set()
+        below: dict[str, list[list]] = {}
+        for x in items:
             if x[0] != SLOT:
-                below[x[0]] = merged(below[x[0]], x[3]) if x[0] in below else x[3]
+                below.setdefault(x[0], []).append(x[3])
         self.below = {k: Place(k, v, constants) for k, v in below.items()}
 
 
 @lru_cache(maxsize=256)
 def _places(wrapper: str) -> Place:
     pages, items = json.loads(wrapper)
-    return Place("", items, constants=pages >= ALIKE)
-
-
-NOWHERE = Place("", [], False)
+    return Place("", [items], constants=pages >= ALIKE)
 
 
 def extract(html: str, wrapper: str) -> str:
