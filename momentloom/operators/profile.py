@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from momentloom.operators.moments import collect_moments
-from momentloom.operators.quantiles import exact_quantiles
+from momentloom.operators.quantiles import SMALL_REMAINDER, quantiles_beside
 from momentloom.operators.schema import numeric_columns
 
 STATISTICS = ("mean", "std", "var", "min", "median", "max", "nmissing", "eltype")
@@ -20,11 +20,18 @@ def _from_one_row(row: DataFrame, structs: Sequence[Column]) -> DataFrame:
     return row.select(F.inline(F.array(*structs)))
 
 
-def describe(df: DataFrame, stats: Sequence[str] = DEFAULT_STATISTICS, approx: bool = False) -> DataFrame:
+def _one_row(df: DataFrame, row: Row, aggregates: Sequence[Column]) -> DataFrame:
+    """The aggregates of a collected row as a table of one row again."""
+    schema = df.agg(*aggregates).schema
+    return df.sparkSession.createDataFrame([tuple(row[f.name] for f in schema.fields)], schema)
+
+
+def describe(df: DataFrame, stats: Sequence[str] = DEFAULT_STATISTICS, approx: bool = False, small: int = SMALL_REMAINDER) -> DataFrame:
     """One row per column with the chosen statistics, from one aggregate over all columns.
 
-    Text columns have no mean, deviation or median; their extremes are in ``min_text`` and
-    ``max_text``. Medians are exact unless ``approx`` is set.
+    Text columns and times have no mean, deviation or median; their extremes are in ``min_text`` and
+    ``max_text``. Medians are exact unless ``approx`` is set: two more scans then count around the guesses of
+    the first one and collect the ``small`` rows that remain.
     """
     unknown = set(stats) - set(STATISTICS)
     if unknown:
@@ -32,10 +39,7 @@ def describe(df: DataFrame, stats: Sequence[str] = DEFAULT_STATISTICS, approx: b
     numeric = numeric_columns(df)
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     ordered = [c for c in df.columns if not types[c].startswith(("array", "map", "struct"))]
-    medians = {}
-    if "median" in stats and not approx and numeric:
-        medians = {c: q[0.5] for c, q in exact_quantiles(df, numeric, [0.5]).items()}
-
+    exact = "median" in stats and not approx and bool(numeric)
     place = {c: i for i, c in enumerate(df.columns)}
     aggregates, structs = [], []
 
@@ -62,23 +66,27 @@ def describe(df: DataFrame, stats: Sequence[str] = DEFAULT_STATISTICS, approx: b
             elif not is_number:
                 fields.append(nothing.alias(stat))
             elif stat == "median":
-                value = F.lit(medians[c]).cast("double") if not approx else named(i, stat, F.percentile_approx(number, 0.5))
+                value = F.col(f"median_{i}") if exact else named(i, stat, F.percentile_approx(number, 0.5))
                 fields.append(value.alias(stat))
             else:
                 maker = {"mean": F.avg, "std": F.stddev_samp, "var": F.var_samp}[stat]
                 fields.append(named(i, stat, maker(number)).alias(stat))
         structs.append(F.struct(*fields))
-    return _from_one_row(df.agg(*(aggregates or [F.count(F.lit(1))])), structs)
+    aggregates = aggregates or [F.count(F.lit(1)).alias("_rows")]
+    if not exact:
+        return _from_one_row(df.agg(*aggregates), structs)
+    medians, row = quantiles_beside(df, numeric, [0.5], aggregates, small=small)
+    known = [F.lit(medians[c][0.5]).cast("double").alias(f"median_{place[c]}") for c in numeric]
+    return _from_one_row(_one_row(df, row, aggregates).select("*", *known), structs)
 
 
 def mean_std(df: DataFrame, col: str) -> DataFrame:
     return df.agg(F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"))
 
 
-def summary_statistics(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
-    """Count, missing, mean, minimum, quartiles and maximum of each column."""
+def summary_statistics(df: DataFrame, cols: Sequence[str], approx: bool = False, small: int = SMALL_REMAINDER) -> DataFrame:
+    """Count, missing, mean, minimum, quartiles and maximum of each column, in as many scans as ``describe``."""
     quartiles = (0.25, 0.5, 0.75)
-    exact = {} if approx else exact_quantiles(df, cols, quartiles)
     aggregates, structs = [], []
     for i, c in enumerate(cols):
         number = F.col(c).cast("double")
@@ -91,7 +99,7 @@ def summary_statistics(df: DataFrame, cols: Sequence[str], approx: bool = False)
         ]
         if approx:
             aggregates.append(F.percentile_approx(number, list(quartiles)).alias(f"q_{i}"))
-        q = [F.col(f"q_{i}")[j] if approx else F.lit(exact[c][p]).cast("double") for j, p in enumerate(quartiles)]
+        q = [F.col(f"q_{i}")[j] for j in range(3)]
         structs.append(
             F.struct(
                 F.lit(c).alias("variable"),
@@ -105,16 +113,26 @@ def summary_statistics(df: DataFrame, cols: Sequence[str], approx: bool = False)
                 F.col(f"max_{i}").alias("max"),
             )
         )
-    return _from_one_row(df.agg(*aggregates), structs)
+    if approx:
+        return _from_one_row(df.agg(*aggregates), structs)
+    exact, row = quantiles_beside(df, cols, quartiles, aggregates, small=small)
+    known = [F.array(*[F.lit(exact[c][p]).cast("double") for p in quartiles]).alias(f"q_{i}") for i, c in enumerate(cols)]
+    return _from_one_row(_one_row(df, row, aggregates).select("*", *known), structs)
+
+
+def left_out(df: DataFrame, col: str) -> DataFrame:
+    """How many rows have no place on a histogram: nulls, NaN and infinities."""
+    v = F.col(col).cast("double")
+    return df.agg(F.count_if(v.isNull()).alias("n_null"), F.count_if(F.isnan(v)).alias("n_nan"), F.count_if(F.abs(v) == float("inf")).alias("n_infinite"))
 
 
 def histogram(df: DataFrame, col: str, bins: int, normalize: bool = False) -> DataFrame:
     """Counts in equal-width bins over the extent, empty bins included.
 
-    With ``normalize`` there is a density whose integral is one. One scan finds the extent, one
+    Nulls, NaN and infinities have no bin; ``left_out`` counts them. With ``normalize`` there is a density whose integral is one. One scan finds the extent, one
     counts the bins with map-side combining.
     """
-    data = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
+    data = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v") & (F.abs("v") < float("inf")))
     ends = data.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("n")).first()
     lo, size = ends["lo"], ends["n"]
     width = None if lo is None else (ends["hi"] - lo) / bins

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from math import floor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 ACCURACY = 10_000
@@ -58,28 +58,42 @@ def exact_quantiles(
 ) -> dict[str, dict[float, float | None]]:
     """Quantiles with linear interpolation between neighbours, for each column and probability.
 
-    Nulls are left out. A column without values gives None.
+    Nulls are left out. A column without values gives None. An interval of up to ``small`` rows is collected.
     """
-    data = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    return quantiles_beside(df, cols, probs, (), accuracy, small)[0]
+
+
+def quantiles_beside(
+    df: DataFrame,
+    cols: Sequence[str],
+    probs: Sequence[float],
+    others: Sequence[Column],
+    accuracy: int = ACCURACY,
+    small: int = SMALL_REMAINDER,
+) -> tuple[dict[str, dict[float, float | None]], Row]:
+    """The same, with the row of further aggregates of ``df`` that the first pass takes along."""
+    number = [F.col(c).cast("double") for c in cols]
+    data = df.select(*[v.alias(c) for v, c in zip(number, cols)])
     margin = 4.0 / accuracy
     wanted = sorted({b for p in probs for b in _bracket(p, margin)})
-    first = data.agg(
-        *[F.count(c).alias(f"n_{i}") for i, c in enumerate(cols)],
-        *[F.min(c).alias(f"lo_{i}") for i, c in enumerate(cols)],
-        *[F.max(c).alias(f"hi_{i}") for i, c in enumerate(cols)],
-        *[F.percentile_approx(c, wanted, accuracy).alias(f"q_{i}") for i, c in enumerate(cols)],
+    first = df.agg(
+        *[F.count(v).alias(f"_n_{i}") for i, v in enumerate(number)],
+        *[F.min(v).alias(f"_lo_{i}") for i, v in enumerate(number)],
+        *[F.max(v).alias(f"_hi_{i}") for i, v in enumerate(number)],
+        *[F.percentile_approx(v, wanted, accuracy).alias(f"_q_{i}") for i, v in enumerate(number)],
+        *others,
     ).first()
 
     result: dict[str, dict[float, float | None]] = {c: {} for c in cols}
     sizes: dict[str, int] = {}
     targets: list[_Target] = []
     for i, c in enumerate(cols):
-        n = sizes[c] = first[f"n_{i}"]
+        n = sizes[c] = first[f"_n_{i}"]
         if n == 0:
             result[c] = {p: None for p in probs}
             continue
-        ends = first[f"lo_{i}"], first[f"hi_{i}"]
-        guess = dict(zip(wanted, first[f"q_{i}"]))
+        ends = first[f"_lo_{i}"], first[f"_hi_{i}"]
+        guess = dict(zip(wanted, first[f"_q_{i}"]))
         for p in probs:
             low, high = _bracket(p, margin)
             lo = guess[low] if low > 0 else ends[0]
@@ -142,7 +156,7 @@ def exact_quantiles(
     for t in targets:
         a, b = t.values or (t.lo, t.lo)
         result[t.col][t.prob] = a + (t.position - t.first) * (b - a)
-    return result
+    return result, first
 
 
 def _settle_by_counts(data: DataFrame, t: _Target, n: int) -> None:
