@@ -93,7 +93,7 @@ def label_metrics(spark, folder):
     select p.v as predicted, t.v as truth, coalesce(c.n, 0)::bigint as n from l p cross join l t left join c on c.pred = p.v and c.y = t.v""",
 )
 def flag_confusion(spark, folder):
-    return metrics.confusion_matrix(rule_predictions(spark, folder), "y", "pred")
+    return metrics.confusion_matrix(rule_predictions(spark, folder), "y", "pred", FLAGS)
 
 
 @analysis("M7 M9", f"select {rd('avg((pred = y)::int)')} as accuracy from {RULED}")

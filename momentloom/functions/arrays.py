@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 
 from momentloom.functions.scalars import column
 
-# Above this many weights a layer is scored in Arrow batches instead of literals in the plan.
-MAX_LITERAL_WEIGHTS = 256
-
 
 def doubles(a: Column | str) -> Column:
     return column(a).cast("array<double>")
@@ -136,49 +133,27 @@ def log_sum_exp(a: Column | str) -> Column:
     return bind(_exponentials(a), lambda s: s["top"] + F.log(total(s["e"])))
 
 
-def _activate(x: Column, activation: str | None) -> Column:
-    if activation == "relu":
-        return F.greatest(x, F.lit(0.0))
-    if activation == "sigmoid":
-        return F.lit(1.0) / (F.lit(1.0) + F.exp(-x))
-    if activation is None:
-        return x
-    raise ValueError(f"unknown activation {activation!r}")
-
-
 def dense(a: Column | str, weights, bias, activation: str | None = None) -> Column:
-    """One fully connected layer. ``weights`` has one row per output."""
+    """One fully connected layer as one matrix product per Arrow batch. ``weights`` has one row per output.
+
+    A null array gives null; a null or NaN element makes every output null.
+    """
     weights = np.asarray(weights, dtype=float)
     bias = np.asarray(bias, dtype=float)
-    if weights.size > MAX_LITERAL_WEIGHTS:
-        return _dense_in_batches(weights, bias, activation)(doubles(a))
-    a = doubles(a)
-    units = F.array(
-        *[
-            F.struct(F.array(*[F.lit(float(w)) for w in row]).alias("w"), F.lit(float(b)).alias("b"))
-            for row, b in zip(weights, bias)
-        ]
-    )
-    # The input is bound first: inside the lambda it would be computed again for every unit.
-    return bind(
-        a,
-        lambda v: F.transform(
-            units,
-            lambda u: _activate(total(F.zip_with(v, u["w"], lambda x, w: x * w)) + u["b"], activation),
-        ),
-    )
-
-
-def _dense_in_batches(weights: np.ndarray, bias: np.ndarray, activation: str | None):
-    """A wide layer as one matrix product per Arrow batch."""
+    if activation not in (None, "relu", "sigmoid"):
+        raise ValueError(f"unknown activation {activation!r}")
 
     @F.pandas_udf("array<double>")
     def score(batch: pd.Series) -> pd.Series:
-        z = np.stack(batch.to_numpy()) @ weights.T + bias
-        if activation == "relu":
-            z = np.maximum(z, 0.0)
-        elif activation == "sigmoid":
-            z = 1.0 / (1.0 + np.exp(-z))
-        return pd.Series(list(z))
-
-    return score
+        known = batch.notna().to_numpy()
+        out = pd.Series([None] * len(batch), dtype=object)
+        if known.any():
+            z = np.stack([np.asarray(x, dtype=float) for x in batch[known]]) @ weights.T + bias
+            if activation == "relu":
+                z = np.maximum(z, 0.0)
+            elif activation == "sigmoid":
+                z = 1.0 / (1.0 + np.exp(-z))
+            out[known] = pd.Series(list(z), index=np.flatnonzero(known))
+        return out
+
+    return score(doubles(a))

@@ -22,10 +22,11 @@ def round_digits(c: Column | str, digits: int) -> Column:
 
 
 def round_significant(c: Column | str, digits: int) -> Column:
-    """Round half up to ``digits`` significant digits; zero stays zero."""
+    """Round half up to ``digits`` significant digits; zero, NaN and infinities stay as they are."""
     c = column(c).cast("double")
     m = F.pow(F.lit(10.0), F.lit(digits - 1.0) - F.floor(F.log10(F.abs(c))))
-    return F.when(c == 0, F.lit(0.0)).otherwise(F.floor(c * m + F.lit(0.5)) / m)
+    rounded = F.try_divide(F.floor(c * m + F.lit(0.5)).cast("double"), m)
+    return F.when(c == 0, F.lit(0.0)).when(F.isnan(c) | (F.abs(c) == float("inf")), c).otherwise(rounded)
 
 
 def integer_quotient(a: Column | str, b: Column | int) -> Column:

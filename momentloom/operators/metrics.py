@@ -3,6 +3,8 @@
 Those that are one aggregate are functions from columns to a Column, to be used in ``agg`` with or
 without ``groupBy``. Those that need two levels are functions of a DataFrame; the inner level is
 combined before its shuffle, so a class or batch with most of the rows does no harm.
+
+One rule holds for all: a row whose truth or prediction is missing is not scored. ``not_scored`` counts such rows.
 """
 
 from __future__ import annotations
@@ -16,7 +18,6 @@ from momentloom.functions import arrays
 from momentloom.functions.scalars import column
 
 SMALLEST_PROBABILITY = 2.220446049250313e-16
-MAX_LEVELS = 1_000
 
 
 # Regression ---------------------------------------------------------------------------------
@@ -77,6 +78,11 @@ def _share(condition: Column) -> Column:
     return F.avg(condition.cast("double"))
 
 
+def not_scored(y: Column | str, pred: Column | str) -> Column:
+    """Rows whose truth or prediction is missing."""
+    return F.count_if(column(y).isNull() | column(pred).isNull())
+
+
 def accuracy(y: Column | str, pred: Column | str) -> Column:
     return _share(column(pred) == column(y))
 
@@ -152,34 +158,31 @@ def most_probable(probabilities: Column | str, classes: Sequence) -> Column:
 
 # Two-level metrics --------------------------------------------------------------------------
 
-def observed_levels(df: DataFrame, cols: Sequence[str]) -> list:
-    """The sorted distinct values of the columns; an error when they are too many to be classes."""
-    packed = df.select(F.explode(F.array(*cols)).alias("level")).where(F.col("level").isNotNull()).distinct()
-    found = [r[0] for r in packed.limit(MAX_LEVELS + 1).collect()]
-    if len(found) > MAX_LEVELS:
-        raise ValueError(f"more than {MAX_LEVELS} classes")
-    return sorted(found)
+def confusion_matrix(df: DataFrame, y: str, pred: str, levels: Sequence = ()) -> DataFrame:
+    """Counts per (predicted, truth) that occur, missing labels as null, and zeros for all pairs of ``levels``.
 
-
-def confusion_matrix(df: DataFrame, y: str, pred: str, levels: Sequence | None = None) -> DataFrame:
-    """Counts per (predicted, truth) for every pair of levels, zero cells included."""
-    levels = observed_levels(df, [y, pred]) if levels is None else list(levels)
+    Labels that ``levels`` does not list keep rows of their own, so the counts always add up to the rows.
+    """
     counts = df.groupBy(F.col(pred).alias("predicted"), F.col(y).alias("truth")).agg(F.count(F.lit(1)).alias("n"))
+    if not levels:
+        return counts
     every = F.array(*[F.lit(v) for v in levels])
     cells = df.sparkSession.range(1).select(F.explode(every).alias("predicted"))
-    cells = cells.select("predicted", F.explode(every).alias("truth"))
-    return cells.join(counts, ["predicted", "truth"], "left").select("predicted", "truth", F.coalesce("n", F.lit(0)).alias("n"))
+    cells = cells.select("predicted", F.explode(every).alias("truth"), F.lit(0).cast("bigint").alias("n"))
+    return counts.union(cells).groupBy("predicted", "truth").agg(F.sum("n").alias("n"))
 
 
 def accuracy_from_confusion(confusion: DataFrame) -> DataFrame:
+    """The same accuracy as from the rows, whatever levels were listed."""
     right = F.sum(F.when(F.col("predicted") == F.col("truth"), F.col("n")).otherwise(0))
-    return confusion.agg(_ratio(right, F.sum("n")).alias("accuracy"))
+    scored = F.sum(F.when(F.col("predicted").isNotNull() & F.col("truth").isNotNull(), F.col("n")))
+    return confusion.agg(_ratio(right, scored).alias("accuracy"))
 
 
 def recall_by_class(df: DataFrame, y: str, pred: str) -> DataFrame:
-    """True positives, size and recall of each class that occurs in the truth."""
+    """True positives, size and recall of each class that occurs in the truth of a scored row."""
     hit = F.count_if(F.col(pred) == F.col(y))
-    counted = df.where(F.col(y).isNotNull()).groupBy(F.col(y).alias("class")).agg(hit.alias("tp"), F.count(F.lit(1)).alias("total"))
+    counted = df.where(F.col(y).isNotNull() & F.col(pred).isNotNull()).groupBy(F.col(y).alias("class")).agg(hit.alias("tp"), F.count(F.lit(1)).alias("total"))
     return counted.select("class", "tp", "total", _ratio(F.col("tp"), F.col("total")).alias("recall"))
 
 
@@ -192,7 +195,7 @@ def balanced_accuracy(df: DataFrame, y: str, pred: str) -> DataFrame:
 
 def batch_balanced_accuracy(df: DataFrame, batch: str, y: str, pred: str) -> DataFrame:
     """Balanced accuracy of each batch. A class that a batch lacks does not count in it."""
-    per_class = df.where(F.col(y).isNotNull()).groupBy(batch, y).agg(_share(F.coalesce(F.col(pred) == F.col(y), F.lit(False))).alias("recall"))
+    per_class = df.where(F.col(y).isNotNull() & F.col(pred).isNotNull()).groupBy(batch, y).agg(_share(F.col(pred) == F.col(y)).alias("recall"))
     return per_class.groupBy(batch).agg(F.avg("recall").alias("balanced_accuracy"))
 
 

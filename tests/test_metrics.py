@@ -12,7 +12,8 @@ def test_identities(spark):
     df = frame(spark, [("a", "a"), ("a", "b"), ("b", "b"), ("b", "b"), ("c", "a")])
     row = df.agg(metrics.accuracy("y", "pred").alias("acc"), metrics.misclassification_rate("y", "pred").alias("mis")).first()
     assert row["acc"] == pytest.approx(0.6) and row["acc"] + row["mis"] == pytest.approx(1)
-    confusion = metrics.confusion_matrix(df, "y", "pred")
+    confusion = metrics.confusion_matrix(df, "y", "pred", ["a", "b", "c"])
+    assert metrics.confusion_matrix(df, "y", "pred").count() == 4
     assert confusion.count() == 9 and confusion.agg(F.sum("n")).first()[0] == 5
     assert metrics.accuracy_from_confusion(confusion).first()[0] == pytest.approx(0.6)
     assert metrics.balanced_accuracy(df, "y", "pred").first()["balanced_accuracy"] == pytest.approx((0.5 + 1 + 0) / 3)
@@ -90,3 +91,15 @@ def test_ensemble_mean_of_rows_and_of_columns_agree(spark):
 def test_one_fold_has_no_interval(spark):
     row = metrics.fold_interval(spark.createDataFrame([("m", 0.5)], "model string, acc double"), ["model"], "acc").first()
     assert row["mean"] == 0.5 and row["three_sigma"] is None
+
+
+def test_missing_labels_are_scored_nowhere(spark):
+    df = spark.createDataFrame([(0, "a", "a"), (0, "a", None), (0, None, "a"), (0, "b", "b"), (0, "z", "a")], "batch int, y string, pred string")
+    row = df.agg(metrics.accuracy("y", "pred").alias("a"), metrics.not_scored("y", "pred").alias("m")).first()
+    assert row["a"] == pytest.approx(2 / 3) and row["m"] == 2
+    assert metrics.balanced_accuracy(df, "y", "pred").first()["balanced_accuracy"] == pytest.approx((1 + 1 + 0) / 3)
+    assert metrics.mean_batch_balanced_accuracy(df, "batch", "y", "pred").first()["balanced_accuracy"] == pytest.approx((1 + 1 + 0) / 3)
+    for listed in ([], ["a"], ["a", "b", "c"]):
+        confusion = metrics.confusion_matrix(df, "y", "pred", listed)
+        assert confusion.agg(F.sum("n")).first()[0] == 5
+        assert metrics.accuracy_from_confusion(confusion).first()[0] == pytest.approx(2 / 3)

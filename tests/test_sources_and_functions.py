@@ -110,7 +110,26 @@ def test_pooling_keeps_a_quarter(spark):
     assert len(got) == 196 and got == pytest.approx(want)
 
 
-def test_wide_layer_in_batches_equals_literals(spark):
+def test_layers_with_missing_inputs(spark):
+    df = spark.createDataFrame([([1.0, 2.0],), (None,), ([None, 1.0],)], "x array<double>")
+    for outputs in (2, 400):
+        got = [r[0] for r in df.select(arrays.dense("x", np.ones((outputs, 2)), np.zeros(outputs))).collect()]
+        assert got[0] == [3.0] * outputs and got[1] is None and got[2] == [None] * outputs
+
+
+def test_special_values_stay_themselves(spark):
+    row = spark.createDataFrame([(float("nan"), float("inf"), float("-inf"), 0.0, 1234.567, None)], "a double, b double, c double, d double, e double, f double")
+    got = row.select(*[scalars.round_significant(c, 3).alias(c) for c in "abcdef"]).first()
+    assert np.isnan(got["a"]) and got["b"] == float("inf") and got["c"] == float("-inf") and got["d"] == 0 and got["e"] == 1230 and got["f"] is None
+
+
+def test_histogram_leaves_out_what_is_no_number(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (float("nan"),), (float("inf"),), (None,)], "v double")
+    assert [r["n"] for r in profile.histogram(df, "v", 2).orderBy("bin").collect()] == [1, 2]
+    assert tuple(profile.left_out(df, "v").first()) == (1, 1, 1)
+
+
+def test_layers_equal_matrix_products(spark):
     rng = np.random.default_rng(2)
     w, b = rng.normal(size=(30, 100)), rng.normal(size=30)
     x = rng.normal(size=(7, 100))
