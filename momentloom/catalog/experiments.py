@@ -37,8 +37,8 @@ def ensemble_against_members(spark, folder):
 def cv_schemes_compared(spark, folder):
     """Standard against independent cross-validation for a large and a small perceptron."""
     images = pooled_images(spark, folder)
-    rows = ordered.with_row_index(images.withColumn("_h", seeded_hash("vec_id", 8)), ["_h", "vec_id"])
-    log = evaluation.cv_experiment(rows, "image", "label", SCHEME_MODELS, rows.count(), SCHEME_FOLDS, epochs=2, steps=8)
+    rows, n = ordered.row_index(images.withColumn("_h", seeded_hash("vec_id", 8)), ["_h", "vec_id"])
+    log = evaluation.cv_experiment(rows, "image", "label", SCHEME_MODELS, n, SCHEME_FOLDS, epochs=2, steps=8)
     return evaluation.experiment_summary(evaluation.best_of_splits(log))
 
 

@@ -14,9 +14,13 @@ from momentloom.sources import generate
 from momentloom.sources.tables import load
 
 
+def counted_orders(spark, folder):
+    """Orders numbered by date, then key, and how many there are."""
+    return ordered.row_index(load(spark, folder, "orders").select("o_orderdate", "o_orderkey", "o_totalprice"), ["o_orderdate", "o_orderkey"])
+
+
 def indexed_orders(spark, folder):
-    """Orders numbered by date, then key."""
-    return ordered.with_row_index(load(spark, folder, "orders").select("o_orderdate", "o_orderkey", "o_totalprice"), ["o_orderdate", "o_orderkey"])
+    return counted_orders(spark, folder)[0]
 
 
 BY_DATE = "(select o_orderkey, o_orderdate, o_totalprice, row_number() over (order by o_orderdate, o_orderkey) - 1 as row_id from orders)"

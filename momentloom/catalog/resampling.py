@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from momentloom.catalog.common import significant
-from momentloom.catalog.ordering import BY_DATE, indexed_orders
+from momentloom.catalog.ordering import BY_DATE, counted_orders
 from momentloom.catalog.registry import analysis
 from momentloom.catalog.sqltext import hash32, rs
 from momentloom.operators import splits
@@ -49,8 +49,8 @@ def split_by_date(spark, folder):
     select (row_id // size + 1)::int as split, 'train' as role, {SUMMARY} from {BY_DATE}, s group by 1""",
 )
 def training_blocks(spark, folder):
-    rows = indexed_orders(spark, folder)
-    return _summary(splits.train_blocks(rows, rows.count(), FOLDS), "split", "role")
+    rows, n = counted_orders(spark, folder)
+    return _summary(splits.train_blocks(rows, n, FOLDS), "split", "role")
 
 
 @analysis(
@@ -60,8 +60,8 @@ def training_blocks(spark, folder):
     select ((block + {FOLDS - 1}) % {FOLDS} + 1)::int as split, 'val' as role, o_orderkey from b""",
 )
 def independent_cv_rows(spark, folder):
-    rows = indexed_orders(spark, folder)
-    return splits.independent_cv(rows, rows.count(), FOLDS).select("split", "role", "o_orderkey")
+    rows, n = counted_orders(spark, folder)
+    return splits.independent_cv(rows, n, FOLDS).select("split", "role", "o_orderkey")
 
 
 @analysis(
@@ -70,8 +70,8 @@ def independent_cv_rows(spark, folder):
     select split::int as split, case when block = split % {FOLDS} then 'test' else 'train' end as role, {SUMMARY} from b, i group by 1, 2""",
 )
 def standard_cv_parts(spark, folder):
-    rows = indexed_orders(spark, folder)
-    return _summary(splits.standard_cv(rows, rows.count(), FOLDS), "split", "role")
+    rows, n = counted_orders(spark, folder)
+    return _summary(splits.standard_cv(rows, n, FOLDS), "split", "role")
 
 
 @analysis(
@@ -80,8 +80,8 @@ def standard_cv_parts(spark, folder):
     from {BY_DATE}, s group by 1""",
 )
 def standard_cv_leftover(spark, folder):
-    rows = indexed_orders(spark, folder)
-    return _summary(rows.withColumn("tested_in", splits.standard_test_block("row_id", rows.count(), 7)), "tested_in")
+    rows, n = counted_orders(spark, folder)
+    return _summary(rows.withColumn("tested_in", splits.standard_test_block("row_id", n, 7)), "tested_in")
 
 
 @analysis(
@@ -90,8 +90,8 @@ def standard_cv_leftover(spark, folder):
     select (case when row_id < longer*(small+1) then row_id // (small+1) else longer + (row_id - longer*(small+1)) // small end)::int as fold, {SUMMARY} from {BY_DATE}, s group by 1""",
 )
 def unshuffled_folds(spark, folder):
-    rows = indexed_orders(spark, folder)
-    return _summary(rows.withColumn("fold", splits.even_fold("row_id", rows.count(), 10)), "fold")
+    rows, n = counted_orders(spark, folder)
+    return _summary(rows.withColumn("fold", splits.even_fold("row_id", n, 10)), "fold")
 
 
 @analysis("R7", f"select o_orderkey, floor({hash32('o_orderkey', 123)}*10/4294967296e0)::int as fold from orders")

@@ -22,12 +22,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from momentloom.operators.moments import near_means
-from momentloom.session import SPREAD_ROWS, spread
-
-MAX_STEPS = 40
-# Newton's curvature has features^2 entries per task. Wider models go to the estimator one by one.
-MAX_NEWTON_FEATURES = 200
 TOLERANCE = 1e-10
 # The loss of a fit that separates the classes falls without end; below this share it is done.
 SEPARATED = 1e-6
@@ -78,8 +72,9 @@ class LogisticTask:
 class _Newton:
     """The state of one fit on shifted and scaled features."""
 
-    def __init__(self, task: LogisticTask, shift: Mapping[str, float], scale: Mapping[str, float]):
+    def __init__(self, task: LogisticTask, shift: Mapping[str, float], scale: Mapping[str, float], max_steps: int):
         self.task = task
+        self.max_steps = max_steps
         self.shift = np.array([shift[c] for c in task.features])
         self.scale = np.array([scale[c] for c in task.features])
         self.beta = np.zeros(len(task.features) + 1)
@@ -111,7 +106,7 @@ class _Newton:
         self.beta = self.beta + self.step
         if np.max(np.abs(self.step)) <= TOLERANCE * (1 + np.max(np.abs(self.beta))):
             self.done = self.converged = True
-        elif self.steps >= MAX_STEPS:
+        elif self.steps >= self.max_steps:
             self.done = True
 
     def model(self) -> LogisticModel:
@@ -120,54 +115,51 @@ class _Newton:
         return LogisticModel(self.task.features, tuple(map(float, coefs)), intercept, self.converged, self.steps)
 
 
-def fit_logistic_models(df: DataFrame, label: str, tasks: Mapping[str, LogisticTask], persist: bool = True) -> dict[str, LogisticModel]:
-    """Fit every task by Newton steps that share their scans.
+def fit_logistic_models(df: DataFrame, label: str, tasks: Mapping[str, LogisticTask], solver: str = "newton", max_steps: int = 40) -> dict[str, LogisticModel]:
+    """Fit every task on its rows with a known label and no missing value among its own features.
 
-    The rows are narrowed to the columns in use and kept for the steps; a lost part is recomputed.
-    Where the classes can be separated there is no finite fit, and ``converged`` is false.
+    ``newton`` shares the scans of all tasks; its sums have features^2 numbers per task and model.
+    ``estimator`` fits the models one by one and suits models of many hundreds of features. Where the classes
+    can be separated there is no finite fit, and ``converged`` is false, as it is after ``max_steps``.
     """
-    wide = {name: t for name, t in tasks.items() if len(t.features) > MAX_NEWTON_FEATURES}
-    narrow = {name: t for name, t in tasks.items() if name not in wide}
-    made = {name: _fit_by_estimator(df, label, t) for name, t in wide.items()}
-    if narrow:
-        made |= _fit_together(df, label, narrow, persist)
-    return {name: made[name] for name in tasks}
+    if solver == "newton":
+        return _fit_together(df, label, tasks, max_steps)
+    if solver == "estimator":
+        return {name: _fit_by_estimator(df, label, t, max_steps) for name, t in tasks.items()}
+    raise ValueError(f"unknown solver {solver!r}")
 
 
-def _fit_by_estimator(df: DataFrame, label: str, task: LogisticTask) -> LogisticModel:
+def _fit_by_estimator(df: DataFrame, label: str, task: LogisticTask, max_steps: int) -> LogisticModel:
     rows = df if task.rows is None else df.where(task.rows)
-    fitted = fit_logistic(rows.dropna(subset=[label, *task.features]), label, task.features).stages[-1]
-    summary = fitted.summary
-    steps = int(summary.totalIterations)
+    # A step of L-BFGS does less than one of Newton's method.
+    fitted = fit_logistic(rows.dropna(subset=[label, *task.features]), label, task.features, max_iter=5 * max_steps).stages[-1]
+    steps = int(fitted.summary.totalIterations)
     return LogisticModel(task.features, tuple(map(float, fitted.coefficients)), float(fitted.intercept), steps < fitted.getMaxIter(), steps)
 
 
-def _fit_together(df: DataFrame, label: str, tasks: Mapping[str, LogisticTask], persist: bool) -> dict[str, LogisticModel]:
+def _fit_together(df: DataFrame, label: str, tasks: Mapping[str, LogisticTask], max_steps: int) -> dict[str, LogisticModel]:
+    """Newton's method for all tasks; the rows are narrowed to the columns in use and kept for the steps."""
     features = sorted({c for t in tasks.values() for c in t.features})
     marks = {f"r{m}": t.rows for m, t in enumerate(tasks.values()) if t.rows is not None}
     data = df.select(
         F.col(label).cast("double").alias("_y"),
         *[F.col(c).cast("double").alias(c) for c in features],
         *[c.alias(name) for name, c in marks.items()],
-    ).dropna(subset=["_y", *features])
-    kept = []
+    ).dropna(subset=["_y"])
+    data = data.persist()
     try:
-        if persist:
-            kept.append(data := data.persist())
-        ends = data.agg(F.count(F.lit(1)).alias("n"), *[F.stddev_pop(c).alias(f"d{i}") for i, c in enumerate(features)]).first()
-        if persist and ends["n"] <= SPREAD_ROWS:
-            kept.append(data := spread(data, ends["n"]).persist())
-        shift = dict(zip(features, near_means(data, features)))
+        known = [F.when(~F.isnan(c), F.col(c)) for c in features]
+        ends = data.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(known)], *[F.stddev_pop(c).alias(f"d{i}") for i, c in enumerate(known)]).first()
+        shift = {c: (ends[f"m{i}"] or 0.0) for i, c in enumerate(features)}
         scale = {c: (ends[f"d{i}"] or 1.0) for i, c in enumerate(features)}
-        fits = {name: _Newton(t, shift, scale) for name, t in tasks.items()}
+        fits = {name: _Newton(t, shift, scale, max_steps) for name, t in tasks.items()}
         while any(not f.done for f in fits.values()):
             waiting = [(m, f) for m, f in enumerate(fits.values()) if not f.done]
             for f, sums in zip((f for _, f in waiting), _step_sums(data, features, waiting, marks)):
                 f.advance(*sums)
         return {name: f.model() for name, f in fits.items()}
     finally:
-        for rows in kept:
-            rows.unpersist()
+        data.unpersist()
 
 
 def _step_sums(data: DataFrame, features: Sequence[str], waiting: list, marks: Mapping[str, Column]) -> list[tuple]:
@@ -190,7 +182,9 @@ def _step_sums(data: DataFrame, features: Sequence[str], waiting: list, marks: M
             y = batch.column("_y").to_numpy(zero_copy_only=False)
             parts = []
             for mark, columns, shift, scale, beta in specs:
-                inside = slice(None) if mark is None else batch.column(mark).fill_null(False).to_numpy(zero_copy_only=False)
+                inside = ~np.isnan(x[:, columns]).any(axis=1)  # a null is read as NaN
+                if mark is not None:
+                    inside &= batch.column(mark).fill_null(False).to_numpy(zero_copy_only=False)
                 rows, truth = (x[inside][:, columns] - shift) / scale, y[inside]
                 rows = np.hstack([np.ones((len(rows), 1)), rows])
                 z = rows @ beta

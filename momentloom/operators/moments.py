@@ -4,29 +4,26 @@ A scan yields, per group, the row count, the column sums and the sums of pairwis
 add up: the data without fold 3 is the total minus fold 3. So hundreds of candidate models cost
 one scan, and only O(groups x columns^2) numbers reach the driver.
 
-Columns are shifted by a value near their mean before they are multiplied, so that subtracting
-the mean part afterwards does not cancel the digits that matter.
+Columns are shifted by their mean before they are multiplied, so that subtracting the mean part
+afterwards does not cancel the digits that matter. The means take a scan of their own.
 """
 
 from __future__ import annotations
 
-from collections.abc import Collection, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# More products than this are formed as one matrix product per Arrow batch. Measured on 4 million
-# rows: generated sums are faster up to about 13 columns, and grow with their square from there.
-MAX_PRODUCT_COLUMNS = 100
-MAX_GROUPS = 10_000
-SHIFT_ROWS = 200
-# A counted table up to this size, cut to a key and a few numbers, is some ten megabytes.
-BROADCAST_ROWS = 200_000
+# Numbers that may come to the driver: 160 MB.
+LIMIT = 20_000_000
+# Cells of the matrices that a task holds before it hands them on.
+HELD_CELLS = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -76,89 +73,71 @@ class GroupedMoments:
         return reduce(lambda a, b: a + b, rest)
 
 
-def near_means(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
-    """A value inside the range of each column, from the first rows that a task returns.
-
-    It only has to be in the right region: results do not depend on it but for rounding. ``take``
-    reads one partition and goes on to others only when that is empty.
-    """
-    rows = np.array(df.select(*cols).take(SHIFT_ROWS), dtype=float).reshape(-1, len(cols))
-    rows = np.where(np.isfinite(rows), rows, 0.0)
-    return rows.mean(axis=0) if len(rows) else np.zeros(len(cols))
-
-
-def product_sums(cols: Sequence[str], shift: Sequence[float], pairs: Collection[tuple[int, int]] | None = None) -> list[Column]:
-    """The aggregates ``n``, ``s_i`` and ``c_i_j`` (i <= j), for all pairs or the given ones."""
-    # As text: one call into the JVM per aggregate instead of one per operation in it.
-    quoted = ["`" + c.replace("`", "``") + "`" for c in cols]
-    moved = [f"({c} - ({float(m)!r}D))" for c, m in zip(quoted, shift)]
-    made = [F.count(F.lit(1)).cast("double").alias("n")]
-    made += [F.expr(f"sum({x})").alias(f"s_{i}") for i, x in enumerate(moved)]
-    made += [F.expr(f"sum({moved[i]} * {moved[j]})").alias(f"c_{i}_{j}") for i, j in _chosen(len(cols), pairs)]
-    return made
-
-
-def _chosen(d: int, pairs: Collection[tuple[int, int]] | None) -> list[tuple[int, int]]:
-    return [(i, j) for i in range(d) for j in range(i, d) if pairs is None or (i, j) in pairs]
-
-
-def moments_of_row(row, cols: Sequence[str], shift: np.ndarray) -> Moments:
-    """Read one row of ``product_sums``."""
-    d = len(cols)
-    value = lambda name: float(row[name] or 0.0)
-    cross = np.empty((d, d))
-    for i in range(d):
-        for j in range(i, d):
-            cross[i, j] = cross[j, i] = value(f"c_{i}_{j}")
-    sums = np.array([value(f"s_{i}") for i in range(d)])
-    return Moments(tuple(cols), value("n"), sums, cross, np.asarray(shift, dtype=float))
+def means(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
+    """The mean of the finite values of each column, 0 where there are none; one aggregate."""
+    number = lambda c: F.col(c).cast("double")
+    finite = lambda c: F.when(~F.isnan(number(c)) & (F.abs(number(c)) < float("inf")), number(c))
+    row = df.agg(*[F.avg(finite(c)).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    return np.array([0.0 if m is None or not np.isfinite(m) else m for m in row])
 
 
-def collect_moments(df: DataFrame, cols: Sequence[str], by: str | None = None, shift: np.ndarray | None = None) -> GroupedMoments:
+def collect_moments(df: DataFrame, cols: Sequence[str], by: str | None = None, shift: np.ndarray | None = None, limit: int = LIMIT) -> GroupedMoments:
     """The moments of each group (one group named None without ``by``).
 
-    Rows with a missing value in any of the columns are left out.
+    Rows with a missing value in any of the columns are left out. The sums of all groups come to the
+    driver; more than ``limit`` numbers are an error, and ``gram`` keeps them distributed.
     """
-    d = len(cols)
-    group = [by] if by else []
-    data = df.select(*group, *[F.col(c).cast("double").alias(c) for c in cols]).dropna(subset=list(cols))
-    shift = near_means(data, cols) if shift is None else shift
-    if d * (d + 1) // 2 > MAX_PRODUCT_COLUMNS:
-        vector = data.select(*group, F.array(*cols).alias("v"))
-        return _collect_in_batches(vector, "v", tuple(cols), by, shift)
-    summed = (data.groupBy(by) if by else data.groupBy()).agg(*product_sums(cols, shift))
-    groups = {row[by] if by else None: moments_of_row(row, cols, shift) for row in _bounded(summed)}
+    data = df.select(*([by] if by else []), F.array(*[F.col(c).cast("double") for c in cols]).alias("_v"))
+    shift = means(df, cols) if shift is None else shift
+    groups = _collected(data, "_v", tuple(cols), by, shift, limit)
     if not groups or sum(m.n for m in groups.values()) == 0:
         raise ValueError("there are no complete rows")
     return GroupedMoments(groups)
 
 
-def collect_vector_moments(df: DataFrame, vector: str, dim: int, by: str | None = None) -> GroupedMoments:
+def collect_vector_moments(df: DataFrame, vector: str, dim: int, by: str | None = None, limit: int = LIMIT) -> GroupedMoments:
     """As ``collect_moments`` for an array column of fixed length; columns are named v1, v2, ..."""
     names = tuple(f"v{i}" for i in range(1, dim + 1))
     group = [by] if by else []
-    data = df.select(*group, F.col(vector).cast("array<double>").alias(vector)).where((F.size(vector) == dim) & ~F.exists(vector, lambda v: v.isNull()))
-    return _collect_in_batches(data, vector, names, by, np.zeros(dim))
+    data = df.select(*group, F.col(vector).cast("array<double>").alias("_v")).where(F.size("_v") == dim)
+    center = data.agg(*[F.avg(F.when(~F.isnan(F.col("_v")[i]), F.col("_v")[i])).alias(f"m{i}") for i in range(dim)]).first()
+    groups = _collected(data, "_v", names, by, np.array([m or 0.0 for m in center]), limit)
+    if not groups:
+        raise ValueError("there are no rows")
+    return GroupedMoments(groups)
 
 
-def _bounded(summed: DataFrame) -> list:
-    rows = summed.limit(MAX_GROUPS + 1).collect()
-    if len(rows) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups: use gram(), which keeps the sums distributed")
-    return rows
+def _collected(data: DataFrame, vector: str, cols: tuple[str, ...], by: str | None, shift: np.ndarray, limit: int) -> dict:
+    d = len(cols)
+    most = max(1, limit // (d + 1) ** 2) * (d + 1)
+    rows = _matrix_rows(data, vector, d, by, shift).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {limit} numbers for the driver: use gram(), which keeps the sums distributed")
+    matrices: dict = {}
+    for row in rows:
+        key = row["g"] if by else None
+        matrices.setdefault(key, np.zeros((d + 1, d + 1)))[row["i"]] = row[2:]
+    return {k: Moments(cols, float(m[0, 0]), m[0, 1:].copy(), m[1:, 1:].copy(), np.asarray(shift, dtype=float)) for k, m in matrices.items()}
 
 
-def _collect_in_batches(data: DataFrame, vector: str, cols: tuple[str, ...], by: str | None, shift: np.ndarray) -> GroupedMoments:
-    """Products by BLAS: each task folds its Arrow batches into one matrix per group.
+def _matrix_rows(data: DataFrame, vector: str, d: int, by: str | None, shift: np.ndarray) -> DataFrame:
+    """Rows ``g, i, c0 .. cd`` of the sum of (1, x)(1, x)' over the complete rows of each group.
 
-    The matrix of (1, x) with itself holds count, sums and products at once. It leaves the task
-    row by row, and the rows of all tasks are summed as an ordinary grouped aggregate.
+    Each task folds its Arrow batches into one matrix per group by BLAS. The matrix holds count, sums and
+    products at once. It leaves the task row by row, and the rows of all tasks are summed as an
+    ordinary grouped aggregate.
     """
-    d = len(cols)
     by_field = [T.StructField("g", data.schema[by].dataType if by else T.IntegerType())]
     fields = by_field + [T.StructField("i", T.IntegerType())] + [T.StructField(f"c{j}", T.DoubleType()) for j in range(d + 1)]
     names = [f.name for f in fields]
     offset = np.asarray(shift, dtype=float)
+    most = max(1, HELD_CELLS // (d + 1) ** 2)
+
+    def told(held: dict, kind) -> Iterator:
+        for key, matrix in held.items():
+            columns = [pa.array([key] * (d + 1), type=kind), pa.array(np.arange(d + 1, dtype=np.int32))]
+            yield pa.RecordBatch.from_arrays([*columns, *[pa.array(c) for c in np.ascontiguousarray(matrix.T)]], names=names)
+        held.clear()
 
     def fold(batches: Iterator) -> Iterator:
         held: dict = {}
@@ -167,97 +146,36 @@ def _collect_in_batches(data: DataFrame, vector: str, cols: tuple[str, ...], by:
             if batch.num_rows == 0:
                 continue
             x = batch.column(vector).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, d) - offset
-            x = np.hstack([np.ones((len(x), 1)), x])
+            complete = ~np.isnan(x).any(axis=1)  # a null is read as NaN
+            x = np.hstack([np.ones((len(x), 1)), x])[complete]
             if by is None:
                 held[0] = held.get(0, 0.0) + x.T @ x
                 continue
             kind = batch.column(by).type
             keys = batch.column(by).dictionary_encode(null_encoding="encode")
-            place = keys.indices.to_numpy(zero_copy_only=False)
+            place = keys.indices.to_numpy(zero_copy_only=False)[complete]
             for code, key in enumerate(keys.dictionary.to_pylist()):
                 part = x[place == code]
-                held[key] = held.get(key, 0.0) + part.T @ part
-        for key, matrix in held.items():
-            columns = [pa.array([key] * (d + 1), type=kind), pa.array(np.arange(d + 1, dtype=np.int32))]
-            yield pa.RecordBatch.from_arrays([*columns, *[pa.array(c) for c in np.ascontiguousarray(matrix.T)]], names=names)
+                if len(part):
+                    held[key] = held.get(key, 0.0) + part.T @ part
+            if len(held) > most:
+                yield from told(held, kind)
+        yield from told(held, kind)
 
     partial = data.mapInArrow(fold, T.StructType(fields))
-    rows = partial.groupBy("g", "i").agg(*[F.sum(c).alias(c) for c in names[2:]]).limit(MAX_GROUPS * (d + 1) + 1).collect()
-    if len(rows) > MAX_GROUPS * (d + 1):
-        raise ValueError(f"more than {MAX_GROUPS} groups")
-    matrices: dict = {}
-    for row in rows:
-        key = row["g"] if by else None
-        matrices.setdefault(key, np.zeros((d + 1, d + 1)))[row["i"]] = row[2:]
-    groups = {k: Moments(cols, m[0, 0], m[0, 1:].copy(), m[1:, 1:].copy(), offset) for k, m in matrices.items()}
-    if not groups:
-        raise ValueError("there are no rows")
-    return GroupedMoments(groups)
+    return partial.groupBy("g", "i").agg(*[F.sum(c).alias(c) for c in names[2:]])
 
 
 def gram(df: DataFrame, cols: Sequence[str], by: str | None = None) -> DataFrame:
     """Products of the columns as a table ``(by, i, j, value)`` with i <= j, kept distributed.
 
-    One aggregate with map-side combining; the products of a group unfold after it.
+    One matrix per task and group, summed row by row; the products of a group unfold after it.
     """
-    data = df.select(*([by] if by else []), *[F.col(c).cast("double").alias(c) for c in cols]).dropna(subset=list(cols))
-    summed = (data.groupBy(by) if by else data.groupBy()).agg(*product_sums(cols, [0.0] * len(cols)))
-    entries = [
-        F.struct(F.lit(a).alias("i"), F.lit(b).alias("j"), F.col(f"c_{i}_{j}").alias("value"))
-        for i, a in enumerate(cols)
-        for j, b in enumerate(cols)
-        if i <= j
-    ]
-    return summed.select(*([by] if by else []), F.inline(F.array(*entries)))
-
-
-def star_moments(
-    fact: DataFrame, fact_key: str, fact_cols: Sequence[str], dim: DataFrame, dim_key: str, dim_cols: Sequence[str], broadcast_rows: int = BROADCAST_ROWS
-) -> Moments:
-    """Moments over ``fact`` joined with ``dim`` on ``fact_key = dim_key``."""
-    summed, cols, shift = _star_sums(fact, fact_key, fact_cols, dim, dim_key, dim_cols, broadcast_rows, None)
-    return moments_of_row(summed.first(), cols, shift)
-
-
-def star_sums(
-    fact: DataFrame,
-    fact_key: str,
-    fact_cols: Sequence[str],
-    dim: DataFrame,
-    dim_key: str,
-    dim_cols: Sequence[str],
-    broadcast_rows: int = BROADCAST_ROWS,
-    pairs: Collection[tuple[int, int]] | None = None,
-) -> DataFrame:
-    """The sums of ``star_moments``, for all pairs or the given ones, as a one-row table."""
-    return _star_sums(fact, fact_key, fact_cols, dim, dim_key, dim_cols, broadcast_rows, pairs)[0]
-
-
-def _star_sums(fact, fact_key, fact_cols, dim, dim_key, dim_cols, broadcast_rows, pairs) -> tuple[DataFrame, list[str], np.ndarray]:
-    """A counted small ``dim`` is broadcast, and the fact rows are not shuffled at all.
-
-    Beyond that size the fact rows are summed per key before the join, with map-side combining. A
-    key that holds a third of all rows then enters the join as one row.
-    """
-    cols = [*fact_cols, *dim_cols]
-    fact = fact.select(F.col(fact_key).alias("_key"), *[F.col(c).cast("double").alias(c) for c in fact_cols]).dropna()
-    dim = dim.select(F.col(dim_key).alias("_key"), *[F.col(c).cast("double").alias(c) for c in dim_cols]).dropna()
-    shift = np.concatenate([near_means(fact, fact_cols), near_means(dim, dim_cols)])
-    if dim.count() <= broadcast_rows:
-        return fact.join(F.broadcast(dim), "_key").agg(*product_sums(cols, shift, pairs)), cols, shift
-    f = len(fact_cols)
-    per_key = fact.groupBy("_key").agg(*product_sums(fact_cols, shift[:f], pairs))
-    joined = per_key.join(dim, "_key")
-    moved = [F.col(c) - F.lit(float(m)) for c, m in zip(dim_cols, shift[f:])]
-    made = [F.sum("n").alias("n")]
-    made += [F.sum(f"s_{i}").alias(f"s_{i}") for i in range(f)]
-    made += [F.sum(F.col("n") * x).alias(f"s_{f + i}") for i, x in enumerate(moved)]
-    for i, j in _chosen(len(cols), pairs):
-        if j < f:
-            value = F.col(f"c_{i}_{j}")
-        elif i < f:
-            value = F.col(f"s_{i}") * moved[j - f]
-        else:
-            value = F.col("n") * moved[i - f] * moved[j - f]
-        made.append(F.sum(value).alias(f"c_{i}_{j}"))
-    return joined.agg(*made), cols, shift
+    d = len(cols)
+    data = df.select(*([by] if by else []), F.array(*[F.col(c).cast("double") for c in cols]).alias("_v"))
+    rows = _matrix_rows(data, "_v", d, by, np.zeros(d)).where("i > 0")
+    names = F.array(*[F.lit(c) for c in cols])
+    row = F.array(*[F.col(f"c{j}") for j in range(1, d + 1)])
+    cells = rows.select("g", "i", F.posexplode(row).alias("j", "value")).where("j >= i - 1")
+    key = [F.col("g").alias(by)] if by else []
+    return cells.select(*key, F.element_at(names, F.col("i")).alias("i"), F.element_at(names, F.col("j") + 1).alias("j"), "value")

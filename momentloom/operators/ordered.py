@@ -1,41 +1,27 @@
 """Ordered operations: row positions, running values, neighbours, batches.
 
-A window without a partition, or over a partition that holds a large part of the table, is one
-task. Two means avoid that here:
-
-* ``with_row_index`` numbers a whole table by a range shuffle, a checkpoint that fixes the
-  placement, and one offset per partition.
-* ``Chunks`` cuts only the heavy groups at quantiles of their order column. Each window then runs
-  per (group, chunk), and what a chunk needs from its neighbours comes from a small table with
-  one row per heavy chunk, whose size has a proven bound.
+A window without a partition, or over a group that holds a large part of the table, is one task.
+Here the rows are range-partitioned by group and order instead, ties told apart by a hash of the
+row, and a checkpoint fixes the placement. Windows run within each part of a group; what a part
+needs from the parts before it is one carried row. Only groups that lie in several parts have
+one, at most two for each partition, so the carried rows are broadcast.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from momentloom.session import WORTH_A_TASK, ensure_checkpoint_dir
+from momentloom.session import ensure_checkpoint_dir
 
-ROWS_PER_PARTITION = 2_000_000
 POSITION_BITS = 33
 
-# The merge of a top-n is one task, which is right up to about this many rows.
-TOP_ROWS = 100_000
 
-# A group is heavy when it holds more rows than this and more than 1/HEAVY_SHARE of the table, so
-# there are at most HEAVY_SHARE heavy groups and twice as many heavy chunks.
-HEAVY_ROWS = 1_000_000
-HEAVY_SHARE = 10_000
-MAX_CUTS = 1_000
-
-
-def with_row_index(df: DataFrame, keys: Sequence[str], name: str = "row_id", partitions: int | None = None) -> DataFrame:
-    """Number the rows 0..n-1 in the order of ``keys``, which together must be unique.
+def row_index(df: DataFrame, keys: Sequence[str], name: str = "row_id") -> tuple[DataFrame, int]:
+    """Number the rows 0..n-1 in the order of ``keys``, which together must be unique; also n.
 
     One range shuffle; ties in the first key are split by the next. The checkpoint fixes which
     row is in which partition, so that the counts and the numbers agree even when an executor is
@@ -43,11 +29,7 @@ def with_row_index(df: DataFrame, keys: Sequence[str], name: str = "row_id", par
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    if partitions is None:
-        size = df.count()
-        parallel = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        partitions = max(1, ceil(size / ROWS_PER_PARTITION), min(parallel, ceil(size / WORTH_A_TASK)))
-    placed = df.repartitionByRange(partitions, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
+    placed = df.repartitionByRange(*keys).sortWithinPartitions(*keys).checkpoint(eager=True)
     marked = placed.select("*", F.monotonically_increasing_id().alias("_place"))
     part = F.shiftright(F.col("_place"), POSITION_BITS)
     counts = marked.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n")).collect()
@@ -57,127 +39,102 @@ def with_row_index(df: DataFrame, keys: Sequence[str], name: str = "row_id", par
         seen += row["_n"]
     small = F.broadcast(spark.createDataFrame(offsets, "_part bigint, _offset bigint"))
     position = F.col("_place").bitwiseAND(F.lit(2**POSITION_BITS - 1))
-    return (
-        marked.withColumn("_part", part)
-        .join(small, "_part", "left")
-        .select(*df.columns, (F.col("_offset") + position).alias(name))
-    )
+    numbered = marked.withColumn("_part", part).join(small, "_part", "left")
+    return numbered.select(*df.columns, (F.col("_offset") + position).alias(name)), seen
+
+
+def with_row_index(df: DataFrame, keys: Sequence[str], name: str = "row_id") -> DataFrame:
+    """The rows of ``row_index`` alone."""
+    return row_index(df, keys, name)[0]
 
 
 @dataclass(frozen=True)
-class Chunks:
-    """A table whose heavy groups are cut into ordered chunks (column ``_chunk``, else 0)."""
+class Parts:
+    """Rows placed in the order of group and ``order``; ``_part`` is the place, ``_tie`` splits ties."""
 
     rows: DataFrame
     by: str
     order: str
-    cut: bool
 
     def window(self):
-        return Window.partitionBy(self.by, "_chunk").orderBy(self.order)
-
-    def carried(self, summary: Column, combine, preceding: bool = True) -> DataFrame:
-        """Per heavy chunk, ``combine(summary)`` over the group's chunks before (or after) it."""
-        per_chunk = self.rows.where(F.col("_heavy")).groupBy(self.by, "_chunk").agg(summary.alias("_summary"))
-        order = Window.partitionBy(self.by).orderBy("_chunk")
-        frame = order.rowsBetween(Window.unboundedPreceding, -1) if preceding else order.rowsBetween(1, 1)
-        return per_chunk.select(self.by, "_chunk", combine("_summary").over(frame).alias("_carry"))
+        return Window.partitionBy("_part", self.by).orderBy(self.order, "_tie")
+
+    def carried(self, values: Mapping[str, tuple[Column, Column, str]]) -> DataFrame:
+        """The rows with values from the other parts of their group, null where there are none.
+
+        Each value has an aggregate of a part, an aggregate over the column ``_summary`` of parts,
+        and the parts meant: ``before``, ``next`` or ``all``.
+        """
+        parts = self.rows.groupBy("_part", self.by).agg(*[v[0].alias(f"_summary_{name}") for name, v in values.items()])
+        order = Window.partitionBy(self.by).orderBy("_part")
+        frames = {
+            "before": order.rowsBetween(Window.unboundedPreceding, -1),
+            "next": order.rowsBetween(1, 1),
+            "all": Window.partitionBy(self.by),
+        }
+        made = [v[1](F.col(f"_summary_{name}")).over(frames[v[2]]).alias(name) for name, v in values.items()]
+        several = parts.select("_part", F.col(self.by).alias("_group"), F.count(F.lit(1)).over(frames["all"]).alias("_parts"), *made).where("_parts > 1")
+        small = F.broadcast(several.drop("_parts").withColumnRenamed("_part", "_at"))
+        same = (F.col("_part") == F.col("_at")) & F.col(self.by).eqNullSafe(F.col("_group"))
+        return self.rows.join(small, same, "left").drop("_at", "_group")
+
+
+def place(df: DataFrame, by: str, order: str) -> Parts:
+    """Spread the rows over partitions in the order of ``by`` and ``order``, null groups first.
+
+    Rows that agree in both are ordered by a hash of the row, so the result does not depend on the
+    input's order, and a group or a tied value of any size spreads over as many partitions as it needs.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    told = [c for c, kind in df.dtypes if "map<" not in kind]
+    rows = df.withColumn("_tie", F.xxhash64(*told))
+    keys = [by, order, "_tie"]
+    placed = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).checkpoint(eager=True)
+    return Parts(placed.withColumn("_part", F.spark_partition_id()), by, order)
 
-    def attach(self, rows: DataFrame, carried: DataFrame) -> DataFrame:
-        """Put the carried value beside each row; at most twice HEAVY_SHARE rows are broadcast."""
-        return rows.join(F.broadcast(carried), [self.by, "_chunk"], "left")
 
+def _running(df: DataFrame, by: str, order: str, value: Column, local, combine, join, name: str, include: bool) -> DataFrame:
+    """A running value over each group: within the part, joined with what earlier parts carry."""
+    parts = place(df, by, order)
+    frame = parts.window().rowsBetween(Window.unboundedPreceding, 0 if include else -1)
+    rows = parts.carried({"_carry": (local(value), combine, "before")})
+    return rows.select(*df.columns, join(local(value).over(frame), F.col("_carry")).alias(name))
 
-def cut_heavy_groups(df: DataFrame, by: str, order: str, heavy_rows: int = HEAVY_ROWS) -> Chunks:
-    """Cut the heavy groups of ``by`` at quantiles of ``order`` (a number or timestamp).
 
-    The cuts are read once and written into the plan as constants, so a recomputed task cuts the
-    same way. Within a group ``order`` must tell rows apart; equal values stay in one chunk.
-    """
-    size = df.count()
-    limit = max(heavy_rows, ceil(size / HEAVY_SHARE))
-    plain = df.select("*", F.lit(0).alias("_chunk"), F.lit(False).alias("_heavy"))
-    if size <= limit:
-        return Chunks(plain, by, order, False)
-    # At most size / limit <= HEAVY_SHARE groups can pass this filter.
-    heavy = df.groupBy(by).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit).persist()
-    try:
-        top = heavy.agg(F.max("_n")).first()[0]
-        if top is None:
-            return Chunks(plain, by, order, False)
-        cuts = min(MAX_CUTS, ceil(top / limit))
-        shares = [i / cuts for i in range(1, cuts)]
-        # A smaller heavy group keeps every step-th cut, so that chunks hold about ``limit`` rows.
-        step = F.greatest(F.lit(1), F.floor(F.lit(cuts) * F.lit(limit) / F.col("_n")).cast("int"))
-        quantiles = (
-            df.join(F.broadcast(heavy), by)
-            .groupBy(by, "_n")
-            .agg(F.percentile_approx(order, shares, 10 * cuts).alias("_q"))
-        )
-        thinned = F.filter("_q", lambda v, i: F.pmod(i + 1, step) == 0)
-        bounds = quantiles.select(by, F.array_distinct(thinned).alias("_bounds")).collect()
-    finally:
-        heavy.unpersist()
-    spark = df.sparkSession
-    fields = f"`{by}` {df.schema[by].dataType.simpleString()}, _bounds array<{df.schema[order].dataType.simpleString()}>"
-    table = F.broadcast(spark.createDataFrame([(r[by], r["_bounds"]) for r in bounds], fields))
-    marked = df.join(table, by, "left")
-    chunk = F.coalesce(F.size(F.filter("_bounds", lambda b: b < F.col(order))), F.lit(0))
-    heavy_mark = F.col("_bounds").isNotNull()
-    rows = marked.select(*df.columns, F.when(heavy_mark, chunk).otherwise(0).alias("_chunk"), heavy_mark.alias("_heavy"))
-    return Chunks(rows, by, order, True)
-
-
-def _running(df: DataFrame, by: str, order: str, value: Column, local, combine, join, name: str, include: bool, heavy_rows: int) -> DataFrame:
-    """A running value over each group: within the chunk, joined with what earlier chunks carry."""
-    chunks = cut_heavy_groups(df, by, order, heavy_rows)
-    frame = chunks.window().rowsBetween(Window.unboundedPreceding, 0 if include else -1)
-    rows = chunks.rows.select("*", local(value).over(frame).alias("_local"))
-    if not chunks.cut:
-        return rows.select(*df.columns, F.col("_local").alias(name))
-    carried = chunks.carried(local(value), combine)
-    both = join(F.col("_local"), F.col("_carry"))
-    return chunks.attach(rows, carried).select(*df.columns, both.alias(name))
-
-
-def running_total(df: DataFrame, by: str, order: str, value: str, name: str = "running_total", heavy_rows: int = HEAVY_ROWS) -> DataFrame:
-    """Sum of ``value`` from the first row of the group to this one."""
+def _sum_of(a: Column, b: Column) -> Column:
+    """The sum of two values of which either may be missing."""
+    return F.when(a.isNull() & b.isNull(), None).otherwise(F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)))
 
-    def add(a, b):
-        return F.when(a.isNull() & b.isNull(), None).otherwise(F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)))
 
-    return _running(df, by, order, F.col(value), F.sum, F.sum, add, name, True, heavy_rows)
+def running_total(df: DataFrame, by: str, order: str, value: str, name: str = "running_total") -> DataFrame:
+    """Sum of ``value`` from the first row of the group to this one."""
+    return _running(df, by, order, F.col(value), F.sum, F.sum, _sum_of, name, True)
 
 
-def running_max(df: DataFrame, by: str, order: str, value: str, name: str = "running_max", include: bool = True, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+def running_max(df: DataFrame, by: str, order: str, value: str, name: str = "running_max", include: bool = True) -> DataFrame:
     """Largest ``value`` so far, this row included or not."""
-    return _running(df, by, order, F.col(value), F.max, F.max, F.greatest, name, include, heavy_rows)
+    return _running(df, by, order, F.col(value), F.max, F.max, F.greatest, name, include)
 
 
-def step_number(df: DataFrame, by: str, order: str, name: str = "step", heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+def step_number(df: DataFrame, by: str, order: str, name: str = "step") -> DataFrame:
     """Number the rows of each group from 1."""
+    return _running(df, by, order, F.lit(1), F.count, F.sum, _sum_of, name, True)
 
-    def add(a, b):
-        return F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))
-
-    return _running(df, by, order, F.lit(1), F.count, F.sum, add, name, True, heavy_rows)
 
-
-def following(df: DataFrame, by: str, order: str, cols: Sequence[str], prefix: str = "next_", heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+def following(df: DataFrame, by: str, order: str, cols: Sequence[str], prefix: str = "next_") -> DataFrame:
     """The next row's values of ``cols``, null on the last row of a group."""
-    chunks = cut_heavy_groups(df, by, order, heavy_rows)
+    parts = place(df, by, order)
     packed = F.struct(*[F.col(c) for c in cols])
-    rows = chunks.rows.select("*", F.lead(packed).over(chunks.window()).alias("_next"))
-    if chunks.cut:
-        first = F.min_by(packed, F.col(order))
-        rows = chunks.attach(rows, chunks.carried(first, F.first, preceding=False))
-        rows = rows.withColumn("_next", F.coalesce("_next", "_carry"))
+    first = F.min_by(packed, F.struct(order, "_tie"))
+    rows = parts.carried({"_carry": (first, F.first, "next")})
+    # The part's last row alone takes the carried one; a row before it has its own next row.
+    rows = rows.select(*df.columns, F.coalesce(F.lead(packed).over(parts.window()), "_carry").alias("_next"))
     return rows.select(*df.columns, *[F.col("_next")[c].alias(f"{prefix}{c}") for c in cols])
 
 
-def running_best(df: DataFrame, by: str, step: str, value: str, start: float = 10.0, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+def running_best(df: DataFrame, by: str, step: str, value: str, start: float = 10.0) -> DataFrame:
     """The steps that set a new best: strictly above every earlier value and above ``start``."""
-    seen = running_max(df, by, step, value, "_before", include=False, heavy_rows=heavy_rows)
+    seen = running_max(df, by, step, value, "_before", include=False)
     bar = F.greatest(F.coalesce(F.col("_before").cast("double"), F.lit(float(start))), F.lit(float(start)))
     return seen.where(F.col(value) > bar).select(by, step, F.col(value).alias("best"))
 
@@ -219,29 +176,33 @@ def indexed_series(df: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
 
 
 def cumulative_ratio(df: DataFrame, value: str, order: str, by: str | None = None) -> DataFrame:
-    """Running share of the total, for result tables such as one row per component.
-
-    Without ``by`` the table is one group; a long one is cut into chunks like any heavy group.
-    """
-    grouped = df if by else df.withColumn("_all", F.lit(0))
-    by_col = by or "_all"
-    totals = grouped.groupBy(by_col).agg(F.sum(value).alias("_total"))
-    run = running_total(grouped, by_col, order, value, "_run")
-    return run.join(totals, by_col).select(*df.columns, F.try_divide("_run", "_total").alias("cumulative_ratio"))
+    """Running share of the group's total, or of the table's without ``by``. Null groups are a group."""
+    parts = place(df if by else df.withColumn("_all", F.lit(0)), by or "_all", order)
+    frame = parts.window().rowsBetween(Window.unboundedPreceding, 0)
+    rows = parts.carried({"_carry": (F.sum(value), F.sum, "before"), "_whole": (F.sum(value), F.sum, "all")})
+    own = F.sum(value).over(Window.partitionBy("_part", parts.by))
+    ratio = F.try_divide(_sum_of(F.sum(value).over(frame), F.col("_carry")), F.coalesce("_whole", own))
+    return rows.select(*df.columns, ratio.alias("cumulative_ratio"))
 
 
 def head(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
-    """The first ``n`` rows in the order of ``keys``.
+    """The first ``n`` rows in the order of ``keys``, sorted.
 
-    A top-n per task and one merge; a longer head is cut from the row index, which stays spread.
+    A top-n per task and one merge of n rows per task. ``long_head`` is for an n too large for a task.
     """
-    if n <= TOP_ROWS:
-        return df.orderBy(*keys).limit(n)
+    return df.orderBy(*keys).limit(n)
+
+
+def long_head(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
+    """The first ``n`` rows in the order of unique ``keys``, in no order, spread over tasks."""
     return row_range(with_row_index(df, keys, "_place"), 1, n, "_place").drop("_place")
 
 
 def top_k(df: DataFrame, score: str, k: int, tie: str) -> DataFrame:
-    """The ``k`` rows with the highest score; ``tie`` decides between equals."""
+    """The ``k`` rows with the highest score; ``tie`` decides between equals.
+
+    One task merges k rows of every other; for a k too large for that, ``long_head`` on the negated score.
+    """
     return df.orderBy(F.col(score).desc(), tie).limit(k)
 
 

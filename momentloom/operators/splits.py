@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from momentloom.functions.scalars import HASH_SPACE, seeded_hash
-from momentloom.operators.ordered import TOP_ROWS, with_row_index
+from momentloom.operators.ordered import row_index
 
 
 def _check(n: int, k: int) -> None:
@@ -53,15 +53,20 @@ def hashed_fold(key: Column | str, k: int, seed: int) -> Column:
 
 def shuffled_fold(df: DataFrame, key: str, k: int, seed: int, name: str = "fold") -> DataFrame:
     """Shuffled folds of equal size, through the rank of the hash."""
-    ranked = shuffle_order(df, key, seed, "_rank")
-    n = ranked.count()
+    ranked, n = _shuffled(df, key, seed, "_rank")
     return ranked.select(*df.columns, even_fold("_rank", n, k).alias(name))
 
 
 def shuffle_order(df: DataFrame, key: str, seed: int, name: str = "position") -> DataFrame:
     """Each row's place 0..n-1 in a seeded random order. Hash values spread evenly over tasks."""
+    return _shuffled(df, key, seed, name)[0]
+
+
+def _shuffled(df: DataFrame, key: str, seed: int, name: str) -> tuple[DataFrame, int]:
+    """The rows of ``shuffle_order`` and their number."""
     hashed = df.withColumn("_hash", seeded_hash(key, seed))
-    return with_row_index(hashed, ["_hash", key], name).drop("_hash")
+    ranked, n = row_index(hashed, ["_hash", key], name)
+    return ranked.drop("_hash"), n
 
 
 def is_train(key: Column | str, fraction: float, seed: int) -> Column:
@@ -73,8 +78,8 @@ def train_test_split(df: DataFrame, key: str, fraction: float, seed: int, exact:
     """Add ``split`` = train / test. With ``exact`` the train part has round(fraction * n) rows."""
     if not exact:
         return df.withColumn("split", F.when(is_train(key, fraction, seed), "train").otherwise("test"))
-    ranked = shuffle_order(df, key, seed, "_rank")
-    wanted = int(ranked.count() * fraction + 0.5)
+    ranked, n = _shuffled(df, key, seed, "_rank")
+    wanted = int(n * fraction + 0.5)
     mark = F.when(F.col("_rank") < wanted, "train").otherwise("test")
     return ranked.select(*df.columns, mark.alias("split"))
 
@@ -148,10 +153,13 @@ def standard_cv(indexed: DataFrame, n: int, k: int, index: str = "row_id") -> Da
 
 
 def sample_k(df: DataFrame, key: str, k: int, seed: int) -> DataFrame:
-    """``k`` rows without replacement: those with the smallest hashes.
+    """``k`` rows without replacement: those with the smallest hashes, in their order.
 
-    A top-k that one task can merge, or for a larger sample the first ``k`` of the shuffled order.
+    One task merges k rows of every other; ``large_sample`` is for a k too large for that.
     """
-    if k <= TOP_ROWS:
-        return df.orderBy(seeded_hash(key, seed), key).limit(k)
+    return df.orderBy(seeded_hash(key, seed), key).limit(k)
+
+
+def large_sample(df: DataFrame, key: str, k: int, seed: int) -> DataFrame:
+    """The same rows by their place in the shuffled order, spread over tasks; ``key`` must be unique."""
     return shuffle_order(df, key, seed, "_place").where(F.col("_place") < k).drop("_place")

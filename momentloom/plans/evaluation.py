@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from momentloom.functions import arrays
+from momentloom.functions.scalars import round_digits
 from momentloom.operators import linear, metrics, neural, splits
 from momentloom.operators.logistic import LogisticTask, fit_logistic_models
 
@@ -17,7 +18,7 @@ PARALLEL_FITS = 8
 
 
 def cv_accuracy(df: DataFrame, label: str, features: Sequence[str], fold: str, folds: int) -> DataFrame:
-    """Held-out accuracy of a logistic classifier in each fold.
+    """Held-out accuracy of a logistic classifier in each fold, with the rows scored and not scored.
 
     All folds are fitted together on shared scans. Each row is then scored by the model that has
     not seen it, in one pass.
@@ -28,7 +29,18 @@ def cv_accuracy(df: DataFrame, label: str, features: Sequence[str], fold: str, f
     for f in range(folds):
         predicted = F.when(F.col(fold) == f, models[str(f)].predicted()).otherwise(predicted)
     scored = df.select(fold, label, predicted.alias("pred"))
-    return scored.groupBy(fold).agg(F.count(F.lit(1)).alias("n"), metrics.accuracy(label, "pred").alias("accuracy"))
+    return scored.groupBy(fold).agg(*_scored(label, "pred"), metrics.accuracy(label, "pred").alias("accuracy"))
+
+
+def _scored(label: Column | str, pred: Column | str) -> list[Column]:
+    """The number of rows with truth and prediction, and of those without."""
+    missing = metrics.not_scored(label, pred)
+    return [(F.count(F.lit(1)) - missing).alias("n"), missing.alias("n_not_scored")]
+
+
+def mean_accuracy(folds: DataFrame, digits: int = 4) -> DataFrame:
+    """The mean over the folds of ``cv_accuracy``."""
+    return folds.agg(F.count("accuracy").alias("n_folds"), round_digits(F.avg("accuracy"), digits).alias("mean_accuracy"))
 
 
 def compare_feature_sets(df: DataFrame, label: str, sets: Mapping[str, Sequence[str]], split: str = "split") -> DataFrame:
@@ -37,12 +49,17 @@ def compare_feature_sets(df: DataFrame, label: str, sets: Mapping[str, Sequence[
     tasks = {name: LogisticTask(tuple(xs), train) for name, xs in sets.items()}
     used = list(dict.fromkeys(x for xs in sets.values() for x in xs))
     models = fit_logistic_models(df.select(label, split, *used), label, tasks)
-    row = df.where(F.col(split) == "test").agg(
-        F.count(F.lit(1)).alias("n"),
-        *[metrics.accuracy(F.col(label), models[name].predicted()).alias(f"a{i}") for i, name in enumerate(sets)],
-    )
+    scored = df.where(F.col(split) == "test").select(F.col(label).alias("_y"), *[models[name].predicted().alias(f"_p{i}") for i, name in enumerate(sets)])
+    made = []
+    for i in range(len(sets)):
+        n, missing = _scored("_y", f"_p{i}")
+        made += [n.alias(f"n{i}"), missing.alias(f"m{i}"), metrics.accuracy("_y", f"_p{i}").alias(f"a{i}")]
+    row = scored.agg(*made)
     each = [
-        F.struct(F.lit(name).alias("feature_set"), F.lit(len(xs)).alias("n_features"), F.col("n").alias("n_test"), F.col(f"a{i}").alias("accuracy"))
+        F.struct(
+            F.lit(name).alias("feature_set"), F.lit(len(xs)).alias("n_features"),
+            F.col(f"n{i}").alias("n_test"), F.col(f"m{i}").alias("n_not_scored"), F.col(f"a{i}").alias("accuracy"),
+        )
         for i, (name, xs) in enumerate(sets.items())
     ]
     return row.select(F.inline(F.array(*each)))
@@ -146,9 +163,12 @@ def cv_experiment(
 
 
 def best_of_splits(log: DataFrame, start: float = 10.0) -> DataFrame:
-    """The epoch with the best validation accuracy of each cell, the earliest on ties."""
-    packed = F.struct("accuracy", (-F.col("epoch")).alias("e"), "epoch", "balanced_accuracy")
-    picked = log.where(F.col("accuracy") > start).groupBy("approach", "model", "split").agg(F.max(packed).alias("b"), F.max("seconds").alias("seconds"))
+    """The epoch with the best validation accuracy of each cell, the earliest on ties.
+
+    A cell that never gets above ``start`` has no best, and counts with its time all the same.
+    """
+    packed = F.when(F.col("accuracy") > start, F.struct("accuracy", (-F.col("epoch")).alias("e"), "epoch", "balanced_accuracy"))
+    picked = log.groupBy("approach", "model", "split").agg(F.max(packed).alias("b"), F.max("seconds").alias("seconds"))
     return picked.select(
         "approach", "model", "split", F.col("b.accuracy").alias("best_accuracy"),
         F.col("b.balanced_accuracy").alias("best_balanced_accuracy"), F.col("b.epoch").alias("last_improvement"), "seconds",
@@ -156,12 +176,15 @@ def best_of_splits(log: DataFrame, start: float = 10.0) -> DataFrame:
 
 
 def experiment_summary(best: DataFrame) -> DataFrame:
-    """Mean and three deviations over the splits of each scheme and model, and the total time."""
+    """Mean and three deviations over the splits of each scheme and model, of the scores and of the time."""
     return best.groupBy("approach", "model").agg(
         F.count(F.lit(1)).alias("n_splits"),
+        F.count("best_accuracy").alias("n_improved"),
         F.avg("best_accuracy").alias("accuracy"),
         (3 * F.stddev_samp("best_accuracy")).alias("accuracy_three_sigma"),
         F.avg("best_balanced_accuracy").alias("balanced_accuracy"),
         (3 * F.stddev_samp("best_balanced_accuracy")).alias("balanced_three_sigma"),
         F.sum("seconds").alias("total_seconds"),
+        F.avg("seconds").alias("seconds"),
+        (3 * F.stddev_samp("seconds")).alias("seconds_three_sigma"),
     )

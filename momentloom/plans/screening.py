@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from momentloom.operators import linear
 from momentloom.operators.linear import LinearModel
-from momentloom.operators.moments import BROADCAST_ROWS, GroupedMoments, Moments, collect_moments, star_sums
+from momentloom.operators.moments import GroupedMoments, Moments, collect_moments
 
 
 def screen_univariate(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:
@@ -21,31 +21,40 @@ def screen_univariate(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:
     return row.select(F.inline(F.array(*each)))
 
 
-def screen_univariate_star(
-    fact: DataFrame,
-    fact_key: str,
-    y: str,
-    fact_xs: Sequence[str],
-    dim: DataFrame,
-    dim_key: str,
-    dim_xs: Sequence[str],
-    broadcast_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
-    """The same screen over a fact table and the features of a table it refers to.
-
-    A small counted table is broadcast; beside a large one the fact rows are summed per key first,
-    so that a hot key is one row in the join.
+def screen_univariate_star(fact: DataFrame, fact_key: str, y: str, fact_xs: Sequence[str], dim: DataFrame, dim_key: str, dim_xs: Sequence[str]) -> DataFrame:
+    """The same screen over a fact table and the features of a table it refers to by a unique key.
+
+    Every feature uses the rows where it and the target are known, as in ``screen_univariate`` over the
+    left join. The target is summed per key before the join, so a hot key is one row in it, and adaptive
+    execution broadcasts a small side. Features of the fact table need no join.
     """
-    cols = [y, *fact_xs, *dim_xs]
-    pairs = {(0, j) for j in range(len(cols))} | {(j, j) for j in range(len(cols))}
-    sums = star_sums(fact, fact_key, [y, *fact_xs], dim, dim_key, dim_xs, broadcast_rows, pairs)
-    spread = lambda i, j: f"(c_{i}_{j} - s_{i} * s_{j} / n)"
-    each = []
-    for j, name in enumerate(cols[1:], start=1):
-        squared = f"try_divide(pow({spread(0, j)}, 2D), {spread(0, 0)} * {spread(j, j)})"
-        r2 = F.expr(f"case when {spread(0, 0)} > 0 then {squared} end")
-        each.append(F.struct(F.lit(name).alias("feature"), r2.alias("r2")))
-    return sums.select(F.inline(F.array(*each)))
+    parts = []
+    if fact_xs:
+        parts.append(screen_univariate(fact, y, fact_xs))
+    if dim_xs:
+        target = fact.select(F.col(fact_key).alias("_key"), F.col(y).cast("double").alias("_y")).where(F.col("_y").isNotNull())
+        features = dim.select(F.col(dim_key).alias("_key"), *[F.col(x).cast("double").alias(f"_x{i}") for i, x in enumerate(dim_xs)])
+        # Means as shifts, each a table of one row; sums about them keep their digits.
+        center = F.broadcast(target.agg(F.coalesce(F.avg("_y"), F.lit(0.0)).alias("_m")))
+        centers = F.broadcast(features.agg(*[F.coalesce(F.avg(f"_x{i}"), F.lit(0.0)).alias(f"_m{i}") for i in range(len(dim_xs))]))
+        moved = target.crossJoin(center).select("_key", (F.col("_y") - F.col("_m")).alias("_y"))
+        per_key = moved.groupBy("_key").agg(F.count("_y").cast("double").alias("n"), F.sum("_y").alias("s"), F.sum(F.col("_y") * F.col("_y")).alias("q"))
+        joined = per_key.join(features, "_key").crossJoin(centers)
+        sums = []
+        for i in range(len(dim_xs)):
+            x = F.col(f"_x{i}") - F.col(f"_m{i}")
+            known = lambda c: F.sum(F.when(F.col(f"_x{i}").isNotNull(), c))
+            values = {"n": F.col("n"), "y": F.col("s"), "yy": F.col("q"), "x": F.col("n") * x, "xx": F.col("n") * x * x, "xy": F.col("s") * x}
+            sums += [known(v).alias(f"{name}{i}") for name, v in values.items()]
+        row = joined.agg(*sums)
+        each = []
+        for i, name in enumerate(dim_xs):
+            about = lambda a, b, c: F.col(f"{a}{i}") - F.try_divide(F.col(f"{b}{i}") * F.col(f"{c}{i}"), F.col(f"n{i}"))
+            of_y = about("yy", "y", "y")
+            r2 = F.when(of_y > 0, F.try_divide(F.pow(about("xy", "x", "y"), F.lit(2.0)), of_y * about("xx", "x", "x")))
+            each.append(F.struct(F.lit(name).alias("feature"), r2.alias("r2")))
+        parts.append(row.select(F.inline(F.array(*each))))
+    return parts[0] if len(parts) == 1 else parts[0].union(parts[1])
 
 
 def drop_one_sets(xs: Sequence[str]) -> list[tuple[str, ...]]:
@@ -121,9 +130,9 @@ def _search(spark, grouped: GroupedMoments, y, cases, lams, standardized) -> Sea
                 held: Moments = grouped.groups[g]
                 model = linear.solve_linear(train[g], y, case, lam, standardized=standardized)
                 sse = linear.squared_error(held, model)
-                folds.append((number, int(g), int(held.n), (sse / held.n) ** 0.5))
+                folds.append((number, int(g), int(held.n), float((sse / held.n) ** 0.5)))
                 errors += sse
-            candidates.append((number, len(case), float(lam), (errors / total.n) ** 0.5))
+            candidates.append((number, len(case), float(lam), float((errors / total.n) ** 0.5)))
     best = min(candidates, key=lambda r: (r[3], r[0]))[0]
     case, lam = cases[best // len(lams)], lams[best % len(lams)]
     winner = linear.solve_linear(total, y, case, lam, standardized=standardized)

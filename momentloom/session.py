@@ -2,14 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
-from math import ceil
+import os
 
-from pyspark.sql import DataFrame, SparkSession
-
-# Fewer rows than this are not worth a task of their own.
-WORTH_A_TASK = 10_000
-SPREAD_ROWS = 5_000_000
+from pyspark.sql import SparkSession
 
 
 def local_session(cpus: int | str = 8, app: str = "momentloom", memory: str = "8g") -> SparkSession:
@@ -30,27 +25,15 @@ def local_session(cpus: int | str = 8, app: str = "momentloom", memory: str = "8
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the folder named in ``spark.checkpoint.dir``.
 
-    Where neither the setting nor the context has one, a temporary folder is taken in local
-    mode only: on a cluster the executors would not share it, so that is an error.
+    Where it is not set, a session in one JVM takes a folder beside its warehouse. On a cluster
+    that is an error, as the executors share no local folder.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        context.setCheckpointDir(configured)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
-    else:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-
-
-def spread(df: DataFrame, rows: int) -> DataFrame:
-    """Deal a table of known modest size out to all cores, for repeated passes over it.
-
-    A few files give a few tasks, at every pass. A larger table has tasks enough and is left alone.
-    """
-    if rows > SPREAD_ROWS:
-        return df
-    parallel = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(max(1, min(parallel, ceil(rows / WORTH_A_TASK))))
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not context.master.startswith("local") or "cluster" in context.master:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_checkpoints")
+    context.setCheckpointDir(folder)

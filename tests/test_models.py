@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from momentloom.catalog import REGISTRY
 from momentloom.functions.scalars import seeded_normal, seeded_uniform
-from momentloom.operators import linear, logistic, moments, neural, profile, splits
+from momentloom.operators import linear, moments, neural, profile, splits
 from momentloom.operators.logistic import LogisticTask, fit_logistic, fit_logistic_models, score
 from momentloom.plans import evaluation, screening
 from momentloom.sources import generate, store
@@ -111,12 +111,9 @@ def test_dropping_a_feature_never_helps_in_sample(data):
 def test_star_screen_equals_the_join(spark):
     fact = spark.range(900).select((F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 40)).alias("k"), seeded_normal("id", 1).alias("x"), seeded_normal("id", 2).alias("y"))
     dim = spark.range(35).select(F.col("id").alias("dk"), seeded_normal("id", 9).alias("z"))
-    plain = {r["feature"]: r["r2"] for r in screening.screen_univariate(fact.join(dim, F.col("k") == F.col("dk")), "y", ["x", "z"]).collect()}
-    whole = moments.collect_moments(fact.join(dim, F.col("k") == F.col("dk")), ["x", "y", "z"]).total()
-    for limit in (0, 1_000):
-        made = moments.star_moments(fact, "k", ["x", "y"], dim, "dk", ["z"], limit)
-        assert made.n == whole.n and made.scatter() == pytest.approx(whole.scatter(), rel=1e-9)
-        star = screening.screen_univariate_star(fact, "k", "y", ["x"], dim, "dk", ["z"], broadcast_rows=limit)
+    for rows, features in ((fact, dim), (fact.withColumns({"x": F.when(F.col("x") > -0.5, F.col("x")), "y": F.when(F.col("y") < 1, F.col("y"))}), dim.withColumn("z", F.when(F.col("dk") % 4 != 0, F.col("z"))))):
+        plain = {r["feature"]: r["r2"] for r in screening.screen_univariate(rows.join(features, F.col("k") == F.col("dk"), "left"), "y", ["x", "z"]).collect()}
+        star = screening.screen_univariate_star(rows, "k", "y", ["x"], features, "dk", ["z"])
         assert {r["feature"]: r["r2"] for r in star.collect()} == pytest.approx(plain, rel=1e-9)
 
 
@@ -158,8 +155,20 @@ def test_batched_products_equal_sums(data):
     for f, m in plain.groups.items():
         assert batched.groups[f].n == m.n
         assert batched.groups[f].scatter() == pytest.approx(m.scatter(), rel=1e-8, abs=1e-8)
-    wide = moments._collect_in_batches(vector, "v", tuple(cols), None, np.zeros(4)).total()
-    assert wide.raw() == pytest.approx(plain.total().raw(), rel=1e-9)
+    table = {(r["fold"], r["i"], r["j"]): r["value"] for r in moments.gram(data, cols, by="fold").collect()}
+    for f, m in plain.groups.items():
+        assert [table[f, a, b] for i, a in enumerate(cols) for b in cols[i:]] == pytest.approx(list(m.raw()[np.triu_indices(4)]), rel=1e-8, abs=1e-8)
+    assert len(table) == 10 * len(plain.groups)
+    with pytest.raises(ValueError, match="gram"):
+        moments.collect_moments(data, cols, by="id", limit=100)
+
+
+def test_moments_of_reordered_rows_with_holes(spark):
+    rows = [(i % 3, float(i) + 1e6, float(i * i % 17) if i % 5 else None, float("nan") if i == 7 else 1.0 * (i % 4)) for i in range(400)]
+    one, two = (moments.collect_moments(spark.createDataFrame(r, "g int, a double, b double, c double"), ["a", "b", "c"], by="g") for r in (rows, rows[::-1]))
+    assert one.total().n == sum(r[2] is not None and r[3] == r[3] for r in rows)
+    for g, m in one.groups.items():
+        assert m.scatter() == pytest.approx(two.groups[g].scatter(), rel=1e-10)
 
 
 def test_embedding_components_against_numpy(spark):
@@ -186,13 +195,19 @@ def test_newton_equals_the_estimator(classes):
     assert made["part"].coefs[0] == pytest.approx(part.coefficients[0], rel=1e-4)
 
 
-def test_wide_models_go_to_the_estimator(classes, monkeypatch):
+def test_both_solvers_agree(classes):
     tasks = {"one": LogisticTask(("a",)), "two": LogisticTask(("a", "b"), F.col("fold") != 1)}
-    narrow = fit_logistic_models(classes, "label", tasks)
-    monkeypatch.setattr(logistic, "MAX_NEWTON_FEATURES", 1)
-    wide = fit_logistic_models(classes, "label", tasks)
-    assert list(wide) == ["one", "two"] and wide["one"].coefs == pytest.approx(narrow["one"].coefs)
-    assert wide["two"].coefs == pytest.approx(narrow["two"].coefs, rel=1e-4) and wide["two"].converged
+    newton = fit_logistic_models(classes, "label", tasks)
+    other = fit_logistic_models(classes, "label", tasks, solver="estimator")
+    assert list(other) == ["one", "two"] and other["one"].coefs == pytest.approx(newton["one"].coefs, rel=1e-4)
+    assert other["two"].coefs == pytest.approx(newton["two"].coefs, rel=1e-4) and other["two"].converged
+
+
+def test_missing_values_of_one_model_leave_the_others_alone(classes):
+    holes = classes.withColumn("b", F.when(F.rand(3) > 0.3, F.col("b")))
+    alone = fit_logistic_models(classes, "label", {"m": LogisticTask(("a",))})["m"]
+    beside = fit_logistic_models(holes, "label", {"m": LogisticTask(("a",)), "n": LogisticTask(("a", "b"))})
+    assert beside["m"].coefs == pytest.approx(alone.coefs, rel=1e-9)
 
 
 def test_separable_classes_are_reported(spark):

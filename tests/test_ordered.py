@@ -5,7 +5,14 @@ from pyspark.sql import functions as F
 
 from momentloom.operators import ordered, sequences, splits
 
-HEAVY = 40
+
+@pytest.fixture(autouse=True, params=[True, False], ids=["few tasks", "many tasks"])
+def spread(request, spark):
+    """Small tables in one partition, then in as many as a large table would have."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, str(request.param).lower())
+    yield request.param
+    spark.conf.set(name, "true")
 
 
 @pytest.fixture(scope="module")
@@ -22,50 +29,59 @@ def by_id(df, col):
     return {r["id"]: r[col] for r in df.collect()}
 
 
-def test_heavy_groups_are_cut_and_light_ones_are_not(skewed):
-    pdf, df = skewed
-    chunks = ordered.cut_heavy_groups(df, "g", "t", heavy_rows=HEAVY)
-    assert chunks.cut
-    rows = chunks.rows.toPandas()
-    sizes = pdf.groupby("g").size()
-    heavy = set(sizes[sizes > HEAVY].index)
-    assert set(rows[rows["_heavy"]]["g"]) == heavy == {0, 1}
-    assert rows[~rows["_heavy"]]["_chunk"].eq(0).all()
-    assert rows[rows["g"] == 0].groupby("_chunk").size().max() <= 2 * HEAVY
-    for g in heavy:
-        part = rows[rows["g"] == g].sort_values("t")
-        assert part["_chunk"].is_monotonic_increasing
-
-
-@pytest.mark.parametrize("heavy", [HEAVY, 10_000])
-def test_running_values(skewed, heavy):
+def rows_per_part(df, by, order):
+    return ordered.place(df, by, order).rows.groupBy("_part").count().toPandas()["count"]
+
+
+def test_groups_nulls_and_ties_spread_over_tasks(spark, skewed, spread):
+    if spread:
+        return
+    n = 4000
+    base = spark.range(n).select("id", F.lit(1.0).alias("v"))
+    one_group = base.select("*", F.lit(1).alias("g"), F.col("id").alias("t"))
+    null_group = base.select("*", F.lit(None).cast("int").alias("g"), F.col("id").alias("t"))
+    one_value = base.select("*", F.lit(1).alias("g"), F.lit(5).alias("t"))
+    for df in (one_group, null_group, one_value):
+        assert rows_per_part(df, "g", "t").max() < n / 3
+        assert sorted(r["step"] for r in ordered.step_number(df, "g", "t").collect()) == list(range(1, n + 1))
+        assert max(r["running_total"] for r in ordered.running_total(df, "g", "t", "v").collect()) == n
+        ratios = [r["cumulative_ratio"] for r in ordered.cumulative_ratio(df, "v", "t", "g").collect()]
+        assert len(ratios) == n and max(ratios) == pytest.approx(1.0)
+    assert rows_per_part(skewed[1], "g", "t").max() < 400
+
+
+def test_null_groups_keep_their_rows(spark):
+    df = spark.createDataFrame([(1, 1, 2.0), (None, 1, 3.0), (None, 2, 1.0), (1, 2, None), (2, 1, 0.0)], "g int, t int, v double")
+    got = {(r["g"], r["t"]): r["cumulative_ratio"] for r in ordered.cumulative_ratio(df, "v", "t", "g").collect()}
+    assert got == {(1, 1): 1.0, (None, 1): 0.75, (None, 2): 1.0, (1, 2): 1.0, (2, 1): None}
+
+
+def test_running_values(skewed):
     pdf, df = skewed
     s = pdf.sort_values("t")
-    total = by_id(ordered.running_total(df, "g", "t", "v", heavy_rows=heavy), "running_total")
+    total = by_id(ordered.running_total(df, "g", "t", "v"), "running_total")
     want = s.assign(w=s.groupby("g")["v"].cumsum()).set_index("id")["w"]
     assert all(total[i] == pytest.approx(want[i]) for i in want.index)
-    top = by_id(ordered.running_max(df, "g", "t", "v", heavy_rows=heavy), "running_max")
+    top = by_id(ordered.running_max(df, "g", "t", "v"), "running_max")
     want = s.assign(w=s.groupby("g")["v"].cummax()).set_index("id")["w"]
     assert all(top[i] == want[i] for i in want.index)
-    step = by_id(ordered.step_number(df, "g", "t", heavy_rows=heavy), "step")
+    step = by_id(ordered.step_number(df, "g", "t"), "step")
     want = s.assign(w=s.groupby("g").cumcount() + 1).set_index("id")["w"]
     assert all(step[i] == want[i] for i in want.index)
 
 
-@pytest.mark.parametrize("heavy", [HEAVY, 10_000])
-def test_following_row(skewed, heavy):
+def test_following_row(skewed):
     pdf, df = skewed
-    got = by_id(ordered.following(df, "g", "t", ["id"], heavy_rows=heavy), "next_id")
+    got = by_id(ordered.following(df, "g", "t", ["id"]), "next_id")
     s = pdf.sort_values("t")
     want = s.assign(w=s.groupby("g")["id"].shift(-1)).set_index("id")["w"]
     for i in want.index:
         assert (got[i] is None and np.isnan(want[i])) or got[i] == want[i]
 
 
-@pytest.mark.parametrize("heavy", [HEAVY, 10_000])
-def test_running_best_and_final_best_agree(skewed, heavy):
+def test_running_best_and_final_best_agree(skewed):
     pdf, df = skewed
-    best = ordered.running_best(df, "g", "t", "v", heavy_rows=heavy).toPandas()
+    best = ordered.running_best(df, "g", "t", "v").toPandas()
     want = []
     for g, part in pdf.sort_values("t").groupby("g"):
         bar = 10.0
@@ -82,7 +98,7 @@ def test_running_best_and_final_best_agree(skewed, heavy):
 
 def test_row_index_over_many_partitions(spark):
     df = spark.range(1000).select(F.pmod(F.col("id") * 7919, F.lit(1000)).alias("k"), F.pmod("id", F.lit(3)).alias("third"))
-    got = ordered.with_row_index(df, ["third", "k"], partitions=7).toPandas()
+    got = ordered.with_row_index(df, ["third", "k"]).toPandas()
     want = got.sort_values(["third", "k"]).reset_index(drop=True)
     assert list(want["row_id"]) == list(range(1000))
 
@@ -102,17 +118,15 @@ def test_sequence_features_do_not_depend_on_cuts(spark):
     angle = F.col("id") * 0.1
     points = spark.range(300).select(F.lit(1).alias("seq_id"), F.col("id").alias("step"), F.cos(angle).alias("x"), F.sin(angle).alias("y"))
     whole = sequences.sequence_features(points).first()
-    cut = sequences.sequence_features(points, heavy_rows=30).first()
-    assert whole["n_points"] == cut["n_points"] == 300
-    for c in sequences.SEQUENCE_FEATURES:
-        assert whole[c] == pytest.approx(cut[c])
+    x, y = np.cos(np.arange(300) * 0.1), np.sin(np.arange(300) * 0.1)
+    assert whole["n_points"] == 300
+    assert whole["path_length"] == pytest.approx(np.hypot(np.diff(x), np.diff(y)).sum())
+    assert whole["mean_turn"] == pytest.approx(np.sin(0.1))
     assert whole["signed_area"] == pytest.approx(299 * np.sin(0.1))
 
 
-def test_long_heads_and_samples_use_the_row_index(spark, monkeypatch):
+def test_long_heads_and_samples_use_the_row_index(spark):
     df = spark.range(200).select((F.lit(500) - F.col("id")).alias("k"))
     short = [sorted(r["k"] for r in d.collect()) for d in (ordered.head(df, ["k"], 60), splits.sample_k(df, "k", 60, 1))]
-    monkeypatch.setattr(ordered, "TOP_ROWS", 10)
-    monkeypatch.setattr(splits, "TOP_ROWS", 10)
-    long = [sorted(r["k"] for r in d.collect()) for d in (ordered.head(df, ["k"], 60), splits.sample_k(df, "k", 60, 1))]
+    long = [sorted(r["k"] for r in d.collect()) for d in (ordered.long_head(df, ["k"], 60), splits.large_sample(df, "k", 60, 1))]
     assert short == long and len(long[0]) == 60
