@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from momentloom.catalog.common import TEXT_SQL, rounded, text_measures
+from momentloom.catalog.common import TEXT_SQL, rounded, significant, text_measures
 from momentloom.catalog.profiles import BETA, LINEAR_SQL, SPIRAL_SQL
 from momentloom.catalog.registry import analysis
 from momentloom.catalog.sqltext import covariances, eliminate, hash32, newton, rd, regression, rs
 from momentloom.functions import arrays
-from momentloom.operators import linear, metrics, neural, schema, sequences, splits
+from momentloom.operators import linear, metrics, neural, schema, sequences, splits, steps
 from momentloom.operators.logistic import LogisticTask, fit_logistic, fit_logistic_models, score
 from momentloom.operators.moments import collect_moments, collect_vector_moments
 from momentloom.operators.ordered import cumulative_ratio
@@ -167,14 +164,10 @@ def selected_then_standardized(spark, folder):
     f"select doc_id, {rd('b0 + b_0*n_spaces + b_1*n_lines', 2)} as prediction from t, lf",
 )
 def chained_steps(spark, folder):
-    """Scaling and regression fitted as one chain of ``pyspark.ml`` stages."""
+    """Scaling, selection and regression fitted as one chain, in the order that reads least."""
     rows = text_measures(spark, folder)
-    stages = [
-        VectorAssembler(inputCols=["n_spaces", "n_lines"], outputCol="raw"),
-        StandardScaler(withMean=True, withStd=True, inputCol="raw", outputCol="scaled"),
-        LinearRegression(featuresCol="scaled", labelCol="n_chars", solver="normal", regParam=0.0),
-    ]
-    made = Pipeline(stages=stages).fit(rows).transform(rows)
+    chain = [steps.Standardize(), steps.Select(("n_spaces", "n_lines")), steps.Regress("n_chars")]
+    made = steps.pipeline(chain, rows, ["n_spaces", "n_lines", "n_e", "n_marks"]).transform(rows, keep=["doc_id"])
     return rounded(made.select("doc_id", "prediction"), 2)
 
 
@@ -204,6 +197,18 @@ def component_projections(spark, folder):
     return rounded(fitted.transform(rows, keep=["doc_id"]))
 
 
+@analysis(
+    "L6",
+    f"""with e as (select embedding::double[] as v from embeddings), r as (select corr(v[i], v[j]) as r from e, (select unnest(range(1, 65)) as i), (select unnest(range(1, 65)) as j) group by i, j)
+    select 64::bigint as components, {rd('64e0', 5)} as total, {rd('sum(r*r)', 5)} as total_of_squares from r""",
+)
+def embedding_component_sums(spark, folder):
+    """Variances of all components: they sum to their number, and their squares to those of all correlations."""
+    m = collect_vector_moments(load(spark, folder, "embeddings"), "embedding", 64).total()
+    v = linear.components_from(m, m.cols).table(spark)
+    return rounded(v.agg(F.count(F.lit(1)).alias("components"), F.sum("variance").alias("total"), F.sum(F.col("variance") * F.col("variance")).alias("total_of_squares")), 5)
+
+
 @analysis("L6 W1")
 def embedding_components(spark, folder):
     """All 64 components of the embeddings, from sums of products formed in Arrow batches."""
@@ -255,7 +260,7 @@ def quality_rows(spark, folder):
 
 
 @analysis(
-    "L5 M3 M5 M6 M7",
+    "L5 M5 M6 M7",
     f"""with d as {QUALITY_SQL}, {_quality_newton}, s as (select quality, 1e0/(1e0+exp(-(w0 + w1*n_spaces + w2*n_lines))) as p from d, {_quality_last})
     select count(*) as n, {rd('avg(-(quality*ln(p) + (1-quality)*ln(1e0-p)))', 4)} as cross_entropy, {rd('avg(((p > 0.5e0)::int = quality)::int)', 4)} as accuracy,
     {rd('avg(((p > 0.5e0)::int <> quality)::int)', 4)} as misclassification from s""",
@@ -294,19 +299,50 @@ def pooled_images(spark, folder):
     return load(spark, folder, "embeddings").select("vec_id", arrays.pool("embedding", 8, 8).alias("image"), "label")
 
 
-@analysis("L7 F12 W7")
+@analysis("L7 F12")
 def perceptron_accuracy(spark, folder):
-    """A small perceptron on pooled images: loss and accuracies on the rows it was fitted on."""
-    images = pooled_images(spark, folder)
-    model = neural.fit_mlp(neural.training_rows(images, "image", "label"), IMAGE_LAYERS, 40)
-    made = neural.quality(model, images, "image", "label")
-    row = (neural.parameter_count(IMAGE_LAYERS), int(model.weights.size), made.loss, made.accuracy, made.balanced_accuracy)
-    return rounded(spark.createDataFrame([row], "expected_weights int, weights int, loss double, accuracy double, balanced_accuracy double"))
+    """A small perceptron on pooled images: loss and accuracies on the rows it was fitted on and on others."""
+    parts = splits.train_test_split(pooled_images(spark, folder), "vec_id", 0.8, 21)
+    train, test = (parts.where(F.col("split") == p) for p in ("train", "test"))
+    model = neural.fit_mlp(neural.training_rows(train, "image", "label"), IMAGE_LAYERS, 40)
+    seen, held = (neural.quality(model, part, "image", "label") for part in (train, test))
+    row = (neural.parameter_count(IMAGE_LAYERS), int(model.weights.size), seen.loss, seen.accuracy, held.loss, held.accuracy, held.balanced_accuracy)
+    return rounded(spark.createDataFrame([row], "expected_weights int, weights int, loss double, accuracy double, test_loss double, test_accuracy double, test_balanced_accuracy double"))
+
+
+_line, _line_last = _normal_equations("t", ["constant", "l_quantity", "l_discount", "l_tax"], "l_extendedprice", "q")
+
+
+@analysis(
+    "L1 U4",
+    f"with t as (select 1e0 as constant, * from lineitem), {_line} "
+    + " union all ".join(f"select '{c}' as term, {rs(f'm_{i}_4', 6)} as value from {_line_last}" for i, c in enumerate(["constant", "l_quantity", "l_discount", "l_tax"])),
+)
+def ols_line_items(spark, folder):
+    """Least squares with a constant column on all line items."""
+    rows = schema.with_intercept(load(spark, folder, "lineitem").select("l_extendedprice", "l_quantity", "l_discount", "l_tax"))
+    model = linear.ols(rows, "l_extendedprice", ["constant", "l_quantity", "l_discount", "l_tax"])
+    return significant(linear.coef_table(spark, model).where(F.col("term") != "Intercept"), 6)
+
+
+@analysis(
+    "L8 W8",
+    f"""with n as (select user_id, value as x, event_id % 97 + 1e0 as y, lead(value) over w as nx, lead(event_id % 97 + 1e0) over w as ny from events window w as (partition by user_id order by ts))
+    select user_id, count(*) as n_points, {rd('sum(x*ny - nx*y)', 4)} as signed_area, {rd('sum(sqrt(pow(nx-x,2)+pow(ny-y,2)))', 4)} as path_length from n group by 1""",
+)
+def event_paths(spark, folder):
+    """Each user's events in time order as a path of points, and how it turns."""
+    points = load(spark, folder, "events").select("user_id", "ts", F.col("value").alias("x"), (F.pmod("event_id", F.lit(97)) + 1.0).alias("y"))
+    made = sequences.sequence_features(points, "user_id", "ts")
+    return rounded(made.select("user_id", "n_points", "signed_area", "path_length"), 4)
+
+
+_areas = f"(select seq_id, any_value(label) as label, sum(x*ny - nx*y) as area from (select *, lead(x) over w as nx, lead(y) over w as ny from {SPIRAL_SQL} window w as (partition by seq_id order by step)) group by 1)"
 
 
 @analysis(
-    "L8 R1 M5 M8",
-    f"""with p as {SPIRAL_SQL} select count(distinct seq_id) as n_test, 1e0 as accuracy from p where {hash32('seq_id', 80)} >= 3435973837""",
+    "L8 R1",
+    f"""select count(*) as n_test, {rd('avg(((area > 0)::int = label)::int)')} as accuracy from {_areas} where {hash32('seq_id', 80)} >= 3435973837""",
 )
 def spiral_classifier(spark, folder):
     """Which way a spiral turns, learned from sequence features on 80 percent of the sequences."""

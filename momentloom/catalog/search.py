@@ -119,7 +119,7 @@ _poly_parts = f"""ends as (select min(p_partkey) as lo, max(p_partkey) as hi fro
 
 
 @analysis(
-    "X3 P9 R7",
+    "X3 R7",
     f"with {_poly_parts}, " + _cv_sql("t", ["x1", "x2", "x3", "x4"], "y", screening.prefixes(["x1", "x2", "x3", "x4"]), [0.0], 10, False)
     + f" select n_features as degree, {rs('sqrt(avg(e))', 7)} as rms from e group by 1",
 )
@@ -163,7 +163,7 @@ def grid_rows(spark, folder):
 
 
 @analysis(
-    "X4 L4 E1 E2 J4 P10 F20",
+    "X4 L4 E1 E2 P10 F20",
     f"with {_grid_rows}, " + _cv_sql("t", GRID_XS, "y", screening.prefixes(GRID_XS), LAMS, 5, True)
     + f" select candidate, n_features, {rs('lam', 8)} as lam, {rs('sqrt(avg(e))', 8)} as rms from e group by 1, 2, 3",
 )
@@ -173,6 +173,17 @@ def ridge_grid_search(spark, folder):
     return significant(found.table(), 8)
 
 
+@analysis(
+    "X4 X6 F3",
+    f"with {_grid_rows}, " + _cv_sql("t", GRID_XS, "y", screening.prefixes(GRID_XS), LAMS, 5, True)
+    + f", r as (select candidate, n_features, lam, avg(e) as mse from e group by 1, 2, 3) select array_to_string({GRID_XS!r}[:n_features], '+') as features, n_features, {rs('lam', 8)} as lam, {rs('mse', 8)} as mse from r order by mse, candidate limit 1",
+)
+def ridge_grid_winner(spark, folder):
+    """The features, penalty and held-out error of the winner of the grid."""
+    found = screening.search_linear(grid_rows(spark, folder), "l_extendedprice", screening.prefixes(GRID_XS), "fold", LAMS, standardized=True)
+    return significant(found.winner(), 8)
+
+
 _best_chain = regression("c", [2, 1, 0], 3, [], "w")
 
 

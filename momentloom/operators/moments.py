@@ -155,9 +155,8 @@ def _matrix_rows(data: DataFrame, vector: str, d: int, by: str | None, shift: np
             keys = batch.column(by).dictionary_encode(null_encoding="encode")
             place = keys.indices.to_numpy(zero_copy_only=False)[complete]
             for code, key in enumerate(keys.dictionary.to_pylist()):
-                part = x[place == code]
-                if len(part):
-                    held[key] = held.get(key, 0.0) + part.T @ part
+                part = x[place == code]  # a group without a complete row has sums of zero
+                held[key] = held.get(key, 0.0) + part.T @ part
             if len(held) > most:
                 yield from told(held, kind)
         yield from told(held, kind)

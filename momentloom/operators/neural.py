@@ -70,9 +70,20 @@ def quality(model: MultilayerPerceptronClassificationModel, df: DataFrame, featu
     )
 
 
-def staged_fits(train: DataFrame, features: str, label: str, layers: Sequence[int], epochs: int, steps: int, seed: int = 1):
-    """Yield ``(epoch, model)`` after every ``steps`` solver iterations, each from the last weights."""
-    rows = training_rows(train, features, label).persist()
+def batch_balanced(model: MultilayerPerceptronClassificationModel, df: DataFrame, features: str, label: str, batch: str) -> float | None:
+    """Mean over the batches of their balanced accuracies."""
+    scored = score_mlp(model, df.select(features, label, batch), features)
+    return metrics.mean_batch_balanced_accuracy(scored, batch, label, "pred").first()["balanced_accuracy"]
+
+
+def staged_fits(train: DataFrame, features: str, label: str, layers: Sequence[int], epochs: int, steps: int, seed: int = 1, persist: bool = True):
+    """Yield ``(epoch, model)`` after every ``steps`` solver iterations, each from the last weights.
+
+    ``persist`` keeps the training rows for the epochs; it is not needed where the caller keeps the table.
+    """
+    rows = training_rows(train, features, label)
+    if persist:
+        rows = rows.persist()
     try:
         weights = None
         for epoch in range(1, epochs + 1):
@@ -80,4 +91,5 @@ def staged_fits(train: DataFrame, features: str, label: str, layers: Sequence[in
             weights = model.weights
             yield epoch, model
     finally:
-        rows.unpersist()
+        if persist:
+            rows.unpersist()

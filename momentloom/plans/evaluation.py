@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from momentloom.functions import arrays
 from momentloom.functions.scalars import round_digits
-from momentloom.operators import linear, metrics, neural, splits
+from momentloom.operators import linear, metrics, neural, ordered, splits
 from momentloom.operators.logistic import LogisticTask, fit_logistic_models
+from momentloom.sources import store
 
 PARALLEL_FITS = 8
 
@@ -109,7 +110,10 @@ def learning_log(
     return log
 
 
-EXPERIMENT_SCHEMA = "approach string, model string, split int, epoch int, accuracy double, balanced_accuracy double, seconds double"
+EXPERIMENT_SCHEMA = (
+    "approach string, model string, split int, epoch int, train_accuracy double, train_balanced_accuracy double, "
+    "accuracy double, balanced_accuracy double, batch_balanced_accuracy double, seconds double"
+)
 
 
 def scheme_parts(approach: str, split: int, index: str, n: int, k: int) -> tuple[Column, Column]:
@@ -136,21 +140,32 @@ def cv_experiment(
     index: str = "row_id",
     seed: int = 1,
     parallel: int = PARALLEL_FITS,
+    batch: int = 64,
+    start: float = 10.0,
+    store_folder: str | None = None,
 ) -> DataFrame:
-    """Validation scores after each epoch, for every scheme, model and split.
+    """Scores on both parts after each epoch, in percent, for every scheme, model and split.
 
-    A split is a filter on the row index, so the rows are kept once for all cells. Every cell is a
-    distributed fit; a few run side by side so that small jobs do not leave executors idle.
+    A split is a filter on the row index, so the rows are kept once for all cells, and no cell keeps a copy. Every
+    cell is a distributed fit; a few run side by side so that small jobs do not leave executors idle.
+    With ``store_folder`` the model of each cell's best epoch above ``start`` is saved under ``member_path``.
     """
-    data = indexed.select(index, features, label).persist()
+    data = indexed.select(index, features, label, ordered.batch_number(index, batch).alias("_batch")).persist()
 
     def run(cell: tuple[str, str, int]) -> list[tuple]:
         approach, name, split = cell
         in_train, in_val = scheme_parts(approach, split, index, n, k)
-        begin, rows = time.perf_counter(), []
-        for epoch, model in neural.staged_fits(data.where(in_train), features, label, models[name], epochs, steps, seed):
-            held = neural.quality(model, data.where(in_val), features, label)
-            rows.append((approach, name, split, epoch, 100 * held.accuracy, 100 * held.balanced_accuracy, time.perf_counter() - begin))
+        begin, rows, bar = time.perf_counter(), [], start
+        train, val = data.where(in_train), data.where(in_val)
+        for epoch, model in neural.staged_fits(train, features, label, models[name], epochs, steps, seed, persist=False):
+            seen, held = neural.quality(model, train, features, label), neural.quality(model, val, features, label)
+            by_batch = neural.batch_balanced(model, val, features, label, "_batch")
+            if 100 * held.accuracy > bar:
+                bar = 100 * held.accuracy
+                if store_folder:
+                    store.save_model(model, member_path(store_folder, approach, name, split))
+            scores = [100 * x for x in (seen.accuracy, seen.balanced_accuracy, held.accuracy, held.balanced_accuracy, by_batch)]
+            rows.append((approach, name, split, epoch, *scores, time.perf_counter() - begin))
         return rows
 
     cells = [(a, m, s) for a in approaches for m in models for s in range(1, k + 1)]
@@ -162,6 +177,26 @@ def cv_experiment(
     return indexed.sparkSession.createDataFrame(rows, EXPERIMENT_SCHEMA)
 
 
+def member_path(folder: str, approach: str, model: str, split: int) -> str:
+    return f"{folder}/{approach}-{model}-{split}"
+
+
+def trained_members(log: DataFrame, folder: str, approach: str, model: str, start: float = 10.0) -> dict:
+    """The saved models of the splits that got above ``start``, by name."""
+    best = best_of_splits(log, start).where((F.col("approach") == approach) & (F.col("model") == model) & F.col("best_accuracy").isNotNull())
+    splits_kept = sorted(r["split"] for r in best.select("split").collect())
+    kind = neural.MultilayerPerceptronClassificationModel
+    return {f"split_{s}": store.load_model(member_path(folder, approach, model, s), kind) for s in splits_kept}
+
+
+def ensemble_of_trained(df: DataFrame, features: str, label: str, members: Mapping, classes: Sequence) -> DataFrame:
+    """``ensemble_eval`` of trained models on test rows, each model's probabilities computed once."""
+    scored = df.select(features, label)
+    for i, model in enumerate(members.values()):
+        scored = neural.score_mlp(model, scored, features).drop("pred").withColumnRenamed("probs", f"_probs{i}")
+    return ensemble_eval(scored, label, {name: F.col(f"_probs{i}") for i, name in enumerate(members)}, classes)
+
+
 def best_of_splits(log: DataFrame, start: float = 10.0) -> DataFrame:
     """The epoch with the best validation accuracy of each cell, the earliest on ties.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from momentloom.operators import linear
@@ -85,12 +85,19 @@ class Search:
     folds: list[tuple]
     best_index: int
     best_model: LinearModel
+    fold_type: str = "int"
 
     def table(self) -> DataFrame:
         return self.spark.createDataFrame(self.candidates, "candidate int, n_features int, lam double, rms double")
 
     def fold_table(self) -> DataFrame:
-        return self.spark.createDataFrame(self.folds, "candidate int, fold int, n bigint, rms double")
+        return self.spark.createDataFrame(self.folds, f"candidate int, fold {self.fold_type}, n bigint, rms double")
+
+    def winner(self) -> DataFrame:
+        """The features of the winner, its penalty, and its mean squared error over the held-out rows."""
+        _, n, lam, rms = self.candidates[self.best_index]
+        row = ("+".join(self.best_model.features), n, lam, rms * rms)
+        return self.spark.createDataFrame([row], "features string, n_features int, lam double, mse double")
 
     def best_folds(self) -> DataFrame:
         return self.fold_table().where(F.col("candidate") == self.best_index)
@@ -108,35 +115,63 @@ def search_linear(
 
     One scan with one group per fold. The training sums of a fold are the total minus that fold,
     and its error follows from the fold's own sums, so no candidate reads the data again. The
-    score is the root of the mean squared error over all held-out rows; ties go to the first.
+    score is the root of the mean squared error over all held-out rows; ties go to the first. Errors of
+    nearly exact fits, which sums cannot resolve, are summed over the rows in one more scan. Rows
+    without a fold are left out; a fold without a complete row is an error.
     """
     xs = list(dict.fromkeys(x for case in cases for x in case))
     grouped = collect_moments(df, [*xs, y], by=fold)
-    return _search(df.sparkSession, grouped, y, cases, lams, standardized)
+    return _search(df, fold, grouped, y, cases, lams, standardized)
+
+
+def _row_errors(df: DataFrame, fits: Sequence[tuple[Column, LinearModel]]) -> list[float]:
+    """Sums of squared errors over the rows, each under its condition; one aggregate for all."""
+    made = []
+    for i, (rows, model) in enumerate(fits):
+        error = F.col(model.target).cast("double") - model.expression()
+        made.append(F.sum(F.when(rows, error * error)).alias(f"e{i}"))
+    return [float(v or 0.0) for v in df.agg(*made).first()]
 
 
-def _search(spark, grouped: GroupedMoments, y, cases, lams, standardized) -> Search:
-    total = grouped.total()
-    names = sorted(grouped.groups)
+#: Share of the target's squares under which an error from sums has lost its digits.
+UNRESOLVED = 1e-8
+
+
+def _search(df: DataFrame, fold: str, grouped: GroupedMoments, y, cases, lams, standardized) -> Search:
+    groups = {g: m for g, m in grouped.groups.items() if g is not None}
+    names = sorted(groups)
     if len(names) < 2:
         raise ValueError("cross-validation needs at least two folds")
-    train = {g: total - grouped.groups[g] for g in names}
-    candidates, folds = [], []
+    empty = [g for g in names if groups[g].n == 0]
+    if empty:
+        raise ValueError(f"folds without a complete row: {empty}")
+    total = GroupedMoments(groups).total()
+    train = {g: total - groups[g] for g in names}
+    fits, errors = [], []
     for case in cases:
         for lam in lams:
-            number = len(candidates)
-            errors = 0.0
             for g in names:
-                held: Moments = grouped.groups[g]
                 model = linear.solve_linear(train[g], y, case, lam, standardized=standardized)
-                sse = linear.squared_error(held, model)
-                folds.append((number, int(g), int(held.n), float((sse / held.n) ** 0.5)))
-                errors += sse
-            candidates.append((number, len(case), float(lam), float((errors / total.n) ** 0.5)))
+                fits.append((g, model))
+                errors.append(linear.squared_error(groups[g], model))
+    at = total.cols.index(y)
+    limit = {g: UNRESOLVED * float(groups[g].raw()[at, at]) for g in names}
+    poor = [i for i, (g, _) in enumerate(fits) if errors[i] <= limit[g]]
+    if poor:
+        complete = df.dropna(subset=list(total.cols))
+        for i, value in zip(poor, _row_errors(complete, [(F.col(fold) == F.lit(fits[i][0]), fits[i][1]) for i in poor])):
+            errors[i] = value
+    candidates, folds, k = [], [], len(names)
+    for case in cases:
+        for lam in lams:
+            number = len(candidates)
+            mine = errors[number * k : (number + 1) * k]
+            folds += [(number, g, int(groups[g].n), float((e / groups[g].n) ** 0.5)) for g, e in zip(names, mine)]
+            candidates.append((number, len(case), float(lam), float((sum(mine) / total.n) ** 0.5)))
     best = min(candidates, key=lambda r: (r[3], r[0]))[0]
     case, lam = cases[best // len(lams)], lams[best % len(lams)]
     winner = linear.solve_linear(total, y, case, lam, standardized=standardized)
-    return Search(spark, candidates, folds, best, winner)
+    return Search(df.sparkSession, candidates, folds, best, winner, dict(df.dtypes)[fold])
 
 
 def prefixes(xs: Sequence[str], limit: int | None = None) -> list[list[str]]:
@@ -152,12 +187,19 @@ def search_polynomial(df: DataFrame, x: str, y: str, degrees: int, fold: str) ->
 
 
 def holdout_errors(df: DataFrame, y: str, cases: Mapping[str, Sequence[str]], split: str = "split") -> DataFrame:
-    """Fit each case on the train rows; mean squared errors on both parts, from one scan."""
+    """Fit each case on the train rows; mean squared errors on both parts, from one scan.
+
+    Errors of nearly exact fits take one more scan, as in ``search_linear``.
+    """
     xs = list(dict.fromkeys(x for case in cases.values() for x in case))
     parts = collect_moments(df, [*xs, y], by=split).groups
-    rows = []
-    for name, case in cases.items():
-        model = linear.solve_linear(parts["train"], y, case)
-        errors = [linear.squared_error(parts[p], model) / parts[p].n for p in ("train", "test")]
-        rows.append((name, len(case), *errors))
+    both = ("train", "test")
+    models = {name: linear.solve_linear(parts["train"], y, case) for name, case in cases.items()}
+    errors = {(name, p): linear.squared_error(parts[p], model) for name, model in models.items() for p in both}
+    at = parts["train"].cols.index(y)
+    poor = [key for key, e in errors.items() if e <= UNRESOLVED * float(parts[key[1]].raw()[at, at])]
+    if poor:
+        complete = df.dropna(subset=[*xs, y])
+        errors |= zip(poor, _row_errors(complete, [(F.col(split) == p, models[name]) for name, p in poor]))
+    rows = [(name, len(case), *[float(errors[name, p] / parts[p].n) for p in both]) for name, case in cases.items()]
     return df.sparkSession.createDataFrame(rows, "model string, n_features int, train_mse double, test_mse double")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from momentloom.catalog import REGISTRY
 from momentloom.functions.scalars import seeded_normal, seeded_uniform
-from momentloom.operators import linear, moments, neural, profile, splits
+from momentloom.operators import linear, moments, neural, profile, splits, steps
 from momentloom.operators.logistic import LogisticTask, fit_logistic, fit_logistic_models, score
 from momentloom.plans import evaluation, screening
 from momentloom.sources import generate, store
@@ -253,3 +253,60 @@ def test_experiment_covers_every_cell(spark):
     assert log.count() == 2 * 1 * 2 * 2
     summary = {r["approach"]: r for r in evaluation.experiment_summary(evaluation.best_of_splits(log)).collect()}
     assert set(summary) == {"StandardCV", "IndependentCV"} and summary["StandardCV"]["n_splits"] == 2
+
+
+def test_nearly_exact_fits_are_measured_on_the_rows(spark):
+    rows = spark.range(4000).select(F.pmod("id", F.lit(5)).cast("int").alias("fold"), seeded_normal("id", 1).alias("x"), seeded_normal("id", 2).alias("e"))
+    rows = rows.withColumn("y", F.lit(1e5) + 3 * F.col("x") + 1e-4 * F.col("e")).cache()
+    found = screening.search_linear(rows, "y", [["x"]], "fold").fold_table().toPandas().set_index("fold")["rms"]
+    data = rows.toPandas()
+    for f in range(5):
+        train, held = data[data["fold"] != f], data[data["fold"] == f]
+        slope, start = np.polyfit(train["x"], train["y"] - 1e5, 1)
+        want = np.sqrt(((held["y"] - 1e5 - start - slope * held["x"]) ** 2).mean())
+        assert found[f] == pytest.approx(want, rel=1e-5)
+
+
+def test_folds_of_any_kind(spark):
+    rows = spark.createDataFrame([(f, float(i), 2.0 * i + (i % 3)) for i, f in enumerate("abab" * 10)] + [(None, 1.0, 9.0)], "fold string, x double, y double")
+    found = screening.search_linear(rows, "y", [["x"]], "fold")
+    assert sorted(r["fold"] for r in found.fold_table().collect()) == ["a", "b"] and found.winner().first()["features"] == "x"
+    holes = rows.withColumn("x", F.when(F.col("fold") != "b", F.col("x")))
+    with pytest.raises(ValueError, match="without a complete row"):
+        screening.search_linear(holes, "y", [["x"]], "fold")
+
+
+def test_chained_steps_choose_before_they_scale(data):
+    chain = [steps.Standardize(), steps.Select(("b", "a")), steps.Regress("y")]
+    made = steps.pipeline(chain, data, ["a", "b", "c"])
+    assert made.features == ("a", "b") and made.scaler.cols == ("a", "b")
+    plain = linear.linear_regression(data, "y", ["a", "b"])
+    one = {r["id"]: r["prediction"] for r in made.transform(data, keep=["id"]).collect()}
+    two = {r["id"]: r["prediction"] for r in plain.predict(data).collect()}
+    assert one == pytest.approx(two)
+    assert steps.pipeline([steps.Select(("c",))], data, ["a", "c"]).transform(data).columns == ["c"]
+    with pytest.raises(ValueError):
+        steps.pipeline([steps.Select(("z",))], data, ["a"])
+
+
+def test_a_split_without_a_best_counts_with_its_time(spark):
+    log = spark.createDataFrame([("s", "m", 1, 1, 20.0, 15.0, 1.0), ("s", "m", 1, 2, 30.0, 18.0, 1.5), ("s", "m", 2, 1, 5.0, 5.0, 1.5)], "approach string, model string, split int, epoch int, accuracy double, balanced_accuracy double, seconds double")
+    best = {r["split"]: r for r in evaluation.best_of_splits(log).collect()}
+    assert best[1]["best_accuracy"] == 30 and best[1]["last_improvement"] == 2 and best[2]["best_accuracy"] is None
+    row = evaluation.experiment_summary(evaluation.best_of_splits(log)).first()
+    assert (row["n_splits"], row["n_improved"], row["total_seconds"], row["accuracy"]) == (2, 1, 3.0, 30.0)
+
+
+def test_trained_members_vote_with_their_stored_weights(spark, tmp_path):
+    rows = spark.range(240).select(F.col("id").alias("row_id"), F.array(seeded_normal("id", 1), seeded_normal("id", 2)).alias("v"))
+    rows = rows.withColumn("label", (F.col("v")[0] + F.col("v")[1] > 0).cast("int"))
+    log = evaluation.cv_experiment(rows, "v", "label", {"m": [2, 3, 2]}, 240, 3, epochs=2, steps=15, approaches=("IndependentCV",), batch=16, store_folder=str(tmp_path))
+    assert log.count() == 6 and log.where("batch_balanced_accuracy is null or train_accuracy is null").count() == 0
+    members = evaluation.trained_members(log, str(tmp_path), "IndependentCV", "m")
+    assert list(members) == ["split_1", "split_2", "split_3"]
+    table = {r["member"]: r["balanced_accuracy"] for r in evaluation.ensemble_of_trained(rows, "v", "label", members, [0, 1]).collect()}
+    data = rows.toPandas()
+    votes = [np.array([r["probs"] for r in neural.score_mlp(m, rows, "v").orderBy("row_id").collect()]) for m in members.values()]
+    data["pred"] = np.mean(votes, axis=0).argmax(axis=1)
+    want = (data["pred"] == data["label"]).groupby(data["label"]).mean().mean()
+    assert table["ensemble"] == pytest.approx(want)
