@@ -180,6 +180,18 @@ def gram_by_fold(spark, folder):
     return significant(gram(table, _gram_cols, by="fold"))
 
 
+@analysis(
+    "A11",
+    f"""with e as (select label, embedding::double[] as v from embeddings), k as (select unnest(range(1, 65)) as a)
+    select label, 'v' || i.a as i, 'v' || j.a as j, {rd('sum(v[i.a]*v[j.a])', 5)} as value from e, k i, k j where i.a <= j.a group by label, i.a, j.a""",
+)
+def embedding_gram_by_label(spark, folder):
+    """Products of all 64 components of the embeddings for each label."""
+    names = [f"v{k}" for k in range(1, 65)]
+    table = load(spark, folder, "embeddings").select("label", *[F.col("embedding")[k].cast("double").alias(n) for k, n in enumerate(names)])
+    return rounded(gram(table, names, by="label"), 5)
+
+
 @analysis(
     "S4 J5",
     f"""with e as (select min(o_totalprice) as lo, max(o_totalprice) as hi from orders)
