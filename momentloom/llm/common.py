@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of one Arrow batch. Texts can be long; this many of them fit beside a model in a Python worker.
-BATCH_ROWS = 512
+BATCH_ROWS = 256
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -39,6 +39,15 @@ def kept(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def splittable(df: DataFrame) -> DataFrame:
+    """``kept`` for the small side of a join on the key that it was grouped by.
+
+    Straight from the aggregate, the join would take over its partitioning, and adaptive execution could not split
+    the rows of a hot key on the other side. Read from storage, both sides are dealt anew, and it can.
+    """
+    return kept(df)
+
+
 def held_out(doc_id: str | Column) -> Column:
     """True for the quarter of documents that no model may learn from; a null id is not held out."""
     key = F.col(doc_id) if isinstance(doc_id, str) else doc_id

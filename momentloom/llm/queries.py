@@ -118,10 +118,10 @@ def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
     """
     pages = table(spark, folder, "pages")
     place = f"{shared_folder(spark)}/warc-{uuid4().hex}"
-    warc.write_archives(pages, "page_id", "url", "html", f"{place}/archives")
-    warc.write_index(spark, f"{place}/archives", f"{place}/index")
+    warc.write_archives(pages, "page_id", "url", "html", place)
+    warc.write_index(spark, place)
     keys = pages.select(warc.capture_key(F.col("url"), F.col("page_id").cast("long")).alias("key"))
-    return warc.look_up(spark, f"{place}/index", keys).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return warc.look_up(spark, place, keys).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op7_quality(spark: SparkSession, folder: str) -> DataFrame:

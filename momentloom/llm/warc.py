@@ -1,9 +1,11 @@
 """WARC archives of pages, with a two-level capture index.
 
-``write_archives`` writes one record per page with Spark's own writer. Of pages with equal payloads the one with the
-largest id is a response, the others are revisits that refer to it and hold no body.
+``write_archives`` writes one record per page, each a gzip member of its own, to files of bounded size. Of pages with
+equal payloads the one with the largest id is a response, the others are revisits that refer to it and hold no
+body. Every task writes files of new names and reports the captures in them; the table of captures is committed by
+Spark, so files of lost or repeated attempts are in no index and do no harm.
 
-``write_index`` reads the archives and sorts their captures by key: the host's labels in reverse, the rest of the URL, the
+``write_index`` sorts the captures by key: the host's labels in reverse, the rest of the URL, the
 page's id. Runs of sorted captures become compressed blocks; the directory holds the first and last key of each block.
 Blocks grow with the number of captures, so that the directory has at most ``DIRECTORY`` entries and a half as many
 again at partition ends, and fits every task.
@@ -22,20 +24,24 @@ from __future__ import annotations
 import zlib
 from base64 import b32encode
 from bisect import bisect_left, bisect_right
+from gzip import compress
 from hashlib import sha1
 from math import ceil
+from uuid import uuid4
 
 import pandas as pd
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from momentloom.llm.common import splittable
 from momentloom.llm.graph import whole_groups
 
 #: Captures in a block at least, and entries of the directory at most.
 BLOCK = 1_000
 DIRECTORY = 200_000
-RECORDS_PER_FILE = 4_000
+#: Bytes from which on a task begins another file.
+FILE_BYTES = 64 << 20
 DATE = "1970-01-01T00:00:00Z"  # pages bear no time of their own
 MARK = "WARC/1.0"
 BLANK = r"[\x00-\x20]"
@@ -74,40 +80,82 @@ def _pages(df: DataFrame, page_id: str, url: str, html: str) -> DataFrame:
     return rows.withColumns({"digest": digest(F.col("payload")), "size": F.octet_length("payload").cast("long")})
 
 
-def _records(pages: DataFrame, least: int) -> DataFrame:
-    """The text of each page's record, but for the last line break."""
+def _typed(pages: DataFrame, least: int) -> DataFrame:
+    """The pages with ``head``, the id that a revisit refers to; null for a response."""
     groups = pages.where(F.col("size") >= least).groupBy("digest", "size").agg(F.max("page_id").alias("head"), F.count("*").alias("n"))
-    heads = groups.where("n > 1").select("digest", "size", "head")
+    heads = splittable(groups.where("n > 1").select("digest", "size", "head"))
     rows = pages.join(heads, ["digest", "size"], "left")
-    revisit = F.col("head").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("head"))
-    urn = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("")), F.lit(">"))
-    encoded = lambda c: F.regexp_replace(F.coalesce(c, F.lit("")), BLANK, "%20")
-    http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("size").cast("string"), F.lit("\r\n\r\n"))
-    body = F.when(revisit, F.lit("")).otherwise(F.col("payload").cast("string"))
-    length = F.octet_length(http) + F.when(revisit, F.lit(0)).otherwise(F.col("size"))
-    more = F.when(revisit, F.concat(F.lit("\r\nWARC-Refers-To: "), urn(F.col("head")), F.lit(f"\r\nWARC-Profile: {PROFILE}"))).otherwise(F.lit(""))
-    value = F.concat(
-        F.lit(f"{MARK}\r\nWARC-Type: "), F.when(revisit, "revisit").otherwise("response"),
-        F.lit("\r\nWARC-Record-ID: "), urn(F.col("page_id")),
-        F.lit(f"\r\nWARC-Date: {DATE}\r\nWARC-Target-URI: "), encoded(F.col("url")),
-        F.lit("\r\nWARC-Payload-Digest: sha1:"), F.col("digest"), more,
-        F.lit("\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: "), length.cast("string"),
-        F.lit("\r\n\r\n"), http, body, F.lit("\r\n"),
-    )
-    return rows.select(value.alias("value"))
-
-
-def write_archives(df: DataFrame, page_id: str, url: str, html: str, folder: str, least: int = 0) -> None:
-    """Write a record for each row to files in ``folder``. Payloads under ``least`` bytes are never revisits."""
-    records = _records(_pages(df, page_id, url, html), least)
-    records.write.option("lineSep", "\r\n").option("maxRecordsPerFile", RECORDS_PER_FILE).mode("error").text(folder)
-
-
-def _opened(path: str):
-    """A file of any store that Arrow knows, for reading at any place."""
-    where = path if "://" in path else "file://" + path.removeprefix("file:")
-    store, place = fs.FileSystem.from_uri(where)
-    return store.open_input_file(place)
+    return rows.withColumn("head", F.when(~F.col("page_id").eqNullSafe(F.col("head")), F.col("head")))
+
+
+def _store(path: str) -> tuple[fs.FileSystem, str]:
+    """The store of a path, of any kind that Arrow knows, and the place in it."""
+    return fs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
+
+
+def _urn(page_id: int | None) -> str:
+    return f"<urn:page:{'' if page_id is None else page_id}>"
+
+
+def record(page_id: int | None, url: str, payload: bytes, digest: str, head: int | None) -> bytes:
+    """One record: a response with its body, or a revisit of the page ``head`` without."""
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
+    block = http + (payload if head is None else b"")
+    fields = {
+        "WARC-Type": "response" if head is None else "revisit",
+        "WARC-Record-ID": _urn(page_id),
+        "WARC-Date": DATE,
+        "WARC-Target-URI": url,
+        "WARC-Payload-Digest": f"sha1:{digest}",
+    }
+    if head is not None:
+        fields |= {"WARC-Refers-To": _urn(head), "WARC-Profile": PROFILE}
+    fields |= {"Content-Type": "application/http; msgtype=response", "Content-Length": str(len(block))}
+    lines = "".join(f"{name}: {value}\r\n" for name, value in fields.items())
+    return f"{MARK}\r\n{lines}\r\n".encode() + block + b"\r\n\r\n"
+
+
+def _written(folder: str, most: int):
+    """Write the records of a task and tell the place of each."""
+
+    def write(batches):
+        file, path, at = None, "", 0
+        try:
+            for batch in batches:
+                rows = []
+                columns = [batch["page_id"].astype("Int64"), batch["url"], batch["payload"], batch["digest"], batch["head"].astype("Int64")]
+                for page_id, url, payload, code, head in zip(*columns):
+                    page_id, head = (None if pd.isna(x) else int(x) for x in (page_id, head))
+                    if file is None or at >= most:
+                        if file is not None:
+                            file.close()
+                        path, at = f"{folder}/{uuid4().hex}.warc.gz", 0
+                        store, place = _store(path)
+                        store.create_dir(place.rpartition("/")[0], recursive=True)
+                        file = store.open_output_stream(place, compression=None)
+                    member = compress(record(page_id, url, bytes(payload), code, head), mtime=0)
+                    file.write(member)
+                    rows.append((page_id, path, at, len(member)))
+                    at += len(member)
+                out = pd.DataFrame(rows, columns=["page_id", "file", "offset", "length"]).assign(url=batch["url"].to_numpy())
+                yield out.astype({"page_id": "Int64"})
+        finally:
+            if file is not None:
+                file.close()
+
+    return write
+
+
+def write_archives(df: DataFrame, page_id: str, url: str, html: str, folder: str, least: int = 0, most: int = FILE_BYTES) -> None:
+    """Write a record for each row to files under ``folder``, and the table of their captures beside them.
+
+    Payloads under ``least`` bytes are never revisits. ``folder`` must be new and reachable from all executors.
+    """
+    pages = _typed(_pages(df, page_id, url, html), least)
+    pages = pages.withColumn("url", F.regexp_replace(F.coalesce("url", F.lit("")), BLANK, "%20"))
+    written = pages.select("page_id", "url", "payload", "digest", "head").mapInPandas(_written(f"{folder}/archives", most), "page_id long, file string, offset long, length long, url string")
+    keyed = written.select(capture_key(F.col("url"), F.col("page_id")).alias("key"), "file", "offset", "length")
+    keyed.write.mode("error").parquet(f"{folder}/captures")
 
 
 def _header(raw: bytes) -> tuple[dict[str, str], int]:
@@ -124,24 +172,6 @@ def _number(urn: str | None) -> int | None:
     return int(digits) if digits else None
 
 
-def _captures(batches):
-    """Place and length of every record of the files, read header by header."""
-    for batch in batches:
-        for path in batch["path"]:
-            rows = []
-            with _opened(path) as file:
-                end, at = file.size(), 0
-                while at < end:
-                    step, raw = 2048, b""
-                    while b"\r\n\r\n" not in raw and at + len(raw) < end:
-                        raw, step = file.read_at(step, at), step * 2
-                    fields, size = _header(raw)
-                    length = size + int(fields["Content-Length"]) + 4
-                    rows.append((fields["WARC-Target-URI"], _number(fields["WARC-Record-ID"]), path, at, length))
-                    at += length
-            yield pd.DataFrame(rows, columns=["url", "page_id", "file", "offset", "length"]).astype({"page_id": "Int64"})
-
-
 def _blocks(size: int):
     def pack(batches):
         held: list[tuple] = []
@@ -162,15 +192,12 @@ def _blocks(size: int):
     return pack
 
 
-def write_index(spark: SparkSession, archives: str, folder: str, block: int = BLOCK) -> None:
-    """Index the archives: one row for each block of sorted captures."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(archives).select("path", "length")
-    files = files.where("length > 0").select("path")
-    found = files.repartition("path").mapInPandas(_captures, "url string, page_id long, file string, offset long, length long")
-    captures = found.select(capture_key(F.col("url"), F.col("page_id")).alias("key"), "file", "offset", "length")
+def write_index(spark: SparkSession, folder: str, block: int = BLOCK) -> None:
+    """Index the captures under ``folder``: one row for each block of sorted captures."""
+    captures = spark.read.parquet(f"{folder}/captures")
     size = max(block, ceil(captures.count() / DIRECTORY))
     ordered = captures.repartitionByRange("key").sortWithinPartitions("key", "file", "offset")
-    ordered.mapInPandas(_blocks(size), "first string, last string, n long, data binary").write.mode("error").parquet(folder)
+    ordered.mapInPandas(_blocks(size), "first string, last string, n long, data binary").write.mode("error").parquet(f"{folder}/index")
 
 
 def _placed(firsts: list[str], lasts: list[str]):
@@ -212,9 +239,13 @@ def _read(batches):
     """The records of captures that are sorted by file."""
     for group in whole_groups(batches, ["file"]):
         rows = []
-        with _opened(group["file"].iloc[0]) as file:
+        store, place = _store(group["file"].iloc[0])
+        with store.open_input_file(place) as file:
             for offset, length in zip(group["offset"], group["length"]):
-                raw = file.read_at(int(length), int(offset))
+                try:
+                    raw = zlib.decompress(file.read_at(int(length), int(offset)), wbits=31)
+                except zlib.error as error:
+                    raise ValueError(f"damaged record at {offset} of {place}") from error
                 fields, size = _header(raw)
                 http, inner = _header(raw[size:])
                 payload = raw[size + inner : -4]
@@ -222,7 +253,7 @@ def _read(batches):
                 told = fields["WARC-Payload-Digest"].removeprefix("sha1:")
                 n = int(http["Content-Length"])
                 if kind == "response" and (len(payload) != n or b32encode(sha1(payload).digest()).decode() != told):
-                    raise ValueError(f"damaged record at {offset} of {group['file'].iloc[0]}")
+                    raise ValueError(f"damaged record at {offset} of {place}")
                 rows.append((_number(fields["WARC-Record-ID"]), fields["WARC-Target-URI"], n, told, kind, _number(fields.get("WARC-Refers-To")), payload))
                 if sum(len(r[-1]) for r in rows[-64:]) > 1 << 25 or len(rows) >= 512:
                     yield _framed(rows)
@@ -235,9 +266,9 @@ def _framed(rows: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=names).astype({"page_id": "Int64", "refers_to": "Int64"})
 
 
-def look_up(spark: SparkSession, index: str, keys: DataFrame, key: str = "key") -> DataFrame:
+def look_up(spark: SparkSession, folder: str, keys: DataFrame, key: str = "key") -> DataFrame:
     """The records whose capture key is in ``keys``: columns as in ``RECORD``. Keys that were not captured give none."""
-    blocks = spark.read.parquet(index)
+    blocks = spark.read.parquet(f"{folder}/index")
     directory = sorted((r["first"], r["last"]) for r in blocks.select("first", "last").collect())
     wanted = keys.select(F.col(key).alias("key")).where("key is not null").distinct()
     placed = wanted.mapInPandas(_placed([f for f, _ in directory], [x for _, x in directory]), "first string, key string").distinct()
