@@ -49,12 +49,9 @@ def seeds(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(codes), np.concatenate([np.arange(len(c)) for c in codes])
 
 
-def _bits(codes: np.ndarray, power: int) -> np.ndarray:
-    """The filter's bits of each hash, of shape (hashes, FILTER_HASHES)."""
-    again = mixed(codes ^ np.uint64(0xA5A5A5A5A5A5A5A5))
-    step = (again >> np.uint64(8)) | np.uint64(1)
-    turn = np.arange(FILTER_HASHES, dtype=np.uint64)
-    return ((again[:, None] + turn * step[:, None]) & np.uint64((1 << power) - 1)).astype(np.int64)
+def _bit(codes: np.ndarray, turn: int, power: int) -> np.ndarray:
+    """The filter's bit for each hash at one turn."""
+    return (mixed(codes + np.uint64(turn + 1)) >> np.uint64(64 - power)).astype(np.int64)
 
 
 def _item_words(batches):
@@ -76,7 +73,8 @@ def _filter_of(codes: DataFrame, power: int) -> np.ndarray:
 
     def set_bits(batches):
         for batch in batches:
-            yield pd.DataFrame({"bit": np.unique(_bits(batch["code"].to_numpy().astype(np.uint64), power))})
+            codes = batch["code"].to_numpy().astype(np.uint64)
+            yield pd.DataFrame({"bit": np.unique(np.concatenate([_bit(codes, t, power) for t in range(FILTER_HASHES)]))})
 
     bits = codes.select("code").distinct().mapInPandas(set_bits, "bit long")
     pages = bits.groupBy(F.bitmap_bucket_number(F.col("bit") + 1).alias("page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("bit") + 1)).alias("bits"))
@@ -99,11 +97,12 @@ def _hits(filter_bits: np.ndarray, power: int, reach: int):
                 codes, places = seeds(words)
                 if not len(codes):
                     continue
-                bits = _bits(codes, power)
-                hit = ((filter_bits[bits >> 3] >> (bits & 7).astype(np.uint8)) & 1).all(axis=1)
-                if not hit.any():
+                for turn in range(FILTER_HASHES):  # few places pass the first bit
+                    bits = _bit(codes, turn, power)
+                    hit = np.flatnonzero((filter_bits[bits >> 3] >> (bits & 7).astype(np.uint8)) & 1)
+                    codes, places = codes[hit], places[hit]
+                if not len(codes):
                     continue
-                codes, places = codes[hit], places[hit]
                 order = np.argsort(places, kind="stable")
                 codes, places = codes[order], places[order]
                 starts = np.r_[0, np.flatnonzero(np.diff(places) > 2 * reach) + 1]

@@ -9,8 +9,18 @@ import xxhash
 
 WORD = re.compile(r"\w+")
 #: Words whose hash a worker remembers between batches. It changes no result.
-REMEMBERED = 500_000
-_known: dict[str, int] = {}
+REMEMBERED = 200_000
+
+
+class _Hashes(dict):
+    """Hashes by word, each computed when first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = code = xxhash.xxh64_intdigest(word)
+        return code
+
+
+_known = _Hashes()
 
 
 def word_hashes(text: str) -> np.ndarray:
@@ -18,9 +28,6 @@ def word_hashes(text: str) -> np.ndarray:
     if len(_known) > REMEMBERED:
         _known.clear()
     words = WORD.findall(text.lower())
-    for w in words:
-        if w not in _known:
-            _known[w] = xxhash.xxh64_intdigest(w)
     return np.fromiter(map(_known.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
@@ -36,10 +43,10 @@ def runs(words: np.ndarray, offsets: list[int], seed: int = 0) -> np.ndarray:
     n = len(words) - offsets[-1]
     if n <= 0:
         return np.zeros(0, dtype=np.uint64)
-    out = np.full(n, mixed(np.array([seed + 1], dtype=np.uint64))[0], dtype=np.uint64)
-    for o in offsets:
-        out = (out * np.uint64(0x9E3779B97F4A7C15)) ^ words[o : o + n]
-        out ^= out >> np.uint64(31)
+    factors = mixed(np.arange(1, len(offsets) + 1, dtype=np.uint64) + np.uint64(1000 * (seed + 1))) | np.uint64(1)
+    out = words[offsets[0] : offsets[0] + n] * factors[0]
+    for o, factor in zip(offsets[1:], factors[1:]):
+        out += words[o : o + n] * factor
     return mixed(out)
 
 
