@@ -135,7 +135,7 @@ def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
 def op8_wrappers(spark: SparkSession, folder: str) -> DataFrame:
     """The main text of every page, by the wrapper of its host."""
     pages = table(spark, folder, "pages").select("page_id", "url", "html", wrappers.host_of(F.col("url")).alias("host"))
-    found = pages.join(wrappers.infer(pages, "url", "html"), "host", "left")
+    found = wrappers.with_wrappers(pages, wrappers.infer(pages, "url", "html"), "host")
     found = found.select("page_id", "url", wrappers.main_text(F.col("html"), F.col("wrapper")).alias("text"))
     return found.withColumn("n_chars", F.length("text").cast("long"))
 

@@ -51,7 +51,9 @@ ALIKE = 3
 REPEATS = 3
 #: Hosts whose wrappers a task holds before it hands them on.
 HOSTS = 2_000
+#: Groups that the partial wrappers of a host are merged in first, and keys that its pages are dealt over.
 PARTS = 64
+SALTS = 64
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -335,6 +337,18 @@ def infer(pages: DataFrame, url: str, html: str) -> DataFrame:
     return some.groupBy("host").applyInPandas(_merged_wrappers(["host"]), "host string, wrapper string")
 
 
+def with_wrappers(pages: DataFrame, wrappers: DataFrame, host: str, name: str = "wrapper") -> DataFrame:
+    """The pages with their hosts' wrappers, null where there is none.
+
+    Pages of a host are dealt over ``SALTS`` keys, and each wrapper, a few hundred bytes, goes to all of them, so a
+    host with a third of all pages is no single task.
+    """
+    salt = F.pmod(F.xxhash64(*[c for c, kind in pages.dtypes if "map<" not in kind]), F.lit(SALTS)).cast("int")
+    small = wrappers.select(F.col("host").alias("_host"), F.col("wrapper").alias(name), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_of"))
+    rows = pages.withColumn("_salt", salt)
+    return rows.join(small, (rows[host] == small["_host"]) & (rows["_salt"] == small["_of"]), "left").drop("_salt", "_host", "_of")
+
+
 def main_text(html: Column, wrapper: Column) -> Column:
     """The main text of pages with the wrappers of their hosts; empty where either is null."""
 

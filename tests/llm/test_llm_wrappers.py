@@ -74,7 +74,7 @@ def test_tables_of_every_kind(spark):
     df = cases.crowded(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("_host", wrappers.host_of(F.col("url")))).drop("host", "wrapper")
     found = wrappers.infer(df, "url", "html")
     assert sorted(r["host"] for r in found.collect()) == ["", "h.com"]
-    out = df.join(found, df["_host"] == found["host"], "left").select("page_id", wrappers.main_text(F.col("html"), F.col("wrapper")).alias("t")).collect()
+    out = wrappers.with_wrappers(df, found, "_host", "_w").select("page_id", wrappers.main_text(F.col("html"), F.col("_w")).alias("t")).collect()
     assert sorted((r["t"] for r in out if r["page_id"] != 5)) == sorted([TEXT] * 4 + ["", ""])
     assert next(r["t"] for r in out if r["page_id"] == 5) == "\n".join(["word"] * 30_000)
     assert wrappers.infer(df.limit(0), "url", "html").collect() == []
