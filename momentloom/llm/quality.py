@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from momentloom.llm.common import sampled
+from momentloom.llm.common import kept, sampled
 
 CHUNK = 1024
 LEVEL = 3
@@ -94,12 +94,12 @@ def _curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def fit(docs: DataFrame, doc_id: str, text: str, labels: DataFrame, label_id: str, label: str, bound: int = PER_LABEL) -> Model:
     """A model from about ``bound`` texts labelled 1 and as many labelled 0; half of them train the dictionaries.
 
-    The sample of labels has a stated size, so it is broadcast; neither the documents nor the labels are shuffled.
+    The sample of labels has a stated size, so it is broadcast; the documents are read once and not shuffled.
     """
     marks = labels.select(F.col(label_id).alias("k"), F.col(label).cast("int").alias("y")).where("y in (0, 1)")
     marks = sampled(marks, ["y"], bound, "k")
     texts = docs.select(F.col(doc_id).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    rows = texts.join(F.broadcast(marks), "k").withColumn("half", F.pmod(F.xxhash64(F.col("k").cast("string"), F.lit("half")), F.lit(2)))
+    rows = kept(texts.join(F.broadcast(marks), "k")).withColumn("half", F.pmod(F.xxhash64(F.col("k").cast("string"), F.lit("half")), F.lit(2)))
 
     def cut(batches):
         for batch in batches:

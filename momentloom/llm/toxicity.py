@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from momentloom.llm.common import sampled
+from momentloom.llm.common import kept, sampled
 from momentloom.llm.words import WORD
 
 GRADES = 4
@@ -41,7 +41,7 @@ FEATURES = 5_000
 RIDGE = 1.0
 STEPS = 1_500
 #: Words whose features a worker remembers between batches. It changes no result.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 
 def word_features(word: str) -> list[str]:
@@ -122,12 +122,12 @@ def ordinal(rows: np.ndarray, features: np.ndarray, values: np.ndarray, grade: n
 def fit(docs: DataFrame, doc_id: str, text: str, labels: DataFrame, label_id: str, label: str, bound: int = PER_LABEL) -> Model:
     """A model from about ``bound`` toxic texts and as many others, chosen by a hash of the id.
 
-    The sample of labels has a stated size, so it is broadcast; neither the documents nor the labels are shuffled.
+    The sample of labels has a stated size, so it is broadcast; the documents are read once and not shuffled.
     """
     marks = labels.select(F.col(label_id).alias("k"), F.col(label).cast("int").alias("y")).where("y in (0, 1)")
     marks = sampled(marks, ["y"], bound, "k")
     texts = docs.select(F.col(doc_id).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    rows = texts.join(F.broadcast(marks), "k").select("y", "t").distinct()
+    rows = kept(texts.join(F.broadcast(marks), "k").select("y", "t").distinct())
 
     def presence(batches):
         for batch in batches:
