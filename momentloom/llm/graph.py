@@ -9,14 +9,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from momentloom.llm.common import kept
+from momentloom.llm.common import kept, splittable
 
 
 def components(edges: DataFrame) -> DataFrame:
     """``node, root`` for each node of the edges ``a, b`` (long): root is the least node of its component.
 
     Each round hangs the larger neighbours of a node, then the smaller ones, on the least of them. Groups are
-    only ever reduced to a minimum, so a node with any number of neighbours is no burden for one task. Rounds grow
+    only ever reduced to a minimum, and the join that brings it back can be split, so a node with any number of
+    neighbours is no burden for one task. Rounds grow
     with the logarithm of the largest component; every round is kept on shared storage. Nodes without an edge
     to another node are left out, as are edges with a null end.
     """
@@ -30,9 +31,9 @@ def components(edges: DataFrame) -> DataFrame:
         if mark[0] == 0:
             break
         both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = splittable(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")))
+        large = kept(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        least = splittable(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         pairs = kept(small.union(least.select("u", F.col("m").alias("v"))).distinct())
     stars = pairs.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from momentloom.llm.common import kept
+from momentloom.llm.common import kept, splittable
 from momentloom.llm.graph import block_of, components, forest, whole_groups
 
 TABLES = 6
@@ -191,7 +191,7 @@ def near_vectors(df: DataFrame, vec_id: str, vector: str, label: str, threshold:
     placed = classes.select("grp", "vec", "node", "key").mapInPandas(_placed(threshold), "grp long, tab int, cell long, home boolean, node long, key string")
     sizes = placed.groupBy("grp", "tab", "cell").agg(F.count("*").alias("m"), F.count_if("home").alias("h")).where("m > 1 and h > 0")
     sizes = sizes.select("grp", "tab", "cell", F.ceil(F.col("m") / block).alias("ni"), F.ceil(F.col("h") / block).alias("nj"))
-    live = placed.join(sizes, ["grp", "tab", "cell"]).withColumns({"bi": block_of("key", F.col("ni"), "i"), "bj": block_of("key", F.col("nj"), "j")})
+    live = placed.join(splittable(sizes), ["grp", "tab", "cell"]).withColumns({"bi": block_of("key", F.col("ni"), "i"), "bj": block_of("key", F.col("nj"), "j")})
     # A source goes to every block of targets, a target to every block of sources; where both meet it is one row.
     places = F.transform(F.sequence(F.lit(0), F.col("nj") - 1), lambda j: F.struct(F.col("bi").alias("i"), j.alias("j")))
     homes = F.transform(F.sequence(F.lit(0), F.col("ni") - 1), lambda i: F.struct(i.alias("i"), F.col("bj").alias("j")))

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from momentloom.llm.common import kept
+from momentloom.llm.common import kept, splittable
 from momentloom.llm.graph import block_of, components, forest, whole_groups
 from momentloom.llm.words import mixed, shingles
 
@@ -159,10 +159,11 @@ def near_texts(df: DataFrame, doc_id: str, text: str, size: int = SIZE, threshol
     # Classes that share a band point to the least of them; where that leads in the end names the cluster.
     buckets = classes.select("node", F.explode("bands").alias("band"))
     heads = buckets.groupBy("band").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head < last").select("band", "head")
+    heads = splittable(heads)
     clusters = components(buckets.join(heads, "band").select(F.col("node").alias("a"), F.col("head").alias("b")))
     members = classes.drop("bands").join(clusters, "node")
     sizes = members.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks"))
-    members = members.join(sizes, "root").withColumn("block", block_of("key", F.col("blocks"), "block"))
+    members = members.join(splittable(sizes), "root").withColumn("block", block_of("key", F.col("blocks"), "block"))
     texts = docs.join(members, docs["id"] == members["node"]).select("root", "node", "key", "copies", "blocks", "block", "text")
     fields = "root long, node long, key string, copies long, blocks long, block long, items array<long>"
     sets = texts.mapInPandas(_with_sets(size), fields)
