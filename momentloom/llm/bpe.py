@@ -32,7 +32,7 @@ PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
 #: Cells of one matrix of trees, and pieces remembered by a worker between batches. Neither changes a result.
 CELLS = 1 << 21
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 NONE = np.iinfo(np.int64).max
 
 

@@ -7,13 +7,14 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of one Arrow batch. Texts can be long; this many of them fit beside a model in a Python worker.
-BATCH_ROWS = 256
+#: Size of an Arrow batch. Texts can be long; this much of them fits beside a model in a Python worker, and a batch
+#: has one row at least.
+BATCH_BYTES = "1m"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A given table, read with batches small enough for long texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

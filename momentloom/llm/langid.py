@@ -33,6 +33,8 @@ UNKNOWN = "und"
 PER_LANGUAGE = 4_000
 #: Codes up to which a table is used to number n-grams, instead of sorting them.
 TABLE = 1 << 23
+#: Texts that are worked on together, which bounds the n-gram vectors held at a time.
+SLICE = 64
 
 
 @lru_cache(maxsize=1)
@@ -47,7 +49,7 @@ def _letter_vector(code: int) -> np.ndarray:
 
 def _letters(text: str) -> np.ndarray:
     """Code points of the letters with one blank for each run of others, and one at both ends."""
-    codes = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "replace"), dtype="<u4").astype(np.int64)
+    codes = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "replace"), dtype="<i4")
     codes = np.where(_is_letter()[codes], codes, BLANK)
     blank = codes == BLANK
     return codes[~(blank & np.r_[False, blank[:-1]])]
@@ -55,6 +57,11 @@ def _letters(text: str) -> np.ndarray:
 
 def vectors(texts: list[str]) -> np.ndarray:
     """One bundled vector for each text; zeros where a text has no letter."""
+    parts = [_vectors(texts[i : i + SLICE]) for i in range(0, len(texts), SLICE)]
+    return np.concatenate(parts) if parts else np.zeros((0, DIMENSIONS), dtype=np.float32)
+
+
+def _vectors(texts: list[str]) -> np.ndarray:
     out = np.zeros((len(texts), DIMENSIONS), dtype=np.float32)
     codes = [_letters(t) for t in texts]
     sizes = np.array([len(c) for c in codes], dtype=np.int64)
