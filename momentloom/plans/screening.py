@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from momentloom.operators import linear
 from momentloom.operators.linear import LinearModel
-from momentloom.operators.moments import GroupedMoments, Moments, collect_moments
+from momentloom.operators.moments import GroupedMoments, Moments, collect_moments, means
 
 
 def screen_univariate(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:
@@ -28,33 +28,33 @@ def screen_univariate_star(fact: DataFrame, fact_key: str, y: str, fact_xs: Sequ
     left join. The target is summed per key before the join, so a hot key is one row in it, and adaptive
     execution broadcasts a small side. Features of the fact table need no join.
     """
-    parts = []
-    if fact_xs:
-        parts.append(screen_univariate(fact, y, fact_xs))
+    target = F.col(y).cast("double")
+    direct = [F.regr_r2(target, F.col(x).cast("double")).alias(f"r{i}") for i, x in enumerate(fact_xs)]
+    seen = fact.agg(F.avg(F.when(~F.isnan(target), target)).alias("m"), *direct).first()
+    rows = [(x, seen[f"r{i}"]) for i, x in enumerate(fact_xs)]
     if dim_xs:
-        target = fact.select(F.col(fact_key).alias("_key"), F.col(y).cast("double").alias("_y")).where(F.col("_y").isNotNull())
-        features = dim.select(F.col(dim_key).alias("_key"), *[F.col(x).cast("double").alias(f"_x{i}") for i, x in enumerate(dim_xs)])
-        # Means as shifts, each a table of one row; sums about them keep their digits.
-        center = F.broadcast(target.agg(F.coalesce(F.avg("_y"), F.lit(0.0)).alias("_m")))
-        centers = F.broadcast(features.agg(*[F.coalesce(F.avg(f"_x{i}"), F.lit(0.0)).alias(f"_m{i}") for i in range(len(dim_xs))]))
-        moved = target.crossJoin(center).select("_key", (F.col("_y") - F.col("_m")).alias("_y"))
+        # Sums about the means keep their digits; the means came with the scan above and from the small side.
+        moved = fact.select(F.col(fact_key).alias("_key"), (target - F.lit(seen["m"] or 0.0)).alias("_y")).where(F.col("_y").isNotNull())
         per_key = moved.groupBy("_key").agg(F.count("_y").cast("double").alias("n"), F.sum("_y").alias("s"), F.sum(F.col("_y") * F.col("_y")).alias("q"))
-        joined = per_key.join(features, "_key").crossJoin(centers)
+        centers = means(dim, dim_xs)
+        features = dim.select(F.col(dim_key).alias("_key"), *[(F.col(x).cast("double") - F.lit(float(m))).alias(f"_x{i}") for i, (x, m) in enumerate(zip(dim_xs, centers))])
         sums = []
         for i in range(len(dim_xs)):
-            x = F.col(f"_x{i}") - F.col(f"_m{i}")
+            x = F.col(f"_x{i}")
             known = lambda c: F.sum(F.when(F.col(f"_x{i}").isNotNull(), c))
             values = {"n": F.col("n"), "y": F.col("s"), "yy": F.col("q"), "x": F.col("n") * x, "xx": F.col("n") * x * x, "xy": F.col("s") * x}
             sums += [known(v).alias(f"{name}{i}") for name, v in values.items()]
-        row = joined.agg(*sums)
-        each = []
-        for i, name in enumerate(dim_xs):
-            about = lambda a, b, c: F.col(f"{a}{i}") - F.try_divide(F.col(f"{b}{i}") * F.col(f"{c}{i}"), F.col(f"n{i}"))
-            of_y = about("yy", "y", "y")
-            r2 = F.when(of_y > 0, F.try_divide(F.pow(about("xy", "x", "y"), F.lit(2.0)), of_y * about("xx", "x", "x")))
-            each.append(F.struct(F.lit(name).alias("feature"), r2.alias("r2")))
-        parts.append(row.select(F.inline(F.array(*each))))
-    return parts[0] if len(parts) == 1 else parts[0].union(parts[1])
+        row = per_key.join(features, "_key").agg(*sums).first()
+        rows += [(x, _r2_of_sums(*[row[f"{name}{i}"] for name in ("n", "y", "yy", "x", "xx", "xy")])) for i, x in enumerate(dim_xs)]
+    return fact.sparkSession.createDataFrame(rows, "feature string, r2 double")
+
+
+def _r2_of_sums(n, y, yy, x, xx, xy) -> float | None:
+    """The squared correlation from a count and sums; null where either side does not vary."""
+    if not n:
+        return None
+    of_y, of_x = yy - y * y / n, xx - x * x / n
+    return (xy - x * y / n) ** 2 / (of_y * of_x) if of_y > 0 and of_x > 0 else None
 
 
 def drop_one_sets(xs: Sequence[str]) -> list[tuple[str, ...]]:
