@@ -18,18 +18,12 @@ def components(edges: DataFrame) -> DataFrame:
     Each round hangs the larger neighbours of a node, then the smaller ones, on the least of them. Groups are
     only ever reduced to a minimum, and the join that brings it back can be split, so a node with any number of
     neighbours is no burden for one task. Rounds grow
-    with the logarithm of the largest component; every round is kept on shared storage. Nodes without an edge
+    with the logarithm of the largest component; every round is kept on shared storage. It ends when all edges hang on
+    the least node of their component. Nodes without an edge
     to another node are left out, as are edges with a null end.
     """
     pairs = kept(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    seen = None
-    while True:
-        mark = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if mark == seen:
-            break
-        seen = mark
-        if mark[0] == 0:
-            break
+    while not _are_stars(pairs):
         both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = splittable(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")))
         large = kept(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
@@ -40,6 +34,13 @@ def components(edges: DataFrame) -> DataFrame:
     return stars.union(pairs.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
+def _are_stars(pairs: DataFrame) -> bool:
+    """Whether every node u hangs on one node v that hangs on none: as v < u, it is the least of its component."""
+    several = pairs.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").select("u")
+    inner = pairs.select("u").join(pairs.select(F.col("v").alias("u")).distinct(), "u", "left_semi")
+    return several.union(inner).agg(F.count("*")).first()[0] == 0
+
+
 def forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     """Edges that connect the same nodes as the pairs (a, b), at most one for each node."""
     parent: dict[int, int] = {}
