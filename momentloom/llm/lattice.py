@@ -36,6 +36,8 @@ PROBES = 8
 SEED = 8
 #: Vectors on one side of a comparison in a task.
 BLOCK = 512
+#: Linked pairs whose cells are compared at a time.
+PAIRS = 20_000
 #: Lattice spacing, in standard deviations of a coordinate of the difference of two vectors at the threshold.
 SPACING = 4.8
 
@@ -115,22 +117,14 @@ def _unit(vectors: pd.Series) -> np.ndarray:
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
-def _placed(threshold: float):
-    def place(batches):
+def _coded(threshold: float):
+    def code(batches):
         for batch in batches:
             for _, part in batch.groupby(batch["vec"].map(len)):
-                codes = cells(_unit(part["vec"]), threshold)
-                n, width = len(part), TABLES * (1 + PROBES)
-                yield pd.DataFrame({
-                    "grp": np.repeat(part["grp"].to_numpy(), width),
-                    "tab": np.tile(np.repeat(np.arange(TABLES), 1 + PROBES), n),
-                    "cell": codes.reshape(-1),
-                    "home": np.tile(np.arange(1 + PROBES) == 0, n * TABLES),
-                    "node": np.repeat(part["node"].to_numpy(), width),
-                    "key": np.repeat(part["key"].to_numpy(), width),
-                })
+                codes = cells(_unit(part["vec"]), threshold).reshape(len(part), -1)
+                yield part.assign(codes=list(codes))
 
-    return place
+    return code
 
 
 def _linked(unit: np.ndarray, part: pd.DataFrame, threshold: float) -> tuple[np.ndarray, np.ndarray]:
@@ -145,16 +139,23 @@ def _linked(unit: np.ndarray, part: pd.DataFrame, threshold: float) -> tuple[np.
     a, b = a[exact], b[exact]
     if not len(a):
         return a, b
-    used, place = np.unique(np.concatenate([a, b]), return_inverse=True)
-    codes = cells(unit[used], threshold)
-    p, q = codes[place[: len(a)]], codes[place[len(a) :]]
+    codes = np.stack(part["codes"].to_numpy()).reshape(len(part), TABLES, 1 + PROBES)
+    now = int(part["tab"].iloc[0])
+    mine = [_met_first(codes[a[i : i + PAIRS]], codes[b[i : i + PAIRS]], now, keys[a[i : i + PAIRS]] < keys[b[i : i + PAIRS]]) for i in range(0, len(a), PAIRS)]
+    here = np.concatenate(mine)
+    return a[here], b[here]
+
+
+def _met_first(p: np.ndarray, q: np.ndarray, now: int, ahead: np.ndarray) -> np.ndarray:
+    """Whether pairs of vectors with cells p and q met in no table before ``now``, and count in this cell of it.
+
+    Two vectors that probe each other's homes meet in both cells; there the one ``ahead`` is the source.
+    """
     same = p[:, :, 0] == q[:, :, 0]
     forth = (p[:, :, 1:] == q[:, :, :1]).any(axis=2)
     back = (q[:, :, 1:] == p[:, :, :1]).any(axis=2)
-    now = int(part["tab"].iloc[0])
     first = (same | forth | back).argmax(axis=1) == now
-    once = same[:, now] | ~(forth[:, now] & back[:, now]) | (keys[a] < keys[b])
-    return a[first & once], b[first & once]
+    return first & (same[:, now] | ~(forth[:, now] & back[:, now]) | ahead)
 
 
 def _compared(threshold: float):
@@ -188,7 +189,10 @@ def near_vectors(df: DataFrame, vec_id: str, vector: str, label: str, threshold:
     rows = rows.withColumn("key", F.when(sound, F.md5(F.concat_ws(",", F.col("grp").cast("string"), F.col("vec").cast("array<string>")))))
     classes = rows.where("key is not null").groupBy("key").agg(F.min("id").alias("node"), F.count("*").alias("copies"), F.first("vec").alias("vec"), F.xxhash64(F.first("grp")).alias("grp"))
 
-    placed = classes.select("grp", "vec", "node", "key").mapInPandas(_placed(threshold), "grp long, tab int, cell long, home boolean, node long, key string")
+    # Cells are computed once for each vector and go with it, so that all tasks agree on them to the last bit.
+    coded = kept(classes.mapInPandas(_coded(threshold), "key string, node long, copies long, vec array<double>, grp long, codes array<long>"))
+    placed = coded.select("grp", "node", "key", F.posexplode("codes").alias("at", "cell"))
+    placed = placed.select("grp", F.floor(F.col("at") / (1 + PROBES)).cast("int").alias("tab"), "cell", (F.col("at") % (1 + PROBES) == 0).alias("home"), "node", "key")
     sizes = placed.groupBy("grp", "tab", "cell").agg(F.count("*").alias("m"), F.count_if("home").alias("h")).where("m > 1 and h > 0")
     sizes = sizes.select("grp", "tab", "cell", F.ceil(F.col("m") / block).alias("ni"), F.ceil(F.col("h") / block).alias("nj"))
     live = placed.join(splittable(sizes), ["grp", "tab", "cell"]).withColumns({"bi": block_of("key", F.col("ni"), "i"), "bj": block_of("key", F.col("nj"), "j")})
@@ -197,14 +201,14 @@ def near_vectors(df: DataFrame, vec_id: str, vector: str, label: str, threshold:
     homes = F.transform(F.sequence(F.lit(0), F.col("ni") - 1), lambda i: F.struct(i.alias("i"), F.col("bj").alias("j")))
     spots = F.explode(F.array_distinct(F.concat(places, F.when(F.col("home"), homes).otherwise(F.slice(places, 1, 0)))))
     live = live.withColumn("at", spots).select("grp", "tab", "cell", "at.i", "at.j", "home", "node", "key", (F.col("at.i") == F.col("bi")).alias("source"), (F.col("home") & (F.col("at.j") == F.col("bj"))).alias("target"))
-    dealt = live.join(classes.select("key", "copies", "vec"), "key")
+    dealt = live.join(coded.select("key", "copies", "vec", "codes"), "key")
     by = ["grp", "tab", "cell", "i", "j"]
     found = dealt.repartition(*by).sortWithinPartitions(*by).mapInPandas(_compared(threshold), "a long, b long, key string, links long")
 
     found = kept(found)
     links = found.where("links > 0").groupBy("key").agg(F.sum("links").alias("links"))
     roots = components(found.where("links = 0").select("a", "b"))
-    told = classes.select("key", "node", "copies").join(links, "key", "left").join(roots, "node", "left")
+    told = coded.select("key", "node", "copies").join(links, "key", "left").join(roots, "node", "left")
     told = told.select("key", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("root", "node").alias("root"))
     out = rows.select("id", "key").join(told, "key", "left")
     component = F.coalesce("root", "id")
