@@ -12,15 +12,16 @@ Where a page has no container, its body counts without text that is the same on
 
 Blocks are the texts between block-level tags. Character references are decoded, white space in a block becomes one
 space, empty blocks go, and blocks are joined by line breaks. Null or empty pages give an empty text, as do pages
-without an article. Null or odd URLs share the empty host. Tags that are not closed end with their parents; elements
-nested deeper than ``DEPTH`` belong to the one at that depth. Pages of any length are read whole; repeated rows give the same
-text, tables without rows none.
+without an article. Null or odd URLs share the empty host. Tags that are not closed end with their parents. Elements of
+any depth are read as such; a wrapper describes ``DEPTH`` levels and takes the text of deeper ones as that of the last level.
+Pages of any length are read whole; repeated rows give the same text, tables without rows none.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from collections import Counter
 from functools import lru_cache
 from html import unescape
 
@@ -44,6 +45,7 @@ DROPPED_WORDS = set(
     "disqus footer form header login masthead menu modal nav navbar navigation newsletter notice popup promo related "
     "respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
+#: Levels that a wrapper describes.
 DEPTH = 60
 #: Pages on which a text must be the same to count as part of the template.
 ALIKE = 3
@@ -84,9 +86,11 @@ def _name(tag: str, attributes: str) -> str:
 def events(html: str):
     """Openings ``(+1, name)``, closings ``(-1, name)``, texts ``(0, text)`` and breaks ``(0, " ")``, always balanced."""
     stack: list[str] = []
+    opened: Counter = Counter()
 
     def close(to: int):
         while len(stack) > to:
+            opened[stack[-1].partition(".")[0]] -= 1
             yield -1, stack.pop()
 
     for m in TOKEN.finditer(html):
@@ -95,7 +99,7 @@ def events(html: str):
             yield 0, unescape(m["text"])
         elif kind == "close":
             tag = m["close"].lower()
-            if tag in INLINE or tag in VOID:
+            if tag in INLINE or tag in VOID or not opened[tag]:
                 continue
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i].partition(".")[0] == tag:
@@ -115,11 +119,9 @@ def events(html: str):
                     break
                 if top in ("ul", "ol", "table", "dl"):
                     break
-            if len(stack) < DEPTH:
-                stack.append(_name(tag, m["attrs"] or ""))
-                yield 1, stack[-1]
-            else:
-                yield 0, " "
+            stack.append(_name(tag, m["attrs"] or ""))
+            opened[stack[-1].partition(".")[0]] += 1
+            yield 1, stack[-1]
     yield from close(0)
 
 
@@ -127,8 +129,11 @@ def expression(html: str) -> list:
     """The expression of one page: every element once, neighbours of one kind folded into groups."""
     levels: list[list] = [[]]
     names: list[str] = []
+    deeper = 0
     for step, what in events(html):
-        if step > 0:
+        if step and (deeper or step > 0 and len(names) == DEPTH):
+            deeper += step
+        elif step > 0:
             levels.append([])
             names.append(what)
         elif step < 0:
@@ -246,6 +251,12 @@ class Place:
         self.below = {k: Place(k, v, constants) for k, v in below.items()}
 
 
+@lru_cache(maxsize=4096)
+def _unseen(name: str) -> Place:
+    """The place of an element that the wrapper does not describe."""
+    return Place(name, [], False)
+
+
 @lru_cache(maxsize=256)
 def _places(wrapper: str) -> Place:
     pages, items = json.loads(wrapper)
@@ -276,7 +287,7 @@ def extract(html: str, wrapper: str) -> str:
             flush()
         if step > 0:
             above, dropped, inside = stack[-1]
-            here = above.below.get(what) or Place(what, [], False)
+            here = above.below.get(what) or _unseen(what)
             dropped = dropped or here.dropped
             if here.container is not None and not dropped:
                 inside = inside | {here.container}

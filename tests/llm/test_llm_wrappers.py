@@ -69,6 +69,13 @@ def test_broken_and_deep_pages():
     assert wrappers.extract("a &lt; b &#x41;", wrapper("x")) == "a < b A"
 
 
+def test_nesting_of_any_depth_keeps_its_elements():
+    for n in (10, 60, 61, 500, 5000):
+        page = "<div><article>" + "<div>" * n + "<p>a</p><nav>menu</nav><p>b</p>" + "</div>" * n + "<p>rest</p></article><p>out</p></div>"
+        assert wrappers.extract(page, wrapper(page)) == "a\nb\nrest"
+        assert wrappers.extract(page, wrapper(page, page.replace("rest", "r"), "<p>x</p>")) == "a\nb\nrest"
+
+
 def test_tables_of_every_kind(spark):
     rows = [(1, "http://h.com/a", PAGE), (1, "http://h.com/a", PAGE), (2, "http://h.com/b", None), (3, None, PAGE), (4, "odd", ""), (None, "http://User@H.com:80/c", PAGE), (5, "http://h.com/d", "<article>" + "<p>word</p>" * 30_000)]
     df = cases.crowded(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("_host", wrappers.host_of(F.col("url")))).drop("host", "wrapper")
