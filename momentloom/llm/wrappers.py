@@ -8,7 +8,8 @@ any number of pages of one host spreads over tasks, and only small expressions a
 
 The wrapper says which elements of a host hold the article (``CONTAINERS``, first kind first), which are menus,
 adverts and the like (``DROPPED_TAGS``, ``DROPPED_WORDS`` in class, id or role), and which text is the same on all pages.
-Where a page has no container, its body counts without text that is the same on all of at least ``ALIKE`` pages.
+Where a page has no container, its body counts without text that is the same on all of at least ``ALIKE`` pages of
+different main text: copies are one page, however many rows they have, and text of optional elements always stays.
 
 Blocks are the texts between block-level tags. Character references are decoded, white space in a block becomes one
 space, empty blocks go, and blocks are joined by line breaks. Null or empty pages give an empty text, as do pages
@@ -22,7 +23,8 @@ from __future__ import annotations
 import json
 import re
 from collections import Counter
-from functools import lru_cache
+from functools import lru_cache, reduce
+from hashlib import md5
 from html import unescape
 
 import pandas as pd
@@ -47,7 +49,7 @@ DROPPED_WORDS = set(
 )
 #: Levels that a wrapper describes.
 DEPTH = 60
-#: Pages on which a text must be the same to count as part of the template.
+#: Pages of different main text on all of which a text must be the same to count as part of the template.
 ALIKE = 3
 #: Times that one kind of element may stand in a sequence before the sequence becomes one repeated group.
 REPEATS = 3
@@ -127,10 +129,14 @@ def events(html: str):
 
 def expression(html: str) -> list:
     """The expression of one page: every element once, neighbours of one kind folded into groups."""
+    return _expression(events(html))
+
+
+def _expression(steps) -> list:
     levels: list[list] = [[]]
     names: list[str] = []
     deeper = 0
-    for step, what in events(html):
+    for step, what in steps:
         if step and (deeper or step > 0 and len(names) == DEPTH):
             deeper += step
         elif step > 0:
@@ -138,15 +144,17 @@ def expression(html: str) -> list:
             names.append(what)
         elif step < 0:
             below = levels.pop()
-            levels[-1].append([names.pop(), 1, False, _folded(below)])
+            levels[-1].append([names.pop(), 1, False, _folded(_spaced(below))])
+        elif levels[-1] and levels[-1][-1][0] == SLOT:
+            levels[-1][-1][3].append(what)
         elif what.strip():
-            here = levels[-1]
-            text = " ".join(what.split())
-            if here and here[-1][0] == SLOT:
-                here[-1][3] = f"{here[-1][3]} {text}"
-            else:
-                here.append([SLOT, 1, False, text])
-    return _folded(levels[0])
+            levels[-1].append([SLOT, 1, False, [what]])
+    return _folded(_spaced(levels[0]))
+
+
+def _spaced(items: list) -> list:
+    """The items with the pieces of a text as one, its white space as in a block."""
+    return [[*x[:3], " ".join("".join(x[3]).split())] if x[0] == SLOT else x for x in items]
 
 
 def _key(item: list):
@@ -238,19 +246,28 @@ def _container(name: str) -> int | None:
 class Place:
     """An element of a wrapper as extraction needs it: what it is, what is constant in it, what lies below."""
 
-    def __init__(self, name: str, expressions: list[list], constants: bool):
+    def __init__(self, name: str, items: list, constants: bool):
         tag, *words = name.split(".")
         self.dropped = tag in DROPPED_TAGS or tag == "head" or tag not in ("html", "body") and bool(DROPPED_WORDS & set(words))
         self.container = _container(name)
-        items = [x for e in expressions for x in _flat(e)]
-        self.same = {x[3] for x in items if x[0] == SLOT and x[3] is not None} if constants else set()
-        below: dict[str, list[list]] = {}
-        for x in items:
+        # An item that is not on every page tells nothing about the pages without it: its text is not taken as constant.
+        self.same = {x[3] for x, always in items if x[0] == SLOT and always and x[3] is not None} if constants else set()
+        below: dict[str, list] = {}
+        for x, always in items:
             if x[0] != SLOT:
-                below.setdefault(x[0], []).append(x[3])
+                below.setdefault(x[0], []).extend(_told(x[3], always))
         self.below = {k: Place(k, v, constants) for k, v in below.items()}
 
 
+def _told(items: list, always: bool = True) -> list:
+    """The items of an expression without its groups, each with whether it is on every page."""
+    out = []
+    for x in items:
+        here = always and x[1] > 0
+        out += _told(x[3], here) if x[0] == GROUP else [(x, here)]
+    return out
+
+
 @lru_cache(maxsize=4096)
 def _unseen(name: str) -> Place:
     """The place of an element that the wrapper does not describe."""
@@ -260,14 +277,17 @@ def _unseen(name: str) -> Place:
 @lru_cache(maxsize=256)
 def _places(wrapper: str) -> Place:
     pages, items = json.loads(wrapper)
-    return Place("", [items], constants=pages >= ALIKE)
+    return Place("", _told(items), constants=pages >= ALIKE)
 
 
 def extract(html: str, wrapper: str) -> str:
     """The main text of a page under its host's wrapper."""
+    return _main_text(events(html), _places(wrapper))
+
+
+def _main_text(steps, place: Place) -> str:
     blocks: list[tuple[set, str, bool]] = []
     held: list[str] = []
-    place = _places(wrapper)
     stack = [(place, False, frozenset())]
     present: set[int] = set()
 
@@ -277,7 +297,7 @@ def extract(html: str, wrapper: str) -> str:
         if text and not stack[-1][1]:
             blocks.append((stack[-1][2], text, text in stack[-1][0].same))
 
-    for step, what in events(html):
+    for step, what in steps:
         if step == 0:
             held.append(what)
             continue
@@ -309,8 +329,19 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_replace(F.regexp_replace(host, r"^.*@", ""), r":\d*$", ""))
 
 
+def _page(html: str) -> list:
+    """The partial wrapper of one page: a digest of its main text as names alone tell it, and its expression."""
+    steps = list(events(html))
+    return [[md5(_main_text(steps, _unseen("")).encode("utf-8", "replace")).hexdigest()], _expression(steps)]
+
+
+def _both(a: list, b: list) -> list:
+    """One partial wrapper for two. ``ALIKE`` different digests are kept, which is all that extraction asks about their number."""
+    return [sorted({*a[0], *b[0]})[:ALIKE], merged(a[1], b[1])]
+
+
 def _partial(batches):
-    """A wrapper for each host of the task's pages."""
+    """A partial wrapper for each host of the task's pages."""
     held: dict[str, list] = {}
 
     def told():
@@ -320,21 +351,19 @@ def _partial(batches):
 
     for batch in batches:
         for host, html in zip(batch["host"], batch["html"]):
-            new = expression(html)
-            held[host] = [held[host][0] + 1, merged(held[host][1], new)] if host in held else [1, new]
+            held[host] = _both(held[host], _page(html)) if host in held else _page(html)
         if len(held) > HOSTS:
             yield told()
     if held:
         yield told()
 
 
-def _merged_wrappers(keys: list[str]):
+def _merged_wrappers(keys: list[str], last: bool = False):
+    """One wrapper for those of a group; the last holds the number of digests, up to ``ALIKE``, in their place."""
+
     def merge(rows: pd.DataFrame) -> pd.DataFrame:
-        pages, items = 0, None
-        for w in sorted(rows["wrapper"]):
-            n, more = json.loads(w)
-            pages, items = pages + n, more if items is None else merged(items, more)
-        return pd.DataFrame([(*rows[keys].iloc[0], json.dumps([pages, items]))], columns=[*keys, "wrapper"])
+        digests, items = reduce(_both, map(json.loads, sorted(rows["wrapper"])))
+        return pd.DataFrame([(*rows[keys].iloc[0], json.dumps([len(digests) if last else digests, items]))], columns=[*keys, "wrapper"])
 
     return merge
 
@@ -345,7 +374,7 @@ def infer(pages: DataFrame, url: str, html: str) -> DataFrame:
     partial = rows.mapInPandas(_partial, "host string, wrapper string")
     partial = partial.withColumn("part", F.pmod(F.xxhash64("wrapper"), F.lit(PARTS)).cast("int"))
     some = partial.groupBy("host", "part").applyInPandas(_merged_wrappers(["host", "part"]), "host string, part int, wrapper string")
-    return some.groupBy("host").applyInPandas(_merged_wrappers(["host"]), "host string, wrapper string")
+    return some.groupBy("host").applyInPandas(_merged_wrappers(["host"], last=True), "host string, wrapper string")
 
 
 def with_wrappers(pages: DataFrame, wrappers: DataFrame, host: str, name: str = "wrapper") -> DataFrame:

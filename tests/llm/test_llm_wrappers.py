@@ -76,6 +76,28 @@ def test_nesting_of_any_depth_keeps_its_elements():
         assert wrappers.extract(page, wrapper(page, page.replace("rest", "r"), "<p>x</p>")) == "a\nb\nrest"
 
 
+def texts_of(spark, pages):
+    """The main texts of pages, all of one host, through the wrapper that the tables give."""
+    df = spark.createDataFrame([(i, "http://h.com/", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    found = wrappers.with_wrappers(df.withColumn("_host", wrappers.host_of(F.col("url"))), wrappers.infer(df, "url", "html"), "_host", "_w")
+    return [r["t"] for r in found.select("page_id", wrappers.main_text(F.col("html"), F.col("_w")).alias("t")).orderBy("page_id").collect()]
+
+
+def test_copies_are_one_page(spark):
+    one = "<body><h1>Head</h1><p>Only text</p></body>"
+    assert texts_of(spark, [one] * 5) == ["Head\nOnly text"] * 5
+    marked = [one.replace("<body>", f"<body><nav>menu {i}</nav><!-- {i} -->") for i in range(5)]
+    assert texts_of(spark, marked) == ["Head\nOnly text"] * 5  # copies but for menus and markup
+    pages = [f"<body><h1>Site</h1><p>Text {i}</p></body>" for i in range(3)]
+    assert texts_of(spark, pages[:2] * 3) == ["Site\nText 0", "Site\nText 1"] * 3
+    assert texts_of(spark, pages * 2) == ["Text 0", "Text 1", "Text 2"] * 2
+
+
+def test_text_of_optional_elements_stays():
+    pages = [f"<body><h1>Site</h1><p>Text {i}</p></body>" for i in range(4)] + ["<body><h1>Site</h1><p>Text 4</p><h2>Seen once</h2></body>"]
+    assert wrappers.extract(pages[4], wrapper(*pages)) == "Text 4\nSeen once"
+
+
 def test_tables_of_every_kind(spark):
     rows = [(1, "http://h.com/a", PAGE), (1, "http://h.com/a", PAGE), (2, "http://h.com/b", None), (3, None, PAGE), (4, "odd", ""), (None, "http://User@H.com:80/c", PAGE), (5, "http://h.com/d", "<article>" + "<p>word</p>" * 30_000)]
     df = cases.crowded(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("_host", wrappers.host_of(F.col("url")))).drop("host", "wrapper")
