@@ -6,10 +6,15 @@ has become optional, neighbours of one kind become repeated groups, and texts th
 An expression is merged with another like a page, so partial wrappers are inferred in each task and then merged:
 any number of pages of one host spreads over tasks, and only small expressions are shuffled.
 
-The wrapper says which elements of a host hold the article (``CONTAINERS``, first kind first), which are menus,
-adverts and the like (``DROPPED_TAGS``, ``DROPPED_WORDS`` in class, id or role), and which text is the same on all pages.
-Where a page has no container, its body counts without text that is the same on all of at least ``ALIKE`` pages of
-different main text: copies are one page, however many rows they have, and text of optional elements always stays.
+The wrapper decides on every page of a host with at least ``ALIKE`` pages of different URL and text; copies and fetches of
+one URL are one page, however many rows they have. An element whose text is the same on all of these pages holds no article, whatever its
+name, and text that is the same on all of them is template and goes, within the article too. Text of optional
+elements, which only some pages have, always stays, as does text within repeated elements that differ.
+
+Names are hints for what alignment cannot tell: among the elements that differ, which hold the article
+(``CONTAINERS``, first kind first), and which text that differs from page to page is a menu, advert, comment and so on
+(``DROPPED_TAGS``, ``DROPPED_WORDS`` in class, id or role). Where no element that differs has a container's name, the body
+counts. With fewer different pages names alone decide, as nothing is known to be template.
 
 Blocks are the texts between block-level tags. Character references are decoded, white space in a block becomes one
 space, empty blocks go, and blocks are joined by line breaks. Null or empty pages give an empty text, as do pages
@@ -49,7 +54,7 @@ DROPPED_WORDS = set(
 )
 #: Levels that a wrapper describes.
 DEPTH = 60
-#: Pages of different main text on all of which a text must be the same to count as part of the template.
+#: Pages of different URL and text on all of which a text must be the same to count as part of the template.
 ALIKE = 3
 #: Times that one kind of element may stand in a sequence before the sequence becomes one repeated group.
 REPEATS = 3
@@ -249,7 +254,6 @@ class Place:
     def __init__(self, name: str, items: list, constants: bool):
         tag, *words = name.split(".")
         self.dropped = tag in DROPPED_TAGS or tag == "head" or tag not in ("html", "body") and bool(DROPPED_WORDS & set(words))
-        self.container = _container(name)
         # An item that is not on every page tells nothing about the pages without it: its text is not taken as constant.
         self.same = {x[3] for x, always in items if x[0] == SLOT and always and x[3] is not None} if constants else set()
         below: dict[str, list] = {}
@@ -257,6 +261,9 @@ class Place:
             if x[0] != SLOT:
                 below.setdefault(x[0], []).extend(_told(x[3], always))
         self.below = {k: Place(k, v, constants) for k, v in below.items()}
+        #: Whether the text differs between pages, without parts that are dropped; where too few pages are known, it may.
+        self.differs = not constants or any(x[0] == SLOT and not (always and x[3] is not None) for x, always in items) or any(p.differs and not p.dropped for p in self.below.values())
+        self.container = _container(name) if self.differs else None
 
 
 def _told(items: list, always: bool = True) -> list:
@@ -285,7 +292,8 @@ def extract(html: str, wrapper: str) -> str:
     return _main_text(events(html), _places(wrapper))
 
 
-def _main_text(steps, place: Place) -> str:
+def _main_text(steps, place: Place, kinds: int = len(CONTAINERS)) -> str:
+    """The main text under a place; only the first ``kinds`` of containers count."""
     blocks: list[tuple[set, str, bool]] = []
     held: list[str] = []
     stack = [(place, False, frozenset())]
@@ -309,7 +317,7 @@ def _main_text(steps, place: Place) -> str:
             above, dropped, inside = stack[-1]
             here = above.below.get(what) or _unseen(what)
             dropped = dropped or here.dropped
-            if here.container is not None and not dropped:
+            if here.container is not None and here.container < kinds and not dropped:
                 inside = inside | {here.container}
                 present.add(here.container)
             if what.partition(".")[0] in CELLS:
@@ -318,9 +326,7 @@ def _main_text(steps, place: Place) -> str:
         else:
             stack.pop()
     flush()
-    if present:
-        return "\n".join(text for inside, text, _ in blocks if min(present) in inside)
-    return "\n".join(text for _, text, same in blocks if not same)
+    return "\n".join(text for inside, text, same in blocks if not same and (not present or min(present) in inside))
 
 
 def host_of(url: Column) -> Column:
@@ -329,15 +335,20 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_replace(F.regexp_replace(host, r"^.*@", ""), r":\d*$", ""))
 
 
-def _page(html: str) -> list:
-    """The partial wrapper of one page: a digest of its main text as names alone tell it, and its expression."""
+def _page(url: str, html: str) -> list:
+    """The partial wrapper of one page: digests of its URL and of its text, and its expression.
+
+    The text is that of an article or main element, else all but what names drop: a class word alone is too weak a
+    hint to say what makes a page different.
+    """
     steps = list(events(html))
-    return [[md5(_main_text(steps, _unseen("")).encode("utf-8", "replace")).hexdigest()], _expression(steps)]
+    told = [md5(x.encode("utf-8", "replace")).hexdigest() for x in (url, _main_text(steps, _unseen(""), CONTAINERS.index("content")))]
+    return [[told[0]], [told[1]], _expression(steps)]
 
 
 def _both(a: list, b: list) -> list:
     """One partial wrapper for two. ``ALIKE`` different digests are kept, which is all that extraction asks about their number."""
-    return [sorted({*a[0], *b[0]})[:ALIKE], merged(a[1], b[1])]
+    return [*(sorted({*x, *y})[:ALIKE] for x, y in zip(a[:2], b[:2])), merged(a[2], b[2])]
 
 
 def _partial(batches):
@@ -350,8 +361,8 @@ def _partial(batches):
         return out
 
     for batch in batches:
-        for host, html in zip(batch["host"], batch["html"]):
-            held[host] = _both(held[host], _page(html)) if host in held else _page(html)
+        for host, url, html in zip(batch["host"], batch["url"], batch["html"]):
+            held[host] = _both(held[host], _page(url, html)) if host in held else _page(url, html)
         if len(held) > HOSTS:
             yield told()
     if held:
@@ -359,18 +370,19 @@ def _partial(batches):
 
 
 def _merged_wrappers(keys: list[str], last: bool = False):
-    """One wrapper for those of a group; the last holds the number of digests, up to ``ALIKE``, in their place."""
+    """One wrapper for those of a group; the last holds the number of different pages, up to ``ALIKE``, for the digests."""
 
     def merge(rows: pd.DataFrame) -> pd.DataFrame:
-        digests, items = reduce(_both, map(json.loads, sorted(rows["wrapper"])))
-        return pd.DataFrame([(*rows[keys].iloc[0], json.dumps([len(digests) if last else digests, items]))], columns=[*keys, "wrapper"])
+        urls, texts, items = reduce(_both, map(json.loads, sorted(rows["wrapper"])))
+        told = [min(len(urls), len(texts)), items] if last else [urls, texts, items]
+        return pd.DataFrame([(*rows[keys].iloc[0], json.dumps(told))], columns=[*keys, "wrapper"])
 
     return merge
 
 
 def infer(pages: DataFrame, url: str, html: str) -> DataFrame:
     """``host, wrapper`` for each host of the pages."""
-    rows = pages.select(host_of(F.col(url)).alias("host"), F.coalesce(html, F.lit("")).alias("html")).where("html <> ''")
+    rows = pages.select(host_of(F.col(url)).alias("host"), F.coalesce(url, F.lit("")).alias("url"), F.coalesce(html, F.lit("")).alias("html")).where("html <> ''")
     partial = rows.mapInPandas(_partial, "host string, wrapper string")
     partial = partial.withColumn("part", F.pmod(F.xxhash64("wrapper"), F.lit(PARTS)).cast("int"))
     some = partial.groupBy("host", "part").applyInPandas(_merged_wrappers(["host", "part"]), "host string, part int, wrapper string")

@@ -76,9 +76,9 @@ def test_nesting_of_any_depth_keeps_its_elements():
         assert wrappers.extract(page, wrapper(page, page.replace("rest", "r"), "<p>x</p>")) == "a\nb\nrest"
 
 
-def texts_of(spark, pages):
+def texts_of(spark, pages, url="http://h.com/{}"):
     """The main texts of pages, all of one host, through the wrapper that the tables give."""
-    df = spark.createDataFrame([(i, "http://h.com/", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    df = spark.createDataFrame([(i, url.format(i), p) for i, p in enumerate(pages)], "page_id long, url string, html string")
     found = wrappers.with_wrappers(df.withColumn("_host", wrappers.host_of(F.col("url"))), wrappers.infer(df, "url", "html"), "_host", "_w")
     return [r["t"] for r in found.select("page_id", wrappers.main_text(F.col("html"), F.col("_w")).alias("t")).orderBy("page_id").collect()]
 
@@ -91,6 +91,9 @@ def test_copies_are_one_page(spark):
     pages = [f"<body><h1>Site</h1><p>Text {i}</p></body>" for i in range(3)]
     assert texts_of(spark, pages[:2] * 3) == ["Site\nText 0", "Site\nText 1"] * 3
     assert texts_of(spark, pages * 2) == ["Text 0", "Text 1", "Text 2"] * 2
+    assert texts_of(spark, pages, "http://h.com/same") == ["Site\nText 0", "Site\nText 1", "Site\nText 2"]
+    dated = [f"<body><article><h1>Head</h1><p>Only text</p></article><p>Read at {i}</p></body>" for i in range(5)]
+    assert texts_of(spark, dated) == ["Head\nOnly text"] * 5
 
 
 def test_text_of_optional_elements_stays():
@@ -98,6 +101,16 @@ def test_text_of_optional_elements_stays():
     assert wrappers.extract(pages[4], wrapper(*pages)) == "Text 4\nSeen once"
 
 
+def test_wrapper_decides_on_pages_with_containers(spark):
+    # The box named "content" is the same on all pages, so it is not the article; the note in the article is template.
+    page = lambda i, more="": f'<body><div class="content"><p>About us</p></div><div class="x1"><h1>Head {i}</h1><p>Text {i}</p>{more}</div></body>'
+    assert texts_of(spark, [page(i) for i in range(4)]) == [f"Head {i}\nText {i}" for i in range(4)]
+    page = lambda i, more="": f"<body><article><h1>Head {i}</h1><p>Text {i}</p>{more}<div>Read <b>more</b> here</div></article><p>Out {i}</p></body>"
+    found = texts_of(spark, [page(0), page(1), page(2, "<h2>Only here</h2>")])
+    assert found == ["Head 0\nText 0", "Head 1\nText 1", "Head 2\nText 2\nOnly here"]
+    assert texts_of(spark, [page(0), page(1)] * 3) == ["Head 0\nText 0\nRead more here", "Head 1\nText 1\nRead more here"] * 3
+
+
 def test_tables_of_every_kind(spark):
     rows = [(1, "http://h.com/a", PAGE), (1, "http://h.com/a", PAGE), (2, "http://h.com/b", None), (3, None, PAGE), (4, "odd", ""), (None, "http://User@H.com:80/c", PAGE), (5, "http://h.com/d", "<article>" + "<p>word</p>" * 30_000)]
     df = cases.crowded(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("_host", wrappers.host_of(F.col("url")))).drop("host", "wrapper")
