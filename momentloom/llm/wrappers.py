@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Elements of HTML by their kind.
-RAW = "script style textarea title noscript template iframe svg select button object".split()
+RAW = "script style textarea title noscript template iframe svg select button".split()
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
 CELLS = {"td", "th"}
@@ -46,7 +46,9 @@ ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
 
 CONTAINERS = ("article", "main", "content")
 CONTENT_WORDS = set("article content entry post story".split())
-DROPPED_TAGS = set("nav header footer aside form dialog menu figcaption".split()) | set(RAW)
+# What goes: menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, markup, readers' comments. No more:
+# captions and what an object shows in its place are text.
+DROPPED_TAGS = set("nav header footer aside form dialog menu".split()) | set(RAW)
 DROPPED_WORDS = set(
     "ad ads advert advertisement advertising adverts alert banner breadcrumb breadcrumbs comment comments consent cookie cookies "
     "disqus footer form header login masthead menu modal nav navbar navigation newsletter notice popup promo related "

@@ -111,6 +111,11 @@ def test_wrapper_decides_on_pages_with_containers(spark):
     assert texts_of(spark, [page(0), page(1)] * 3) == ["Head 0\nText 0\nRead more here", "Head 1\nText 1\nRead more here"] * 3
 
 
+def test_captions_and_replacement_texts_stay():
+    page = "<article><p>a</p><figure><img src=x><figcaption>The <i>caption</i></figcaption></figure><object data=y><p>Instead</p></object><button>Go</button><p>b</p></article>"
+    assert wrappers.extract(page, wrapper(page)) == "a\nThe caption\nInstead\nb"
+
+
 def test_tables_of_every_kind(spark):
     rows = [(1, "http://h.com/a", PAGE), (1, "http://h.com/a", PAGE), (2, "http://h.com/b", None), (3, None, PAGE), (4, "odd", ""), (None, "http://User@H.com:80/c", PAGE), (5, "http://h.com/d", "<article>" + "<p>word</p>" * 30_000)]
     df = cases.crowded(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("_host", wrappers.host_of(F.col("url")))).drop("host", "wrapper")
