@@ -16,16 +16,13 @@ from pyspark.sql import functions as F
 from momentloom.llm import bpe, langid, minhash, queries, secrets, spaced
 from momentloom.llm.common import held_out, shared_folder, table
 
-#: Cosine with the nearest language below which a text is in none of them.
-LEAST_COSINE = 0.02
-
 
 def language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents in a known language. Null texts, texts without a letter and texts like no language go."""
-    model = langid.fit(docs.where(~held_out("doc_id")), "text", "lang", "doc_id")
-    found = docs.withColumn("_language", langid.predict(F.col("text"), model))
-    rejected = (F.col("_language.lang") == langid.UNKNOWN) | (F.col("_language.score") < LEAST_COSINE)
-    return found.where(~rejected).select(*docs.columns)
+    learned = docs.where(~held_out("doc_id"))
+    model, counts = langid.fit(learned, "text", "lang", "doc_id"), langid.fit_counts(learned, "text", "lang", "doc_id")
+    found = docs.withColumn("_language", langid.predict(F.col("text"), model)).withColumn("_familiar", langid.familiar(F.col("text"), counts))
+    return found.where((F.col("_language.lang") != langid.UNKNOWN) & F.col("_familiar")).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

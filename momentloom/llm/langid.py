@@ -10,6 +10,11 @@ A text that is null or has no letter is ``und`` with score 0, and so is every te
 learned. Ties go to the first language in order. Very long texts are taken whole, repeated rows get the same
 answer, and rows with a null language or key teach nothing. ``predict`` is a column function, so other columns keep
 their names and values.
+
+The largest cosine says which language is nearest, not whether the text is in it: the noise of the vectors, 1/32, is as
+large as the cosines of short texts. ``familiar`` tells that by the n-grams themselves, without noise: a text is in a
+learned language if its cosine with the language's n-gram counts is above 0 and not below the quantile ``LOW`` of
+stretches of the same length class in that language's own training texts.
 """
 
 from __future__ import annotations
@@ -36,6 +41,11 @@ TABLE = 1 << 23
 #: Texts that are worked on together, which bounds the n-gram vectors held at a time.
 SLICE = 64
 
+#: Share of a language's own stretches of a length that may lie below its threshold.
+LOW = 0.005
+#: Bits of an n-gram's code for each letter.
+LETTER_BITS = 21
+
 
 @lru_cache(maxsize=1)
 def _is_letter() -> np.ndarray:
@@ -157,3 +167,108 @@ def predict(text: Column, model: Profiles) -> Column:
         return answers([None if t is None else t for t in texts], model)
 
     return language(text)
+
+
+@dataclass(frozen=True)
+class Counts:
+    """N-grams in order, their weights in each language, and least cosines by language and length class."""
+
+    grams: np.ndarray
+    weights: np.ndarray
+    least: np.ndarray
+
+
+def _grams(text: str | None) -> np.ndarray:
+    """The codes of a text's n-grams in order, none where it has no letter."""
+    letters = _letters(text or "").astype(np.int64)
+    if len(letters) < GRAM:
+        return letters[:0]
+    codes = np.zeros(len(letters) - GRAM + 1, dtype=np.int64)
+    for i in range(GRAM):
+        codes = (codes << LETTER_BITS) | letters[i : len(codes) + i]
+    return codes
+
+
+def _unit_counts(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    distinct, counts = np.unique(grams, return_counts=True)
+    return distinct, counts / max(1e-12, float(np.linalg.norm(counts)))
+
+
+def _cosines(grams: np.ndarray, model: Counts) -> np.ndarray:
+    """The cosine of a stretch of n-grams with each language."""
+    distinct, shares = _unit_counts(grams)
+    at = np.minimum(np.searchsorted(model.grams, distinct), len(model.grams) - 1)
+    return model.weights[:, at] @ np.where(model.grams[at] == distinct, shares, 0.0)
+
+
+def _length_class(n: int) -> int:
+    return int(n).bit_length() - 1
+
+
+def fit_counts(df: DataFrame, text: str, lang: str, key: str, bound: int = PER_LANGUAGE, low: float = LOW) -> Counts | None:
+    """Weights and least cosines from the same texts as ``fit``; None where no language was learned.
+
+    Each training text gives one stretch for each power of two up to its length. A class with too few stretches for
+    the quantile takes the threshold of the next shorter one. Where no language has enough texts for any threshold, as in
+    tables of a few rows, all are -1: nothing can be told to be in no language.
+    """
+    data = sampled(df.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(lang).alias("l")).where("l is not null"), ["l"], bound, "k").select("t", "l")
+
+    def sums(batches):
+        for batch in batches:
+            for language, texts in batch.groupby("l")["t"]:
+                pairs = [_unit_counts(_grams(t)) for t in texts.dropna()]
+                if pairs:
+                    distinct, index = np.unique(np.concatenate([g for g, _ in pairs]), return_inverse=True)
+                    yield pd.DataFrame({"l": language, "g": distinct, "v": np.bincount(index, np.concatenate([n for _, n in pairs]), len(distinct))})
+
+    found = data.mapInPandas(sums, "l string, g long, v double").groupBy("l", "g").agg(F.sum("v").alias("v")).toPandas()
+    if found.empty:
+        return None
+    languages = sorted(set(found["l"]))
+    grams, at = np.unique(found["g"].to_numpy(), return_inverse=True)
+    weights = np.zeros((len(languages), len(grams)))
+    weights[np.searchsorted(languages, found["l"].to_numpy(dtype=str)), at] = found["v"]
+    weights = _unit(weights)
+    model = Counts(grams, weights, np.zeros((len(languages), 1)))
+
+    def stretches(batches):
+        for batch in batches:
+            rows = []
+            for language, t in zip(batch["l"], batch["t"]):
+                codes = _grams(t)
+                for c in range(_length_class(len(codes)) + 1):
+                    n = 1 << c
+                    start = int(codes.sum() + c) % (len(codes) - n + 1)
+                    rows.append((language, c, float(_cosines(codes[start : start + n], model)[languages.index(language)])))
+            yield pd.DataFrame(rows, columns=["l", "c", "v"]).astype({"c": "int32", "v": "float64"})
+
+    known = data.where(F.col("l").isin(languages)).mapInPandas(stretches, "l string, c int, v double")
+    told = {(r["l"], r["c"]): r for r in known.groupBy("l", "c").agg(F.count("*").alias("n"), F.percentile("v", F.lit(low)).alias("v")).collect()}
+    if not any(r["n"] * low >= 1 for r in told.values()):
+        return Counts(grams, weights, np.full((len(languages), 1), -1.0))
+    least = np.zeros((len(languages), 1 + max(c for _, c in told)))
+    for i, language in enumerate(languages):
+        for c in range(least.shape[1]):
+            r = told.get((language, c))
+            least[i, c] = r["v"] if r and r["n"] * low >= 1 else least[i, c - 1] if c else 0.0
+    return Counts(grams, weights, least)
+
+
+def is_familiar(text: str | None, model: Counts) -> bool:
+    """Whether a text is in any of the learned languages."""
+    grams = _grams(text)
+    if not len(grams):
+        return False
+    cosines, least = _cosines(grams, model), model.least[:, min(_length_class(len(grams)), model.least.shape[1] - 1)]
+    return bool(((cosines >= least) & ((cosines > 0) | (least < 0))).any())
+
+
+def familiar(text: Column, model: Counts | None) -> Column:
+    """Whether each text of a column is in any of the learned languages: false for null and where none was learned."""
+
+    @F.pandas_udf("boolean")
+    def known(texts: pd.Series) -> pd.Series:
+        return pd.Series([model is not None and is_familiar(t, model) for t in texts], dtype=bool)
+
+    return known(text)

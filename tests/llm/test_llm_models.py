@@ -59,6 +59,22 @@ def test_language_of_odd_rows(spark):
     assert {r["p"]["lang"] for r in df.select(langid.predict(F.col("text"), nothing).alias("p")).collect()} == {"und"}
 
 
+def test_texts_in_languages_that_were_not_learned(spark, truth):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    counts = langid.fit_counts(docs.where(~held_out("doc_id")), "text", "lang", "doc_id")
+    rng = np.random.default_rng(4)
+    scripts = [np.arange(0x3B1, 0x3CA), np.arange(0x430, 0x450), np.arange(0x4E00, 0x5000), np.arange(0xE01, 0xE2F)]
+    other = [" ".join("".join(map(chr, rng.choice(letters, rng.integers(1, 9)))) for _ in range(n)) for letters in scripts for n in (1, 2, 5, 20, 200) for _ in range(20)]
+    other += ["Nopea ruskea kettu hyppää laiskan koiran yli", "Gyors barna róka átugrik a lusta kutyán, aztán hazamegy a sötét erdőn keresztül"]
+    assert not any(langid.is_familiar(t, counts) for t in [*other, None, "", "123 !"])
+    held = [r["text"] for d, r in truth.items() if zlib.crc32(str(d).encode()) % 4 == 2 and r["text"]]
+    words = [w for t in held[:500] for w in t.split()[:3] if w.strip(".,").isalpha()]
+    assert np.mean([langid.is_familiar(w, counts) for w in words]) > 0.99
+    assert np.mean([langid.is_familiar(t, counts) for t in held]) > 0.998
+    found = docs.limit(3).select(langid.familiar(F.col("text"), counts).alias("a"), langid.familiar(F.col("text"), None).alias("b")).collect()
+    assert all(r["a"] and not r["b"] for r in found)
+
+
 def test_profile_vectors_by_definition():
     """One text's vector against the definition: rotate, multiply, add."""
     text = "Ab, cab! É中"
