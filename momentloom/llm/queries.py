@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from momentloom.llm import bpe, langid, lattice, minhash, quality, secrets, spaced, toxicity, warc, wrappers
+from momentloom.llm import bpe, langid, lattice, minhash, quality, repeats, secrets, spaced, toxicity, warc, wrappers
 from momentloom.llm.common import held_out, shared_folder, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -154,6 +154,19 @@ def op10_spaced_seeds(spark: SparkSession, folder: str) -> DataFrame:
     return spaced.overlaps(docs, "doc_id", "text", items, "item_id", "text").drop("doc_key")
 
 
+def op12_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the bytes that lie in a string of 400 bytes which starts at a second place too."""
+    found = repeats.mark_repeats(table(spark, folder, "documents"), "doc_id", "text", 400)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["high"] - s["low"])
+    return found.select(
+        "doc_id",
+        F.octet_length("bytes").cast("long").alias("n_bytes"),
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2(repeats.without_spans(F.col("bytes"), F.col("spans")), 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_secrets": op2_secrets,
@@ -165,6 +178,7 @@ QUERIES = {
     "op8_wrappers": op8_wrappers,
     "op9_toxicity": op9_toxicity,
     "op10_spaced_seeds": op10_spaced_seeds,
+    "op12_repeats": op12_repeats,
 }
 SQL: dict[str, str] = {
     "op1_ngram_jaccard": NEAR_TEXTS_SQL,
