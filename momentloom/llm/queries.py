@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from momentloom.llm import bpe, langid, lattice, minhash, quality, repeats, secrets, spaced, toxicity, warc, wrappers
+from momentloom.llm import bpe, langid, lattice, minhash, quality, ranked, repeats, secrets, spaced, toxicity, warc, wrappers
 from momentloom.llm.common import held_out, shared_folder, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -51,6 +51,20 @@ WRAPPERS_SQL = r"""with a as (select page_id, url, regexp_extract(coalesce(html,
   t as (select page_id, url, array_to_string(list_filter(b, lambda x: x <> ''), chr(10)) as text from b)
   select page_id, url, text, length(text)::bigint as n_chars from t"""
 
+RANKED_SQL = """with d as (select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as t from documents),
+  l as (select doc_id, len(t)::bigint as n, t from d where len(t) > 0),
+  g as (select count(*)::bigint as n_docs, sum(n)::bigint as n_all from l),
+  tf as (select doc_id, term, count(*)::bigint as tf from (select doc_id, unnest(t) as term from l) group by 1, 2),
+  df as (select term, count(*)::bigint as df from tf group by 1),
+  q as (select item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as term from benchmark),
+  s as (select item_id, tf.doc_id, sum(floor(1000 * ln((2 * n_docs + 2)::double / (2 * df + 1)::double))::bigint
+      * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_all))))::bigint as score
+    from q join df using (term) join tf using (term) join l on l.doc_id = tf.doc_id cross join g group by 1, 2),
+  r as (select item_id, row_number() over (partition by item_id order by score desc, doc_id) as rank, doc_id, score from s where score > 0)
+  select item_id, rank::int as rank, doc_id, score from r where rank <= 10"""
+
 
 def op1_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     """Class and number of links of every document at a Jaccard similarity of 0.8 on runs of five words."""
@@ -167,6 +181,11 @@ def op12_repeats(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_ranked(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return ranked.search(table(spark, folder, "documents"), "doc_id", "text", table(spark, folder, "benchmark"), "item_id", "text", 10)
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_secrets": op2_secrets,
@@ -179,10 +198,12 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_spaced_seeds": op10_spaced_seeds,
     "op12_repeats": op12_repeats,
+    "op13_ranked": op13_ranked,
 }
 SQL: dict[str, str] = {
     "op1_ngram_jaccard": NEAR_TEXTS_SQL,
     "op3_lattice": NEAR_VECTORS_SQL,
     "op4_warc": WARC_SQL,
     "op8_wrappers": WRAPPERS_SQL,
+    "op13_ranked": RANKED_SQL,
 }
