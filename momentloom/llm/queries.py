@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from momentloom.llm import bpe, langid, lattice, minhash, quality, ranked, repeats, secrets, spaced, toxicity, warc, wrappers
+from momentloom.llm import bpe, langid, lattice, minhash, quality, ranked, repeats, secrets, spaced, toxicity, variants, warc, wrappers
 from momentloom.llm.common import held_out, shared_folder, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -168,6 +168,12 @@ def op10_spaced_seeds(spark: SparkSession, folder: str) -> DataFrame:
     return spaced.overlaps(docs, "doc_id", "text", items, "item_id", "text").drop("doc_key")
 
 
+def op11_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Words that occur five times or more, each with the frequent form that it is a variant of."""
+    found = variants.group_variants(variants.vocabulary(table(spark, folder, "documents"), "doc_id", "text"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def op12_repeats(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without the bytes that lie in a string of 400 bytes which starts at a second place too."""
     found = repeats.mark_repeats(table(spark, folder, "documents"), "doc_id", "text", 400)
@@ -197,6 +203,7 @@ QUERIES = {
     "op8_wrappers": op8_wrappers,
     "op9_toxicity": op9_toxicity,
     "op10_spaced_seeds": op10_spaced_seeds,
+    "op11_variants": op11_variants,
     "op12_repeats": op12_repeats,
     "op13_ranked": op13_ranked,
 }

@@ -31,7 +31,7 @@ def test_query_equals_its_sql(spark, name):
 
 
 def test_all_queries_are_registered():
-    assert {f"op{n}" for n in [*range(1, 11), 12, 13]} == {name.split("_")[0] for name in queries.QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in queries.QUERIES}
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry_file.queries())
     assert len(corpus_pipeline.STAGES) == 5
 
