@@ -186,7 +186,8 @@ def near_vectors(df: DataFrame, vec_id: str, vector: str, label: str, threshold:
     rows = df.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vec"), F.col(label).alias("grp"))
     finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists("vec", lambda x: x != 0.0)
     sound = F.coalesce(F.col("id").isNotNull() & F.col("grp").isNotNull() & finite, F.lit(False))
-    rows = rows.withColumn("key", F.when(sound, F.md5(F.concat_ws(",", F.col("grp").cast("string"), F.col("vec").cast("array<string>")))))
+    # A label may hold commas; its digest has a fixed length and none.
+    rows = rows.withColumn("key", F.when(sound, F.md5(F.concat_ws(",", F.md5(F.col("grp").cast("string")), F.col("vec").cast("array<string>")))))
     classes = rows.where("key is not null").groupBy("key").agg(F.min("id").alias("node"), F.count("*").alias("copies"), F.first("vec").alias("vec"), F.xxhash64(F.first("grp")).alias("grp"))
 
     # Cells are computed once for each vector and go with it, so that all tasks agree on them to the last bit.

@@ -82,3 +82,9 @@ def test_recall_of_pairs_at_the_threshold():
     p, q = lattice.cells(a, 0.98), lattice.cells(b, 0.98)
     met = (p[:, :, :1] == q).any(axis=2) | (q[:, :, :1] == p).any(axis=2)
     assert met.mean() > 0.92 and met.any(axis=1).all()
+
+
+def test_labels_with_commas_stay_apart(spark):
+    rows = [(1, [1.0, 2.0], "a"), (2, [2.0], "a,1.0"), (3, [2.0], "a,1.0")]
+    found = lattice.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string"), "vec_id", "embedding", "label").collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in found) == [(1, 0, 1), (2, 1, 2), (3, 1, 2)]
