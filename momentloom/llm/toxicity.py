@@ -34,10 +34,9 @@ PREFIXES = (4, 5, 6, 7)
 #: Labelled texts of either kind that the model learns from, about.
 PER_LABEL = 6_000
 #: Least ratio of the shares of toxic and other texts that hold a feature, least G statistic against independence
-#: (about twice the logarithm of the number of words that are tried), and features kept at most, the most frequent first.
+#: (about twice the logarithm of the number of words that are tried). The bounded sample bounds the features; none that passes is dropped.
 ODDS = 10.0
 EVIDENCE = 20.0
-FEATURES = 5_000
 RIDGE = 1.0
 STEPS = 1_500
 #: Words whose features a worker remembers between batches. It changes no result.
@@ -144,7 +143,7 @@ def fit(docs: DataFrame, doc_id: str, text: str, labels: DataFrame, label_id: st
     base = sizes[1] / (sizes[0] + sizes[1])
     surprise = lambda seen, share: F.when(seen > 0, 2 * seen * F.log(seen / (F.col("n") * share))).otherwise(0.0)
     evidence = surprise(bad, base) + surprise(rest, 1 - base)
-    chosen = counts.where((bad > 0) & (ratio >= ODDS) & (evidence >= EVIDENCE)).orderBy(F.desc("bad"), "f").limit(FEATURES)
+    chosen = counts.where((bad > 0) & (ratio >= ODDS) & (evidence >= EVIDENCE)).orderBy(F.desc("bad"), "f")
     names = [r["f"] for r in chosen.select("f", "bad").collect()]
     if not names:
         return Model({}, ())
