@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from momentloom.llm.common import kept
+from momentloom.llm.words import mixed
 
 #: Bits of a filter for each pair, at least; slices of a pair.
 BITS, SLICES = 12, 4
@@ -61,25 +62,23 @@ def part(tf: int, m: int) -> int:
 
 
 class _Codes(dict):
-    """Slices of the pairs of a term before they are cut to a filter's size; each is computed when first asked for."""
+    """Hashes by term, each computed when first asked for."""
 
-    def __missing__(self, key: tuple[bytes, int]) -> int:
-        term, level = key
-        self[key] = code = xxhash.xxh3_64_intdigest(term, seed=level)
+    def __missing__(self, term: bytes) -> int:
+        self[term] = code = xxhash.xxh3_64_intdigest(term)
         return code
 
 
+def _at_level(codes: np.ndarray, level: int) -> np.ndarray:
+    """Hashes of the pairs of terms and a level."""
+    return mixed(codes + np.uint64(level))
+
+
 def _slices(codes: np.ndarray, size: int) -> np.ndarray:
     """For each pair, the ``SLICES`` bits of a filter of ``size`` bits (a power of two)."""
     low, high = codes & np.uint64(0xFFFFFFFF), (codes >> np.uint64(32)) | np.uint64(1)
     steps = np.arange(SLICES, dtype=np.uint64)
-    return ((low[:, None] + high[:, None] * steps) & np.uint64(size - 1)).astype(np.int64)
-
-
-def _pairs(counts: Counter) -> Iterator[tuple[bytes, int]]:
-    for term, tf in counts.items():
-        for level in range(tf.bit_length()):
-            yield term, level
+    return ((low[:, None] + high[:, None] * steps) & np.uint64(size - 1)).astype(np.int32)
 
 
 def _filter_size(n_pairs: int) -> int:
@@ -105,13 +104,15 @@ def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             found = terms(text)
             if not found:
                 continue
-            pairs = list(_pairs(Counter(found)))
-            size = _filter_size(len(pairs))
-            codes = np.fromiter(map(known.__getitem__, pairs), dtype=np.uint64, count=len(pairs))
+            counts = Counter(found)
+            codes = np.fromiter(map(known.__getitem__, counts), dtype=np.uint64, count=len(counts))
+            times = np.fromiter(counts.values(), dtype=np.int64, count=len(counts))
+            codes = np.concatenate([_at_level(codes[times >= 1 << level], level) for level in range(int(times.max()).bit_length())])
+            size = _filter_size(len(codes))
             if len(known) > 200_000:
                 known.clear()
             docs = waiting.setdefault(size, [])
-            docs.append((key, doc, len(found), np.unique(_slices(codes, size))))
+            docs.append((key, doc, len(found), _slices(codes, size).ravel()))
             if len(docs) >= min(BLOCK_ROWS, max(8, BLOCK_BYTES * 8 // size)):
                 yield block(size, waiting.pop(size))
     for size, docs in waiting.items():
@@ -155,6 +156,7 @@ class _Items:
         self.keys = [key for key, _ in rows]
         counts = [Counter(terms(text)) for _, text in rows]
         self.terms = sorted(set(chain.from_iterable(counts)))
+        self.codes = np.array([xxhash.xxh3_64_intdigest(t) for t in self.terms], dtype=np.uint64)
         self.number = {t: i for i, t in enumerate(self.terms)}
         self.parts = [[(self.number[t], c) for t, c in count.items()] for count in counts]
 
@@ -181,8 +183,7 @@ def _bounds(block, items: _Items) -> np.ndarray:
     open_terms, level = np.arange(len(items.terms)), 0
     alive = np.full((len(items.terms), slices.shape[1]), 255, dtype=np.uint8)
     while len(open_terms):
-        codes = np.fromiter((xxhash.xxh3_64_intdigest(items.terms[t], seed=level) for t in open_terms), dtype=np.uint64, count=len(open_terms))
-        places = _slices(codes, size)
+        places = _slices(_at_level(items.codes[open_terms], level), size)
         bitmap = alive
         for s in range(SLICES):
             bitmap = bitmap & slices[places[:, s]]
