@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,20 +50,23 @@ def runs_of(text: str) -> Counter:
 
 def _spelled(every: int, least: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = Counter()
+        counts, crc32 = defaultdict(int), zlib.crc32
         out = lambda: pd.DataFrame({"word": list(counts), "n": list(counts.values())}, columns=["word", "n"])
         for batch in batches:
             for doc, text in zip(batch["doc"], batch["text"]):
                 if not text:
                     continue
-                start = zlib.crc32(f"{doc}:".encode())
+                start = crc32(f"{doc}:".encode())
                 for word, n in runs_of(text).items():
-                    code = zlib.crc32(word.encode(), start)
-                    if every and code % every == 0:
+                    # Leaving a letter out makes no word longer.
+                    if len(word) < least:
+                        continue
+                    if every and not (code := crc32(word.encode(), start)) % every:
                         at = code % len(word)
                         word = word[:at] + word[at + 1 :]
-                    if len(word) >= least:
-                        counts[word] += n
+                        if len(word) < least:
+                            continue
+                    counts[word] += n
                 if len(counts) >= COUNTED:
                     yield out()
                     counts.clear()
@@ -154,14 +157,18 @@ def _dealt(trees: dict[int, tuple]):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            words, times = batch["word"].to_numpy(), batch["n"].to_numpy()
             sizes = batch["word"].str.len().to_numpy()
             for size in np.unique(sizes).tolist():
-                some = batch[sizes == size]
-                counts = vectors(letters(some["word"].tolist()))
+                some = np.flatnonzero(sizes == size)
+                counts = vectors(letters(words[some].tolist()))
                 for length, gains, losses, point in ((size, 0, 0, True), (size, 1, 1, False), (size + 1, 1, 0, False), (size - 1, 0, 1, False)):
-                    for cell, rows in reached(trees.get(length, (0,)), counts, gains, losses):
-                        found = some.iloc[rows]
-                        yield pd.DataFrame({"length": length, "cell": cell, "point": point, "word": found["word"], "n": found["n"]})
+                    found = list(reached(trees.get(length, (0,)), counts, gains, losses))
+                    rows = some[np.concatenate([r for _, r in found])]
+                    cells = np.repeat([c for c, _ in found], [len(r) for _, r in found])
+                    for i in range(0, len(rows), 50_000):
+                        at = rows[i : i + 50_000]
+                        yield pd.DataFrame({"length": length, "cell": cells[i : i + 50_000], "point": point, "word": words[at], "n": times[at]})
 
     return run
 
@@ -199,7 +206,8 @@ def near_pairs(queries: list[str], points: list[str]) -> tuple[np.ndarray, np.nd
     a, b = letters(queries), letters(points)
     x, y = vectors(a), vectors(b)
     used = (x.any(axis=0)) | (y.any(axis=0))
-    kind = np.int8 if max(a.shape[1], b.shape[1]) < 63 else np.int32
+    # Distances are the two lengths together at most.
+    kind = np.int8 if a.shape[1] + b.shape[1] < 127 else np.int32
     x, y = np.ascontiguousarray(x[:, used], dtype=kind), np.ascontiguousarray(y[:, used], dtype=kind)
     longer = b.shape[1] - a.shape[1]
     most = 2 if longer == 0 else 1
@@ -212,7 +220,7 @@ def near_pairs(queries: list[str], points: list[str]) -> tuple[np.ndarray, np.nd
     step = max(1, AT_ONCE // max(1, len(leaves) * x.shape[1]))
     for first in range(0, len(x), step):
         some = x[first : first + step]
-        near = np.zeros((len(some), len(leaves)), dtype=np.int32)
+        near = np.zeros((len(some), len(leaves)), dtype=kind)
         for place in range(x.shape[1]):
             value = some[:, place, None]
             near += np.maximum(np.maximum(low[:, place] - value, value - high[:, place]), 0)
@@ -225,7 +233,7 @@ def near_pairs(queries: list[str], points: list[str]) -> tuple[np.ndarray, np.nd
         spots = order[np.arange(total) - np.repeat(ends - times, times) + np.repeat(starts[leaf], times)]
         for i in range(0, total, pair_step):
             r, s = rows[i : i + pair_step], spots[i : i + pair_step]
-            close = np.abs(x[r] - y[s]).sum(axis=1, dtype=np.int32) <= most
+            close = np.abs(x[r] - y[s]).sum(axis=1, dtype=kind) <= most
             r, s = r[close], s[close]
             edit = one_edit(a[r], b[s])
             out_x.append(r[edit])
