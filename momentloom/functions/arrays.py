@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -136,7 +138,8 @@ def log_sum_exp(a: Column | str) -> Column:
 def dense(a: Column | str, weights, bias, activation: str | None = None) -> Column:
     """One fully connected layer as one matrix product per Arrow batch. ``weights`` has one row per output.
 
-    A null array gives null; a null or NaN element makes every output null.
+    A null array gives null, as does one of another length than the weights ask for; a null or NaN element makes
+    every output null.
     """
     weights = np.asarray(weights, dtype=float)
     bias = np.asarray(bias, dtype=float)
@@ -145,7 +148,7 @@ def dense(a: Column | str, weights, bias, activation: str | None = None) -> Colu
 
     @F.pandas_udf("array<double>")
     def score(batch: pd.Series) -> pd.Series:
-        known = batch.notna().to_numpy()
+        known = np.array([x is not None and len(x) == weights.shape[1] for x in batch], dtype=bool)
         out = pd.Series([None] * len(batch), dtype=object)
         if known.any():
             z = np.stack([np.asarray(x, dtype=float) for x in batch[known]]) @ weights.T + bias
@@ -157,3 +160,25 @@ def dense(a: Column | str, weights, bias, activation: str | None = None) -> Colu
         return out
 
     return score(doubles(a))
+
+
+def product(a: Column | str, weights) -> Column:
+    """The row vector ``a`` times a matrix with one row per element, as one matrix product per Arrow batch.
+
+    Null for a null array, for one of another length and for one with a null element; NaN spreads as in arithmetic.
+    The plan has one expression, whatever the size of the matrix.
+    """
+    weights = np.ascontiguousarray(weights, dtype=float)
+    height, width = weights.shape
+
+    @F.arrow_udf("array<double>")
+    def multiplied(batch: pa.Array) -> pa.Array:
+        fits = np.asarray(pc.fill_null(pc.equal(pc.list_value_length(batch), height), False))
+        cells = batch.filter(pa.array(fits)).flatten()
+        known = ~np.asarray(cells.is_null()).reshape(int(fits.sum()), height).any(axis=1)
+        x = cells.to_numpy(zero_copy_only=False).reshape(len(known), height)[known].astype(float)
+        fits[fits] = known
+        ends = np.concatenate([[0], np.cumsum(np.where(fits, width, 0))]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array((x @ weights).ravel()), mask=pa.array(~fits))
+
+    return multiplied(doubles(a))

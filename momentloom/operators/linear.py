@@ -14,6 +14,7 @@ from numpy.polynomial import legendre, polynomial
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from momentloom.functions import arrays
 from momentloom.functions.scalars import round_significant
 from momentloom.operators.moments import Moments, collect_moments
 
@@ -264,15 +265,16 @@ class Components:
         return spark.createDataFrame(rows, "component int, variable string, loading double")
 
     def transform(self, df: DataFrame, keep: Sequence[str] = (), prefix: str = "pc") -> DataFrame:
-        """The projections as columns ``pc1``, ``pc2``, ... beside the kept columns."""
-        standard = [self.standardizer.column(c) for c in self.standardizer.cols]
-        made = []
-        for k in range(self.loadings.shape[1]):
-            value = F.lit(0.0)
-            for j, z in enumerate(standard):
-                value = value + F.lit(float(self.loadings[j, k])) * z
-            made.append(value.alias(f"{prefix}{k + 1}"))
-        return df.select(*keep, *made)
+        """The projections as columns ``pc1``, ``pc2``, ... beside the kept columns, each row projected once."""
+        name = "_projected"
+        while name in keep:
+            name += "_"
+        made = [F.col(name)[k].alias(f"{prefix}{k + 1}") for k in range(self.loadings.shape[1])]
+        return df.select(*keep, self.projection().alias(name)).select(*keep, *made)
+
+    def projection(self) -> Column:
+        """All projections of a row as one array, by one matrix product per Arrow batch; null where a column is null."""
+        return arrays.product(F.array(*[self.standardizer.column(c) for c in self.standardizer.cols]), self.loadings)
 
 
 def components_from(m: Moments, cols: Sequence[str], variance_ratio: float = 1.0) -> Components:

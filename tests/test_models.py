@@ -108,6 +108,32 @@ def test_dropping_a_feature_never_helps_in_sample(data):
     assert all(rows[""] >= r - 1e-12 for r in rows.values()) and len(rows) == 4
 
 
+def test_screens_count_nan_as_missing(spark):
+    odd = lambda name, at: F.when(F.col("id") % 7 == at, float("nan")).when(F.col("id") % 11 == at, None).otherwise(F.col(name))
+    plain = spark.range(300).select("id", (F.col("id") % 12).alias("k"), seeded_normal("id", 1).alias("x"), seeded_normal("id", 2).alias("y"))
+    rows = plain.withColumns({"x": odd("x", 1), "y": odd("y", 2)})
+    dim = spark.range(12).select(F.col("id").alias("dk"), F.when(F.col("id") == 5, float("nan")).otherwise(seeded_normal("id", 9)).alias("z"))
+    joined = rows.join(dim, F.col("k") == F.col("dk"), "left")
+    data = joined.select("x", "z", "y").toPandas()
+    want = {c: data[[c, "y"]].dropna().corr().iloc[0, 1] ** 2 for c in ("x", "z")}
+    assert {r["feature"]: r["r2"] for r in screening.screen_univariate(joined, "y", ["x", "z"]).collect()} == pytest.approx(want, rel=1e-9)
+    star = screening.screen_univariate_star(rows, "k", "y", ["x"], dim, "dk", ["z"])
+    assert {r["feature"]: r["r2"] for r in star.collect()} == pytest.approx(want, rel=1e-9)
+
+
+def test_wide_components_project_in_one_expression(spark):
+    rng = np.random.default_rng(2)
+    d = 200
+    cols = [f"c{i}" for i in range(d)]
+    loadings = np.linalg.qr(rng.normal(size=(d, d)))[0]
+    fitted = linear.Components(linear.Standardizer(tuple(cols), (1.0,) * d, (2.0,) * d), (1.0,) * d, float(d), loadings)
+    x = rng.normal(size=(50, d))
+    df = spark.createDataFrame([(v.tolist(),) for v in x], "v array<double>").select(*[F.col("v")[i].alias(c) for i, c in enumerate(cols)])
+    made = np.array([r["p"] for r in df.select(fitted.projection().alias("p")).collect()])
+    assert np.allclose(made, (x - 1.0) / 2.0 @ loadings, atol=1e-12)
+    assert np.allclose(fitted.transform(df).toPandas().to_numpy(), made, atol=1e-12)
+
+
 def test_star_screen_equals_the_join(spark):
     fact = spark.range(900).select((F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 40)).alias("k"), seeded_normal("id", 1).alias("x"), seeded_normal("id", 2).alias("y"))
     dim = spark.range(35).select(F.col("id").alias("dk"), seeded_normal("id", 9).alias("z"))
