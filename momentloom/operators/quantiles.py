@@ -155,7 +155,9 @@ def quantiles_beside(
             t.values = [inside[t.first - t.below], inside[t.last(sizes[t.col]) - t.below]]
     for t in targets:
         a, b = t.values or (t.lo, t.lo)
-        result[t.col][t.prob] = a + (t.position - t.first) * (b - a)
+        part = t.position - t.first
+        # Between equal or infinite neighbours the difference is not a number; the rank itself needs none.
+        result[t.col][t.prob] = a if part == 0 or a == b else a + part * (b - a)
     return result, first
 
 

@@ -13,10 +13,19 @@ from momentloom.operators.linear import LinearModel
 from momentloom.operators.moments import GroupedMoments, Moments, collect_moments, means
 
 
+def _number(name: str) -> Column:
+    """A column as doubles, null where it is NaN: screens count NaN as missing."""
+    value = F.col(name).cast("double")
+    return F.when(~F.isnan(value), value)
+
+
 def screen_univariate(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:
-    """R2 of the target on each feature alone, from one aggregate over all features."""
-    target = F.col(y).cast("double")
-    row = df.agg(*[F.regr_r2(target, F.col(x).cast("double")).alias(f"r{i}") for i, x in enumerate(xs)])
+    """R2 of the target on each feature alone, from one aggregate over all features.
+
+    Null and NaN are missing: each feature uses the rows where it and the target are known.
+    """
+    target = _number(y)
+    row = df.agg(*[F.regr_r2(target, _number(x)).alias(f"r{i}") for i, x in enumerate(xs)])
     each = [F.struct(F.lit(x).alias("feature"), F.col(f"r{i}").alias("r2")) for i, x in enumerate(xs)]
     return row.select(F.inline(F.array(*each)))
 
@@ -25,19 +34,19 @@ def screen_univariate_star(fact: DataFrame, fact_key: str, y: str, fact_xs: Sequ
     """The same screen over a fact table and the features of a table it refers to by a unique key.
 
     Every feature uses the rows where it and the target are known, as in ``screen_univariate`` over the
-    left join. The target is summed per key before the join, so a hot key is one row in it, and adaptive
+    left join; NaN is missing. The target is summed per key before the join, so a hot key is one row in it, and adaptive
     execution broadcasts a small side. Features of the fact table need no join.
     """
-    target = F.col(y).cast("double")
-    direct = [F.regr_r2(target, F.col(x).cast("double")).alias(f"r{i}") for i, x in enumerate(fact_xs)]
-    seen = fact.agg(F.avg(F.when(~F.isnan(target), target)).alias("m"), *direct).first()
+    target = _number(y)
+    direct = [F.regr_r2(target, _number(x)).alias(f"r{i}") for i, x in enumerate(fact_xs)]
+    seen = fact.agg(F.avg(target).alias("m"), *direct).first()
     rows = [(x, seen[f"r{i}"]) for i, x in enumerate(fact_xs)]
     if dim_xs:
         # Sums about the means keep their digits; the means came with the scan above and from the small side.
         moved = fact.select(F.col(fact_key).alias("_key"), (target - F.lit(seen["m"] or 0.0)).alias("_y")).where(F.col("_y").isNotNull())
         per_key = moved.groupBy("_key").agg(F.count("_y").cast("double").alias("n"), F.sum("_y").alias("s"), F.sum(F.col("_y") * F.col("_y")).alias("q"))
         centers = means(dim, dim_xs)
-        features = dim.select(F.col(dim_key).alias("_key"), *[(F.col(x).cast("double") - F.lit(float(m))).alias(f"_x{i}") for i, (x, m) in enumerate(zip(dim_xs, centers))])
+        features = dim.select(F.col(dim_key).alias("_key"), *[(_number(x) - F.lit(float(m))).alias(f"_x{i}") for i, (x, m) in enumerate(zip(dim_xs, centers))])
         sums = []
         for i in range(len(dim_xs)):
             x = F.col(f"_x{i}")

@@ -38,3 +38,10 @@ def test_small_tables_and_nulls(spark):
 def test_two_heavy_ends_with_few_between(spark):
     check(spark, [0.0] * 500 + [1.0, 2.0, 3.0] + [9.0] * 500, accuracy=20, small=2)
     check(spark, [0.0] * 500 + [1.0, 2.0] + [9.0] * 500, accuracy=20, small=2)
+
+
+def test_infinite_neighbours(spark):
+    inf = float("inf")
+    for values, median in (([1.0, inf, inf], inf), ([-inf, -inf, 3.0], -inf), ([-inf, 2.0, inf], 2.0), ([1.0, 2.0, inf, inf], inf), ([inf], inf)):
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        assert exact_quantiles(df, ["v"], [0.5])["v"][0.5] == median
