@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
+import numpy as np
 from pyspark.sql import functions as F
 
 from momentloom.catalog.common import TEXT_SQL, rounded, significant, text_measures
 from momentloom.catalog.profiles import BETA, LINEAR_SQL, SPIRAL_SQL
-from momentloom.catalog.registry import analysis
+from momentloom.catalog.registry import REGISTRY, analysis
 from momentloom.catalog.sqltext import covariances, eliminate, hash32, newton, rd, regression, rs
 from momentloom.functions import arrays
 from momentloom.operators import linear, metrics, neural, schema, sequences, splits, steps
@@ -14,7 +17,8 @@ from momentloom.operators.logistic import LogisticTask, fit_logistic, fit_logist
 from momentloom.operators.moments import collect_moments, collect_vector_moments
 from momentloom.operators.ordered import cumulative_ratio
 from momentloom.plans import evaluation
-from momentloom.sources import generate
+from momentloom.session import ensure_checkpoint_dir
+from momentloom.sources import generate, models
 from momentloom.sources.tables import grid, literal_table, load
 
 TEXT_XS = ["n_spaces", "n_lines", "n_e"]
@@ -171,6 +175,24 @@ def chained_steps(spark, folder):
     return rounded(made.select("doc_id", "prediction"), 2)
 
 
+def _models_folder(spark):
+    """A new folder for models beside the checkpoints, which executors share; the caller of the analysis removes it."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/models-{uuid4().hex}"
+
+
+@analysis("S9 S10 E3 L2", REGISTRY["chained_steps"].sql)
+def saved_chain_scored(spark, folder):
+    """The chain of ``chained_steps`` saved as the second version of its name, read back, and applied."""
+    rows = text_measures(spark, folder)
+    chain = [steps.Standardize(), steps.Select(("n_spaces", "n_lines")), steps.Regress("n_chars")]
+    place = _models_folder(spark)
+    models.save(spark, linear.LinearModel("n_chars", (), (), 0.0, 0), place, "chain")
+    models.save(spark, steps.pipeline(chain, rows, ["n_spaces", "n_lines", "n_e", "n_marks"]), place, "chain")
+    made = models.load(spark, place, "chain").transform(rows, keep=["doc_id"])
+    return rounded(made.select("doc_id", "prediction"), 2)
+
+
 _eigen3 = """with r as (select corr(l_quantity, l_discount) as a, corr(l_quantity, l_tax) as b, corr(l_discount, l_tax) as c from lineitem),
   p as (select *, sqrt((a*a + b*b + c*c)/3e0) as p from r), q as (select *, acos(least(greatest(a*b*c/(p*p*p), -1e0), 1e0))/3e0 as phi from p),
   v as (select 1 as component, 1 + 2*p*cos(phi) as variance from q union all select 3, 1 + 2*p*cos(phi + 2.0943951023931953e0) from q
@@ -197,6 +219,27 @@ def component_projections(spark, folder):
     return rounded(fitted.transform(rows, keep=["doc_id"]))
 
 
+@analysis("S9 S10 L6", REGISTRY["component_projections"].sql)
+def saved_components_projected(spark, folder):
+    """The components of ``component_projections`` saved, read back, and used."""
+    rows = text_measures(spark, folder)
+    place = _models_folder(spark)
+    models.save(spark, linear.pca_fit(rows, ["n_spaces", "n_lines"]), place, "components")
+    return rounded(models.load(spark, place, "components").transform(rows, keep=["doc_id"]))
+
+
+@analysis(
+    "L6",
+    f"select label, count(*) as n, {rd('avg(list_sum(list_transform(embedding, lambda x: x::double * x::double)))')} as mean_square from embeddings group by 1",
+)
+def projected_lengths_kept(spark, folder):
+    """Vectors times an orthogonal matrix of their size, as components are projected: their lengths stay."""
+    turn = np.linalg.qr(np.random.default_rng(5).normal(size=(64, 64)))[0]
+    turned = load(spark, folder, "embeddings").select("label", arrays.product("embedding", turn).alias("v"))
+    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
+    return rounded(turned.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.avg(square).alias("mean_square")))
+
+
 @analysis(
     "L6",
     f"""with e as (select embedding::double[] as v from embeddings), r as (select corr(v[i], v[j]) as r from e, (select unnest(range(1, 65)) as i), (select unnest(range(1, 65)) as j) group by i, j)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import functions as F
 
 from momentloom.catalog.common import TEXT_SQL, rounded, significant, text_measures
@@ -10,8 +12,9 @@ from momentloom.catalog.sqltext import hash32, normal, rd, rs, uniform
 from momentloom.operators import linear, profile, schema
 from momentloom.operators.moments import gram
 from momentloom.operators.splits import hashed_fold
+from momentloom.session import ensure_checkpoint_dir
 from momentloom.sources import generate
-from momentloom.sources.tables import grid, load
+from momentloom.sources.tables import grid, load, load_wide_csv_checked
 
 LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -261,3 +264,30 @@ SPIRAL_SQL = f"""(select c_custkey as seq_id, label, step, r*cos(a) as x, r*sin(
 @analysis("S8", f"select seq_id, label, step, {rd('x')} as x, {rd('y')} as y from {SPIRAL_SQL}")
 def spiral_points(spark, folder):
     return rounded(generate.spirals(load(spark, folder, "customer"), "c_custkey", 40))
+
+
+@analysis(
+    "S2",
+    f"""select label, count(*) as good, 0::bigint as bad, {rd('sum(embedding[1]::double)', 4)} as first, {rd('sum(embedding[64]::double)', 4)} as last from embeddings group by 1
+    union all select -1, 0, count(*), null, null from embeddings where vec_id % 50 = 0""",
+)
+def wide_csv_read_back(spark, folder):
+    """All embeddings written as CSV of 65 columns, with broken copies of some rows, and read back with those told apart."""
+    columns = [f"v{i}" for i in range(64)]
+    rows = load(spark, folder, "embeddings")
+    line = F.concat_ws(",", F.col("label").cast("string"), F.col("embedding").cast("array<double>").cast("array<string>"))
+    broken = rows.where("vec_id % 50 = 0").select(F.concat(F.lit("?,"), line).alias("value"))
+    ensure_checkpoint_dir(spark)
+    place = f"{spark.sparkContext.getCheckpointDir()}/wide-{uuid4().hex}"
+    header = spark.range(1).select(F.lit(",".join(["label", *columns])).alias("value"))
+    numbered = rows.select(F.col("label").cast("int").alias("label"), *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(columns)])
+    numbered.write.option("header", True).csv(place)
+    # A file of its own for the broken rows, under the same header.
+    header.unionByName(broken).coalesce(1).write.mode("append").text(place)
+    good, bad = load_wide_csv_checked(spark, place, "label", columns)
+    counted = good.groupBy("label").agg(
+        F.count(F.lit(1)).alias("good"), F.lit(0).cast("long").alias("bad"),
+        F.sum(F.col("values")[0]).alias("first"), F.sum(F.col("values")[63]).alias("last"),
+    )
+    refused = bad.agg(F.lit(-1).alias("label"), F.lit(0).cast("long").alias("good"), F.count(F.lit(1)).alias("bad"), F.lit(None).cast("double").alias("first"), F.lit(None).cast("double").alias("last"))
+    return rounded(counted.unionByName(refused), 4)

@@ -29,6 +29,27 @@ def load_wide_csv(spark: SparkSession, path: str, label: str, value_cols: Sequen
     return raw.select(label, F.array(*[F.col(c) for c in value_cols]).alias("values"))
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def load_wide_csv_checked(spark: SparkSession, path: str, label: str, value_cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """As ``load_wide_csv``, with rows that do not fit told apart: ``(label, values array)`` and ``(bad_record)``.
+
+    A row is bad if it has too few or too many fields or one that is not of its column's type; an empty field is null. The
+    good rows keep their places in the array, whatever the number of columns.
+    """
+    schema = wide_csv_schema(label, value_cols).add("bad_record", T.StringType())
+    if spark.read.option("header", True).csv(path).columns != [label, *value_cols]:
+        raise ValueError("the header does not list the label and the value columns in order")
+    # Lines are parsed as a column: a scan would only parse the columns in use and take broken rows for good ones.
+    lines = spark.read.text(path).where((F.trim("value") != "") & (F.replace("value", F.lit('"'), F.lit("")) != ",".join([label, *value_cols])))
+    parsed = lines.select(F.from_csv("value", ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in schema), {"columnNameOfCorruptRecord": "bad_record"}).alias("r"))
+    packed = parsed.select(F.col(f"r.{_quoted(label)}"), F.array(*[F.col(f"r.{_quoted(c)}") for c in value_cols]).alias("values"), "r.bad_record")
+    good = packed.where(F.col("bad_record").isNull()).drop("bad_record")
+    return good, packed.where(F.col("bad_record").isNotNull()).select("bad_record")
+
+
 def literal_table(spark: SparkSession, columns: Mapping[str, Sequence]) -> DataFrame:
     """A small table written out in the program, column by column."""
     lengths = {len(v) for v in columns.values()}

@@ -3,9 +3,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from momentloom.functions import arrays, scalars
-from momentloom.operators import profile, schema
-from momentloom.operators.logistic import fit_logistic, score
-from momentloom.sources import generate, store, tables
+from momentloom.operators import linear, profile, schema, steps
+from momentloom.operators.logistic import LogisticTask, fit_logistic, fit_logistic_models, score
+from momentloom.sources import generate, models, store, tables
 
 
 def test_wide_csv(spark, tmp_path):
@@ -169,3 +169,45 @@ def test_schema_operations(spark):
     assert schema.with_intercept(df).columns[0] == "constant"
     assert schema.poly_feature_names(["a", "b"], 2) == ["a_1", "a_2", "b_1", "b_2"]
     assert schema.schema_table(df).collect()[1]["name"] == "b"
+
+
+def test_wide_csv_tells_bad_rows_apart(spark, tmp_path):
+    path = tmp_path / "images.csv"
+    path.write_text("label,b,a\n5,0,128\n1,x,2\n2,3\n3,1,2,3\n4,,7\n")
+    good, bad = tables.load_wide_csv_checked(spark, str(path), "label", ["b", "a"])
+    assert sorted((r["label"], r["values"]) for r in good.collect()) == [(4, [None, 7.0]), (5, [0.0, 128.0])]
+    assert sorted(r["bad_record"] for r in bad.collect()) == ["1,x,2", "2,3", "3,1,2,3"]
+    assert (good.count(), bad.count()) == (2, 3)
+    with pytest.raises(ValueError):
+        tables.load_wide_csv_checked(spark, str(path), "label", ["a", "b"])
+
+
+def test_product_of_rows_and_a_matrix(spark):
+    rows = [(0, [1.0, 2.0]), (1, None), (2, [1.0, None]), (3, [float("nan"), 1.0]), (4, [1.0]), (5, []), (6, [0.5, -1.0])]
+    df = spark.createDataFrame(rows, "id int, a array<double>").coalesce(1)
+    weights = [[1.0, 2.0, 3.0], [4.0, 5.0, 6.0]]
+    got = {r["id"]: r["p"] for r in df.select("id", arrays.product("a", weights).alias("p")).collect()}
+    assert got[0] == [9.0, 12.0, 15.0] and got[6] == [-3.5, -4.0, -4.5]
+    assert [got[i] for i in (1, 2, 4, 5)] == [None] * 4 and np.isnan(got[3]).all()
+    assert df.where("id < 0").select(arrays.product("a", weights)).collect() == []
+    assert df.where("id = 4").select(arrays.dense("a", np.transpose(weights), [0.0] * 3).alias("d")).first()["d"] is None
+
+
+def test_models_of_every_kind_survive_the_model_table(spark, tmp_path):
+    df = spark.createDataFrame([(float(i), float(i * i % 7), float(i % 3 == 0), 3.5) for i in range(40)], "a double, b double, y double, flat double")
+    place = str(tmp_path / "deep" / "models")
+    standard, parts = linear.standardize_fit(df, ["a", "flat"]), linear.pca_fit(df, ["a", "b"])
+    chain = steps.pipeline([steps.Standardize(), steps.Regress("y")], df, ["a", "b"])
+    regression, classes = linear.linear_regression(df, "y", ["a", "b"]), fit_logistic_models(df, "y", {"all": LogisticTask(("a", "b"))})["all"]
+    for name, model in {"standard": standard, "chain": chain, "regression": regression, "classes": classes}.items():
+        assert models.save(spark, model, place, name) == 1 and models.load(spark, place, name) == model
+    models.save(spark, parts, place, "parts")
+    assert models.load(spark, place, "parts").transform(df).collect() == parts.transform(df).collect()
+    assert models.save(spark, linear.ridge(df, "y", ["a"], 1.0), place, "regression") == 2
+    assert models.load(spark, place, "regression").features == ("a",) and models.load(spark, place, "regression", 1) == regression
+    assert models.versions(spark, place).count() == 6
+    for name, version in (("none", None), ("chain", 2)):
+        with pytest.raises(KeyError):
+            models.load(spark, place, name, version)
+    with pytest.raises(TypeError):
+        models.save(spark, object(), place, "odd")
