@@ -8,15 +8,18 @@ any number of pages of one host spreads over tasks, and only small expressions a
 
 The wrapper decides on every page of a host with at least ``ALIKE`` pages of different URL and text; copies and fetches of
 one URL are one page, however many rows they have. An element whose text is the same on all of these pages holds no article, whatever its
-name, and text that is the same on all of them is template and goes, within the article too. Text of optional
-elements, which only some pages have, always stays, as does text within repeated elements that differ.
+name. Where no element that differs has a container's name, text that is the same on all pages is template and goes, unless
+it lies in the one element below the body that holds all that differs; that element is the article, with the headings it
+repeats. Text of optional elements, which only some pages have, always stays, as does text within repeated
+elements that differ.
 
 Names are hints for what alignment cannot tell: among the elements that differ, which hold the article
-(``CONTAINERS``, first kind first), and which text that differs from page to page is a menu, advert, comment and so on
-(``DROPPED_TAGS``, ``DROPPED_WORDS`` in class, id or role). Where no element that differs has a container's name, the body
-counts. With fewer different pages names alone decide, as nothing is known to be template.
+(``CONTAINERS``, first kind first, but a kind with less than a ``SHARE``-th of the text in containers is a teaser), and
+which text is a menu, advert, comment and so on (``DROPPED_TAGS``, ``DROPPED_WORDS`` in class, id or role). One such word removes no
+paragraph or lesser heading that has other words beside it, none removes an ``h1``, and the header of a post is no page header. With fewer
+different pages names alone decide, as nothing is known to be template.
 
-Blocks are the texts between block-level tags. Character references are decoded, white space in a block becomes one
+Blocks are the texts between block-level tags; cells of a row are one block. Character references are decoded, white space in a block becomes one
 space, empty blocks go, and blocks are joined by line breaks. Null or empty pages give an empty text, as do pages
 without an article. Null or odd URLs share the empty host. Tags that are not closed end with their parents. Elements of
 any depth are read as such; a wrapper describes ``DEPTH`` levels and takes the text of deeper ones as that of the last level.
@@ -37,8 +40,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Elements of HTML by their kind.
-RAW = "script style textarea title noscript template iframe svg select button".split()
-VOID = set("area base br col embed hr img input link meta param source track wbr".split())
+RAW = "script style textarea title iframe".split()
+#: Left out with all below them where they are closed; an open tag without its end hides nothing.
+HIDDEN = "noscript template svg select button".split()
+VOID = set("area base br col embed img input link meta param source track wbr".split())
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
 CELLS = {"td", "th"}
 #: Start tags that end an open element of one of the kinds given.
@@ -48,18 +53,26 @@ CONTAINERS = ("article", "main", "content")
 CONTENT_WORDS = set("article content entry post story".split())
 # What goes: menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, markup, readers' comments. No more:
 # captions and what an object shows in its place are text.
-DROPPED_TAGS = set("nav header footer aside form dialog menu".split()) | set(RAW)
+DROPPED_TAGS = set("nav header footer aside form dialog menu".split()) | set(RAW) | set(HIDDEN)
 DROPPED_WORDS = set(
     "ad ads advert advertisement advertising adverts alert banner breadcrumb breadcrumbs comment comments consent cookie cookies "
-    "disqus footer form header login masthead menu modal nav navbar navigation newsletter notice popup promo related "
+    "disqus footer form header login masthead menu modal nav navbar navigation newsletter notice popup promo promoted related "
     "respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
+#: Elements that one such word among others does not remove.
+TEXT_TAGS = set("p h2 h3 h4 h5 h6 blockquote pre figure figcaption".split())
+#: A kind of container counts if it has at least one part in so many of the text in all containers.
+SHARE = 3
 #: Levels that a wrapper describes.
 DEPTH = 60
 #: Pages of different URL and text on all of which a text must be the same to count as part of the template.
 ALIKE = 3
 #: Times that one kind of element may stand in a sequence before the sequence becomes one repeated group.
 REPEATS = 3
+#: Elements of the longest sequence that is looked for as a repeated group, and cells of the largest table that two
+#: sequences are aligned in. Beyond them the order of a sequence is given up, as beyond ``REPEATS``; no text is lost.
+UNIT = 64
+CELLS_ALIGNED = 1_000_000
 #: Hosts whose wrappers a task holds before it hands them on.
 HOSTS = 2_000
 #: Groups that the partial wrappers of a host are merged in first, and keys that its pages are dealt over.
@@ -77,6 +90,7 @@ TOKEN = re.compile(
     re.S | re.I,
 )
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
+HIDES = re.compile(rf"<(?:{'|'.join(HIDDEN)})\b", re.I)
 LETTERS = re.compile(r"[a-z]+")
 
 # An expression is a list of items [name, least, many, below]: ``least`` is 0 for an optional item, ``many`` tells
@@ -92,6 +106,22 @@ def _name(tag: str, attributes: str) -> str:
     return ".".join([tag, *sorted(words)])
 
 
+def _hidden(html: str) -> dict[int, int]:
+    """Where each hidden element starts and ends; a start tag without an end, or closed in itself, is not among them."""
+    ends: dict[int, int] = {}
+    opened: dict[str, list[int]] = {}
+    for m in TOKEN.finditer(html) if HIDES.search(html) else ():
+        tag = (m["open"] or m["close"] or "").lower()
+        if tag not in HIDDEN:
+            continue
+        if m["close"]:
+            if opened.get(tag):
+                ends[opened[tag].pop()] = m.end()
+        elif not (tag == "svg" and m["attrs"].endswith("/")):
+            opened.setdefault(tag, []).append(m.start())
+    return ends
+
+
 def events(html: str):
     """Openings ``(+1, name)``, closings ``(-1, name)``, texts ``(0, text)`` and breaks ``(0, " ")``, always balanced."""
     stack: list[str] = []
@@ -102,7 +132,10 @@ def events(html: str):
             opened[stack[-1].partition(".")[0]] -= 1
             yield -1, stack.pop()
 
+    hidden, until = _hidden(html), 0
     for m in TOKEN.finditer(html):
+        if m.start() < until:
+            continue
         kind = m.lastgroup
         if kind == "text":
             yield 0, unescape(m["text"])
@@ -118,6 +151,9 @@ def events(html: str):
             tag = (m["open"] or m["odd"]).lower()
             if tag in INLINE:
                 continue
+            if tag in HIDDEN:
+                until = hidden.get(m.start(), 0)
+                continue
             if tag in VOID:
                 yield 0, " "
                 continue
@@ -128,6 +164,10 @@ def events(html: str):
                     break
                 if top in ("ul", "ol", "table", "dl"):
                     break
+            if tag == "hr":
+                yield 1, tag
+                yield -1, tag
+                continue
             stack.append(_name(tag, m["attrs"] or ""))
             opened[stack[-1].partition(".")[0]] += 1
             yield 1, stack[-1]
@@ -182,30 +222,37 @@ def _joined(a: list, b: list, repeated: bool = False) -> list:
 
 def _folded(items: list) -> list:
     """Runs of items, then runs of sequences of items, with the same keys become repeated items."""
-    size = 1
-    while 2 * size <= len(items):
+    size, codes = 1, _codes(items)
+    while 2 * size <= len(items) and size <= UNIT:
+        again = _repeats(codes, size)
+        if not any(again):
+            size += 1
+            continue
         out, i = [], 0
-        keys = [_key(x) for x in items]
         while i < len(items):
-            unit = items[i : i + size]
-            j, times = i + size, 1
-            while len(unit) == size and keys[j : j + size] == keys[i : i + size]:
+            unit, j = items[i : i + size], i
+            while j < len(again) and again[j]:
+                j += size
                 unit = [_joined(x, y, repeated=size == 1) for x, y in zip(unit, items[j : j + size])]
-                j, times = j + size, times + 1
-            if times == 1:
+            if j == i:
                 out.append(items[i])
                 i += 1
             else:
                 out += unit if size == 1 else [[GROUP, 1, True, unit]]
-                i = j
-        size = 1 if len(out) < len(items) and size > 1 else size + 1
-        items = out
+                i = j + size
+        size = 1 if size > 1 else 2
+        items, codes = out, _codes(out)
     counts: dict = {}
     for x in items:
         counts[x[0]] = counts.get(x[0], 0) + 1
     if max(counts.values(), default=0) <= REPEATS:
         return items
     # No order can be told any more: one group that repeats, with each kind of element as an option.
+    return _unordered(items)
+
+
+def _unordered(items: list) -> list:
+    """One repeated group in which each kind of element is an option."""
     kinds: dict[str, list] = {}
     for x in _flat(items):
         x = [x[0], 0, x[2], x[3]]
@@ -213,6 +260,23 @@ def _folded(items: list) -> list:
     return [[GROUP, 1, True, [kinds[k] for k in sorted(kinds)]]]
 
 
+def _codes(items: list) -> list[int]:
+    """A number for each item, the same for the same keys; empty where no two are the same, so that nothing can repeat."""
+    numbers: dict = {}
+    codes = [numbers.setdefault(_key(x), len(numbers)) for x in items]
+    return codes if len(numbers) < len(codes) else []
+
+
+def _repeats(codes: list[int], size: int) -> list[bool]:
+    """For each place, whether the ``size`` items from it have the same keys as those after them."""
+    out, same = [], 0
+    for i in range(len(codes) - size):
+        same = same + 1 if codes[i] == codes[i + size] else 0
+        if i >= size - 1:
+            out.append(same >= size)
+    return out
+
+
 def _flat(items: list) -> list:
     return [y for x in items for y in (_flat(x[3]) if x[0] == GROUP else [x])]
 
@@ -222,6 +286,8 @@ def merged(a: list, b: list) -> list:
     p, q = [_key(x) for x in a], [_key(x) for x in b]
     if p == q:
         return [_joined(x, y) for x, y in zip(a, b)]
+    if len(p) * len(q) > CELLS_ALIGNED:
+        return _unordered(a + b)
     best = [[0] * (len(q) + 1) for _ in range(len(p) + 1)]
     for i in range(len(p) - 1, -1, -1):
         for j in range(len(q) - 1, -1, -1):
@@ -250,30 +316,50 @@ def _container(name: str) -> int | None:
     return 2 if CONTENT_WORDS & set(words) and tag != "body" else None
 
 
+def _dropped(tag: str, words: set) -> bool:
+    """Whether an element's name says that it is no part of an article."""
+    if tag in DROPPED_TAGS or tag == "head":
+        return True
+    found = DROPPED_WORDS & words
+    if not found or tag in ("html", "body", "h1"):
+        return False
+    if tag in TEXT_TAGS:
+        return words <= DROPPED_WORDS
+    return found != {"header"} or not CONTENT_WORDS & words
+
+
 class Place:
     """An element of a wrapper as extraction needs it: what it is, what is constant in it, what lies below."""
 
     def __init__(self, name: str, items: list, constants: bool):
         tag, *words = name.split(".")
-        self.dropped = tag in DROPPED_TAGS or tag == "head" or tag not in ("html", "body") and bool(DROPPED_WORDS & set(words))
+        self.dropped = _dropped(tag, set(words))
         # An item that is not on every page tells nothing about the pages without it: its text is not taken as constant.
-        self.same = {x[3] for x, always in items if x[0] == SLOT and always and x[3] is not None} if constants else set()
+        self.same = {x[3] for x, always, _ in items if x[0] == SLOT and always and x[3] is not None} if constants else set()
         below: dict[str, list] = {}
-        for x, always in items:
+        times: Counter = Counter()
+        for x, always, many in items:
             if x[0] != SLOT:
                 below.setdefault(x[0], []).extend(_told(x[3], always))
+                times[x[0]] += 2 if many else 1
         self.below = {k: Place(k, v, constants) for k, v in below.items()}
+        slots = any(x[0] == SLOT and not (always and x[3] is not None) for x, always, _ in items)
+        inside = [k for k, p in self.below.items() if p.differs and not p.dropped]
         #: Whether the text differs between pages, without parts that are dropped; where too few pages are known, it may.
-        self.differs = not constants or any(x[0] == SLOT and not (always and x[3] is not None) for x, always in items) or any(p.differs and not p.dropped for p in self.below.values())
+        self.differs = not constants or slots or bool(inside)
         self.container = _container(name) if self.differs else None
+        #: The only element that holds all that differs, if it stands once.
+        self.only = self.below[inside[0]] if constants and not slots and len(inside) == 1 and times[inside[0]] == 1 else None
+        #: Whether the element is the article for lack of a container's name.
+        self.article = False
 
 
-def _told(items: list, always: bool = True) -> list:
-    """The items of an expression without its groups, each with whether it is on every page."""
+def _told(items: list, always: bool = True, many: bool = False) -> list:
+    """The items of an expression without its groups, each with whether it is on every page and whether it may repeat."""
     out = []
     for x in items:
-        here = always and x[1] > 0
-        out += _told(x[3], here) if x[0] == GROUP else [(x, here)]
+        here, often = always and x[1] > 0, many or x[2]
+        out += _told(x[3], here, often) if x[0] == GROUP else [(x, here, often)]
     return out
 
 
@@ -286,7 +372,12 @@ def _unseen(name: str) -> Place:
 @lru_cache(maxsize=256)
 def _places(wrapper: str) -> Place:
     pages, items = json.loads(wrapper)
-    return Place("", _told(items), constants=pages >= ALIKE)
+    place = last = Place("", _told(items), constants=pages >= ALIKE)
+    name = ""
+    while last.only is not None:
+        name, last = next((k, p) for k, p in last.below.items() if p is last.only)
+    last.article = name.partition(".")[0] not in ("", "html", "body")
+    return place
 
 
 def extract(html: str, wrapper: str) -> str:
@@ -296,39 +387,52 @@ def extract(html: str, wrapper: str) -> str:
 
 def _main_text(steps, place: Place, kinds: int = len(CONTAINERS)) -> str:
     """The main text under a place; only the first ``kinds`` of containers count."""
-    blocks: list[tuple[set, str, bool]] = []
+    blocks: list[list[tuple[frozenset, str, bool]]] = []
+    block: list[tuple[frozenset, str, bool]] = []
     held: list[str] = []
-    stack = [(place, False, frozenset())]
-    present: set[int] = set()
+    stack = [(place, False, frozenset(), False)]
+    sizes: Counter = Counter()
 
-    def flush():
+    def piece():
         text = " ".join("".join(held).split())
         held.clear()
-        if text and not stack[-1][1]:
-            blocks.append((stack[-1][2], text, text in stack[-1][0].same))
+        here, dropped, inside, article = stack[-1]
+        if text and not dropped:
+            block.append((inside, text, not article and text in here.same))
+            sizes.update(dict.fromkeys(inside, len(text)))
+
+    def flush():
+        piece()
+        if block:
+            blocks.append(block.copy())
+            block.clear()
 
     for step, what in steps:
         if step == 0:
             held.append(what)
             continue
         if what.partition(".")[0] in CELLS:
-            held.append(" ")
+            piece()
         else:
             flush()
         if step > 0:
-            above, dropped, inside = stack[-1]
+            above, dropped, inside, article = stack[-1]
             here = above.below.get(what) or _unseen(what)
             dropped = dropped or here.dropped
             if here.container is not None and here.container < kinds and not dropped:
                 inside = inside | {here.container}
-                present.add(here.container)
-            if what.partition(".")[0] in CELLS:
-                dropped = stack[-1][1]
-            stack.append((here, dropped, inside))
+                sizes[here.container] += 0
+            stack.append((here, dropped, inside, article or here.article))
         else:
             stack.pop()
     flush()
-    return "\n".join(text for inside, text, same in blocks if not same and (not present or min(present) in inside))
+    if sizes:
+        most = sum(len(text) for pieces in blocks for inside, text, _ in pieces if inside)
+        kind = next((k for k in sorted(sizes) if SHARE * sizes[k] >= most), max(sizes, key=sizes.get))
+        kept = [[text for inside, text, _ in pieces if kind in inside] for pieces in blocks]
+    else:
+        kept = [[text for _, text, same in pieces if not same] for pieces in blocks]
+    return "\n".join(" ".join(texts) for texts in kept if texts)
 
 
 def host_of(url: Column) -> Column:

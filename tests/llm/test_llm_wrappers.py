@@ -2,6 +2,7 @@
 
 import json
 import random
+import time
 
 import cases
 from pyspark.sql import functions as F
@@ -102,12 +103,12 @@ def test_text_of_optional_elements_stays():
 
 
 def test_wrapper_decides_on_pages_with_containers(spark):
-    # The box named "content" is the same on all pages, so it is not the article; the note in the article is template.
+    # The box named "content" is the same on all pages, so it is not the article; what an article repeats is part of it.
     page = lambda i, more="": f'<body><div class="content"><p>About us</p></div><div class="x1"><h1>Head {i}</h1><p>Text {i}</p>{more}</div></body>'
     assert texts_of(spark, [page(i) for i in range(4)]) == [f"Head {i}\nText {i}" for i in range(4)]
     page = lambda i, more="": f"<body><article><h1>Head {i}</h1><p>Text {i}</p>{more}<div>Read <b>more</b> here</div></article><p>Out {i}</p></body>"
     found = texts_of(spark, [page(0), page(1), page(2, "<h2>Only here</h2>")])
-    assert found == ["Head 0\nText 0", "Head 1\nText 1", "Head 2\nText 2\nOnly here"]
+    assert found == [f"Head {i}\nText {i}\n{more}Read more here" for i, more in ((0, ""), (1, ""), (2, "Only here\n"))]
     assert texts_of(spark, [page(0), page(1)] * 3) == ["Head 0\nText 0\nRead more here", "Head 1\nText 1\nRead more here"] * 3
 
 
@@ -125,3 +126,87 @@ def test_tables_of_every_kind(spark):
     assert sorted((r["t"] for r in out if r["page_id"] != 5)) == sorted([TEXT] * 4 + ["", ""])
     assert next(r["t"] for r in out if r["page_id"] == 5) == "\n".join(["word"] * 30_000)
     assert wrappers.infer(df.limit(0), "url", "html").collect() == []
+
+
+def text_of(page):
+    return wrappers.extract(page, wrapper(page))
+
+
+def test_cells_hold_articles_and_adverts():
+    assert text_of('<table><tr><td class="content">Some article text</td><td class="sidebar">links</td></tr></table>') == "Some article text"
+    assert text_of('<article><table><tr><td>Kept</td><td class="advert">Buy now</td></tr></table></article>') == "Kept"
+    assert text_of('<table><tr><td class="content">a <b>b</b><p>c</p>d</td><td>out</td></tr></table>') == "a b\nc\nd"
+
+
+def test_headings_that_all_pages_repeat_stay(spark):
+    for opened, closed in (("<article>", "</article>"), ('<div class="post-content">', "</div>"), ('<div class="zone">', "</div>")):
+        pages = [f"<body><div>Site</div>{opened}<h1>Head {i}</h1><h2>Summary</h2><p>Text {i}</p>{closed}<p>Bye</p></body>" for i in range(4)]
+        assert texts_of(spark, pages[:3]) == [f"Head {i}\nSummary\nText {i}" for i in range(3)]
+    pages = [f"<body><article><h2>Summary</h2><p>Text {i}</p></article></body>" for i in range(3)]
+    assert texts_of(spark, pages) == [f"Summary\nText {i}" for i in range(3)] and texts_of(spark, pages[:2]) == [f"Summary\nText {i}" for i in range(2)]
+
+
+def test_elements_closed_in_themselves_or_not_at_all():
+    for odd in ('<svg class="i"/>', "<svg>", "<button>", "<select>", "<noscript>", "<template>"):
+        assert text_of(f"<article><p>First</p>{odd}<p>Second</p></article>") == "First\nSecond"
+    for tag in wrappers.HIDDEN:
+        assert text_of(f"<article><p>First <{tag}>x <i>y</i></{tag}> one</p><p>Second</p></article>") == "First one\nSecond"
+    assert text_of("<article><svg><svg><p>x</p></svg><p>x</p></svg><p>a</p><button><p>b</p><button>x</button></article>") == "a\nb"
+    assert text_of("<article><p>a</p><script>var x = '<svg>';</script><p>b</p><!-- <svg> --><p>c</p></article>") == "a\nb\nc"
+
+
+def test_one_word_of_a_class_removes_no_headline_or_paragraph():
+    assert text_of('<article><div class="post-header"><h1>Head</h1></div><p class="share price">One</p><p class="advert">Buy</p><h1 class="banner">Two</h1></article>') == "Head\nOne\nTwo"
+    assert text_of('<article><p>a</p><div class="post-footer">x</div><div class="article-comments"><p>x</p></div></article>') == "a"
+
+
+def test_teasers_do_not_beat_the_article(spark):
+    for name in ("promoted", "teaser"):
+        page = lambda i: f'<body><article class="{name}"><p>Offer {i}</p></article><div class="post-content"><h1>Head {i}</h1><p>{"A long text. " * 5}{i}</p></div></body>'
+        assert texts_of(spark, [page(i) for i in range(4)]) == [f"Head {i}\n{'A long text. ' * 5}{i}" for i in range(4)]
+
+
+def test_rules_part_blocks():
+    assert text_of("<article>one<hr>two<br>three<hr/><p>four<hr>five</article>") == "one\ntwo three\nfour\nfive"
+
+
+def folded_plainly(keys):
+    """The shape of folded items by comparing slices, for any size of unit."""
+    size, items = 1, [(k, False) for k in keys]
+    while 2 * size <= len(items):
+        names, out, i = [k for k, _ in items], [], 0
+        while i < len(items):
+            j = i + size
+            while len(names[i : i + size]) == size and names[j : j + size] == names[i : i + size]:
+                j += size
+            if j == i + size or i + size > len(items):
+                out.append(items[i])
+                i += 1
+            else:
+                out += [(names[i], True)] if size == 1 else [(("()", *names[i : i + size]), True)]
+                i = j
+        size = 1 if len(out) < len(items) and size > 1 else size + 1
+        items = out
+    return items
+
+
+def test_folding_finds_what_comparing_slices_finds(monkeypatch):
+    monkeypatch.setattr(wrappers, "REPEATS", 1000)
+    rng = random.Random(4)
+    for _ in range(500):
+        keys = [rng.choice("abc") for _ in range(rng.randint(0, 24))] * rng.randint(1, 2)
+        items = wrappers._folded([[k, 1, False, []] for k in keys])
+        assert [(wrappers._key(x), x[2]) for x in items] == folded_plainly(keys)
+
+
+def test_twenty_thousand_siblings_take_seconds():
+    names = ["".join(chr(97 + i // 26**k % 26) for k in range(4)) for i in range(20_000)]
+    begin = time.perf_counter()
+    different = ["".join(f'<div class="{n}{x}">t</div>' for n in names) for x in ("", "x")]
+    items = [wrappers.expression(p) for p in different]
+    assert len(items[0]) == 20_000 and len(wrappers.merged(*items)[0][3]) == 40_000
+    mixed = "".join(f"<{random.Random(i).choice(['p', 'h2', 'div', 'ul'])}>t" for i in range(20_000))
+    wrappers.expression(mixed)
+    assert time.perf_counter() - begin < 15
+    page = "<article>" + different[0] + "</article>"
+    assert text_of(page) == "\n".join("t" * 20_000)
