@@ -6,16 +6,17 @@ gaps, and the longest stretch that begins and ends with equal words and has a sh
 is the overlap. It is reported from ``least`` words on. An item that is shorter must stand in the document whole
 and unchanged, as so few words leave no room for a seed beside a substitution.
 
-The three masks of ``MASKS`` were searched so that every stretch of 13 words with 2 substitutions, and every
-one of 15 with 3, is hit by at least one of them, wherever the substitutions lie.
+The masks of ``MASKS`` were searched so that every stretch of 13 words or more that begins and ends with equal words and
+has a fifth substituted at most is hit by at least one of them, wherever the substitutions lie. Items that are shorter than the
+longest mask get a seed of all their words instead, one kind for each length.
 
 Documents are hashed in one pass. A Bloom filter of the items' hashes, whose size is fixed, goes to every task, so
 that only places that probably match are written, with the words around them; false positives go in the exact
 join that follows, and any number of items stays correct. A passage in a third of all documents gives that many
 hits with few hashes, which the join spreads.
 
-Words ignore case and punctuation. Items of fewer than ``SHORTEST`` words are too short to tell and match
-nothing, nor do null or empty texts. Ties between alignments go to more equal words, then to the first place in
+Words ignore case and punctuation. Items without a word match nothing, nor do null or empty texts; an item of one
+word matches every document with that word, unless ``shortest`` asks for more words. Ties between alignments go to more equal words, then to the first place in
 the item and in the document. Repeated rows of documents are one document, repeated rows of items one
 item; ids may be null and are then null in the result. Tables without rows give none.
 """
@@ -30,10 +31,11 @@ from pyspark.sql import functions as F
 from momentloom.llm.common import kept
 from momentloom.llm.words import mixed, runs, word_hashes
 
-MASKS = ("1111011", "11001000111", "10101100011")
+MASKS = ("1111011", "11001000111", "10101100011", "111011111")
 LEAST = 13
 IDENTITY = 0.8
-SHORTEST = 8
+#: Least number of words of an item.
+SHORTEST = 1
 #: Power of two that gives the bits of the filter, two megabytes, and bits set for each hash.
 FILTER_BITS = 24
 FILTER_HASHES = 3
@@ -43,28 +45,43 @@ def _offsets(mask: str) -> list[int]:
     return [i for i, c in enumerate(mask) if c == "1"]
 
 
-def seeds(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all masks at all places, and the places."""
+#: Words from which on each mask fits an item.
+FULL = max(map(len, MASKS))
+
+
+def seeds(words: np.ndarray, lengths: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all masks at all places and of the runs of the given lengths, and the places."""
     codes = [runs(words, _offsets(m), seed=i) for i, m in enumerate(MASKS)]
+    codes += [runs(words, list(range(n)), seed=len(MASKS) + n) for n in lengths]
     return np.concatenate(codes), np.concatenate([np.arange(len(c)) for c in codes])
 
 
+def item_seeds(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The seeds of an item: of the masks, or of all its words at once where it is shorter than the longest mask."""
+    if len(words) >= FULL:
+        return seeds(words)
+    return runs(words, list(range(len(words))), seed=len(MASKS) + len(words)), np.zeros(1, dtype=np.int64)
+
+
 def _bit(codes: np.ndarray, turn: int, power: int) -> np.ndarray:
     """The filter's bit for each hash at one turn."""
     return (mixed(codes + np.uint64(turn + 1)) >> np.uint64(64 - power)).astype(np.int64)
 
 
-def _item_words(batches):
-    for batch in batches:
-        words = [word_hashes(t or "").astype(np.int64) for t in batch["text"]]
-        out = batch[["item", "ikey"]].assign(iwords=words)
-        yield out[[len(w) >= SHORTEST for w in words]].astype({"item": "Int64"})
+def _item_words(shortest: int):
+    def words_of(batches):
+        for batch in batches:
+            words = [word_hashes(t or "").astype(np.int64) for t in batch["text"]]
+            out = batch[["item", "ikey"]].assign(iwords=words)
+            yield out[[len(w) >= shortest for w in words]].astype({"item": "Int64"})
+
+    return words_of
 
 
 def _item_seeds(batches):
     for batch in batches:
         for key, words in zip(batch["ikey"], batch["iwords"]):
-            codes, places = seeds(np.asarray(words).astype(np.uint64))
+            codes, places = item_seeds(np.asarray(words).astype(np.uint64))
             yield pd.DataFrame({"ikey": key, "code": codes.astype(np.int64), "iplace": places})
 
 
@@ -87,14 +104,14 @@ def _filter_of(codes: DataFrame, power: int) -> np.ndarray:
     return out
 
 
-def _hits(filter_bits: np.ndarray, power: int, reach: int):
-    """Hits of the filter with the words around them; hits whose surroundings overlap share a region."""
+def _hits(filter_bits: np.ndarray, power: int, reach: int, lengths: tuple[int, ...]):
+    """Hits of the filter, by the masks and by runs of the given lengths, with the words around them; hits whose surroundings overlap share a region."""
 
     def scan(batches):
         for batch in batches:
             for key, doc_id, text in zip(batch["key"], batch["doc_id"].astype("Int64"), batch["text"]):
                 words = word_hashes(text or "")
-                codes, places = seeds(words)
+                codes, places = seeds(words, lengths)
                 if not len(codes):
                     continue
                 for turn in range(FILTER_HASHES):  # few places pass the first bit
@@ -162,7 +179,7 @@ def _verified(least: int, identity: float):
     return verify
 
 
-def overlaps(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str, item_text: str, least: int = LEAST, identity: float = IDENTITY, filter_bits: int = FILTER_BITS) -> DataFrame:
+def overlaps(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str, item_text: str, least: int = LEAST, identity: float = IDENTITY, filter_bits: int = FILTER_BITS, shortest: int = SHORTEST) -> DataFrame:
     """One row for each document and item that overlap.
 
     ``doc_id, item_id, doc_key, n_item, item_start, doc_start, n_words, n_equal``: places and lengths in words.
@@ -170,12 +187,15 @@ def overlaps(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id:
     """
     source = items.select(F.col(item_id).cast("long").alias("item"), F.col(item_text).alias("text")).distinct()
     source = source.withColumn("ikey", F.xxhash64("item", "text"))
-    tests = kept(source.mapInPandas(_item_words, "item long, ikey long, iwords array<long>"))
-    reach = tests.agg(F.max(F.size("iwords"))).first()[0] or 0
+    tests = kept(source.mapInPandas(_item_words(max(1, shortest)), "item long, ikey long, iwords array<long>"))
+    sizes = F.size("iwords")
+    # At most one length for each number of words below that of the longest mask.
+    told = tests.agg(F.max(sizes).alias("reach"), F.collect_set(F.when(sizes < FULL, sizes)).alias("lengths")).first()
+    reach, lengths = told["reach"] or 0, tuple(sorted(told["lengths"]))
     codes = kept(tests.select("ikey", "iwords").mapInPandas(_item_seeds, "ikey long, code long, iplace long"))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = rows.select("doc_id", document_key("doc_id", "text").alias("key"), "text")
-    scanned = rows.mapInPandas(_hits(_filter_of(codes, filter_bits), filter_bits, reach), "key long, doc_id long, low long, words array<long>, codes array<long>, places array<long>")
+    scanned = rows.mapInPandas(_hits(_filter_of(codes, filter_bits), filter_bits, reach, lengths), "key long, doc_id long, low long, words array<long>, codes array<long>, places array<long>")
     regions = kept(scanned)
     hits = regions.select("key", "low", F.explode(F.arrays_zip("codes", "places")).alias("h")).select("key", "low", F.col("h.codes").alias("code"), F.col("h.places").alias("place"))
     met = hits.join(codes, "code")

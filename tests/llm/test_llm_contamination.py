@@ -10,11 +10,31 @@ import pytest
 from momentloom.llm import spaced, words
 
 
+def least_substitutions(length):
+    """The fewest substitutions in a stretch with equal ends that no mask hits, by the last words of every prefix."""
+    span = spaced.FULL
+    masks = [int(m, 2) for m in spaced.MASKS]
+    hit = np.array([[(state & m) == m for m in masks] for state in range(1 << span)])
+    fits = lambda n: hit[:, [n >= len(m) for m in spaced.MASKS]].any(axis=1)
+    states = np.arange(1 << span)
+    least = np.full(1 << span, 10**6)
+    least[1] = 0
+    for n in range(2, length + 1):
+        longer = np.full(1 << span, 10**6)
+        for equal in (0, 1):
+            np.minimum.at(longer, ((states << 1) | equal) & ((1 << span) - 1), least + 1 - equal)
+        longer[fits(n)] = 10**6
+        least = longer
+    return int(least[states % 2 == 1].min())
+
+
 def test_masks_hit_every_stretch_with_substitutions():
     for length, wrong in ((13, 2), (15, 3)):
         for places in combinations(range(length), wrong):
             stretch = "".join("0" if i in places else "1" for i in range(length))
             assert any(all(stretch[o + i] == "1" for i in spaced._offsets(m)) for m in spaced.MASKS for o in range(length - len(m) + 1))
+    for length in range(spaced.LEAST, 61):
+        assert least_substitutions(length) > int((1 - spaced.IDENTITY) * length + 1e-9)
 
 
 def brute_overlap(item, doc, shift, least, identity):
@@ -55,7 +75,7 @@ def tables(seed=3):
     rng = random.Random(seed)
     vocabulary = [f"v{i}" for i in range(300)] + ["the", "of", "and"] * 40
     some = lambda n: [rng.choice(vocabulary) for _ in range(n)]
-    items = [(i, some(rng.randint(8, 50))) for i in range(25)]
+    items = [(i, some(rng.randint(3, 50))) for i in range(30)]
     docs = []
     for d in range(120):
         text = some(rng.randint(0, 60))
@@ -90,3 +110,17 @@ def test_empty_tables(spark):
     assert spaced.overlaps(cases.docs(spark), "doc_id", "text", none, "item_id", "text").collect() == []
     assert spaced.overlaps(cases.no_docs(spark), "doc_id", "text", some, "item_id", "text").collect() == []
     assert {r["doc_id"] for r in spaced.overlaps(cases.docs(spark), "doc_id", "text", some, "item_id", "text").collect()} == {1, 2}
+
+
+def test_short_items_are_found_whole(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefgh", k=4))
+    items = [(n, " ".join(word() for _ in range(n))) for n in range(1, 14)]
+    docs = [(n, f"{word()} {word()}, {t.upper()}! {word()}") for n, t in items]
+    docs += [(100 + n, " ".join(t.split()[:-1]) + " " + word()) for n, t in items]  # the last word is another
+    docs += [(200 + n, t) for n, t in items] + [(300, ""), (301, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    test = spark.createDataFrame([*items, (50, ""), (51, None), (52, "!?")], "item_id long, text string")
+    found = lambda **more: sorted((r["doc_id"], r["item_id"], r["n_words"]) for r in spaced.overlaps(df, "doc_id", "text", test, "item_id", "text", **more).collect())
+    assert found() == sorted((m + n, n, n) for n, _ in items for m in (0, 200))
+    assert found(shortest=8) == sorted((m + n, n, n) for n, _ in items if n >= 8 for m in (0, 200))
