@@ -10,7 +10,8 @@ likelier under the model of random strings than under that of ordinary identifie
 patterns find are samples of random strings, all other runs of key characters are ordinary ones.
 
 Everything is built-in column functions; other columns of a table are not touched. A null or empty text has no
-span, and ``redact`` leaves it as it is. Texts of any length are searched whole, repeated rows give the same
+span, and ``redact`` leaves it as it is. Texts of any length are searched whole, in time that grows with their length and,
+where spans are many, with the square of their number; repeated rows give the same
 spans, and a table without rows gives none and leaves both models at their priors.
 """
 
@@ -55,8 +56,11 @@ class Ratios:
         return F.split(F.lit(",".join(f"{v:.6f}" for v in self.values)), ",").cast("array<double>")
 
 
-def _found(text: Column, kind: int, pattern: str, group: int, least: int) -> Column:
-    """Spans of the matches whose group has ``least`` characters, from the pieces between the matches."""
+def _found(text: Column, kind: int, pattern: str, group: int, least: int, wanted=None) -> Column:
+    """Spans of the matches whose group has ``least`` characters, from the pieces between the matches.
+
+    ``wanted`` is a condition on a whole match, told from its string alone.
+    """
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     steps = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), matches.alias("all"), values.alias("value"))
@@ -65,7 +69,8 @@ def _found(text: Column, kind: int, pattern: str, group: int, least: int) -> Col
         start = state["at"] + F.length(x["gap"])
         end = start + F.coalesce(F.length(x["all"]), F.lit(0))
         span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"))
-        out = F.when(F.length(x["value"]) >= least, F.array_append(state["out"], span)).otherwise(state["out"])
+        fits = F.length(x["value"]) >= least
+        out = F.when(fits if wanted is None else fits & wanted(x["all"]), F.array_append(state["out"], span)).otherwise(state["out"])
         return F.struct(end.alias("at"), out.alias("out"))
 
     begin = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
@@ -86,30 +91,28 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*found))
 
 
-def _ratio(string: Column, ratios: Column) -> Column:
-    """Mean log-likelihood ratio of the transitions of a string."""
+def _pairs(string: Column, ascii_only: bool = True) -> Column:
+    """A number for each two neighbouring characters. The string is split once: cutting it at each place walks it anew."""
+    code = lambda c: F.ascii(c) if ascii_only else F.ascii(c) % 128
+    codes = F.array(F.transform(F.split(string, ""), code))
+    both = lambda c: F.zip_with(F.slice(c, 1, F.size(c) - 1), F.slice(c, 2, F.size(c) - 1), lambda a, b: a * 128 + b)
+    return F.element_at(F.transform(codes, both), 1)
 
-    def step(total: Column, i: Column) -> Column:
-        pair = F.ascii(F.substr(string, i, F.lit(1))) * 128 + F.ascii(F.substr(string, i + 1, F.lit(1)))
-        return total + F.element_at(ratios, pair + 1)
 
-    n = F.length(string) - 1
-    return F.aggregate(F.sequence(F.lit(1), n), F.lit(0.0), step) / n
+def _ratio(string: Column, ratios: Column) -> Column:
+    """Mean log-likelihood ratio of the transitions of a string, in time linear in its length."""
+    total = F.aggregate(_pairs(string), F.lit(0.0), lambda sum_, pair: sum_ + F.element_at(ratios, pair + 1))
+    return total / (F.length(string) - 1)
 
 
 def random_spans(text: Column, base: Column, model: Ratios, threshold: float = THRESHOLD) -> Column:
     """Spans of the candidates that look random and overlap no span of ``base``."""
     ratios = model.column()
     strings = F.array_distinct(F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)))
-    some = F.exists(strings, lambda s: _ratio(s, ratios) > threshold)
-
-    def judged(span: Column) -> Column:
-        string = F.substr(text, span["start"] + 1, span["end"] - span["start"])
-        free = ~F.exists(base, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
-        return free & (_ratio(string, ratios) > threshold)
-
-    found = F.filter(_found(text, 3, CANDIDATE, 0, 0), judged)
-    return F.when(some, found).otherwise(F.array().cast(SPAN))
+    random = lambda s: _ratio(s, ratios) > threshold
+    free = lambda span: ~F.exists(base, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
+    found = F.filter(_found(text, 3, CANDIDATE, 0, 0, random), free)
+    return F.when(F.exists(strings, random), found).otherwise(F.array().cast(SPAN))
 
 
 def spans(text: Column, base: Column, model: Ratios, threshold: float = THRESHOLD) -> Column:
@@ -151,9 +154,8 @@ def fit(df: DataFrame, text: str, key: str, bound: int = SAMPLE_DOCUMENTS) -> Ra
     )
     strings = docs.select(F.explode(labelled).alias("l")).select("l.random", F.explode("l.strings").alias("s"))
     strings = strings.groupBy("random", "s").agg(F.count("*").alias("n")).where("length(s) > 1")
-    pair = lambda i: (F.ascii(F.substr(F.col("s"), i, F.lit(1))) % 128) * 128 + F.ascii(F.substr(F.col("s"), i + 1, F.lit(1))) % 128
     # A string counts once, however often its copies occur.
-    pairs = strings.select("random", F.explode(F.transform(F.sequence(F.lit(1), F.length("s") - 1), pair)).alias("pair"))
+    pairs = strings.select("random", F.explode(_pairs(F.col("s"), ascii_only=False)).alias("pair"))
     counts = {(r["random"], r["pair"]): r["n"] for r in pairs.groupBy("random", "pair").agg(F.count("*").alias("n")).collect()}
 
     def chance(kind: bool, prior: float) -> list[float]:

@@ -1,7 +1,11 @@
 """Secret spans against plain regular expressions and a plain Markov score."""
 
+import base64
 import hashlib
+import random
 import re
+import string
+import time
 
 import cases
 import pytest
@@ -92,3 +96,40 @@ def test_every_kind_of_row(spark):
         found = df.withColumn("_b", secrets.base_spans(F.col("text"))).withColumn("_s", secrets.spans(F.col("text"), F.col("_b"), model))
         assert found.select("_s").count() == df.count()
         assert all(not r["_s"] for r in found.select("_s").collect())
+
+
+def brute_random(model, text):
+    base = brute(text)
+    found = [(m.start(), m.end()) for m in re.finditer(secrets.CANDIDATE, text) if ratio(model, m[0]) > secrets.THRESHOLD]
+    return [(a, b) for a, b in found if not any(x[0] < b and a < x[2] for x in base)]
+
+
+def test_random_spans_of_all_documents(spark, model):
+    texts = [r["text"] or "" for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
+    for text, row in zip(texts, spans_of(spark, texts, model)):
+        assert [(x["start"], x["end"]) for x in row["s"] if x["kind"] == 3] == brute_random(model, text)
+
+
+def test_planted_keys_are_found_and_identifiers_left_alone(spark, model):
+    rng = random.Random(9)
+    texts = [r["text"] or "" for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
+    words = sorted({w for t in texts for w in re.findall(r"[a-z]{3,9}", t)})
+    keys = ["".join(rng.choices(string.ascii_letters + string.digits, k=rng.randint(20, 48))) for _ in range(400)]
+    names = [rng.choice("_-").join(rng.choices(words, k=4)) + "_name" for _ in range(400)]
+    rows = spans_of(spark, [f"see {w} here" for w in keys + names], model)
+    told = [any(x["start"] <= 4 and x["end"] >= 4 + len(w) for x in r["s"]) for w, r in zip(keys + names, rows)]
+    caught, wrong = sum(told[:400]), sum(told[400:])
+    assert caught / 400 >= 0.95 and caught / max(1, caught + wrong) >= 0.95
+
+
+def test_a_long_run_takes_seconds(spark, model):
+    run = base64.b64encode(random.Random(3).randbytes(750_000)).decode()
+    text = f"data {run} end {KEY}"
+    spans_of(spark, [f"data {KEY}"], model)
+    begin = time.perf_counter()
+    df = spark.createDataFrame([(text,)], "t string").withColumn("b", secrets.base_spans(F.col("t")))
+    found = df.select(secrets.spans(F.col("t"), F.col("b"), model).alias("s")).first()["s"]
+    assert time.perf_counter() - begin < 20
+    assert [(x["start"], x["end"]) for x in found if x["kind"] == 3] == brute_random(model, text)
+    sample = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    secrets.fit(sample, "text", "doc_id")
