@@ -23,13 +23,15 @@ item; ids may be null and are then null in the result. Tables without rows give
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from momentloom.llm.common import kept
-from momentloom.llm.words import mixed, runs, word_hashes
+from momentloom.llm.words import mixed, run_sums, word_hashes
 
 MASKS = ("1111011", "11001000111", "10101100011", "111011111")
 LEAST = 13
@@ -41,6 +43,7 @@ FILTER_BITS = 24
 FILTER_HASHES = 3
 
 
+@lru_cache(maxsize=64)
 def _offsets(mask: str) -> list[int]:
     return [i for i, c in enumerate(mask) if c == "1"]
 
@@ -51,8 +54,8 @@ FULL = max(map(len, MASKS))
 
 def seeds(words: np.ndarray, lengths: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all masks at all places and of the runs of the given lengths, and the places."""
-    codes = [runs(words, _offsets(m), seed=i) for i, m in enumerate(MASKS)]
-    codes += [runs(words, list(range(n)), seed=len(MASKS) + n) for n in lengths]
+    codes = [run_sums(words, _offsets(m), seed=i) for i, m in enumerate(MASKS)]
+    codes += [run_sums(words, list(range(n)), seed=len(MASKS) + n) for n in lengths]
     return np.concatenate(codes), np.concatenate([np.arange(len(c)) for c in codes])
 
 
@@ -60,12 +63,13 @@ def item_seeds(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The seeds of an item: of the masks, or of all its words at once where it is shorter than the longest mask."""
     if len(words) >= FULL:
         return seeds(words)
-    return runs(words, list(range(len(words))), seed=len(MASKS) + len(words)), np.zeros(1, dtype=np.int64)
+    return run_sums(words, list(range(len(words))), seed=len(MASKS) + len(words)), np.zeros(1, dtype=np.int64)
 
 
 def _bit(codes: np.ndarray, turn: int, power: int) -> np.ndarray:
-    """The filter's bit for each hash at one turn."""
-    return (mixed(codes + np.uint64(turn + 1)) >> np.uint64(64 - power)).astype(np.int64)
+    """The filter's bit for each hash at one turn; the first takes the hash as it is, as every place is asked for it."""
+    spread = mixed(codes + np.uint64(turn)) if turn else codes
+    return (spread >> np.uint64(64 - power)).astype(np.int64)
 
 
 def _item_words(shortest: int):

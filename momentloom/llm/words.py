@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 import numpy as np
 import xxhash
@@ -38,16 +39,30 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def runs(words: np.ndarray, offsets: list[int], seed: int = 0) -> np.ndarray:
-    """One hash for each place where all ``offsets`` from it lie inside; words between them do not count."""
+@lru_cache(maxsize=1024)
+def _weights(count: int, seed: int) -> np.ndarray:
+    return mixed(np.arange(1, count + 1, dtype=np.uint64) + np.uint64(1000 * (seed + 1))) | np.uint64(1)
+
+
+def run_sums(words: np.ndarray, offsets: list[int], seed: int = 0) -> np.ndarray:
+    """For each place where all ``offsets`` from it lie inside, the weighted sum of the word hashes there.
+
+    The hashes are spread already and the weights are odd, so the sums are hashes too; ``runs`` spreads them once more.
+    """
     n = len(words) - offsets[-1]
     if n <= 0:
         return np.zeros(0, dtype=np.uint64)
-    factors = mixed(np.arange(1, len(offsets) + 1, dtype=np.uint64) + np.uint64(1000 * (seed + 1))) | np.uint64(1)
+    factors = _weights(len(offsets), seed)
     out = words[offsets[0] : offsets[0] + n] * factors[0]
+    part = np.empty_like(out)
     for o, factor in zip(offsets[1:], factors[1:]):
-        out += words[o : o + n] * factor
-    return mixed(out)
+        out += np.multiply(words[o : o + n], factor, out=part)
+    return out
+
+
+def runs(words: np.ndarray, offsets: list[int], seed: int = 0) -> np.ndarray:
+    """One hash for each place where all ``offsets`` from it lie inside; words between them do not count."""
+    return mixed(run_sums(words, offsets, seed))
 
 
 def shingles(text: str, size: int) -> np.ndarray:
