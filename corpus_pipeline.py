@@ -2,7 +2,7 @@
 
 Every stage takes ``(spark, docs, folder)`` and works on all rows that the one before it kept. ``run`` writes each
 result to the shared folder and reads it again. All stages but the last return the columns of ``docs``, extra ones
-included; their own columns have names that no table uses. Null ids and texts pass as the stages say; empty
+included; their own columns take names that the table does not use. Null ids and texts pass as the stages say; empty
 tables give empty results.
 """
 
@@ -17,12 +17,21 @@ from momentloom.llm import bpe, langid, minhash, queries, secrets, spaced
 from momentloom.llm.common import held_out, shared_folder, table
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """The name, lengthened until no column of the table has it."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents in a known language. Null texts, texts without a letter and texts like no language go."""
     learned = docs.where(~held_out("doc_id"))
     model, counts = langid.fit(learned, "text", "lang", "doc_id"), langid.fit_counts(learned, "text", "lang", "doc_id")
-    found = docs.withColumn("_language", langid.predict(F.col("text"), model)).withColumn("_familiar", langid.familiar(F.col("text"), counts))
-    return found.where((F.col("_language.lang") != langid.UNKNOWN) & F.col("_familiar")).select(*docs.columns)
+    told, known = _free(docs, "_language"), _free(docs, "_familiar")
+    found = docs.withColumn(told, langid.predict(F.col("text"), model)).withColumn(known, langid.familiar(F.col("text"), counts))
+    return found.where((F.col(told)["lang"] != langid.UNKNOWN) & F.col(known)).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -34,20 +43,22 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFr
 def decontamination(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that overlap no benchmark item. A row is told by id and text, so null ids are judged too."""
     found = spaced.overlaps(docs, "doc_id", "text", table(spark, folder, "benchmark"), "item_id", "text")
-    marked = docs.withColumn("_key", spaced.document_key("doc_id", "text"))
-    return marked.join(found.select(F.col("doc_key").alias("_key")).distinct(), "_key", "left_anti").select(*docs.columns)
+    key = _free(docs, "_key")
+    marked = docs.withColumn(key, spaced.document_key("doc_id", "text"))
+    return marked.join(found.select(F.col("doc_key").alias(key)).distinct(), key, "left_anti").select(*docs.columns)
 
 
 def secret_spans(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """All documents, with each secret replaced by a mark, and ``n_chars`` counted anew where there was one."""
     model = secrets.fit(docs, "text", "doc_id")
     text = F.coalesce("text", F.lit(""))
-    found = docs.withColumn("_base", secrets.base_spans(text))
-    found = found.withColumn("_spans", secrets.spans(text, F.col("_base"), model))
-    found = found.withColumn("text", secrets.redact(F.col("text"), F.col("_spans")))
+    base, spans = _free(docs, "_base"), _free(docs, "_spans")
+    found = docs.withColumn(base, secrets.base_spans(text))
+    found = found.withColumn(spans, secrets.spans(text, F.col(base), model))
+    found = found.withColumn("text", secrets.redact(F.col("text"), F.col(spans)))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        found = found.withColumn("n_chars", F.when(F.size("_spans") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+        found = found.withColumn("n_chars", F.when(F.size(spans) > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
     return found.select(*docs.columns)
 
 
