@@ -7,6 +7,7 @@ from types import SimpleNamespace
 import cases
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 ROOT = Path(__file__).resolve().parents[2]
@@ -89,3 +90,15 @@ def test_stages_on_odd_and_empty_tables(spark):
 def test_run_writes_and_rereads_each_stage(spark):
     found = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert found.columns == ["doc_id", "n_tokens", "ids", "decoded_sha256"] and found.count() > 0
+
+
+@pytest.mark.parametrize("stage", ["language", "decontamination", "secret_spans"])
+def test_stages_leave_columns_of_any_name_alone(spark, stage):
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    more = docs
+    for name in ("_base", "_spans", "_key", "_language", "_Familiar"):
+        more = more.withColumn(name, F.lit("x"))
+    plain, found = (getattr(corpus_pipeline, stage)(spark, rows, folder) for rows in (docs, more))
+    assert found.columns == more.columns and {r["_spans"] for r in found.select("_spans").collect()} == {"x"}
+    assert sorted(map(str, plain.collect())) == sorted(map(str, found.select(*docs.columns).collect()))
