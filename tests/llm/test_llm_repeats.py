@@ -5,6 +5,7 @@ from collections import Counter
 from hashlib import sha256
 
 import cases
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,3 +74,31 @@ def test_query_as_brute_force(spark):
 
 def test_no_rows(spark):
     assert repeats.mark_repeats(cases.no_docs(spark), "doc_id", "text").collect() == []
+
+
+def test_copies_are_compared_once(monkeypatch):
+    """A text with copies is repeated whole; it goes through the transform once, for the others of its group."""
+    seen = []
+    spans = repeats.repeated_spans
+    monkeypatch.setattr(repeats, "repeated_spans", lambda texts, length: seen.extend(texts) or spans(texts, length))
+    rows = pd.DataFrame({"code": [1, 1, 2], "digest": [1, 2, 3], "weight": [5, 1, 1], "bytes": [b"xabcdefgx", b"yabcdefgy", b"z" * 9]})
+    found = pd.concat(list(repeats._compared(7)([rows])))
+    assert sorted(seen) == sorted(rows["bytes"])
+    assert [(r.code, r.digest, r.spans) for r in found.itertuples()] == [(1, 2, [{"low": 1, "high": 8}]), (2, 3, [{"low": 0, "high": 9}])]
+
+
+def test_groups_of_copies_alone_need_no_transform(spark, monkeypatch):
+    def none(length):
+        def run(batches):
+            for batch in batches:
+                assert not len(batch)
+                yield pd.DataFrame({"code": [], "digest": [], "spans": []})
+
+        return run
+
+    monkeypatch.setattr(repeats, "_compared", none)
+    rng = random.Random(8)
+    text = "".join(rng.choice("abcdefgh") for _ in range(500))
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([text] * 4 + ["".join(rng.choice("abcdefgh") for _ in range(500))])], "doc_id long, text string")
+    found = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in repeats.mark_repeats(df, "doc_id", "text", 50).collect()}
+    assert found == {0: [(0, 500)], 1: [(0, 500)], 2: [(0, 500)], 3: [(0, 500)], 4: []}
