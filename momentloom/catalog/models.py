@@ -391,7 +391,9 @@ def spiral_classifier(spark, folder):
     """Which way a spiral turns, learned from sequence features on 80 percent of the sequences."""
     points = generate.spirals(load(spark, folder, "customer"), "c_custkey", 40)
     labels = generate.spirals(load(spark, folder, "customer"), "c_custkey", 1).select("seq_id", "label")
-    rows = sequences.sequence_features(points).join(labels, "seq_id")
+    ensure_checkpoint_dir(spark)
+    # The fit and the scores both read the features; their points are sorted once.
+    rows = sequences.sequence_features(points).join(labels, "seq_id").checkpoint(eager=True)
     parts = splits.train_test_split(rows, "seq_id", 0.8, 80)
     made = evaluation.compare_feature_sets(parts, "label", {"turning": ["signed_area", "mean_turn"]})
     return rounded(made.select(F.col("n_test"), "accuracy"))

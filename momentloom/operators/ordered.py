@@ -4,7 +4,8 @@ A window without a partition, or over a group that holds a large part of the tab
 Here the rows are range-partitioned by group and order instead, ties told apart by a hash of the
 row, and a checkpoint fixes the placement. Windows run within each part of a group; what a part
 needs from the parts before it is one carried row. Only groups that lie in several parts have
-one, at most two for each partition, so the carried rows are broadcast.
+one, at most two for each partition, so the carried rows are broadcast. ``following`` counts the
+groups and spreads only the large ones.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from pyspark.sql import functions as F
 from momentloom.session import ensure_checkpoint_dir
 
 POSITION_BITS = 33
+#: Rows of a group that one task may sort; groups with more are spread over partitions.
+WHOLE_GROUP = 100_000
 
 
 def row_index(df: DataFrame, keys: Sequence[str], name: str = "row_id") -> tuple[DataFrame, int]:
@@ -79,6 +82,12 @@ class Parts:
         return self.rows.join(small, same, "left").drop("_at", "_group")
 
 
+def _told_apart(df: DataFrame) -> DataFrame:
+    """The rows with ``_tie``, a hash of the row."""
+    told = [c for c, kind in df.dtypes if "map<" not in kind]
+    return df.withColumn("_tie", F.xxhash64(*told))
+
+
 def place(df: DataFrame, by: str, order: str) -> Parts:
     """Spread the rows over partitions in the order of ``by`` and ``order``, null groups first.
 
@@ -86,10 +95,8 @@ def place(df: DataFrame, by: str, order: str) -> Parts:
     input's order, and a group or a tied value of any size spreads over as many partitions as it needs.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    told = [c for c, kind in df.dtypes if "map<" not in kind]
-    rows = df.withColumn("_tie", F.xxhash64(*told))
     keys = [by, order, "_tie"]
-    placed = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).checkpoint(eager=True)
+    placed = _told_apart(df).repartitionByRange(*keys).sortWithinPartitions(*keys).checkpoint(eager=True)
     return Parts(placed.withColumn("_part", F.spark_partition_id()), by, order)
 
 
@@ -122,14 +129,36 @@ def step_number(df: DataFrame, by: str, order: str, name: str = "step") -> DataF
 
 
 def following(df: DataFrame, by: str, order: str, cols: Sequence[str], prefix: str = "next_") -> DataFrame:
-    """The next row's values of ``cols``, null on the last row of a group."""
-    parts = place(df, by, order)
+    """The next row's values of ``cols``, null on the last row of a group.
+
+    Groups are counted first. One of up to ``WHOLE_GROUP`` rows is sorted by one task, which takes one shuffle for all of
+    them and leaves them dealt by group; only larger ones are spread by ``place``.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
     packed = F.struct(*[F.col(c) for c in cols])
+    sizes = df.groupBy(by).agg(F.count(F.lit(1)).alias("_rows"))
+    large = sizes.where(F.col("_rows") > WHOLE_GROUP).select(F.col(by).alias("_group")).checkpoint(eager=True)
+    if large.isEmpty():
+        rows = _following_whole(df, by, order, packed)
+    else:
+        same = F.col(by).eqNullSafe(F.col("_group"))
+        small = _following_whole(df.join(F.broadcast(large), same, "left_anti"), by, order, packed)
+        rows = small.unionByName(_following_spread(df.join(F.broadcast(large), same, "left_semi"), by, order, packed))
+    return rows.select(*df.columns, *[F.col("_next")[c].alias(f"{prefix}{c}") for c in cols])
+
+
+def _following_whole(df: DataFrame, by: str, order: str, packed: Column) -> DataFrame:
+    """``_next`` where each group fits one task."""
+    return _told_apart(df).select(*df.columns, F.lead(packed).over(Window.partitionBy(by).orderBy(order, "_tie")).alias("_next"))
+
+
+def _following_spread(df: DataFrame, by: str, order: str, packed: Column) -> DataFrame:
+    """``_next`` where a group lies in several parts."""
+    parts = place(df, by, order)
     first = F.min_by(packed, F.struct(order, "_tie"))
     rows = parts.carried({"_carry": (first, F.first, "next")})
     # The part's last row alone takes the carried one; a row before it has its own next row.
-    rows = rows.select(*df.columns, F.coalesce(F.lead(packed).over(parts.window()), "_carry").alias("_next"))
-    return rows.select(*df.columns, *[F.col("_next")[c].alias(f"{prefix}{c}") for c in cols])
+    return rows.select(*df.columns, F.coalesce(F.lead(packed).over(parts.window()), "_carry").alias("_next"))
 
 
 def running_best(df: DataFrame, by: str, step: str, value: str, start: float = 10.0) -> DataFrame:

@@ -57,12 +57,9 @@ def spirals(keys: DataFrame, key: str, length: int, turns: float = 2.0, label=No
         middle = keys.select((F.min(key) + F.max(key)) / F.lit(2.0)).scalar()
         label = F.when(F.col(key) < middle, F.lit(0)).otherwise(F.lit(1))
     start = F.lit(6.283185307179586) * seeded_uniform(key, "spiral")
-    points = keys.select(
-        F.col(key).alias("seq_id"),
-        label.alias("label"),
-        start.alias("start"),
-        F.explode(F.sequence(F.lit(0), F.lit(length - 1))).alias("step"),
-    )
+    # The start is hashed once for a key, before its points are laid out.
+    starts = keys.select(F.col(key).alias("seq_id"), label.alias("label"), start.alias("start"))
+    points = starts.select("*", F.explode(F.sequence(F.lit(0), F.lit(length - 1))).alias("step"))
     radius = (F.col("step") + 1) / F.lit(float(length))
     turn = F.when(F.col("label") == 0, F.lit(-1.0)).otherwise(F.lit(1.0))
     angle = F.col("start") + turn * F.lit(6.283185307179586 * turns) * F.col("step") / F.lit(float(length))

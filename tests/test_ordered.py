@@ -79,6 +79,25 @@ def test_following_row(skewed):
         assert (got[i] is None and np.isnan(want[i])) or got[i] == want[i]
 
 
+def test_following_row_of_large_and_small_groups(spark, monkeypatch):
+    """Only groups beyond the bound are spread; both forms give the rows, null groups and ties included."""
+    rows = [(g, t, i) for i, (g, t) in enumerate([(None, t) for t in range(30)] + [(1, t) for t in range(40)] + [(2, 2), (2, 1), (2, 1), (3, 5)])]
+    df = spark.createDataFrame(rows, "g int, t int, id int")
+    whole = sorted(map(tuple, ordered.following(df, "g", "t", ["t", "id"]).collect()), key=str)
+    monkeypatch.setattr(ordered, "WHOLE_GROUP", 10)
+    assert sorted(map(tuple, ordered.following(df, "g", "t", ["t", "id"]).collect()), key=str) == whole
+    after = {r[2]: r[4] for r in whole}
+    assert [after[i] for i in (28, 29, 30, 68, 69, 70, 73)] == [29, None, 31, 69, None, None, None] and after[71] in (72, 70) and len(whole) == 74
+
+
+def test_small_groups_take_one_shuffle(spark):
+    points = spark.range(300).select((F.col("id") % 7).alias("seq_id"), F.col("id").alias("step"), F.sin("id").alias("x"), F.cos("id").alias("y"))
+    made = sequences.sequence_features(points)
+    made.collect()
+    plan = made._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange ") == 1 and "hashpartitioning(seq_id" in plan
+
+
 def test_running_best_and_final_best_agree(skewed):
     pdf, df = skewed
     best = ordered.running_best(df, "g", "t", "v").toPandas()

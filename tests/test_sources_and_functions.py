@@ -67,6 +67,12 @@ def test_spirals_turn_both_ways(spark):
     assert {(r["seq_id"], r["label"]) for r in rows.collect()} == {(0, 0), (1, 0), (2, 1), (3, 1)}
 
 
+def test_spirals_hash_a_key_once(spark):
+    """The start is made below the step that lays out the points, not again for each of them."""
+    plan = generate.spirals(spark.range(4).withColumnRenamed("id", "k"), "k", 10)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("md5(") == 1 and plan.index("Generate") < plan.index("md5(")
+
+
 def test_rounding(spark):
     row = spark.range(1).select(
         scalars.round_significant(F.lit(3.14159), 3).alias("pi"),
